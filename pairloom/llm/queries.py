@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, secrets, sentencepieces, simhash
+from . import decontaminate, language, line_dedup, log_bilinear, nearest, secrets, sentencepieces, simhash
 from .common import crc_mod, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -46,9 +46,18 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", decontaminate.n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = log_bilinear.score_texts(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) != 2)
+    return scored.select("doc_id", (crc_mod("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"), "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_secret_scan, op4_sentencepiece, op6_language_id, op7_decontaminate, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_secret_scan, op4_sentencepiece, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup)}
