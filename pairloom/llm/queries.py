@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, log_bilinear, nearest, secrets, sentencepieces, simhash
+from . import decontaminate, language, line_dedup, log_bilinear, nearest, quality, secrets, sentencepieces, simhash
 from .common import crc_mod, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -25,6 +25,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    return scored.select("doc_id", (~F.col("teaches")).alias("held_out"), "score", "predicted")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -60,4 +65,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"), "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_secret_scan, op4_sentencepiece, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_secret_scan, op4_sentencepiece, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup)}
