@@ -29,7 +29,7 @@ THRESHOLD = 0.7
 _CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t", "\n\r", ".,;:'\"", "!?", "|", "#*$%&@^~_=+<>\\/")
 OTHER, HIGH = len(_CLASSES), len(_CLASSES) + 1
 N = len(_CLASSES) + 2
-RATIOS = 6
+RATIOS = 7
 DIM = N + N * N + RATIOS + 1
 
 
@@ -64,6 +64,7 @@ def features(text: str | None) -> np.ndarray:
             min(1.0, np.log1p(len(words)) / 10),
             min(1.0, np.log1p(len(words) / len(lines)) / 6),
             sum(len(w) <= 3 for w in words) / len(words),
+            sum(map(bytes.__eq__, words[1:], words)) / len(words),
         )
     return x
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, log_bilinear, nearest, quality, secrets, sentencepieces, simhash
+from . import decontaminate, language, line_dedup, log_bilinear, nearest, passages, quality, secrets, sentencepieces, simhash
 from .common import crc_mod, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -38,6 +38,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(table(spark, sf_dir, "documents"), tokenizer_model(), results=sentencepieces.digest, schema=sentencepieces.DIGEST)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.where(crc_mod("doc_id", 3) != 1))
@@ -65,4 +69,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"), "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_secret_scan, op4_sentencepiece, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_secret_scan, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup)}
