@@ -195,6 +195,6 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[st
             yield pa.RecordBatch.from_arrays([*cols, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*b.schema.names[0 if whole else 1 :], "lang_pred", "score"])
 
     rows = df.select(F.col(text_col).alias("__text"), *rest)
-    fields = rows.schema.fields if whole else rows.schema.fields[1:]
-    got = rows.mapInArrow(run, StructType(fields).add("lang_pred", "string").add("score", "double"))
+    fields = rows.schema.fields[0 if whole else 1 :]
+    got = rows.mapInArrow(run, StructType(list(fields)).add("lang_pred", "string").add("score", "double"))
     return got.withColumnRenamed("__text", text_col).select(*keep, "lang_pred", "score") if whole else got

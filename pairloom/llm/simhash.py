@@ -139,7 +139,7 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return fps.join(of, "fp").select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, verify_words: int = 5, families: int = 6) -> DataFrame:
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, verify_words: int = 5, families: int = 8) -> DataFrame:
     """(doc_id, component_id) for near-duplicate texts at a word-shingle Jaccard similarity.
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
