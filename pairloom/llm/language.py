@@ -64,7 +64,8 @@ def squeezed(sym: np.ndarray) -> np.ndarray:
 def automaton(sym: list[int], width: int) -> np.ndarray:
     """Steps of the suffix automaton, flat: cell state + symbol holds the next state, both times width.
 
-    A missing step holds the root's step with the flag _BREAK.  The last symbol of the alphabet is padding and stays.
+    A missing step holds the root's step with the flag _BREAK: a new phrase begins.  The last state is where a text and what follows
+    an unknown symbol start: all its steps begin a phrase.  The last symbol of the alphabet is padding and stays.
     """
     step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
@@ -91,10 +92,11 @@ def automaton(sym: list[int], width: int) -> np.ndarray:
                     step[p][c] = copy
                     p = link[p]
         last = new
-    root = np.full(width, _BREAK, dtype=np.int32)
+    root = np.full(width, (len(step) * width) | _BREAK, dtype=np.int32)
     for c, t in step[0].items():
         root[c] = (t * width) | _BREAK
-    table = np.tile(root, (len(step), 1))
+    table = np.tile(root, (len(step) + 1, 1))
+    table[-1, -1] = len(step) * width
     for s, row in enumerate(step):
         for c, t in row.items():
             table[s, c] = t * width
@@ -145,8 +147,8 @@ class Model:
         cost = np.zeros((len(self.langs), len(lower)))
         of_block = np.repeat(np.arange(len(lower)), blocks)
         for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
-            phrases = np.ones(grid.shape[1], dtype=np.int32)
-            state = np.zeros(grid.shape[1], dtype=np.int32)
+            phrases = np.zeros(grid.shape[1], dtype=np.int32)
+            state = np.full(grid.shape[1], len(table) - self.width, dtype=np.int32)
             for row in grid:
                 state += row
                 state = table[state]
