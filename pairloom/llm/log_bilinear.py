@@ -9,7 +9,7 @@ the tasks' parameters are averaged by tokens.  The noise distribution and the fi
 The normaliser of every context pair is one matrix product, exp(logits of u) x exp(b + logits of v)', so a token's normalised
 log-probability is three look-ups.  A rarer token's probability is its class's times its smoothed share among rarer tokens.
 
-Counts of the ``FREQUENT`` most frequent tokens are broadcast (a fixed number); all others are joined.
+Counts of at most ``FREQUENT`` most frequent tokens are broadcast; all others are joined.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from .common import small_batches, written
 
 CLASSES = 1024
 DIM = 24
-FREQUENT = 200_000
+FREQUENT = 100_000
 #: Noise words drawn for each batch, contexts in a batch, tokens gathered before their equal contexts are merged.
 NOISE = 48
 BATCH = 8192
@@ -166,6 +166,25 @@ def token_counts(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def frequent_tokens(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent tokens with their counts, frequent first: as many whole sixteenths of powers of two of counts as give at most so many.
+
+    Only the sizes of these classes and the tokens wanted reach the driver, whatever the number of partitions.
+    """
+    level = F.floor(F.log2("c") * 16)
+    sizes = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)
+    least, n = None, 0
+    for at, size in sizes:
+        n += size
+        if n > most:
+            break
+        least = at
+    if least is None:
+        return []
+    got = counts.where(level >= least).toArrow()
+    return sorted(zip(got["token"].to_pylist(), got["c"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
 def train(df: DataFrame, text_col: str, classes: dict[bytes, int], share: np.ndarray) -> Params:
     """Averaged parameters after one pass of every task over its rows."""
     start = Params.first(share)
@@ -220,7 +239,7 @@ def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), train_when.alias("teaches"))
     counts = written(token_counts(rows.where("teaches"), "text"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r[0]), r[1]) for r in counts.orderBy(F.desc("c"), "token").limit(frequent).collect()]
+    top = frequent_tokens(counts, frequent)
     words = [t for t in top if t[0] != END_TOKEN][: classes - 2]
     number = {t: i + 2 for i, (t, _) in enumerate(words)} | {END_TOKEN: END}
     ends = sum(c for t, c in top if t == END_TOKEN) or (counts.where(F.col("token") == F.lit(END_TOKEN)).agg(F.sum("c")).first()[0] or 0)
