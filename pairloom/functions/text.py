@@ -91,9 +91,8 @@ def bare_colon(c: Column) -> Column:
 def norm_brand(c: Column, unicode: bool = True) -> Column:
     s = F.regexp_replace(norm_text(c, unicode), COMPANY_WORDS, " ")
     s = F.btrim(squeeze(s), F.lit(" .-'"))
-    for old, new in BRAND_ALIASES.items():
-        s = F.when(s == old, new).otherwise(s)
-    return s
+    table = F.create_map(*[F.lit(x) for kv in BRAND_ALIASES.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, s), s)
 
 
 def words(normal: Column) -> Column:

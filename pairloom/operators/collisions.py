@@ -23,10 +23,9 @@ STRONG = (
 
 
 def pair_block() -> Column:
-    """Over (name_A, name_B, description_B, size_B, brand_policy, amounts_A, amounts_size): why the target's metadata rules the pair out, or null."""
+    """Over a match prepared by demotions: why the target's metadata rules the pair out, or null."""
     c = F.col
-    a, b = guards.padded(c("name_A")), guards.padded(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 1200)))
-    ca, cb = Q.count_values(c("name_A")), Q.count_values(c("size_B"))
+    a, b, ca, cb = c("g_a"), c("g_b"), c("g_ca"), c("g_cb")
     heel, sole = ("heel cushion", "heel cushions", "heel cup", "heel cups"), ("insole", "insoles")
     pods = ("k cup", "k cups", "coffee pod", "coffee pods", "capsule", "capsules")
     ground = guards.has(a, "canister") | guards.has(a, "ground")
@@ -41,7 +40,7 @@ def pair_block() -> Column:
         F.when(guards.disjoint(ca, cb), "B_METADATA_COUNT")
         .when(apart("mass") | apart("volume"), "B_METADATA_SIZE")
         .when(F.coalesce(guards.strength(a) != guards.strength(b), F.lit(False)), "B_METADATA_STRENGTH")
-        .when(guards.named_variant_conflict(a, guards.padded(c("name_B"))), "B_METADATA_VARIANT")
+        .when(guards.named_variant_conflict(a, c("g_title")), "B_METADATA_VARIANT")
         .when((guards.any_of(a, heel) & guards.any_of(b, sole)) | (guards.any_of(b, heel) & guards.any_of(a, sole)), "B_METADATA_ROLE")
         .when(guards.any_of(b, pods) & ~guards.any_of(a, pods) & ground, "B_METADATA_FORM")
     )
@@ -50,8 +49,7 @@ def pair_block() -> Column:
 def national_conflict() -> Column:
     """Over the same columns, for same-brand pairs: the first explicit contradiction of an exact product, or null."""
     c = F.col
-    a, short, full = guards.padded(c("name_A")), guards.padded(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 220))), guards.padded(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 260)))
-    title = guards.padded(c("name_B"))
+    a, short, full, title = c("g_a"), c("g_short"), c("g_short"), c("g_title")
     missing = lambda phrases, z=short: guards.any_of(a, phrases) & ~guards.any_of(z, phrases)
     colors = "white yellow pink red blue green black brown purple orange gold silver gray grey beige".split()
     present = lambda z, names: F.array_compact(F.array(*[F.when(guards.has(z, n), n) for n in names]))
@@ -95,7 +93,7 @@ def size_errors(rows: DataFrame) -> DataFrame:
     """rows (row_key, target, amounts_A, amounts_size, name_A, size_B) with err: the least relative size error to the target's size; null if incomparable."""
     c = F.col
     errors = [_errors(d) for d in ("mass", "volume")]
-    ca, cb = Q.count_values(c("name_A")), Q.count_values(c("size_B"))
+    ca, cb = c("g_ca"), c("g_cb")
     counts = F.when((F.size(ca) > 0) & (F.size(cb) > 0), F.array(F.when(F.arrays_overlap(ca, cb), 0.0).otherwise(1.0))).otherwise(F.array().cast("array<double>"))
     return rows.withColumn("err", F.array_min(F.concat(*errors, counts)))
 
@@ -151,7 +149,10 @@ def demotions(matches: DataFrame) -> DataFrame:
     matches: row_key, target, name_A, name_B, brand_B, description_B, size_B, brand_policy.
     """
     m = matches.withColumn("amounts_A", Q.amounts(F.col("name_A"))).withColumn("amounts_size", Q.amounts(F.col("size_B")))
-    m = m.withColumn("reason", F.coalesce(pair_block(), national_conflict()))
+    title, text = F.col("name_A"), F.concat_ws(" ", "name_B", F.substring("description_B", 1, 1200))
+    m = m.withColumn("g_a", guards.padded(title)).withColumn("g_b", guards.padded(text)).withColumn("g_title", guards.padded(F.col("name_B")))
+    m = m.withColumn("g_short", guards.padded(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 260)))).withColumn("g_ca", Q.count_values(title)).withColumn("g_cb", Q.count_values(F.col("size_B")))
+    m = m.withColumn("block", pair_block()).withColumn("conflict", national_conflict()).withColumn("reason", F.coalesce("block", "conflict"))
     alive = size_preference(size_errors(m.where("reason is null")))
     text_b = F.concat_ws(" ", "name_B", F.substring("description_B", 1, 160), "size_B")
     kept = alive.where("not worse").withColumn("sig", Q.package_signature(F.col("name_A"), T.bare_colon(F.col("name_A")))).withColumn("sig_b", Q.package_signature(text_b, T.bare_colon(text_b)))

@@ -56,32 +56,19 @@ def title_words(c: Column) -> Column:
     """Words of a bare title without quantities, numbers, stop words and single letters; a private label that starts it goes."""
     z = F.regexp_replace(T.bare(c), r"\b\d+(?:\.\d+)?\s*(?:fl\s*oz|oz|ounce|ounces|lb|lbs|pound|pounds|g|kg|mg|mcg|ml|l|ct|count|pk|pack|gal|gallon|gallons)\b", " ")
     z = F.regexp_replace(z, r"\b\d+(?:\.\d+)?\b", " ")
-    w = F.filter(F.split(F.trim(F.regexp_replace(z, r"\s+", " ")), " "), lambda x: (F.length(x) > 1) & ~F.array_contains(_lits(TITLE_STOP), x))
-    labels = sorted({*T.LABELS_A, *T.LABELS_B}, key=lambda p: (-len(p.split()), p))
-    for label in labels:
-        n = len(label.split())
-        w = F.when(F.slice(w, 1, n) == _lits(label.split()), F.slice(w, n + 1, 1000)).otherwise(w)
-    return w
+    labels = "|".join(sorted({*T.LABELS_A, *T.LABELS_B}, key=lambda p: (-len(p.split()), p)))
+    kept = F.filter(F.split(F.trim(F.regexp_replace(z, r"\s+", " ")), " "), lambda x: (F.length(x) > 1) & ~F.array_contains(_lits(TITLE_STOP), x))
+    return F.filter(F.split(F.regexp_replace(F.array_join(kept, " "), f"^(?:{labels})(?: |$)", ""), " "), lambda x: x != "")
 
 
-def core_sets(a: Column, b: Column) -> tuple[Column, Column]:
-    """Distinct words of two word lists after up to three leading words that they share."""
-    lead = F.lit(0)
-    for k in (3, 2, 1):
-        lead = F.when((lead == 0) & (F.size(a) >= k) & (F.size(b) >= k) & (F.slice(a, 1, k) == F.slice(b, 1, k)), k).otherwise(lead)
-    return tuple(F.array_distinct(F.slice(x, lead + 1, F.greatest(F.size(x), F.lit(1)))) for x in (a, b))
-
-
-def core_similarity(a: Column, b: Column) -> tuple[Column, Column]:
-    """Jaccard and containment of the core sets; 0 if either is empty."""
-    x, y = core_sets(a, b)
+def core_similarity(x: Column, y: Column) -> tuple[Column, Column]:
+    """Jaccard and containment of two word sets; 0 if either is empty."""
     both = F.size(F.array_intersect(x, y))
     empty = (F.size(x) == 0) | (F.size(y) == 0)
     return tuple(F.when(empty, 0.0).otherwise(both / n) for n in (F.size(F.array_union(x, y)), F.least(F.size(x), F.size(y))))
 
 
-def safe_wording(a: Column, b: Column) -> Column:
-    x, y = core_sets(a, b)
+def safe_wording(x: Column, y: Column) -> Column:
     apart = F.array_union(F.array_except(x, y), F.array_except(y, x))
     return F.size(F.array_except(apart, _lits(SAFE))) == 0
 
@@ -165,20 +152,41 @@ def subtype_risk(a: Column, b: Column) -> Column:
     return deep | (any_of(a, heel) & any_of(b, sole)) | (any_of(b, heel) & any_of(a, sole))
 
 
-def with_amounts(pairs: DataFrame) -> DataFrame:
-    """pairs with amounts_A and amounts_B of the names, for the rules that need them as columns."""
-    return pairs.withColumn("amounts_A", Q.amounts(F.col("name_A"))).withColumn("amounts_B", Q.amounts(F.col("name_B")))
+def prepared(pairs: DataFrame) -> DataFrame:
+    """pairs with what the rules read of name_A and name_B, each computed once: columns that begin with g_."""
+    p = pairs
+    for side in "AB":
+        name = F.col(f"name_{side}")
+        p = p.withColumn(f"g_amounts_{side}", Q.amounts(name)).withColumn(f"g_bare_{side}", T.bare(name))
+    for side in "AB":
+        bare = F.col(f"g_bare_{side}")
+        p = p.withColumn(f"g_z_{side}", F.concat(F.lit(" "), bare, F.lit(" "))).withColumn(f"g_w_{side}", title_words(F.col(f"name_{side}"))).withColumn(f"g_plain_{side}", F.split(bare, " "))
+        p = p.withColumn(f"g_counts_{side}", Q.count_values(F.col(f"name_{side}"))).withColumn(f"g_total_{side}", Q.pack_total(F.col(f"name_{side}"))).withColumn(f"g_packs_{side}", Q.pack_values(bare))
+    a, b = F.col("g_w_A"), F.col("g_w_B")
+    lead = F.coalesce(*[F.when((F.size(a) >= k) & (F.size(b) >= k) & (F.slice(a, 1, k) == F.slice(b, 1, k)), k) for k in (3, 2, 1)], F.lit(0))
+    p = p.withColumn("g_lead", lead)
+    for side in "AB":
+        w = F.col(f"g_w_{side}")
+        p = p.withColumn(f"g_core_{side}", F.array_distinct(F.slice(w, F.col("g_lead") + 1, F.size(w) + 1))).withColumn(f"g_flavor_{side}", flavor_words(F.col(f"g_plain_{side}")))
+    return p
+
+
+def unprepared(pairs: DataFrame) -> DataFrame:
+    return pairs.drop(*[c for c in pairs.columns if c.startswith("g_")])
 
 
 def firewall() -> Column:
-    """Over a scored pair with its amounts: the blocker's name, or an empty text."""
+    """Over a prepared scored pair: the blocker's name, or an empty text."""
     c = F.col
-    a, b, wa, wb = padded(c("name_A")), padded(c("name_B")), title_words(c("name_A")), title_words(c("name_B"))
-    plain_a, plain_b = F.split(F.trim(a), " "), F.split(F.trim(b), " ")
-    fa, fb = flavor_words(plain_a), flavor_words(plain_b)
+    a, b, wa, wb, fa, fb = (c(f"g_{x}") for x in ("z_A", "z_B", "w_A", "w_B", "flavor_A", "flavor_B"))
+    ca, cb = c("g_counts_A"), c("g_counts_B")
     q = c("quantity_similarity")
     known = q > 0  # a similarity of 0 counts as unknown here
     tiers = F.coalesce(strength(a) != strength(b), F.lit(False))
+    both = (F.size(ca) > 0) & (F.size(cb) > 0)
+    rolls = Q.roll_tier(c("g_bare_A")), Q.roll_tier(c("g_bare_B"))
+    totals = F.coalesce(c("g_total_A") != c("g_total_B"), F.lit(False))
+    packs = (both & ~F.arrays_overlap(ca, cb)) | (~both & totals) | ((rolls[0] != "") & (rolls[1] != "") & (rolls[0] != rolls[1]))
     risky = F.array_intersect("modifier_asymmetries", _lits(RISKY))
     partial = (F.size(F.array_except(fa, fb)) + F.size(F.array_except(fb, fa)) > 0) & F.arrays_overlap(fa, fb)
     return (
@@ -187,11 +195,11 @@ def firewall() -> Column:
         .when(obvious_conflict(a, b) | role_conflict(a, b, wa, wb) | bundle_conflict(a, b), "ROLE")
         .when(format_conflict(a, b), "FORM")
         .when(disjoint(fa, fb) | variant_conflict(a, b) | tiers | named_variant_conflict(a, b), "FLAVOR_SCENT_SHADE")
-        .when(Q.pack_conflict(c("name_A"), c("name_B"), T.bare(c("name_A")), T.bare(c("name_B"))) | Q.size_conflict(c("amounts_A"), c("amounts_B")), "QUANTITY")
+        .when(packs | Q.size_conflict(c("g_amounts_A"), c("g_amounts_B")), "QUANTITY")
         .when(opposite_status(a, b), "ORGANIC_STATUS")
         .when(known & (q < 0.72), "QUANTITY")
         .when(F.size(risky) > 0, F.concat(F.lit("ATTRIBUTE_ASYMMETRY:"), F.array_join(F.array_sort(risky), ",")))
-        .when(~known & Q.one_sided_count(c("name_A"), c("name_B")), "ONE_SIDED_EXPLICIT_COUNT")
+        .when(~known & ((F.size(ca) > 0) != (F.size(cb) > 0)), "ONE_SIDED_EXPLICIT_COUNT")
         .when(partial, "PARTIAL_FLAVOR_SCENT_VARIANT")
         .when(subtype_risk(a, b), "ONE_SIDED_PRODUCT_SUBTYPE")
         .otherwise("")
@@ -199,17 +207,16 @@ def firewall() -> Column:
 
 
 def promotion() -> Column:
-    """Over a routed row under review: the reason for a safe promotion, or null."""
+    """Over a prepared routed row under review: the reason for a safe promotion, or null."""
     c = F.col
-    a, b, wa, wb = padded(c("name_A")), padded(c("name_B")), title_words(c("name_A")), title_words(c("name_B"))
-    jac, contain = core_similarity(wa, wb)
+    a, b, wa, wb, pa, pb = (c(f"g_{x}") for x in ("z_A", "z_B", "w_A", "w_B", "packs_A", "packs_B"))
+    jac, contain = core_similarity(c("g_core_A"), c("g_core_B"))
     known = c("quantity_similarity") > 0
-    pa, pb = Q.pack_values(T.bare(c("name_A"))), Q.pack_values(T.bare(c("name_B")))
-    packs = F.coalesce(F.array_max(pa) == F.array_max(pb), F.lit(False)) | ((F.size(pa) == 0) & (F.size(pb) == 0))
     same_pack = F.coalesce(F.array_max(pa) == F.array_max(pb), F.lit(False))
+    packs = same_pack | ((F.size(pa) == 0) & (F.size(pb) == 0))
     asym = F.when(same_pack, F.array_remove("modifier_asymmetries", "explicit_multipack")).otherwise(c("modifier_asymmetries"))
     clean = ~c("hard_veto") & ~(obvious_conflict(a, b) | role_conflict(a, b, wa, wb) | status_conflict(a, b) | format_conflict(a, b) | disjoint(flavor_words(wa), flavor_words(wb)))
-    guard = clean & (F.size(asym) == 0) & packs & safe_wording(wa, wb) & (known | (contain >= 0.78))
+    guard = clean & (F.size(asym) == 0) & packs & safe_wording(c("g_core_A"), c("g_core_B")) & (known | (contain >= 0.78))
     allowed = (c("retrieval_rank") == 1) & (c("nonmatch_confidence") <= 0.28) & (~known | (c("quantity_similarity") >= 0.72)) & guard
 
     def over(raw: float, fs: float, ps: float, margin: float, evidence: int, least: float, j: float = 0.0) -> Column:

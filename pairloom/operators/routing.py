@@ -95,13 +95,13 @@ def settled(routed: DataFrame) -> DataFrame:
     c = F.col
     rescue = (c("final_verdict") == "MATCH") & (c("retrieval_rescue_type") != "")
     p = routed.withColumn("decision_reason", F.when(rescue, "RECALL_RESCUE_REVIEW").otherwise(c("decision_reason"))).withColumn("final_verdict", F.when(rescue, "REVIEW").otherwise(c("final_verdict")))
+    p = guards.prepared(p)
     p = p.withColumn("__why", F.when(c("final_verdict") == "REVIEW", guards.promotion()))
     p = p.withColumn("decision_reason", F.coalesce("__why", "decision_reason")).withColumn("final_verdict", F.when(c("__why").isNotNull(), "MATCH").otherwise(c("final_verdict"))).drop("__why")
-    p = guards.with_amounts(p)
     p = p.withColumn("final_safety_blocker", F.when(c("final_verdict") == "MATCH", guards.firewall()).otherwise(""))
     blocked = c("final_safety_blocker") != ""
     action = F.when(c("final_safety_blocker").isin(*guards.HARD), "NON_MATCH").otherwise("REVIEW")
     p = p.withColumn("final_verdict", F.when(blocked, action).otherwise(c("final_verdict")))
     p = p.withColumn("decision_reason", F.when(blocked, F.concat(F.lit("FINAL_SAFETY_"), c("final_verdict"))).otherwise(c("decision_reason")))
     matched = c("final_verdict") == "MATCH"
-    return p.drop("amounts_A", "amounts_B").withColumn("selected_item_id_B", F.when(matched, c("item_id_B")).otherwise("")).withColumn("manual_review_required", c("final_verdict") == "REVIEW")
+    return guards.unprepared(p).withColumn("selected_item_id_B", F.when(matched, c("item_id_B")).otherwise("")).withColumn("manual_review_required", c("final_verdict") == "REVIEW")
