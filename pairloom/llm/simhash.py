@@ -29,6 +29,10 @@ SEGMENTS = 9
 BUCKET = 16
 _EDGE = [i * 64 // SEGMENTS for i in range(SEGMENTS + 1)]
 _SEED = 42
+#: Bits of 64, on average over the families, beyond which near copies' single-word fingerprints aren't apart.
+FAR = 8
+#: So many document numbers are broadcast at most; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def _chain(start: int, length: int) -> int:
@@ -105,20 +109,21 @@ def links(nodes: DataFrame) -> DataFrame:
 
     nodes: (fp, root), each fp once (or once in a family, column fam, if there is one).
     """
-    fam = [F.col("fam")] if "fam" in nodes.columns else [F.lit(0).alias("fam")]
+    fam = F.col("fam") if "fam" in nodes.columns else F.lit(0)
     zero = (SEGMENTS - 1) // TAU
-    rows = nodes.select(*fam, "fp", "root", F.posexplode(F.array(*[F.col("fp").bitwiseAND(_chain(i, zero)) for i in range(SEGMENTS)])).alias("i", "key"))
-    full = rows.groupBy("fam", "i", "key").agg(F.count("*").alias("n")).where("n > 1")
-    found = written(rows.join(full, ["fam", "i", "key"]))
+    rows = nodes.select(fam.cast("int").alias("fam"), "fp", "root", F.posexplode(F.array(*[F.col("fp").bitwiseAND(_chain(i, zero)) for i in range(SEGMENTS)])).alias("i", "key"))
+    rows = rows.select(F.xxhash64("fam", "i", "key").alias("key"), "fp", "root", (F.col("fam") * SEGMENTS + F.col("i")).alias("slot"))
+    full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    found = written(rows.join(full, "key"))
     cold = found.where(F.col("n") <= BUCKET)
-    a, b = (cold.select("fam", "i", "key", F.col("fp").alias(f"fp_{x}"), F.col("root").alias(x)) for x in "ab")
+    a, b = (cold.select("slot", "key", F.col("fp").alias(f"fp_{x}"), F.col("root").alias(x)) for x in "ab")
     apart = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
     meets = F.bit_count(apart) <= TAU
     for length in range(zero + 1, SEGMENTS):
-        mask = F.element_at(F.array(*[F.lit(_chain(i, length)) for i in range(SEGMENTS)]), F.col("i") + 1)
+        mask = F.element_at(F.array(*[F.lit(_chain(i, length)) for i in range(SEGMENTS)]), F.col("slot") % SEGMENTS + 1)
         meets = (F.bit_count(apart.bitwiseAND(mask)) <= length * TAU // SEGMENTS) & meets
-    pairs = a.join(b, ["fam", "i", "key"]).where((F.col("fp_a") < F.col("fp_b")) & meets).select("a", "b")
-    hot = found.where(F.col("n") > BUCKET).select("fam", "fp", "root").distinct()
+    pairs = a.join(b, ["slot", "key"]).where((F.col("fp_a") < F.col("fp_b")) & meets).select("a", "b")
+    hot = found.where(F.col("n") > BUCKET).select(F.floor(F.col("slot") / SEGMENTS).alias("fam"), "fp", "root").distinct()
     one = [0, *((1 << k) - (1 << 64 if k == 63 else 0) for k in range(64))]
     points = hot.select("fam", "root", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(x)) for x in one])).alias("point"))
     centre = points.groupBy("fam", "point").agg(F.min("root").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -139,12 +144,13 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return fps.join(of, "fp").select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, verify_words: int = 5, families: int = 8) -> DataFrame:
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, verify_words: int = 5, families: int = 6) -> DataFrame:
     """(doc_id, component_id) for near-duplicate texts at a word-shingle Jaccard similarity.
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  The links found so are verified on the shingle sets.  Equal word sequences are one node.
+    is within TAU bits.  Links whose distances over all families are too large for near copies go; the rest
+    are verified on the shingle sets.  Equal word sequences are one node.
     """
     small_batches(df.sparkSession)
 
@@ -152,8 +158,9 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         for b in batches:
             got, same = [], []
             for t in b.column(1).to_pylist():
+                words = words_of(t)
                 got.append(fingerprint(t, 1, families))
-                same.append(xxhash.xxh3_128_hexdigest(b" ".join(words_of(t))))
+                same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64())), pa.array(same)], ["id", "fps", "same"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -162,7 +169,11 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     each = texts.select("root", F.posexplode("fps").alias("fam", "fp"))
     nodes = written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
     equal = each.join(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b")), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
-    edges = written(links(nodes.drop("n")).union(equal).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = links(nodes.drop("n")).union(equal).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    side = lambda x: texts.select(F.col("root").alias(x), F.col("fps").alias(f"fps_{x}"))
+    edges = edges.join(side("a"), "a").join(side("b"), "b")
+    apart = F.aggregate(F.zip_with("fps_a", "fps_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    edges = written(edges.where(apart <= FAR * families).select("a", "b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, have = None, frozenset()
@@ -177,6 +188,9 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ends = written(ends)
+    if ends.count() <= BROADCAST_IDS:
+        ends = F.broadcast(ends)
     one = written(rows.join(ends, "id", "left_semi").dropDuplicates(["id"]))
     linked = edges.join(one.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     linked = linked.join(one.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
