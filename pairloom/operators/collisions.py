@@ -6,6 +6,8 @@ so a target with many rows is pre-aggregated, not collected.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -143,20 +145,21 @@ def identity_conflicts(rows: DataFrame) -> DataFrame:
     return p.withColumn("kinds", kinds).where((F.col("kinds") > 1) & (F.size("own") > 0) & (strong | low)).select("row_key")
 
 
-def demotions(matches: DataFrame) -> DataFrame:
+def demotions(matches: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(row_key, reason): the first reason, in the order of the checks, to send a provisional match to review.
 
-    matches: row_key, target, name_A, name_B, brand_B, description_B, size_B, brand_policy.
+    matches: row_key, target, name_A, name_B, brand_B, description_B, size_B, brand_policy.  keep: may store a step's rows, which later steps read several times.
     """
     m = matches.withColumn("amounts_A", Q.amounts(F.col("name_A"))).withColumn("amounts_size", Q.amounts(F.col("size_B")))
     title, text = F.col("name_A"), F.concat_ws(" ", "name_B", F.substring("description_B", 1, 1200))
     m = m.withColumn("g_a", guards.padded(title)).withColumn("g_b", guards.padded(text)).withColumn("g_title", guards.padded(F.col("name_B")))
     m = m.withColumn("g_short", guards.padded(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 260)))).withColumn("g_ca", Q.count_values(title)).withColumn("g_cb", Q.count_values(F.col("size_B")))
     m = m.withColumn("block", pair_block()).withColumn("conflict", national_conflict()).withColumn("reason", F.coalesce("block", "conflict"))
-    alive = size_preference(size_errors(m.where("reason is null")))
+    m = keep(m)
+    alive = keep(size_preference(size_errors(m.where("reason is null"))))
     text_b = F.concat_ws(" ", "name_B", F.substring("description_B", 1, 160), "size_B")
     kept = alive.where("not worse").withColumn("sig", Q.package_signature(F.col("name_A"), T.bare_colon(F.col("name_A")))).withColumn("sig_b", Q.package_signature(text_b, T.bare_colon(text_b)))
-    kept = package_conflicts(kept)
+    kept = keep(package_conflicts(kept))
     brand = F.split(T.bare(F.col("brand_B")), " ")
     words = F.array_except(guards.title_words(F.col("name_A")), brand)
     evidence = F.array_except(guards.title_words(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 500))), brand)

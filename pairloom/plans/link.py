@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import adjudicate, blocking, certify, collisions, facts, routing, scoring
+from .stages import staged
 
 
 def scored_pairs(a: DataFrame, b: DataFrame, lexicon: list | None = None, unicode: bool = True) -> tuple[DataFrame, DataFrame]:
     """(all candidates, scored deep pairs): cheap retrieval first; facts of both sides only for what survives it."""
-    named = blocking.infer_brands(a, b)
-    candidates = blocking.retrieve(named, b, unicode)
+    named = staged(blocking.infer_brands(a, b))
+    candidates = staged(blocking.retrieve(named, b, unicode))
     strong = candidates.where((F.col("retrieval_rank") == 1) & (F.col("retrieval_score") >= blocking.FLOOR)).select("row_key")
     deep = blocking.deep_shortlist(candidates.join(strong, "row_key", "left_semi"))
     names_a = named.select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     names_b = b.select("b_index", F.col("name").alias("name_B"))
-    pairs = deep.join(names_a, "row_key").join(names_b, "b_index")
-    facts_a = facts.extract(named.join(pairs.select("row_key").distinct(), "row_key", "left_semi"), "row_key", lexicon, unicode)
-    facts_b = facts.extract(b.join(pairs.select("b_index").distinct(), "b_index", "left_semi"), "b_index", lexicon, unicode)
-    return candidates, scoring.score_pairs(pairs, facts_a, facts_b)
+    pairs = staged(deep.join(names_a, "row_key").join(names_b, "b_index"))
+    facts_a = staged(facts.extract(named.join(pairs.select("row_key").distinct(), "row_key", "left_semi"), "row_key", lexicon, unicode))
+    facts_b = staged(facts.extract(b.join(pairs.select("b_index").distinct(), "b_index", "left_semi"), "b_index", lexicon, unicode))
+    return candidates, staged(scoring.score_pairs(pairs, facts_a, facts_b))
 
 
 def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
@@ -37,13 +38,13 @@ def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudi
     """
     _, pairs = scored_pairs(a, b, lexicon, unicode)
     pairs = routing.supported(pairs, routing.Thresholds())
-    verdicts = routing.settled(routing.route(pairs))
+    verdicts = staged(routing.settled(routing.route(pairs)))
     if client is not None:
         under = pairs.join(verdicts.where("final_verdict = 'REVIEW'").select("row_key"), "row_key", "left_semi")
-        verdicts = adjudicate.accepted(verdicts, adjudicate.ask(adjudicate.packets(under), client))
-    first = collisions.demotions(matched(verdicts, b))
-    verdicts = certify.demoted(verdicts, first)
-    verdicts = certify.demoted(verdicts, certify.certify(matched(verdicts, b)))
+        verdicts = staged(adjudicate.accepted(verdicts, adjudicate.ask(adjudicate.packets(under), client)))
+    first = collisions.demotions(staged(matched(verdicts, b)), staged)
+    verdicts = staged(certify.demoted(verdicts, first))
+    verdicts = certify.demoted(verdicts, certify.certify(staged(matched(verdicts, b)), staged))
     rest = a.join(verdicts.select("row_key"), "row_key", "left_anti").select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     stub = rest.withColumn("final_verdict", F.lit("NON_MATCH")).withColumn("decision_reason", F.lit("WEAK_RETRIEVAL_NONMATCH"))
     return verdicts.unionByName(stub, allowMissingColumns=True)
