@@ -139,11 +139,89 @@ def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.groupBy("k").agg(F.count("*").alias("n"))
 
 
+def deep_shortlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.deep_shortlist(candidate_topk(spark, sf_dir)).select("row_key", "b_index", "retrieval_rank")
+
+
+def retrieval_floor_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose best candidate scores too low, at a floor that some rows of this table miss."""
+    a, _ = part_catalogs(spark, sf_dir)
+    return blocking.weak_rows(a, candidate_topk(spark, sf_dir), 4.5)
+
+
+def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without tags and repeated blanks, as a digest."""
+    plain = T.squeeze(F.regexp_replace("html", "<[^>]+>", " "))
+    return _table(spark, sf_dir, "pages").select("page_id", F.md5(plain).alias("digest"), F.length(plain).cast("bigint").alias("n_chars"))
+
+
+def coverage_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each source without a label."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    return docs.join(_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n"))
+
+
+def priority_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best 40 orders of each status, then the best 100 of all, ties by key text descending."""
+    order = lambda k: (F.desc("o_totalprice"), F.col(k).cast("string").desc())
+    n = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy(*order("o_orderkey")))
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", n.alias("n")).where("n <= 40")
+    return rows.orderBy(*order("o_orderkey")).limit(100).select("o_orderkey", "o_orderstatus")
+
+
+def dimension_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("", F.col("p_size").cast("string"), F.lit(" x "), (F.col("p_size") + 2).cast("string"), F.lit(" in")).alias("s"))
+    return part.select("p_partkey", F.array_join(F.transform(Q.dimensions(F.col("s")), lambda x: F.round(x, 1).cast("string")), "/").alias("mm"))
+
+
+def pack_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plausible counts of made-up multipack titles."""
+    part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("", F.lit("("), (F.col("p_size") % 4 + 2).cast("string"), F.lit(" pack) "), F.col("p_name"), F.lit(" "), (F.col("p_size") + 10).cast("string"), F.lit(" Count")).alias("s"))
+    return part.select("p_partkey", F.array_join(F.transform(Q.count_values(F.col("s")), lambda x: x.cast("string")), ",").alias("counts"))
+
+
+def fact_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known facts of each attribute."""
+    from ..operators import facts
+
+    a, _ = part_catalogs(spark, sf_dir)
+    return facts.extract(a, "row_key", unicode=False).groupBy("attr").agg(F.count("*").alias("n"))
+
+
+def link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole linkage of the two part catalogs."""
+    from .link import link
+
+    a, b = part_catalogs(spark, sf_dir)
+    return link(a, b, unicode=False).select("row_key", "item_id_A", "selected_item_id_B", "final_verdict", "decision_reason")
+
+
+def net_size_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import certify
+
+    part = _table(spark, sf_dir, "part").select(F.concat_ws("|", "p_name", "p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.col("p_size").alias("value"))
+    return certify.near_clusters(part)
+
+
+def fake_adjudication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers of a stand-in client to a packet for each nation."""
+    from ..operators import adjudicate
+
+    def client(packets: list[dict]) -> list[dict]:
+        return [{"row_key": p["row_key"], "choice": 1, "decision": "MATCH", "match_type": "SAME_BRAND_PRODUCT", "blocker": "NONE", "evidence": "CLEAR"} for p in packets]
+
+    rows = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("row_key"))
+    return adjudicate.ask(rows.select("row_key", F.to_json(F.struct("row_key")).alias("payload")), client)
+
+
+#: Queries that SQL can't express: order-dependent clusters, an outside client, and rules over match places.
+ROWS_ONLY = ("fact_counts", "link_verdicts", "net_size_clusters", "fake_adjudication")
 QUERIES = {
     f.__name__: f
     for f in (
         candidate_topk, norm_title, core_tokens, numeric_tokens, doc_freq, exact_title_join, rare_token_top4, number_blocking, pair_token_similarity, numeric_similarity, quantities,
         best_and_margin, calibrate, profile_blanks, pair_diff, override_merge, reason_histogram, common_tokens, size_preference, json_values,
+        deep_shortlist, retrieval_floor_stub, html_strip, coverage_anti_join, priority_queue, dimension_signature, pack_counts, fact_counts, link_verdicts, net_size_clusters, fake_adjudication,
     )
 }
 
@@ -227,3 +305,15 @@ ORACLES = {
     SELECT target, row_key FROM w WHERE n >= 2 AND err > greatest(0.025, best + 0.012)""",
     "json_values": "SELECT CAST(props->>'$.k' AS DOUBLE) AS k, count(*) AS n FROM events GROUP BY 1",
 }
+_TOP = ORACLES["candidate_topk"]
+ORACLES |= {
+    "deep_shortlist": f"""SELECT row_key, b_index, retrieval_rank FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY retrieval_rank) AS p FROM ({_TOP}) WHERE retrieval_rank <= 3 OR protected) WHERE p <= 5""",
+    "retrieval_floor_stub": f"""SELECT p_partkey // 2 AS row_key, CAST(p_partkey AS VARCHAR) AS item_id, 'WEAK_RETRIEVAL_NONMATCH' AS decision_reason FROM part
+    WHERE p_partkey % 2 = 0 AND p_partkey // 2 NOT IN (SELECT row_key FROM ({_TOP}) WHERE retrieval_rank = 1 AND retrieval_score >= 4.5)""",
+    "html_strip": "SELECT page_id, md5(t) AS digest, length(t) AS n_chars FROM (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM pages)",
+    "coverage_anti_join": "SELECT source, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1",
+    "priority_queue": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, CAST(o_orderkey AS VARCHAR) DESC) AS n FROM orders)
+    SELECT o_orderkey, o_orderstatus FROM r WHERE n <= 40 ORDER BY o_totalprice DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 100""",
+    "dimension_signature": "SELECT p_partkey, CAST(round(p_size * 25.4::DOUBLE, 1) AS VARCHAR) || '/' || CAST(round((p_size + 2) * 25.4::DOUBLE, 1) AS VARCHAR) AS mm FROM part",
+    "pack_counts": """SELECT p_partkey, array_to_string(list_sort(list_distinct([p_size % 4 + 2, p_size + 10] || CASE WHEN p_size % 4 + 2 <> p_size + 10 THEN [(p_size % 4 + 2) * (p_size + 10)] ELSE [] END)), ',') AS counts FROM part""",
+}
