@@ -8,6 +8,7 @@ into blocks of at most ``BLOCK_WORDS`` words, each with an automaton and a pass
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -200,6 +201,37 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     return rows.select(F.col("__id").alias(id_col), *kept, F.col("__n").alias("n_words"), F.col("__hits").alias("hits"), F.col("__items").alias("items"))
 
 
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words of some spans and what stands between those words."""
+    data = text.encode("utf-8", "replace")
+    places = [m.span() for m in re.finditer(rb"[^ ]+", data.translate(_TABLE))]
+    out, at = [], 0
+    for a, b in spans:
+        out.append(data[at : places[a][0]])
+        at = places[b - 1][1]
+    return b"".join([*out, data[at:]]).decode()
+
+
+def remove_hits(found: DataFrame, text_col: str = "text", least_words: int = 1, most_share: float = 0.5) -> DataFrame:
+    """What find_contamination gave with the text kept: hit spans of at least so many words are cut from the text.
+
+    A document of whose words more than most_share are hit has a null text: too little of its own is left.  Null texts stay null.
+    """
+    names = found.columns
+    kind = found.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = []
+            for text, hits, n in zip(b.column(text_col).to_pylist(), b.column("hits").to_pylist(), b.column("n_words").to_pylist(), strict=True):
+                spans = [(h["start"], h["end"]) for h in hits if h["end"] - h["start"] >= least_words]
+                hit = sum(y - x for x, y in spans)
+                texts.append(None if text is None or hit > most_share * n else without_spans(text, spans) if spans else text)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names], names)
+
+    return found.mapInArrow(run, kind)
+
+
 def contaminated() -> Column:
     """Over the columns n_words and hits: some word is hit and at least 1 in SHARE is."""
     n = n_hit()

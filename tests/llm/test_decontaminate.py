@@ -63,3 +63,13 @@ def test_empty_tables(spark, docs, no_docs):
     got = D.find_contamination(docs, bench, keep=("text", "lang"))
     assert got.where("size(hits) > 0 or size(items) > 0").count() == 0 and got.columns == ["doc_id", "text", "lang", "n_words", "hits", "items"]
     assert D.find_contamination(no_docs, bench).collect() == []
+
+
+def test_spans_are_cut_from_texts(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    own = "Ünïque words here. "
+    rows = [(1, own * 10 + item.upper() + "! end"), (2, item), (3, own), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in D.remove_hits(D.find_contamination(df, bench, keep=("text",))).collect()}
+    assert got == {1: own * 10 + "! end", 2: None, 3: own, 4: None}
