@@ -192,8 +192,19 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
     one = written(rows.join(ends, "id", "left_semi").dropDuplicates(["id"]))
-    linked = edges.join(one.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    linked = linked.join(one.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
-    comp = connected_components(linked.mapInArrow(verify, "a long, b long"))
+
+    def sure(some: DataFrame) -> DataFrame:
+        linked = some.join(one.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+        linked = linked.join(one.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+        return written(linked.mapInArrow(verify, "a long, b long"))
+
+    # Texts travel with few links: one of each document first, then only those between what isn't connected yet.
+    first = written(edges.groupBy("a").agg(F.min("b").alias("b")))
+    good = sure(first)
+    comp = written(connected_components(good))
+    part = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
+    rest = edges.join(first, ["a", "b"], "left_anti").join(part("a"), "a", "left").join(part("b"), "b", "left")
+    rest = rest.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+    comp = connected_components(good.union(sure(rest)))
     of = texts.join(comp, texts["root"] == comp["node"], "left").select("same", F.coalesce("component", "root").alias("component_id"))
     return fps.join(of, "same").select(F.col("id").alias("doc_id"), "component_id")
