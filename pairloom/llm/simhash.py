@@ -14,6 +14,7 @@ and linear in the bucket's size.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,8 @@ _EDGE = [i * 64 // SEGMENTS for i in range(SEGMENTS + 1)]
 _SEED = 42
 #: Bits of 64, on average over the families, beyond which near copies' single-word fingerprints aren't apart.
 FAR = 8
+#: Smallest shingle hashes kept of each text, and how far below the similarity their estimate may lie (four standard errors).
+SKETCH, SLACK = 32, 0.3
 #: So many document numbers are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -149,31 +152,36 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  Links whose distances over all families are too large for near copies go; the rest
+    is within TAU bits.  Links whose distances over all families, or whose shingle sketches, are too far apart go; the rest
     are verified on the shingle sets.  Equal word sequences are one node.
     """
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got, same = [], []
+            got, same, least = [], [], []
             for t in b.column(1).to_pylist():
                 words = words_of(t)
+                hashes = {xxhash.xxh32_intdigest(x) >> 1 for x in shingles(words, verify_words)}
+                least.append(heapq.nsmallest(SKETCH, hashes))
                 got.append(fingerprint(t, 1, families))
                 same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64())), pa.array(same)], ["id", "fps", "same"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64())), pa.array(same), pa.array(least, pa.list_(pa.int32()))], ["id", "fps", "same", "least"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    fps = written(rows.mapInArrow(run, "id long, fps array<long>, same string").where("id is not null"))
-    texts = written(fps.groupBy("same").agg(F.min("id").alias("root"), F.first("fps").alias("fps")))
+    fps = written(rows.mapInArrow(run, "id long, fps array<long>, same string, least array<int>").where("id is not null"))
+    texts = written(fps.groupBy("same").agg(F.min("id").alias("root"), F.first("fps").alias("fps"), F.first("least").alias("least")))
     each = texts.select("root", F.posexplode("fps").alias("fam", "fp"))
     nodes = written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
     equal = each.join(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b")), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
     edges = links(nodes.drop("n")).union(equal).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    side = lambda x: texts.select(F.col("root").alias(x), F.col("fps").alias(f"fps_{x}"))
+    side = lambda x: texts.select(F.col("root").alias(x), F.col("fps").alias(f"fps_{x}"), F.col("least").alias(f"least_{x}"))
     edges = edges.join(side("a"), "a").join(side("b"), "b")
     apart = F.aggregate(F.zip_with("fps_a", "fps_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    edges = written(edges.where(apart <= FAR * families).select("a", "b"))
+    # The smallest hashes of both shingle sets together are a sample of their union: a first estimate of the similarity.
+    union = F.slice(F.array_sort(F.array_union("least_a", "least_b")), 1, SKETCH)
+    shared = F.size(F.array_intersect(F.array_intersect(union, "least_a"), "least_b"))
+    edges = written(edges.where((apart <= FAR * families) & (shared >= (similarity - SLACK) * F.size(union))).select("a", "b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, have = None, frozenset()
