@@ -34,6 +34,10 @@ _SEED = 42
 FAR = 8
 #: Smallest shingle hashes kept of each text, and how far below the similarity their estimate may lie (four standard errors).
 SKETCH, SLACK = 32, 0.3
+#: Min-hash bands of so many values: a pair at similarity 0.8 has a band in common with probability 0.9992.
+BANDS, ROWS = 10, 3
+#: Values, counted on from the band's first around the signature, by which texts of a dense bucket are told apart, step by step.
+DEPTHS = (ROWS, 4, 5, 6, 8, 10, 13, 16, 20, 25, 30)
 #: So many document numbers are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -134,6 +138,39 @@ def links(nodes: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
+def signature(hashes: set[int]) -> list[int]:
+    """Min-hashes of a set of 31-bit hashes, BANDS * ROWS of them; none of an empty set."""
+    if not hashes:
+        return []
+    h = np.fromiter(hashes, dtype=np.uint64, count=len(hashes))
+    return [int(remixed(h, 100 + k).min() >> np.uint64(33)) for k in range(BANDS * ROWS)]
+
+
+def band_links(texts: DataFrame) -> DataFrame:
+    """Candidate edges (a, b), a > b, between roots whose signatures share a band; texts: (root, sig).
+
+    All of a bucket of at most BUCKET texts are paired.  A larger one links to its smallest root and, as such a link may prove
+    false, its texts are grouped again by longer and longer parts of the signature, with a smallest root of their own in each group.
+    """
+    sig = texts.where(F.size("sig") > 0).select("root", F.concat("sig", "sig").alias("sig"))
+    rows = sig.select("root", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    out = None
+    for depth in DEPTHS:
+        key = F.xxhash64("band", F.slice(F.col("sig"), F.col("band") * ROWS + 1, depth))
+        rows = rows.select("root", "band", key.alias("key"))
+        full = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")).where("n > 1")
+        found = written(rows.join(full, "key"))
+        cold = found.where(F.col("n") <= BUCKET)
+        pairs = cold.select("key", F.col("root").alias("a")).join(cold.select("key", F.col("root").alias("b")), "key").where("a > b").select("a", "b")
+        hot = found.where(F.col("n") > BUCKET)
+        edges = pairs.union(hot.where("root <> least").select(F.col("root").alias("a"), F.col("least").alias("b")))
+        out = edges if out is None else out.union(edges)
+        if hot.isEmpty():
+            break
+        rows = hot.select("root", "band").join(sig, "root")
+    return out.distinct()
+
+
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """One row per input row: (doc_id, fingerprint, component_id).
 
@@ -152,29 +189,30 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  Links whose distances over all families, or whose shingle sketches, are too far apart go; the rest
+    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links.  Links whose distances over all families, or whose shingle sketches, are too far apart go; the rest
     are verified on the shingle sets.  Equal word sequences are one node.
     """
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got, same, least = [], [], []
+            got, same, least, sig = [], [], [], []
             for t in b.column(1).to_pylist():
                 words = words_of(t)
                 hashes = {xxhash.xxh32_intdigest(x) >> 1 for x in shingles(words, verify_words)}
                 least.append(heapq.nsmallest(SKETCH, hashes))
+                sig.append(signature(hashes))
                 got.append(fingerprint(t, 1, families))
                 same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64())), pa.array(same), pa.array(least, pa.list_(pa.int32()))], ["id", "fps", "same", "least"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64())), pa.array(same), pa.array(least, pa.list_(pa.int32())), pa.array(sig, pa.list_(pa.int32()))], ["id", "fps", "same", "least", "sig"])
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    fps = written(rows.mapInArrow(run, "id long, fps array<long>, same string, least array<int>").where("id is not null"))
-    texts = written(fps.groupBy("same").agg(F.min("id").alias("root"), F.first("fps").alias("fps"), F.first("least").alias("least")))
+    fps = written(rows.mapInArrow(run, "id long, fps array<long>, same string, least array<int>, sig array<int>").where("id is not null"))
+    texts = written(fps.groupBy("same").agg(F.min("id").alias("root"), F.first("fps").alias("fps"), F.first("least").alias("least"), F.first("sig").alias("sig")))
     each = texts.select("root", F.posexplode("fps").alias("fam", "fp"))
     nodes = written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
     equal = each.join(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b")), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
-    edges = links(nodes.drop("n")).union(equal).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = links(nodes.drop("n")).union(equal).union(band_links(texts)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     side = lambda x: texts.select(F.col("root").alias(x), F.col("fps").alias(f"fps_{x}"), F.col("least").alias(f"least_{x}"))
     edges = edges.join(side("a"), "a").join(side("b"), "b")
     apart = F.aggregate(F.zip_with("fps_a", "fps_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)

@@ -85,3 +85,30 @@ def test_shingle_words_parameter(docs):
     one = {r.id: r.fps for r in simhash.fingerprints(docs.where("doc_id < 5"), shingle_words=1, families=3).collect()}
     assert all(len(set(v)) == 3 for v in one.values())
     assert simhash.fingerprints(docs.select("doc_id", F.lit(None).cast("string").alias("text"))).select("fps").distinct().collect()[0].fps == [0]
+
+
+def test_texts_of_one_common_word_dont_hide_near_copies(spark):
+    """Over half of the tokens are one word, so all texts have one fingerprint; the smallest id is like none of the pairs."""
+    rng = np.random.default_rng(4)
+    made = []
+    for _ in range(21):
+        text = [w for x in rng.integers(0, 10**6, 60) for w in ("the", f"w{x}", "the")]
+        near = list(text)
+        near[1] = "changed"
+        made += [text, near]
+    rows = [(i, " ".join(t)) for i, t in enumerate(made)]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i // 2 * 2 for i in range(42)}
+
+
+def test_dense_buckets_are_grouped_again(spark):
+    """Texts that share over half of their shingles meet in dense buckets; each near pair among them is a candidate."""
+    rng = np.random.default_rng(5)
+    common = set(rng.integers(0, 2**31, 300).tolist())
+    sets = []
+    for _ in range(150):
+        own = common | set(rng.integers(0, 2**31, 200).tolist())
+        sets += [own, {*sorted(own)[:-10], *rng.integers(0, 2**31, 10).tolist()}]
+    texts = spark.createDataFrame([(i, simhash.signature(x)) for i, x in enumerate(sets)], "root long, sig array<int>")
+    got = {(r.a, r.b) for r in simhash.band_links(texts).collect()}
+    assert sum((2 * i + 1, 2 * i) in got for i in range(150)) >= 149
