@@ -30,8 +30,6 @@ SEGMENTS = 9
 BUCKET = 16
 _EDGE = [i * 64 // SEGMENTS for i in range(SEGMENTS + 1)]
 _SEED = 42
-#: Bits of 64, on average over the families, beyond which near copies' single-word fingerprints aren't apart.
-FAR = 8
 #: Smallest shingle hashes kept of each text, and how far below the similarity their estimate may lie (four standard errors).
 SKETCH, SLACK = 32, 0.3
 #: Min-hash bands of so many values: a pair at similarity 0.8 has a band in common with probability 0.9992.
@@ -189,7 +187,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links.  Links whose distances over all families, or whose shingle sketches, are too far apart go; the rest
+    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links.  Links whose shingle sketches are too far apart go; the rest
     are verified on the shingle sets.  Equal word sequences are one node.
     """
     small_batches(df.sparkSession)
@@ -213,13 +211,12 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     nodes = written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
     equal = each.join(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b")), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
     edges = links(nodes.drop("n")).union(equal).union(band_links(texts)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    side = lambda x: texts.select(F.col("root").alias(x), F.col("fps").alias(f"fps_{x}"), F.col("least").alias(f"least_{x}"))
+    side = lambda x: texts.select(F.col("root").alias(x), F.col("least").alias(f"least_{x}"))
     edges = edges.join(side("a"), "a").join(side("b"), "b")
-    apart = F.aggregate(F.zip_with("fps_a", "fps_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     # The smallest hashes of both shingle sets together are a sample of their union: a first estimate of the similarity.
     union = F.slice(F.array_sort(F.array_union("least_a", "least_b")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect(union, "least_a"), "least_b"))
-    edges = written(edges.where((apart <= FAR * families) & (shared >= (similarity - SLACK) * F.size(union))).select("a", "b"))
+    edges = written(edges.where(shared >= (similarity - SLACK) * F.size(union)).select("a", "b"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, have = None, frozenset()

@@ -112,3 +112,14 @@ def test_dense_buckets_are_grouped_again(spark):
     texts = spark.createDataFrame([(i, simhash.signature(x)) for i, x in enumerate(sets)], "root long, sig array<int>")
     got = {(r.a, r.b) for r in simhash.band_links(texts).collect()}
     assert sum((2 * i + 1, 2 * i) in got for i in range(150)) >= 149
+
+
+def test_copies_with_a_block_added_are_found(spark):
+    """A block at the end leaves 0.82 of the shingles in common, but moves many bits of the single words' fingerprints."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(30):
+        text = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + [f"w{x}" for x in rng.integers(0, 5000, 64)]))]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * k + 1] == 2 * k for k in range(30)) >= 29
