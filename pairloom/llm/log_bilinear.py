@@ -1,22 +1,24 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
-Vocabulary: the end mark, one class for all rarer tokens, and the ``CLASSES - 2`` most frequent tokens.  With vectors R for context words,
-Q for predicted words and C for the context's two positions, the logit of w after (u, v) is b[w] + (C1*R[u] + C2*R[v]) . Q[w].
-
-Training covers every training document: each task passes once over its own rows in numpy and
-the tasks' parameters are averaged by tokens.  The noise distribution and the first biases come from counts over the whole corpus.
-
-The normaliser of every context pair is one matrix product, exp(logits of u) x exp(b + logits of v)', so a token's normalised
-log-probability is three look-ups.  A rarer token's probability is its class's times its smoothed share among rarer tokens.
-
-Counts of at most ``FREQUENT`` most frequent tokens are broadcast; all others are joined.
+Entries of the model: the end mark, up to ``WORDS`` most frequent tokens, and ``BUCKETS`` buckets, each for all rarer tokens with
+the same last bytes.  Entries, frequent first, are cut into classes of about the square root of their number.  With vectors R for context
+entries, Q for predicted entries, K for classes and C for the ``CONTEXT`` places before a token, a context's vector is
+h = sum of C[i] * R[entry i places back]; the probability of an entry is that of its class, a softmax over b[k] + h . K[k], times
+that within the class, a softmax over b[w] + h . Q[w].  Both normalisers are matrix products over a batch of contexts.  A rarer token's probability is its
+bucket's times its smoothed share of the bucket's training tokens, so every token that was counted has a part of its own.
+
+Training covers every training document.  Documents are dealt into logical shards by a hash of id and text; a shard is one pass over its documents in
+the order of the hash, whatever the number of partitions.  Shards start from parameters that a sample of about ``WARM`` tokens gave, and
+their results are averaged by tokens in a tree.  A corpus below ``WARM`` tokens is one shard that is passed over several times.
+
+Counts of about ``FREQUENT`` most frequent tokens are broadcast; all others are joined.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +28,32 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, written
 
-CLASSES = 1024
-DIM = 24
+WORDS = 8192
+BUCKETS = 2048
+#: Last bytes of a rarer token that choose its bucket.
+TAIL = 3
+DIM = 16
+CONTEXT = 4
 FREQUENT = 100_000
-#: Noise words drawn for each batch, contexts in a batch, tokens gathered before their equal contexts are merged.
-NOISE = 48
-BATCH = 8192
-CHUNK = 1_000_000
+#: Noise entries and noise classes drawn for each batch, contexts in a batch.
+NOISE, CLASS_NOISE = 64, 32
+BATCH = 2048
 RATE = 0.15
-END, RARE = 0, 1
+#: Tokens of a shard, shards at most, tokens of the starting sample, tokens gathered before they are learnt from.
+SHARD = 2_000_000
+SHARDS = 4096
+WARM = 1_000_000
+CHUNK = 500_000
+#: Passes over a corpus smaller than WARM bring it to so many tokens, but they are no more than PASSES.
+SMALL, PASSES = 4_000_000, 8
+#: Shards that one task averages; floats in a slice of the parameters.
+FAN = 32
+SLICE = 16_384
 #: The end mark among tokens; no word is empty.
 END_TOKEN = b""
 _FLUSH = 300_000
+_LEVELS = 16
+_CUT = 1 << 20
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -45,30 +61,26 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "replace").lower().split(), END_TOKEN]
 
 
-@dataclass
-class Params:
-    r: np.ndarray
-    q: np.ndarray
-    c: np.ndarray
-    b: np.ndarray
+def bucket_of(token: bytes, buckets: int = BUCKETS) -> int:
+    return zlib.crc32(token[-TAIL:]) % buckets
+
 
-    @staticmethod
-    def first(share: np.ndarray, seed: int = 7) -> Params:
-        rng = np.random.default_rng(seed)
-        k = len(share)
-        return Params(rng.normal(0, 0.1, (k, DIM)).astype("f4"), rng.normal(0, 0.1, (k, DIM)).astype("f4"), np.ones((2, DIM), "f4"), np.log(share).astype("f4"))
+def contexts(w: np.ndarray, end: int) -> np.ndarray:
+    """The CONTEXT entries before each of w, nearest first; end marks before the first."""
+    before = np.concatenate((np.full(CONTEXT, end, dtype=w.dtype), w))
+    return np.stack([before[CONTEXT - 1 - k : len(before) - 1 - k] for k in range(CONTEXT)], axis=1)
 
-    def arrays(self) -> list[np.ndarray]:
-        return [self.r, self.q, self.c, self.b]
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in self.arrays()])
+def class_size(n: int) -> int:
+    return max(int(np.ceil(np.sqrt(n))), 1)
 
-    @staticmethod
-    def unflat(flat: np.ndarray, k: int) -> Params:
-        at = np.cumsum([k * DIM, k * DIM, 2 * DIM])
-        r, q, c, b = np.split(flat.astype("f4"), at)
-        return Params(r.reshape(k, DIM), q.reshape(k, DIM), c.reshape(2, DIM), b)
+
+def first_params(share: np.ndarray, seed: int = 7) -> list[np.ndarray]:
+    """[R, Q, K, C, b of entries, b of classes] before training; share: probabilities of the entries, frequent first."""
+    rng, n = np.random.default_rng(seed), len(share)
+    whole = np.add.reduceat(share, np.arange(0, n, class_size(n)))
+    shapes = [(n, DIM), (n, DIM), (len(whole), DIM)]
+    return [*(rng.normal(0, 0.1, s).astype("f4") for s in shapes), np.ones((CONTEXT, DIM), "f4"), np.log(share).astype("f4"), np.log(whole).astype("f4")]
 
 
 def _spread(index: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
@@ -78,71 +90,70 @@ def _spread(index: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
 
 
 class Trainer:
-    """One pass of noise-contrastive estimation with per-parameter step sizes."""
-
-    def __init__(self, params: Params, share: np.ndarray, seed: int) -> None:
-        self.p = Params(*(x.copy() for x in params.arrays()))
-        self.k, self.share = len(share), share
-        self.log_noise = np.log(NOISE * share).astype("f4")
-        self.sum = [np.full_like(x, 1e-2) for x in self.p.arrays()]
+    """Noise-contrastive estimation of entries and classes with per-parameter step sizes."""
+
+    def __init__(self, params: list[np.ndarray], share: np.ndarray, seed: int) -> None:
+        self.p = [x.copy() for x in params]
+        self.sums = [np.full_like(x, 1e-2) for x in params]
+        self.size = class_size(len(share))
+        self.noise = [share, np.add.reduceat(share, np.arange(0, len(share), self.size))]
+        self.logs = [np.log(k * x).astype("f4") for k, x in zip((NOISE, CLASS_NOISE), self.noise, strict=True)]
         self.rng = np.random.default_rng(seed)
 
-    def learn(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> None:
-        code, weight = np.unique((u.astype(np.int64) * self.k + v) * self.k + w, return_counts=True)
-        order = self.rng.permutation(len(code))
-        code, weight = code[order], weight[order].astype("f4")
-        noise = self.rng.choice(self.k, size=(-(-len(code) // BATCH), NOISE), p=self.share)
-        for n, at in enumerate(range(0, len(code), BATCH)):
-            uv, w_ = np.divmod(code[at : at + BATCH], self.k)
-            self.step(*np.divmod(uv, self.k), w_, weight[at : at + BATCH], noise[n])
-
-    def step(self, u: np.ndarray, v: np.ndarray, w: np.ndarray, weight: np.ndarray, noise: np.ndarray) -> None:
-        p = self.p
-        weight = weight / weight.sum() * min(len(weight), BATCH)
-        ru, rv, qw, qn = p.r[u], p.r[v], p.q[w], p.q[noise]
-        hidden = ru * p.c[0] + rv * p.c[1]
-        pos = np.einsum("ij,ij->i", hidden, qw) + p.b[w] - self.log_noise[w]
-        neg = hidden @ qn.T + (p.b[noise] - self.log_noise[noise])
-        gp = (-1 / (1 + np.exp(np.minimum(pos, 30)))) * weight
-        gn = (1 / (1 + np.exp(-np.maximum(neg, -30)))) * weight[:, None]
-        gh = gp[:, None] * qw + gn @ qn
-        gq = _spread(w, gp[:, None] * hidden, self.k)
-        np.add.at(gq, noise, gn.T @ hidden)
-        gb = np.bincount(w, weights=gp, minlength=self.k)
-        np.add.at(gb, noise, gn.sum(axis=0))
-        gr = _spread(u, gh * p.c[0], self.k) + _spread(v, gh * p.c[1], self.k)
-        gc = np.stack([(gh * ru).sum(axis=0), (gh * rv).sum(axis=0)])
-        for x, g, s in zip(p.arrays(), (gr, gq, gc, gb.astype("f4")), self.sum, strict=True):
-            g = g / len(weight)
+    def learn(self, before: np.ndarray, w: np.ndarray) -> None:
+        order = self.rng.permutation(len(w))
+        steps = -(-len(w) // BATCH)
+        drawn = [self.rng.choice(len(x), size=(steps, k), p=x) for k, x in zip((NOISE, CLASS_NOISE), self.noise, strict=True)]
+        for n in range(steps):
+            at = order[n * BATCH : (n + 1) * BATCH]
+            self.step(before[at], w[at], [d[n] for d in drawn])
+
+    def step(self, before: np.ndarray, w: np.ndarray, noise: list[np.ndarray]) -> None:
+        r, q, k, c, b, bk = self.p
+        rows = r[before]
+        h = (rows * c).sum(axis=1)
+        gh, grads = 0.0, []
+        for vec, bias, pos, neg, logs in ((q, b, w, noise[0], self.logs[0]), (k, bk, w // self.size, noise[1], self.logs[1])):
+            vp, vn = vec[pos], vec[neg]
+            zp = np.einsum("ij,ij->i", h, vp) + bias[pos] - logs[pos]
+            zn = h @ vn.T + (bias[neg] - logs[neg])
+            gp = -1 / (1 + np.exp(np.clip(zp, -30, 30)))
+            gn = 1 / (1 + np.exp(-np.clip(zn, -30, 30)))
+            gh = gh + gp[:, None] * vp + gn @ vn
+            gv = _spread(pos, gp[:, None] * h, len(vec))
+            np.add.at(gv, neg, gn.T @ h)
+            gb = np.bincount(pos, weights=gp, minlength=len(vec)).astype("f4")
+            np.add.at(gb, neg, gn.sum(axis=0))
+            grads.append((gv, gb))
+        gr = sum(_spread(before[:, i], gh * c[i], len(r)) for i in range(CONTEXT))
+        gc = np.stack([(gh * rows[:, i]).sum(axis=0) for i in range(CONTEXT)])
+        (gq, gb), (gk, gbk) = grads
+        scale = np.float32(len(w) ** -0.5)
+        for x, g, s in zip(self.p, (gr, gq, gk, gc, gb, gbk), self.sums, strict=True):
+            g = g * scale
             s += g * g
             x -= RATE * g / np.sqrt(s)
 
 
-@dataclass
-class Model:
-    """Look-up tables of a trained model and the corpus figures."""
-
-    first: np.ndarray
-    second: np.ndarray
-    norm: np.ndarray
-    total: int
-    distinct: int
-    rare_total: int
-    rare_distinct: int
+def log_probs(params: list[np.ndarray], before: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the normalised probabilities of entries w after the entries before."""
+    r, q, k, c, b, bk = params
+    size = class_size(len(r))
+    h = (r[before] * c).sum(axis=1)
 
-    @staticmethod
-    def of(p: Params, total: int, distinct: int, rare_total: int, rare_distinct: int) -> Model:
-        first = (p.r * p.c[0]) @ p.q.T + p.b
-        second = (p.r * p.c[1]) @ p.q.T
-        top1, top2 = first.max(axis=1, keepdims=True), second.max(axis=1, keepdims=True)
-        norm = np.log(np.exp(first - top1) @ np.exp(second - top2).T) + top1 + top2.T
-        return Model(first, second, norm, total, distinct, rare_total, rare_distinct)
+    def normalised(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        z -= z.max(axis=1, keepdims=True)
+        return z[np.arange(len(at)), at] - np.log(np.exp(z).sum(axis=1))
 
-    def log10(self, w: np.ndarray) -> float:
-        """Sum of log10 P(class | two classes before) over a text's classes; the text starts after end marks."""
-        before = np.concatenate(([END, END], w))
-        u, v = before[:-2], before[1:-1]
-        return float((self.first[u, w] + self.second[v, w] - self.norm[u, v]).sum(dtype=np.float64) / np.log(10))
+    of = w // size
+    out = normalised(h @ k.T + bk, of).astype("f8")
+    order = np.argsort(of, kind="stable")
+    cuts = np.flatnonzero(np.diff(of[order])) + 1
+    for at in np.split(order, cuts):
+        if len(at):
+            low = int(of[at[0]]) * size
+            out[at] += normalised(h[at] @ q[low : low + size].T + b[low : low + size], w[at] - low)
+    return out
 
 
 def token_counts(df: DataFrame, text_col: str) -> DataFrame:
@@ -167,125 +178,230 @@ def token_counts(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def frequent_tokens(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
-    """The most frequent tokens with their counts, frequent first: as many whole sixteenths of powers of two of counts as give at most so many.
+    """About ``most`` most frequent tokens with their counts, frequent first, ties by token.
 
-    Only the sizes of these classes and the tokens wanted reach the driver, whatever the number of partitions.
+    Levels are sixteenths of powers of two of the count.  Whole levels are taken while they fit; of the next one the tokens with the smallest hashes, as
+    many as have room on average.  Only the levels' sizes and the tokens wanted reach the driver, whatever the number of partitions.
     """
-    level = F.floor(F.log2("c") * 16)
-    sizes = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)
-    least, n = None, 0
+    level = F.floor(F.log2("c") * _LEVELS)
+    sizes = sorted(((r["level"], r["n"]) for r in counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    room, wanted = most, F.lit(False)
     for at, size in sizes:
-        n += size
-        if n > most:
+        if size > room:
+            wanted = wanted | ((level == at) & (F.pmod(F.xxhash64("token"), F.lit(_CUT)) < room * _CUT // size))
             break
-        least = at
-    if least is None:
-        return []
-    got = counts.where(level >= least).toArrow()
+        room, wanted = room - size, level >= at
+    got = counts.where(wanted).toArrow()
     return sorted(zip(got["token"].to_pylist(), got["c"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
 
 
-def train(df: DataFrame, text_col: str, classes: dict[bytes, int], share: np.ndarray) -> Params:
-    """Averaged parameters after one pass of every task over its rows."""
-    start = Params.first(share)
-    sent = df.sparkSession.sparkContext.broadcast((classes, share, start))
+def _coded(text: str | None, table: dict[bytes, int], buckets: list[int]) -> np.ndarray:
+    """The text's entries."""
+    get = table.get
+    return np.array([buckets[bucket_of(t, len(buckets))] if (i := get(t)) is None else i for t in tokens_of(text)], dtype=np.int32)
+
+
+def _trained(rows: DataFrame, sent, shards: int, passes: int, most: int | None = None) -> DataFrame:
+    """(shard, weight, slice, part): the parameters each shard ends with, in slices; rows: (h, text)."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, buckets = sent.value[:2]
+        for b in batches:
+            coded = [_coded(t, table, buckets).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(coded, pa.binary())], ["h", "w"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, share, start = sent.value
-        get = classes.get
-        trainer, held, size, total = Trainer(start, share, 11), [], 0, 0
+        _, _, share, start, end = sent.value
+        shard, trainer, total, size, held = None, None, 0, 0, []
 
         def learn() -> None:
-            w = np.concatenate([x[2:] for x in held])
-            trainer.learn(np.concatenate([x[:-2] for x in held]), np.concatenate([x[1:-1] for x in held]), w)
+            nonlocal size
+            before, w = np.concatenate([contexts(x, end) for x in held]), np.concatenate(held)
+            for _ in range(passes):
+                trainer.learn(before, w)
             held.clear()
+            size = 0
+
+        def out() -> pa.RecordBatch:
+            if held:
+                learn()
+            flat = np.concatenate([x.ravel() for x in trainer.p]).astype("<f4")
+            parts = [flat[i : i + SLICE].tobytes() for i in range(0, len(flat), SLICE)]
+            n = len(parts)
+            return pa.RecordBatch.from_arrays([pa.array([shard] * n, pa.int64()), pa.array([float(total)] * n), pa.array(range(n), pa.int32()), pa.array(parts, pa.binary())], ["shard", "weight", "slice", "part"])
 
         for b in batches:
-            for text in b.column(0).to_pylist():
-                held.append(np.array([END, END, *[get(t, RARE) for t in tokens_of(text)]], dtype=np.int32))
-                size += len(held[-1])
-                if size >= CHUNK:
-                    total, size = total + size, 0
+            for s, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if s != shard:
+                    if trainer is not None:
+                        yield out()
+                    shard, trainer, total = s, Trainer(start, share, 11), 0
+                if most is not None and total >= most:
+                    continue
+                held.append(np.frombuffer(blob, dtype=np.int32))
+                total, size = total + len(held[-1]), size + len(held[-1])
+                if size >= CHUNK and passes == 1:
                     learn()
-        if held:
-            total += size
-            learn()
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array([trainer.p.flat().astype("<f4").tobytes()], pa.binary()), pa.array([float(total)])], ["params", "weight"])
+        if trainer is not None:
+            yield out()
 
-    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc, weight = 0.0, 0.0
-        for b in batches:
-            for flat, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                acc, weight = acc + np.frombuffer(flat, "<f4").astype("f8") * w, weight + w
-        if weight:
-            yield pa.RecordBatch.from_arrays([pa.array([(acc / weight).astype("<f4").tobytes()], pa.binary()), pa.array([weight])], ["params", "weight"])
+    coded = rows.mapInArrow(code, "h long, w binary").withColumn("shard", F.pmod("h", F.lit(shards)))
+    dealt = coded.repartition(min(shards, SHARDS), "shard").sortWithinPartitions("shard", "h").select("shard", "w")
+    return dealt.mapInArrow(run, "shard long, weight double, slice int, part binary")
 
-    kind = "params binary, weight double"
-    got = df.select(F.col(text_col).alias("text")).mapInArrow(run, kind).repartition(8).mapInArrow(mean, kind).collect()
-    if not got:
-        return start
-    weight = sum(r["weight"] for r in got)
-    return Params.unflat(sum(np.frombuffer(r["params"], "<f4") * (r["weight"] / weight) for r in got), len(share))
 
+def _averaged(parts: DataFrame, shards: int, shapes: list[tuple[int, ...]]) -> list[np.ndarray] | None:
+    """The mean of the shards' parameters by weight: FAN shards at a time, in their order, until one is left."""
 
-def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, frequent: int = FREQUENT) -> DataFrame:
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, acc, weight = None, 0.0, 0.0
+
+        def out() -> pa.RecordBatch:
+            part = (acc / max(weight, 1.0)).astype("<f4").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int64()), pa.array([weight]), pa.array([key[1]], pa.int32()), pa.array([part], pa.binary())], ["shard", "weight", "slice", "part"])
+
+        for b in batches:
+            for s, w, n, part in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (s // FAN, n) != key:
+                    if key is not None:
+                        yield out()
+                    key, acc, weight = (s // FAN, n), 0.0, 0.0
+                acc, weight = acc + np.frombuffer(part, "<f4").astype("f8") * w, weight + w
+        if key is not None:
+            yield out()
+
+    while True:
+        group = F.floor(F.col("shard") / FAN)
+        parts = parts.repartition(group, "slice").sortWithinPartitions("slice", "shard").mapInArrow(mean, "shard long, weight double, slice int, part binary")
+        shards = -(-shards // FAN)
+        if shards <= 1:
+            break
+        parts = written(parts)
+    got = sorted(parts.collect(), key=lambda r: r["slice"])
+    if not got:
+        return None
+    flat = np.concatenate([np.frombuffer(r["part"], "<f4") for r in got])
+    cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
+    return [x.reshape(s).copy() for x, s in zip(np.split(flat, cuts), shapes, strict=True)]
+
+
+def train(rows: DataFrame, tokens: int, table: dict[bytes, int], buckets: list[int], share: np.ndarray, end: int) -> list[np.ndarray]:
+    """Parameters after training on all of rows (h, text), which hold so many tokens."""
+    context = rows.sparkSession.sparkContext
+    start = first_params(share)
+    shapes = [x.shape for x in start]
+    if tokens <= WARM:
+        sent = context.broadcast((table, buckets, share, start, end))
+        return _averaged(_trained(rows, sent, 1, min(PASSES, max(1, SMALL // max(tokens, 1)))), 1, shapes) or start
+    every = -(-tokens // WARM)
+    sample = rows.where(F.pmod(F.xxhash64("h"), F.lit(every)) == 0)
+    sent = context.broadcast((table, buckets, share, start, end))
+    start = _averaged(_trained(sample, sent, 1, SMALL // WARM, 2 * WARM), 1, shapes) or start
+    shards = min(-(-tokens // SHARD), SHARDS)
+    sent = context.broadcast((table, buckets, share, start, end))
+    return _averaged(written(_trained(rows, sent, shards, 1)), shards, shapes) or start
+
+
+def fit(rows: DataFrame, counts: DataFrame, total: int, distinct: int, words: int, buckets: int, frequent: int) -> dict:
+    """What scoring needs, as plain arrays and dicts; rows: training rows (h, text), counts: their tokens."""
+    top = frequent_tokens(counts, frequent)
+    chosen = [(t, c) for t, c in top if t != END_TOKEN][:words]
+    ends = counts.where(F.col("token") == F.lit(END_TOKEN)).agg(F.sum("c")).first()[0] or 0
+    in_bucket = F.crc32(F.substring("token", -TAIL, TAIL)) % buckets
+    sums, kinds = np.zeros(buckets, dtype=np.int64), np.zeros(buckets, dtype=np.int64)
+    for r in counts.where(F.length("token") > 0).groupBy(in_bucket.alias("bucket")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
+        sums[r["bucket"]], kinds[r["bucket"]] = r["c"], r["n"]
+    for t, c in chosen:
+        sums[bucket_of(t, buckets)] -= c
+        kinds[bucket_of(t, buckets)] -= 1
+    known = np.concatenate(([ends], sums, [c for _, c in chosen])).astype("f8")
+    order = np.argsort(-known, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    share = (known[order] + 0.5) / (known + 0.5).sum()
+    table = {END_TOKEN: int(place[0])} | {t: int(place[1 + buckets + i]) for i, (t, _) in enumerate(chosen)}
+    at = place[1 : 1 + buckets].tolist()
+    params = train(rows, total, table, at, share, int(place[0]))
+    return {
+        "params": params, "end": int(place[0]), "table": table, "buckets": at, "counts": dict(top) | {END_TOKEN: int(ends)},
+        "rest": np.log10(sums + kinds + 1.0), "total": int(total), "distinct": int(distinct),
+    }
+
+
+def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of df: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
-    train_when: which rows teach.  Null texts are empty: they hold only the end mark.  Null ids and repeated rows stay.  With nothing
-    to learn from, N and V are 0 and the model is uniform over its classes.
+    train_when: which rows teach.  Null texts are empty: they hold only the end mark.  Null ids and repeated rows stay, other columns
+    take no part.  With nothing to learn from, N and V are 0 and the model is nearly uniform over its entries.  Results don't depend on the
+    number of partitions, but for the last digits of sums.
     """
     small_batches(df.sparkSession)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), train_when.alias("teaches"))
     counts = written(token_counts(rows.where("teaches"), "text"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = frequent_tokens(counts, frequent)
-    words = [t for t in top if t[0] != END_TOKEN][: classes - 2]
-    number = {t: i + 2 for i, (t, _) in enumerate(words)} | {END_TOKEN: END}
-    ends = sum(c for t, c in top if t == END_TOKEN) or (counts.where(F.col("token") == F.lit(END_TOKEN)).agg(F.sum("c")).first()[0] or 0)
-    known = np.array([ends, 0, *(c for _, c in words)], dtype=np.float64)
-    rare_total = int(total - known.sum())
-    rare_distinct = int(distinct - len(words) - (ends > 0))
-    known[RARE] = rare_total
-    share = (known + 1) / (known + 1).sum()
-    params = train(rows.where("teaches"), "text", number, share)
-    model = Model.of(params, int(total), int(distinct), rare_total, rare_distinct)
-    table = {t: (number.get(t, RARE), c) for t, c in top}
-    table.setdefault(END_TOKEN, (END, ends))
-    sent = df.sparkSession.sparkContext.broadcast((table, model))
+    model = fit(rows.where("teaches").select(F.xxhash64("id", "text").alias("h"), "text"), counts, total, distinct, words, buckets, frequent)
+    sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, model = sent.value
-        get, none = table.get, (RARE, -1)
+        m = sent.value
+        table, count, buckets, end, params, rest = m["table"], m["counts"], m["buckets"], m["end"], m["params"], m["rest"]
         part, n = TaskContext.get().partitionId() << 36, 0
+        names = ("row", "n_tokens", "n_known", "logs", "rare_logs", "lm", "rare")
+        kinds = {"row": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "rare": pa.list_(pa.binary())}
         for b in batches:
-            got: dict[str, list] = {k: [] for k in ("row", "n_tokens", "n_known", "logs", "n_rare", "rare_logs", "lm", "rare")}
+            got: dict[str, list] = {k: [] for k in names}
+            held: list[np.ndarray] = []
+
+            def model_scores(held=held, got=got) -> None:
+                """Scores of the texts gathered, a bounded number of tokens at a time."""
+                if not held:
+                    return
+                w = np.concatenate(held)
+                before = np.concatenate([contexts(x, end) for x in held])
+                logs = np.concatenate([log_probs(params, before[i : i + 8192], w[i : i + 8192]) for i in range(0, len(w), 8192)])
+                first = np.cumsum([0, *(len(x) for x in held[:-1])])
+                got["lm"] += (np.add.reduceat(logs, first) / np.log(10)).tolist()
+                held.clear()
+
+            size = 0
             for text in b.column(1).to_pylist():
                 tokens = tokens_of(text)
-                pairs = np.array([get(t, none) for t in tokens], dtype=np.int64)
-                w, c = pairs[:, 0], pairs[:, 1]
-                found = c >= 0
-                logs = np.log10(np.where(found, c, 0) + 1.0)
+                w, c, gone, spare = [], [], [], 0.0
+                for t in tokens:
+                    k, i = count.get(t, -1), table.get(t)
+                    if i is None:
+                        at = bucket_of(t, len(buckets))
+                        i = buckets[at]
+                        spare -= rest[at]
+                        if k < 0:
+                            gone.append(t)
+                        else:
+                            spare += np.log10(k + 1.0)
+                    w.append(i)
+                    c.append(k)
+                c_ = np.array(c, dtype=np.int64)
+                held.append(np.array(w, dtype=np.int32))
                 got["row"].append(part + n)
                 n += 1
                 got["n_tokens"].append(len(tokens))
-                got["n_known"].append(int((c > 0).sum()))
-                got["logs"].append(float(logs.sum()))
-                got["n_rare"].append(int((w == RARE).sum()))
-                got["rare_logs"].append(float(logs[w == RARE].sum()))
-                got["lm"].append(model.log10(w))
-                got["rare"].append([tokens[i] for i in np.flatnonzero(~found).tolist()])
-            kinds = {"row": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "n_rare": pa.int64(), "rare": pa.list_(pa.binary())}
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(v, kinds.get(k, pa.float64())) for k, v in got.items())], ["id", *got])
+                got["n_known"].append(int((c_ > 0).sum()))
+                got["logs"].append(float(np.log10(np.maximum(c_, 0) + 1.0).sum()))
+                got["rare_logs"].append(float(spare))
+                got["rare"].append(gone)
+                size += len(w)
+                if size >= 65_536:
+                    model_scores()
+                    size = 0
+            model_scores()
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(got[k], kinds.get(k, pa.float64())) for k in names)], ["id", *names])
 
     kind = df.schema[id_col].dataType.simpleString()
-    scored = written(rows.select("id", "text").mapInArrow(run, f"id {kind}, row long, n_tokens long, n_known long, logs double, n_rare long, rare_logs double, lm double, rare array<binary>"))
-    rest = scored.select("row", F.explode("rare").alias("token")).join(counts, "token").groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"))
-    out = scored.drop("rare").join(rest, "row", "left").fillna({"more_known": 0, "more_logs": 0.0})
+    scored = written(rows.select("id", "text").mapInArrow(run, f"id {kind}, row long, n_tokens long, n_known long, logs double, rare_logs double, lm double, rare array<binary>"))
+    late = scored.select("row", F.explode("rare").alias("token")).join(counts, "token").groupBy("row").agg(F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"))
+    out = scored.drop("rare").join(late, "row", "left").fillna({"more_known": 0, "more_logs": 0.0})
     base = float(np.log10(total + distinct + 1))
-    rare = float(np.log10(rare_total + rare_distinct + 1))
     return out.select(
         F.col("id").alias("doc_id"), "n_tokens", (F.col("n_known") + F.col("more_known")).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("logs") + F.col("more_logs") - F.col("n_tokens") * F.lit(base)).alias("base_score"),
-        (F.col("lm") + F.col("rare_logs") + F.col("more_logs") - F.col("n_rare") * F.lit(rare)).alias("score"),
+        (F.col("lm") + F.col("rare_logs") + F.col("more_logs")).alias("score"),
     )

@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.llm import log_bilinear as B
+from pairloom.llm.common import crc_mod
 
 
 @pytest.mark.parametrize("frequent", [200_000, 30])
 def test_base_score_equals_brute_force(docs, rows, frequent):
     teaches = F.coalesce(F.col("doc_id") % 3 != 2, F.lit(False))
-    got = B.score_texts(docs, teaches, classes=16, frequent=frequent).collect()
+    got = B.score_texts(docs, teaches, words=16, buckets=8, frequent=frequent).collect()
     assert len(got) == len(rows)
     count = Counter(t for r in rows if r[0] is not None and r[0] % 3 != 2 for t in B.tokens_of(r[1]))
     total, distinct = sum(count.values()), len(count)
@@ -23,11 +24,44 @@ def test_base_score_equals_brute_force(docs, rows, frequent):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
+def test_score_equals_brute_force(spark):
+    texts = ["ab cd ef ab", "ab cd", None, "ef xyz ab cd cd", "gh xyz gh"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = B.token_counts(rows, "text")
+    total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
+    model = B.fit(rows.select(F.xxhash64("doc_id", "text").alias("h"), "text"), counts, total, distinct, 3, 4, 100)
+    r, q, k, c, b, bk = (x.astype("f8") for x in model["params"])
+    size, n, count = B.class_size(len(r)), len(r), Counter(t for x in texts for t in B.tokens_of(x))
+    assert len(model["table"]) == 4 and n == 1 + 4 + 3
+    rest = [t for t in count if t not in model["table"]]
+
+    def entry(t):
+        return model["table"].get(t, model["buckets"][B.bucket_of(t, 4)])
+
+    def prob(w, before):
+        h = sum(c[i] * r[e] for i, e in enumerate(before))
+        classes = np.exp(bk + k @ h)
+        inside = np.exp(b + q @ h)
+        low = w // size * size
+        return classes[w // size] / classes.sum() * inside[w] / inside[low : low + size].sum()
+
+    got = {x.doc_id: x.score for x in B.score_texts(rows, F.lit(True), words=3, buckets=4, frequent=100).collect()}
+    few = {x.doc_id: x.score for x in B.score_texts(rows.repartition(3), F.lit(True), words=3, buckets=4, frequent=4).collect()}
+    for d, text in enumerate(texts):
+        before, score = [model["end"]] * B.CONTEXT, 0.0
+        for t in B.tokens_of(text):
+            score += math.log10(prob(entry(t), before))
+            if t not in model["table"]:
+                same = [x for x in rest if B.bucket_of(x, 4) == B.bucket_of(t, 4)]
+                score += math.log10((count[t] + 1) / (sum(count[x] for x in same) + len(same) + 1))
+            before = [entry(t), *before[:-1]]
+        assert got[d] == pytest.approx(score, abs=1e-3) and few[d] == pytest.approx(score, abs=1e-3)
+
+
 def test_probabilities_sum_to_one():
-    share = np.random.default_rng(0).dirichlet(np.ones(20))
-    model = B.Model.of(B.Params.first(share), 1, 1, 1, 1)
-    p = np.exp(model.first[:, None, :] + model.second[None] - model.norm[:, :, None]).sum(axis=2)
-    assert np.allclose(p, 1, atol=1e-4)
+    params = B.first_params(-np.sort(-np.random.default_rng(0).dirichlet(np.ones(23))))
+    before = np.tile(np.array([[3, 1, 20, 7]]), (23, 1))
+    assert np.exp(B.log_probs(params, before, np.arange(23))).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_training_learns_structure():
@@ -38,13 +72,42 @@ def test_training_learns_structure():
         seq.append((seq[-1] * 5 + 1) % k if rng.random() < 0.8 else int(rng.integers(k)))
     seq = np.array(seq)
     share = (np.bincount(seq, minlength=k) + 1.0) / (len(seq) + k)
-    trainer = B.Trainer(B.Params.first(share), share, 3)
-    for at in range(0, 40_000, 4000):
-        s = seq[at : at + 4000]
-        for _ in range(30):
-            trainer.learn(s[:-2], s[1:-1], s[2:])
-    before = B.Model.of(B.Params.first(share), 1, 1, 1, 1).log10(seq[:3000])
-    assert B.Model.of(trainer.p, 1, 1, 1, 1).log10(seq[:3000]) > 0.8 * before
+    trainer = B.Trainer(B.first_params(share), share, 3)
+    for _ in range(6):
+        trainer.learn(B.contexts(seq, 0), seq)
+    before = B.log_probs(B.first_params(share), B.contexts(seq[:3000], 0), seq[:3000]).sum()
+    assert B.log_probs(trainer.p, B.contexts(seq[:3000], 0), seq[:3000]).sum() > 0.7 * before
+
+
+def test_held_out_gain(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = B.score_texts(docs, crc_mod("doc_id", 7) != 2).where(crc_mod("doc_id", 7) == 2).agg(F.sum("n_tokens"), F.sum("score") - F.sum("base_score")).first()
+    assert got[1] / got[0] > 0.3, got
+
+
+@pytest.mark.parametrize("shard", [B.WARM, 20_000])
+def test_partitions_do_not_matter(spark, monkeypatch, shard):
+    monkeypatch.setattr(B, "SHARD", shard)
+    monkeypatch.setattr(B, "WARM", shard)
+    monkeypatch.setattr(B, "FAN", 2)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one, many = ({r.doc_id: r for r in B.score_texts(docs.repartition(n), crc_mod("doc_id", 7) != 2).collect()} for n in (1, 16))
+    assert all(many[d].score == pytest.approx(r.score, abs=1e-3 + 1e-6 * r.n_tokens) for d, r in one.items())
+    assert sum(r.score - r.base_score for r in one.values()) > 0
+
+
+def test_frequent_tokens_of_one_level(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 5) for i in range(2000)] + [(b"top", 9)], "token binary, c long")
+    got = B.frequent_tokens(counts, 1000)
+    assert got[0] == (b"top", 9) and 900 < len(got) < 1100
+    assert got == B.frequent_tokens(counts.repartition(7), 1000)
+    assert B.frequent_tokens(counts.where("c > 9"), 1000) == []
+
+
+def test_bucket_in_sql_is_the_same(spark):
+    tokens = [b"a", b"ab", b"abc", b"abcdef", "né".encode(), b"\xff\xfe"]
+    rows = spark.createDataFrame([(t,) for t in tokens], "token binary").select("token", (F.crc32(F.substring("token", -B.TAIL, B.TAIL)) % 64).alias("k")).collect()
+    assert all(r.k == B.bucket_of(bytes(r.token), 64) for r in rows)
 
 
 def test_nothing_to_learn_from_and_empty(docs, rows, no_docs):
