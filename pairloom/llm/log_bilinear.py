@@ -8,7 +8,7 @@ that within the class, a softmax over b[w] + h . Q[w].  Both normalisers are mat
 bucket's times its smoothed share of the bucket's training tokens, so every token that was counted has a part of its own.
 
 Training covers every training document.  Documents are dealt into logical shards by a hash of id and text; a shard is one pass over its documents in
-the order of the hash, whatever the number of partitions.  Shards start from parameters that a sample of about ``WARM`` tokens gave, and
+the order of the hash, whatever the number of partitions.  Shards start from the parameters and step sizes that a sample of about ``WARM`` tokens gave, and
 their results are averaged by tokens in a tree.  A corpus below ``WARM`` tokens is one shard that is passed over several times.
 
 Counts of about ``FREQUENT`` most frequent tokens are broadcast; all others are joined.
@@ -35,15 +35,19 @@ TAIL = 3
 DIM = 16
 CONTEXT = 4
 FREQUENT = 100_000
-#: Noise entries and noise classes drawn for each batch, contexts in a batch.
-NOISE, CLASS_NOISE = 64, 32
-BATCH = 2048
-RATE = 0.15
+#: Noise entries and noise classes drawn for each batch; places in a batch, and where the passes are several.
+NOISE, CLASS_NOISE = 32, 16
+BATCH, SMALL_BATCH = 2048, 512
+#: Places of a segment of a text, the unit that is dealt into batches.
+SEGMENT = 16
+RATE = 0.1
 #: Tokens of a shard, shards at most, tokens of the starting sample, tokens gathered before they are learnt from.
 SHARD = 2_000_000
 SHARDS = 4096
 WARM = 1_000_000
 CHUNK = 500_000
+#: Places scored at once.
+PLACES = 32_768
 #: Passes over a corpus smaller than WARM bring it to so many tokens, but they are no more than PASSES.
 SMALL, PASSES = 4_000_000, 8
 #: Shards that one task averages; floats in a slice of the parameters.
@@ -65,10 +69,23 @@ def bucket_of(token: bytes, buckets: int = BUCKETS) -> int:
     return zlib.crc32(token[-TAIL:]) % buckets
 
 
-def contexts(w: np.ndarray, end: int) -> np.ndarray:
-    """The CONTEXT entries before each of w, nearest first; end marks before the first."""
-    before = np.concatenate((np.full(CONTEXT, end, dtype=w.dtype), w))
-    return np.stack([before[CONTEXT - 1 - k : len(before) - 1 - k] for k in range(CONTEXT)], axis=1)
+def sequence(texts: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of several texts, each after CONTEXT end marks, and the places that hold the texts' own entries."""
+    pad = np.full(CONTEXT, end, dtype=np.int32)
+    seq = np.concatenate([x for w in texts for x in (pad, w)])
+    own = np.ones(len(seq), dtype=bool)
+    first = np.cumsum([0, *(len(w) + CONTEXT for w in texts[:-1])])
+    own[(first[:, None] + np.arange(CONTEXT)).ravel()] = False
+    return seq, np.flatnonzero(own)
+
+
+def hidden(rows: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Context vectors of all places of a row but the first CONTEXT; rows: the places' vectors."""
+    n = rows.shape[-2]
+    h = rows[..., CONTEXT - 1 : n - 1, :] * c[0]
+    for i in range(1, CONTEXT):
+        h += rows[..., CONTEXT - 1 - i : n - 1 - i, :] * c[i]
+    return h
 
 
 def class_size(n: int) -> int:
@@ -92,67 +109,101 @@ def _spread(index: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
 class Trainer:
     """Noise-contrastive estimation of entries and classes with per-parameter step sizes."""
 
-    def __init__(self, params: list[np.ndarray], share: np.ndarray, seed: int) -> None:
-        self.p = [x.copy() for x in params]
-        self.sums = [np.full_like(x, 1e-2) for x in params]
+    def __init__(self, state: list[np.ndarray], share: np.ndarray, seed: int) -> None:
+        """state: parameters and, if training goes on from a sample, what the squares of their gradients summed up to there."""
+        self.p = [x.copy() for x in state[:6]]
+        self.sums = [x.copy() for x in state[6:]] or [np.full_like(x, 1e-2) for x in self.p]
         self.size = class_size(len(share))
         self.noise = [share, np.add.reduceat(share, np.arange(0, len(share), self.size))]
         self.logs = [np.log(k * x).astype("f4") for k, x in zip((NOISE, CLASS_NOISE), self.noise, strict=True)]
         self.rng = np.random.default_rng(seed)
 
-    def learn(self, before: np.ndarray, w: np.ndarray) -> None:
-        order = self.rng.permutation(len(w))
-        steps = -(-len(w) // BATCH)
-        drawn = [self.rng.choice(len(x), size=(steps, k), p=x) for k, x in zip((NOISE, CLASS_NOISE), self.noise, strict=True)]
-        for n in range(steps):
-            at = order[n * BATCH : (n + 1) * BATCH]
-            self.step(before[at], w[at], [d[n] for d in drawn])
-
-    def step(self, before: np.ndarray, w: np.ndarray, noise: list[np.ndarray]) -> None:
+    def learn(self, texts: list[np.ndarray], end: int, passes: int = 1) -> None:
+        """Passes over the texts, cut into segments that are dealt into batches at random."""
+        seq, at = sequence(texts, end)
+        n = -(-(len(seq) - CONTEXT) // SEGMENT)
+        own = np.zeros(CONTEXT + n * SEGMENT, dtype=bool)
+        own[at] = True
+        seq = np.concatenate((seq, np.zeros(len(own) - len(seq), dtype=seq.dtype)))
+        own = own[CONTEXT:].reshape(n, SEGMENT)
+        place = np.arange(n)[:, None] * SEGMENT
+        some = max((BATCH if passes == 1 else SMALL_BATCH) // SEGMENT, 1)
+        for _ in range(passes):
+            order = self.rng.permutation(n)
+            drawn = [self.rng.choice(len(x), size=(-(-n // some), k), p=x) for k, x in zip((NOISE, CLASS_NOISE), self.noise, strict=True)]
+            for i in range(0, n, some):
+                held = order[i : i + some]
+                if own[held].any():
+                    self.step(seq[place[held] + np.arange(CONTEXT + SEGMENT)], own[held], [d[i // some] for d in drawn])
+
+    def step(self, seq: np.ndarray, own: np.ndarray, noise: list[np.ndarray]) -> None:
+        """One batch of segments, rows of entries that start with their context; own: the places to predict."""
         r, q, k, c, b, bk = self.p
-        rows = r[before]
-        h = (rows * c).sum(axis=1)
+        rows = r[seq]
+        w = seq[:, CONTEXT:][own]
+        h = hidden(rows, c)[own]
         gh, grads = 0.0, []
         for vec, bias, pos, neg, logs in ((q, b, w, noise[0], self.logs[0]), (k, bk, w // self.size, noise[1], self.logs[1])):
             vp, vn = vec[pos], vec[neg]
-            zp = np.einsum("ij,ij->i", h, vp) + bias[pos] - logs[pos]
-            zn = h @ vn.T + (bias[neg] - logs[neg])
+            zp = np.einsum("ij,ij->i", h, vp) + (bias - logs)[pos]
             gp = -1 / (1 + np.exp(np.clip(zp, -30, 30)))
-            gn = 1 / (1 + np.exp(-np.clip(zn, -30, 30)))
-            gh = gh + gp[:, None] * vp + gn @ vn
+            gn = h @ vn.T
+            gn += (bias - logs)[neg]
+            np.clip(gn, -30, 30, out=gn)
+            np.negative(gn, out=gn)
+            np.exp(gn, out=gn)
+            gn += 1
+            np.reciprocal(gn, out=gn)
+            vp *= gp[:, None]
+            gh = gh + vp + gn @ vn
             gv = _spread(pos, gp[:, None] * h, len(vec))
             np.add.at(gv, neg, gn.T @ h)
             gb = np.bincount(pos, weights=gp, minlength=len(vec)).astype("f4")
             np.add.at(gb, neg, gn.sum(axis=0))
             grads.append((gv, gb))
-        gr = sum(_spread(before[:, i], gh * c[i], len(r)) for i in range(CONTEXT))
-        gc = np.stack([(gh * rows[:, i]).sum(axis=0) for i in range(CONTEXT)])
+        every = np.zeros((*own.shape, DIM), "f4")
+        every[own] = gh
+        gr, gc = np.zeros_like(rows), np.empty_like(c)
+        for i in range(CONTEXT):
+            place = slice(CONTEXT - 1 - i, seq.shape[1] - 1 - i)
+            gr[:, place] += every * c[i]
+            gc[i] = np.einsum("ijk,ijk->k", every, rows[:, place])
         (gq, gb), (gk, gbk) = grads
         scale = np.float32(len(w) ** -0.5)
-        for x, g, s in zip(self.p, (gr, gq, gk, gc, gb, gbk), self.sums, strict=True):
-            g = g * scale
+        for x, g, s in zip(self.p, (_spread(seq.ravel(), gr.reshape(-1, DIM), len(r)), gq, gk, gc, gb, gbk), self.sums, strict=True):
+            g *= scale
             s += g * g
             x -= RATE * g / np.sqrt(s)
 
 
-def log_probs(params: list[np.ndarray], before: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the normalised probabilities of entries w after the entries before."""
+def _log_sums(h: np.ndarray, vec: np.ndarray, bias: np.ndarray, safe: bool) -> np.ndarray:
+    """Logarithms of the sums of exp(bias + h . vec) over the rows of vec."""
+    z = h @ vec.T
+    if safe:
+        return np.log(np.exp(z, out=z) @ np.exp(bias))
+    z += bias
+    top = z.max(axis=1)
+    return np.log(np.exp(z - top[:, None]).sum(axis=1)) + top
+
+
+def log_probs(params: list[np.ndarray], seq: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the normalised probabilities of the entries at places at of seq, see sequence."""
     r, q, k, c, b, bk = params
     size = class_size(len(r))
-    h = (r[before] * c).sum(axis=1)
-
-    def normalised(z: np.ndarray, at: np.ndarray) -> np.ndarray:
-        z -= z.max(axis=1, keepdims=True)
-        return z[np.arange(len(at)), at] - np.log(np.exp(z).sum(axis=1))
-
-    of = w // size
-    out = normalised(h @ k.T + bk, of).astype("f8")
-    order = np.argsort(of, kind="stable")
-    cuts = np.flatnonzero(np.diff(of[order])) + 1
-    for at in np.split(order, cuts):
-        if len(at):
-            low = int(of[at[0]]) * size
-            out[at] += normalised(h[at] @ q[low : low + size].T + b[low : low + size], w[at] - low)
+    h, w = hidden(r[seq], c)[at - CONTEXT], seq[at]
+    of = (w // size).astype(np.int32)
+    order = np.argsort(of.astype(np.uint16), kind="stable") if len(k) <= 1 << 16 else np.argsort(of, kind="stable")
+    h, w, of = h[order], w[order], of[order]
+    # Far from overflow in single precision, else the largest term is taken out.
+    longest = lambda x: np.sqrt(np.einsum("ij,ij->i", x, x).max())
+    safe = bool(longest(h) * max(longest(q), longest(k)) < 60)
+    got = np.einsum("ij,ij->i", h, q[w]) + b[w] + np.einsum("ij,ij->i", h, k[of]) + bk[of] - _log_sums(h, k, bk, safe)
+    cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+    for x, y in zip(cuts, cuts[1:], strict=False):
+        low = int(of[x]) * size
+        got[x:y] -= _log_sums(h[x:y], q[low : low + size], b[low : low + size], safe)
+    out = np.empty(len(w))
+    out[order] = got
     return out
 
 
@@ -202,7 +253,10 @@ def _coded(text: str | None, table: dict[bytes, int], buckets: list[int]) -> np.
 
 
 def _trained(rows: DataFrame, sent, shards: int, passes: int, most: int | None = None) -> DataFrame:
-    """(shard, weight, slice, part): the parameters each shard ends with, in slices; rows: (h, text)."""
+    """(shard, weight, slice, part): the parameters each shard ends with, in slices; rows: (h, text).
+
+    A shard that stops after ``most`` tokens adds its sums of squares.
+    """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, buckets = sent.value[:2]
@@ -216,16 +270,14 @@ def _trained(rows: DataFrame, sent, shards: int, passes: int, most: int | None =
 
         def learn() -> None:
             nonlocal size
-            before, w = np.concatenate([contexts(x, end) for x in held]), np.concatenate(held)
-            for _ in range(passes):
-                trainer.learn(before, w)
+            trainer.learn(held, end, passes)
             held.clear()
             size = 0
 
         def out() -> pa.RecordBatch:
             if held:
                 learn()
-            flat = np.concatenate([x.ravel() for x in trainer.p]).astype("<f4")
+            flat = np.concatenate([x.ravel() for x in trainer.p + (trainer.sums if most else [])]).astype("<f4")
             parts = [flat[i : i + SLICE].tobytes() for i in range(0, len(flat), SLICE)]
             n = len(parts)
             return pa.RecordBatch.from_arrays([pa.array([shard] * n, pa.int64()), pa.array([float(total)] * n), pa.array(range(n), pa.int32()), pa.array(parts, pa.binary())], ["shard", "weight", "slice", "part"])
@@ -296,10 +348,10 @@ def train(rows: DataFrame, tokens: int, table: dict[bytes, int], buckets: list[i
     every = -(-tokens // WARM)
     sample = rows.where(F.pmod(F.xxhash64("h"), F.lit(every)) == 0)
     sent = context.broadcast((table, buckets, share, start, end))
-    start = _averaged(_trained(sample, sent, 1, SMALL // WARM, 2 * WARM), 1, shapes) or start
+    start = _averaged(_trained(sample, sent, 1, min(PASSES, SMALL // WARM), 2 * WARM), 1, shapes * 2) or start
     shards = min(-(-tokens // SHARD), SHARDS)
     sent = context.broadcast((table, buckets, share, start, end))
-    return _averaged(written(_trained(rows, sent, shards, 1)), shards, shapes) or start
+    return _averaged(written(_trained(rows, sent, shards, 1)), shards, shapes) or start[:6]
 
 
 def fit(rows: DataFrame, counts: DataFrame, total: int, distinct: int, words: int, buckets: int, frequent: int) -> dict:
@@ -322,9 +374,10 @@ def fit(rows: DataFrame, counts: DataFrame, total: int, distinct: int, words: in
     table = {END_TOKEN: int(place[0])} | {t: int(place[1 + buckets + i]) for i, (t, _) in enumerate(chosen)}
     at = place[1 : 1 + buckets].tolist()
     params = train(rows, total, table, at, share, int(place[0]))
+    counted = dict(top) | {END_TOKEN: int(ends)}
     return {
-        "params": params, "end": int(place[0]), "table": table, "buckets": at, "counts": dict(top) | {END_TOKEN: int(ends)},
-        "rest": np.log10(sums + kinds + 1.0), "total": int(total), "distinct": int(distinct),
+        "params": params, "end": int(place[0]), "buckets": at, "rest": np.log10(sums + kinds + 1.0),
+        "tokens": list(counted), "counts": np.array(list(counted.values()), dtype=np.int64), "entries": np.array([table.get(t, -1) for t in counted], dtype=np.int32),
     }
 
 
@@ -344,7 +397,10 @@ def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        table, count, buckets, end, params, rest = m["table"], m["counts"], m["buckets"], m["end"], m["params"], m["rest"]
+        known, buckets, end, params, rest = {t: i for i, t in enumerate(m["tokens"])}.get, np.array(m["buckets"], dtype=np.int32), m["end"], m["params"], m["rest"]
+        # Of the known tokens and, last, for all others.
+        entries, counts = np.append(m["entries"], np.int32(-1)), np.append(m["counts"], 0)
+        logs_of, seen = np.log10(counts + 1.0), counts > 0
         part, n = TaskContext.get().partitionId() << 36, 0
         names = ("row", "n_tokens", "n_known", "logs", "rare_logs", "lm", "rare")
         kinds = {"row": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "rare": pa.list_(pa.binary())}
@@ -356,40 +412,36 @@ def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str
                 """Scores of the texts gathered, a bounded number of tokens at a time."""
                 if not held:
                     return
-                w = np.concatenate(held)
-                before = np.concatenate([contexts(x, end) for x in held])
-                logs = np.concatenate([log_probs(params, before[i : i + 8192], w[i : i + 8192]) for i in range(0, len(w), 8192)])
+                seq, at = sequence(held, end)
+                logs = []
+                for i in range(0, len(at), PLACES):
+                    some = at[i : i + PLACES]
+                    first = some[0] - CONTEXT
+                    logs.append(log_probs(params, seq[first : some[-1] + 1], some - first))
                 first = np.cumsum([0, *(len(x) for x in held[:-1])])
-                got["lm"] += (np.add.reduceat(logs, first) / np.log(10)).tolist()
+                got["lm"] += (np.add.reduceat(np.concatenate(logs), first) / np.log(10)).tolist()
                 held.clear()
 
             size = 0
             for text in b.column(1).to_pylist():
                 tokens = tokens_of(text)
-                w, c, gone, spare = [], [], [], 0.0
-                for t in tokens:
-                    k, i = count.get(t, -1), table.get(t)
-                    if i is None:
-                        at = bucket_of(t, len(buckets))
-                        i = buckets[at]
-                        spare -= rest[at]
-                        if k < 0:
-                            gone.append(t)
-                        else:
-                            spare += np.log10(k + 1.0)
-                    w.append(i)
-                    c.append(k)
-                c_ = np.array(c, dtype=np.int64)
-                held.append(np.array(w, dtype=np.int32))
+                k = np.array([known(t, -1) for t in tokens], dtype=np.int32)
+                w, logs, spare, gone = entries[k], logs_of[k], 0.0, []
+                if (few := np.flatnonzero(w < 0)).size:
+                    in_bucket = np.array([bucket_of(tokens[i], len(buckets)) for i in few.tolist()])
+                    w[few] = buckets[in_bucket]
+                    spare = float(logs[few].sum() - rest[in_bucket].sum())
+                    gone = [tokens[i] for i in np.flatnonzero(k < 0).tolist()]
+                held.append(w)
                 got["row"].append(part + n)
                 n += 1
                 got["n_tokens"].append(len(tokens))
-                got["n_known"].append(int((c_ > 0).sum()))
-                got["logs"].append(float(np.log10(np.maximum(c_, 0) + 1.0).sum()))
-                got["rare_logs"].append(float(spare))
+                got["n_known"].append(int(seen[k].sum()))
+                got["logs"].append(float(logs.sum()))
+                got["rare_logs"].append(spare)
                 got["rare"].append(gone)
                 size += len(w)
-                if size >= 65_536:
+                if size >= PLACES:
                     model_scores()
                     size = 0
             model_scores()

@@ -32,11 +32,12 @@ def test_score_equals_brute_force(spark):
     model = B.fit(rows.select(F.xxhash64("doc_id", "text").alias("h"), "text"), counts, total, distinct, 3, 4, 100)
     r, q, k, c, b, bk = (x.astype("f8") for x in model["params"])
     size, n, count = B.class_size(len(r)), len(r), Counter(t for x in texts for t in B.tokens_of(x))
-    assert len(model["table"]) == 4 and n == 1 + 4 + 3
-    rest = [t for t in count if t not in model["table"]]
+    table = {t: int(e) for t, e in zip(model["tokens"], model["entries"], strict=True) if e >= 0}
+    assert len(table) == 4 and n == 1 + 4 + 3
+    rest = [t for t in count if t not in table]
 
     def entry(t):
-        return model["table"].get(t, model["buckets"][B.bucket_of(t, 4)])
+        return table.get(t, model["buckets"][B.bucket_of(t, 4)])
 
     def prob(w, before):
         h = sum(c[i] * r[e] for i, e in enumerate(before))
@@ -51,7 +52,7 @@ def test_score_equals_brute_force(spark):
         before, score = [model["end"]] * B.CONTEXT, 0.0
         for t in B.tokens_of(text):
             score += math.log10(prob(entry(t), before))
-            if t not in model["table"]:
+            if t not in table:
                 same = [x for x in rest if B.bucket_of(x, 4) == B.bucket_of(t, 4)]
                 score += math.log10((count[t] + 1) / (sum(count[x] for x in same) + len(same) + 1))
             before = [entry(t), *before[:-1]]
@@ -60,8 +61,10 @@ def test_score_equals_brute_force(spark):
 
 def test_probabilities_sum_to_one():
     params = B.first_params(-np.sort(-np.random.default_rng(0).dirichlet(np.ones(23))))
-    before = np.tile(np.array([[3, 1, 20, 7]]), (23, 1))
-    assert np.exp(B.log_probs(params, before, np.arange(23))).sum() == pytest.approx(1, abs=1e-4)
+    for scale in (1, 300):  # with and without danger of overflow
+        p = [x * np.float32(scale) for x in params[:2]] + params[2:]
+        got = [B.log_probs(p, np.array([7, 20, 1, 3, w], dtype=np.int32), np.array([4]))[0] for w in range(23)]
+        assert np.exp(got).sum() == pytest.approx(1, abs=1e-4)
 
 
 def test_training_learns_structure():
@@ -72,11 +75,11 @@ def test_training_learns_structure():
         seq.append((seq[-1] * 5 + 1) % k if rng.random() < 0.8 else int(rng.integers(k)))
     seq = np.array(seq)
     share = (np.bincount(seq, minlength=k) + 1.0) / (len(seq) + k)
+    texts = [x.astype(np.int32) for x in np.split(seq[:40_000], 40)]
     trainer = B.Trainer(B.first_params(share), share, 3)
-    for _ in range(6):
-        trainer.learn(B.contexts(seq, 0), seq)
-    before = B.log_probs(B.first_params(share), B.contexts(seq[:3000], 0), seq[:3000]).sum()
-    assert B.log_probs(trainer.p, B.contexts(seq[:3000], 0), seq[:3000]).sum() > 0.7 * before
+    trainer.learn(texts, 0, 6)
+    before = B.log_probs(B.first_params(share), *B.sequence(texts[:3], 0)).sum()
+    assert B.log_probs(trainer.p, *B.sequence(texts[:3], 0)).sum() > 0.7 * before
 
 
 def test_held_out_gain(spark):
