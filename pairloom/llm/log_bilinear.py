@@ -37,7 +37,7 @@ CONTEXT = 4
 FREQUENT = 100_000
 #: Noise entries and noise classes drawn for each batch; places in a batch, and where the passes are several.
 NOISE, CLASS_NOISE = 32, 16
-BATCH, SMALL_BATCH = 2048, 512
+BATCH, SMALL_BATCH = 4096, 512
 #: Places of a segment of a text, the unit that is dealt into batches.
 SEGMENT = 16
 RATE = 0.1
@@ -47,7 +47,7 @@ SHARDS = 4096
 WARM = 1_000_000
 CHUNK = 500_000
 #: Places scored at once.
-PLACES = 32_768
+PLACES = 8192
 #: Passes over a corpus smaller than WARM bring it to so many tokens, but they are no more than PASSES.
 SMALL, PASSES = 4_000_000, 8
 #: Shards that one task averages; floats in a slice of the parameters.
