@@ -69,16 +69,17 @@ more AS (
     AND NOT EXISTS (SELECT 1 FROM found f WHERE f.doc_id = l.doc_id AND f.s < l.x.s + l.x.n AND l.x.s < f.e)
 ),
 every AS (SELECT * FROM found UNION ALL SELECT * FROM more),
-owned AS (SELECT v, count(DISTINCT owner) AS owners FROM every GROUP BY 1),
-kept AS (SELECT every.*, owners FROM every JOIN owned USING (v) WHERE rank < 3 OR owners = 1),
+owned AS (SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, doc_id)) AS repos FROM every GROUP BY 1),
+kept AS (SELECT every.*, owners, repos FROM every JOIN owned USING (v) WHERE rank < 3 OR (owners = 1 AND repos < 10)),
 agg AS (
     SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans,
-        count(*) FILTER (owners = 1) AS n_live, count(*) FILTER (owners >= 3) AS n_example
+        count(*) FILTER (owners = 1 AND repos < 10) AS n_live, count(*) FILTER (owners >= 3 OR repos >= 10) AS n_example, max(repos) AS n_repos
     FROM kept GROUP BY 1
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+    coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+    CAST(coalesce(n_repos, 0) AS BIGINT) AS n_repos
 FROM doc LEFT JOIN agg USING (doc_id)
 """
 

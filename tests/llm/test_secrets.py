@@ -58,5 +58,24 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert got[4].spans == "" and got[20].spans == ""
 
 
+def test_one_owner_many_repositories(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "HOT_ROWS", 8)
+    few, many, generic = "token=few0000aaaa", "token=many1111bbbb", "Zz9Zz8Zz7Zz6Zz5Zz4Zz3Zz2"
+    rows = [(i, few, "a") for i in range(9)] + [(100 + i, f"{many} {generic}", "a") for i in range(10)]
+    rows += [(300, f"{few}x {generic}y", "b"), (300, f"{few}x {generic}y", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secrets.secrets_digest(secrets.find_secrets(docs)).collect()}
+    assert (got[0].n_live, got[0].n_example, got[0].n_repos) == (1, 0, 9)
+    assert (got[100].n_live, got[100].n_example, got[100].n_repos) == (0, 1, 10) and "owned" not in got[100].spans
+    assert (got[300].n_live, got[300].n_example, got[300].n_repos) == (2, 0, 1) and "owned" in got[300].spans
+
+
+def test_very_many_matches(spark):
+    text = "token=abcdefgh1 q " * 40_000 + " Zz9Zz8Zz7Zz6Zz5Zz4Zz3Zz2"
+    r = secrets.secrets_digest(secrets.find_secrets(spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string"))).first()
+    assert r.base_sha256 == hashlib.sha256(brute(text).encode()).hexdigest() and r.n_assign == 40_000
+    assert r.spans.endswith(f"owned:{len(text) - 24}:{len(text)}")
+
+
 def test_empty_table(no_docs):
     assert secrets.secrets_digest(secrets.find_secrets(no_docs)).collect() == []
