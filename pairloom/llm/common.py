@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,14 +25,23 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where it is unset (local runs)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir, or the checkpoint folder set on the context; a temporary one only in local mode."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='pairloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def sent(spark: SparkSession, thing: Any) -> Callable[[], Any]:
+    """A function that gives the broadcast thing in a task; classes of this package travel by value, so executors need no copy of it."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+    return lambda: pickle.loads(held.value)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there and any executor can read it."""
     spark = df.sparkSession

@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import sent, small_batches, written
 
 WINDOW = 13
 #: Least share of hit words, as 1 in so many, for a contaminated document.
 SHARE = 20
 BLOCK_WORDS = 500_000
+#: Blocks whose automata are in one task at the same time.
+GROUP = 4
 #: Word bytes stay (A-Z lower-cased); all other ASCII becomes a space.  Bytes from 0x80 on belong to letters beyond ASCII.
 _TABLE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
@@ -166,19 +168,21 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     """df's id and the columns in keep, n_words, hits array<struct<start, end>> of word places, items array<string>.
 
     Every row stays; null texts have no words; items that are null or wordless match nothing; null item ids are passed over.
-    Equal items of several ids are all reported.
+    Equal items of several ids are all reported.  Columns in keep with the names of the results are replaced.  The items are read to the driver; the
+    automata of their blocks are broadcast one by one, and what GROUP of them found is written before the next are made.
     """
     small_batches(df.sparkSession)
     spark = df.sparkSession
     items = [(str(r[0]), words_of(r[1])) for r in benchmark.select(item_col, item_text_col).where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull()).toLocalIterator()]
     blocks = _blocks(sorted(x for x in items if x[1]), block_words)
+    keep = tuple(c for c in keep if c.lower() not in ("n_words", "hits", "items"))
     rest = [c for c in keep if c not in (id_col, text_col)]
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.array().cast("array<struct<start:int,end:int>>").alias("__hits"), F.array().cast("array<string>").alias("__items"), F.lit(0).cast("long").alias("__n"), *rest)
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def scanner(sent, texts: bool):
+    def scanner(held, texts: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            auto = sent.value
+            auto = held()
             for b in batches:
                 hits, names, count = [], [], []
                 for text, old, had in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
@@ -195,8 +199,9 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
         return run
 
     for k, block in enumerate(blocks):
-        sent = spark.sparkContext.broadcast(ItemAutomaton(block, window))
-        rows = rows.mapInArrow(scanner(sent, text_col in keep or k + 1 < len(blocks)), rows.schema)
+        if k and k % GROUP == 0:
+            rows = written(rows)
+        rows = rows.mapInArrow(scanner(sent(spark, ItemAutomaton(block, window)), text_col in keep or k + 1 < len(blocks)), rows.schema)
     kept = [F.col("__text").alias(text_col) if c == text_col else F.col(c) for c in keep if c != id_col]
     return rows.select(F.col("__id").alias(id_col), *kept, F.col("__n").alias("n_words"), F.col("__hits").alias("hits"), F.col("__items").alias("items"))
 

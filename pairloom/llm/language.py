@@ -4,7 +4,8 @@ For each language the suffix automaton of a sample of labelled text is built.  A
 that occur in that sample: a phrase ends where the automaton has no further step.  A language's cost is its number of
 phrases times log2 of its sample's length (the bits that point at a phrase), over the text's symbols; the least cost wins.
 
-A parse starts anew each ``BLOCK`` symbols, so many blocks step through the automata together in numpy.  Whole texts are parsed.
+The ``SINGLES`` most common letters of the samples are symbols of their own; any other letter is written as three, digits of its code point, so
+letters of wide scripts count as well.  A parse starts anew each ``BLOCK`` symbols, so many blocks step through the automata together in numpy.  Whole texts are parsed.
 """
 
 from __future__ import annotations
@@ -17,14 +18,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import small_batches
+from .common import sent, small_batches
 
 #: The training sample: rows with the smallest hashes of id and text in each language, and symbols of them in all.
 SAMPLE_ROWS = 300
 SAMPLE_SYMBOLS = 40_000
 BLOCK = 256
-#: Symbols: a space (everything that isn't a letter), letters that no sample has, then letters.
-SPACE, OTHER = 0, 1
+#: Symbols: a space (everything that isn't a letter), the most common letters, the digits, a filler.
+SPACE, SINGLES, DIGITS = 0, 120, 128
+WIDTH = 1 + SINGLES + DIGITS + 1
+_WIDE = 255
+#: The sample is taken in so many parts of each language first.
+_PARTS = 64
 _BREAK = 1 << 30
 
 
@@ -39,19 +44,25 @@ class Alphabet:
         self.letters = letters
         self.table: np.ndarray | None = None
 
-    def symbols(self, text: str) -> np.ndarray:
-        """Symbols of a text or of several texts end to end, as uint8."""
+    def symbols(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of a text or of several texts end to end, as uint8, and how many each character has."""
         if self.table is None:
-            self.table = np.where(_letters(), OTHER, SPACE).astype(np.uint8)
+            self.table = np.where(_letters(), _WIDE, SPACE).astype(np.uint8)
             for k, c in enumerate(self.letters):
-                self.table[ord(c)] = k + 2
+                self.table[ord(c)] = k + 1
         code = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
-        if len(code) and code.max() > 0xFFFF:
-            far = code > 0xFFFF
-            out = self.table[np.where(far, 0, code)]
-            out[far] = [OTHER if chr(c).isalpha() else SPACE for c in code[far].tolist()]
-            return out
-        return self.table[code]
+        far = code > 0xFFFF
+        sym = self.table[np.where(far, 0, code)]
+        if far.any():
+            sym[far] = [_WIDE if chr(c).isalpha() else SPACE for c in code[far].tolist()]
+        wide = sym == _WIDE
+        many = np.where(wide, 3, 1)
+        if wide.any():
+            at = (np.cumsum(many) - many)[wide]
+            sym = np.repeat(sym, many)
+            for k in range(3):
+                sym[at + k] = 1 + SINGLES + (code[wide] >> (14 - 7 * k) & 127)
+        return sym, many
 
 
 def squeezed(sym: np.ndarray) -> np.ndarray:
@@ -116,24 +127,21 @@ class Model:
             for t in v:
                 for c in set(t):
                     count[c] = count.get(c, 0) + 1
-        known = sorted(sorted(known, key=lambda c: (-count[c], c))[:250])
+        known = sorted(sorted(known, key=lambda c: (-count[c], c))[:SINGLES])
         self.alphabet = Alphabet(known)
-        self.width = len(known) + 3
         self.tables, self.bits = [], []
         for lang in self.langs:
-            sym = squeezed(self.alphabet.symbols(" ".join(lower[lang])))
-            sym = sym[:sample_symbols]
-            sym[sym == OTHER] = SPACE
-            self.tables.append(automaton(sym.tolist(), self.width))
+            sym = squeezed(self.alphabet.symbols(" ".join(lower[lang]))[0])[:sample_symbols]
+            self.tables.append(automaton(sym.tolist(), WIDTH))
             self.bits.append(float(np.log2(max(2, len(sym)))))
         self.alphabet.table = None
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language (und: null or without a letter) and score of each text: how much less the winner costs than the next, from 0 to 1."""
         lower = [(t or "").lower() for t in texts]
-        sym = self.alphabet.symbols("".join(lower))
+        sym, many = self.alphabet.symbols("".join(lower))
         size = np.fromiter(map(len, lower), dtype=np.int64, count=len(lower))
-        owner = np.repeat(np.arange(len(lower)), size)
+        owner = np.repeat(np.repeat(np.arange(len(lower)), size), many)
         keep = sym != SPACE
         keep[1:] |= (sym[:-1] != SPACE) & (owner[1:] == owner[:-1])
         has_letter = np.bincount(owner, weights=sym != SPACE, minlength=len(lower)) > 0
@@ -142,13 +150,13 @@ class Model:
         blocks = -(-size // BLOCK)
         first = np.concatenate(([0], np.cumsum(blocks)))
         inside = np.arange(len(sym)) - np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
-        grid = np.full((BLOCK, int(first[-1])), self.width - 1, dtype=np.uint8)
+        grid = np.full((BLOCK, int(first[-1])), WIDTH - 1, dtype=np.uint8)
         grid[inside % BLOCK, first[:-1][owner] + inside // BLOCK] = sym
         cost = np.zeros((len(self.langs), len(lower)))
         of_block = np.repeat(np.arange(len(lower)), blocks)
         for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
             phrases = np.zeros(grid.shape[1], dtype=np.int32)
-            state = np.full(grid.shape[1], len(table) - self.width, dtype=np.int32)
+            state = np.full(grid.shape[1], len(table) - WIDTH, dtype=np.int32)
             for row in grid:
                 state += row
                 state = table[state]
@@ -167,12 +175,17 @@ class Model:
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, sample_symbols: int = SAMPLE_SYMBOLS) -> Model:
     """A model from the labelled rows of df: sample_rows rows and sample_symbols symbols for each language at most.
 
-    Null languages, null texts and texts without a letter teach nothing; without a labelled row every text is und.
+    The rows are those with the smallest hashes of their ids.  Null languages, null ids, null texts and texts without a letter teach nothing; rows with equal ids and languages
+    count as one, with the least text.  Without a labelled row every text is und.
     """
-    rows = df.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h"))
-    top = rows.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("k") <= sample_rows)
-    ids = [r[0] for r in top.select("id").collect()]
-    got = df.where(F.col(id_col).isin(ids) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string"), F.col(text_col), F.xxhash64(id_col).alias("h")).collect() if ids else []
+    lang = F.col(lang_col).cast("string").alias("lang")
+    rows = df.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(lang, F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h"))
+    rows = rows.withColumn("part", F.pmod("h", F.lit(_PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("h", "id"))).where(F.col("k") <= sample_rows).drop("k")
+    top = rows.select("lang", "id", "h").distinct()
+    whole = df.select(lang, F.col(id_col).alias("id"), F.substring(text_col, 1, 4 * sample_symbols).alias("text")).where(F.col("text").isNotNull())
+    got = whole.join(F.broadcast(top), ["lang", "id"]).groupBy("lang", "id", "h").agg(F.min("text").alias("text")).select("lang", "text", "h").collect()
     samples: dict[str, list[str]] = {}
     used: dict[str, int] = {}
     for lang, text, _ in sorted(got, key=lambda r: (r[2], r[0], r[1])):
@@ -183,14 +196,18 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in keep, and lang_pred and score, for each row.  The model is broadcast; its size follows its sample's bound."""
+    """The columns in keep, and lang_pred and score, for each row.  Columns of these two names in keep are replaced.
+
+    Every row stays; null texts and texts without a letter are und with score 0.  The model is broadcast; its size follows its sample's bound.
+    """
     small_batches(df.sparkSession)
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    held = sent(df.sparkSession, model)
+    keep = tuple(c for c in keep if c.lower() not in ("lang_pred", "score"))
     rest = [c for c in keep if c != text_col]
     whole = text_col in keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = held()
         for b in batches:
             lang, score = model.score(b.column(0).to_pylist())
             cols = b.columns[0 if whole else 1 :]

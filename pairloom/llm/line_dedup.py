@@ -75,5 +75,5 @@ def drop_boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
     n = F.coalesce(F.when(F.col(text_col) == "", 0).otherwise(F.size(F.split(text_col, "\n"))), F.lit(0)).cast("long")
     extra = {"n_lines": n, "n_dropped": F.coalesce(F.size("__gone"), F.lit(0)).cast("long")}
-    rest = [F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept).alias(text_col) if c == text_col else F.col(c) for c in df.columns if c not in extra]
+    rest = [F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept).alias(text_col) if c == text_col else F.col(c) for c in df.columns if c.lower() not in extra]
     return out.select(*rest, *[v.alias(k) for k, v in extra.items()])

@@ -2,7 +2,7 @@
 
 Equal vectors form one class, which keeps only its k + 1 smallest ids: no search needs more of them.  Classes are packed
 into blocks of at most ``BLOCK`` unit vectors, quantised to int8 with each vector's scale and quantisation error.
-A tile is a block of queries times a block of candidates: one matrix product of the int8 values (exact in float32 up to
+Blocks of queries are broadcast in chunks of bounded size to where the candidates are.  A tile is a block of queries times a block of candidates: one matrix product of the int8 values (exact in float32 up to
 1,040 components), and bounds on the cosine from the errors.  Only pairs whose upper bound reaches the k-th best lower bound are recomputed, in
 double precision from the original vectors.  Heaps merge the tiles of a task, and a last ranking merges the tasks.
 
@@ -11,6 +11,7 @@ The result is exact: what the bounds drop can't be among the k nearest.
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -19,11 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import sent, small_batches, written
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
 K = 5
+#: Bytes of query vectors that are broadcast at once; the blocks of candidates are read again for each such chunk.
+CHUNK_BYTES = 64_000_000
+#: Vectors whose largest component lies outside are scaled first, as their squares could vanish or overflow.
+SMALL, LARGE = 1e-100, 1e100
 #: Above the rounding errors of the float32 sums and scalings.
 SLACK = 1e-5
 
@@ -91,13 +96,15 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
 
     Cosine in double precision, nearest first, ties to the smaller id.  Vectors that are null or zero, or hold null or non-finite
     components, and rows with a null id, take no part; vectors of another length than the query's are no candidates.
-    Rows with equal ids and vectors count once.
+    Rows with equal ids and vectors count once; other columns take no part.
     """
     small_batches(df.sparkSession)
     v = F.col(vector_col).cast("array<double>")
     sound = F.size(v) > 0
     sound &= ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), is_query.alias("asks")).where(sound)
+    largest = F.array_max(F.transform("v", F.abs))
+    rows = rows.withColumn("most", largest).withColumn("v", F.when(F.col("most").between(SMALL, LARGE), F.col("v")).otherwise(F.transform("v", lambda x: x / F.col("most")))).drop("most")
     rows = written(rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("h", F.xxhash64("v")))
     place = F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))
     kept = rows.select("h", "v", "id").distinct().withColumn("n", place).where(F.col("n") <= k + 1)
@@ -105,20 +112,34 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
     classes = written(classes.repartition(F.col("ids")[0]))
     asked = rows.where("asks").select("h", "v").distinct().join(classes, ["h", "v"]).select("ids", "v")
     asks = written(packed(asked.repartition(max(1, -(-asked.count() // QUERY_BLOCK))), QUERY_BLOCK, "qb"))
-    blocks = packed(classes.select("ids", "v"), BLOCK, "cb")
-    queries = [r["qb"] for r in asks.select("qb").collect()]
-    tiles = blocks.withColumn("qb", F.explode(F.array(*[F.lit(x) for x in queries]).cast("array<long>")))
-    tiles = tiles.join(asks.select("qb", F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("data").alias("q_data")), "qb").where("dims = q_dims")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict = {}
-        for b in batches:
-            for q_ids, q_data, ids, data, dims in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                _tile(q_ids, np.frombuffer(q_data, "<f8").reshape(-1, dims), ids, np.frombuffer(data, "<f8").reshape(-1, dims), best, k)
-        out = [(q, -v, s) for q, heap in best.items() for s, v in heap]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.float64())], ["q", "id", "score"])
-
-    near = tiles.select("q_ids", "q_data", "ids", "data", "dims").mapInArrow(run, "q long, id long, score double")
+    blocks = written(packed(classes.select("ids", "v"), BLOCK, "cb"))
+
+    def nearest_of(chunk: list[int]) -> DataFrame:
+        held = sent(df.sparkSession, [(r["dims"], r["ids"], bytes(r["data"])) for r in asks.where(F.col("qb").isin(chunk)).collect()])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: dict = {}
+            queries = [(dims, ids, np.frombuffer(data, "<f8").reshape(-1, dims)) for dims, ids, data in held()]
+            for b in batches:
+                for ids, dims, data in zip(*(b.column(i) for i in range(3)), strict=True):
+                    x, ids = np.frombuffer(data.as_buffer(), "<f8").reshape(-1, dims.as_py()), ids.as_py()
+                    for q_dims, q_ids, q in queries:
+                        if q_dims == x.shape[1]:
+                            _tile(q_ids, q, ids, x, best, k)
+            out = [(q, -v, s) for q, heap in best.items() for s, v in heap]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.float64())], ["q", "id", "score"])
+
+        return blocks.select("ids", "dims", "data").mapInArrow(run, "q long, id long, score double")
+
+    chunks: list[list[int]] = [[]]
+    size = 0
+    for r in asks.select("qb", F.length("data").alias("bytes")).orderBy("qb").collect():
+        if chunks[-1] and size + r["bytes"] > CHUNK_BYTES:
+            chunks.append([])
+            size = 0
+        chunks[-1].append(r["qb"])
+        size += r["bytes"]
+    near = nearest_of(chunks[0]) if len(chunks) == 1 else functools.reduce(DataFrame.union, [written(nearest_of(c)) for c in chunks])
     order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     near = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1).drop("n")
     own = classes.select("h", "v", F.col("ids")[0].alias("q"))

@@ -12,6 +12,7 @@ over a table of features that sums gradient and curvature per task; sizes sent t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,7 +109,9 @@ def _sums(rows: DataFrame, w: np.ndarray) -> dict[str, np.ndarray]:
                 acc += np.frombuffer(x)
         yield pa.RecordBatch.from_arrays([pa.array([acc.tobytes()], pa.binary())], ["sums"])
 
-    got = rows.select("x", "positive").mapInArrow(run, "sums binary").repartition(4).mapInArrow(total, "sums binary").collect()
+    # As many tasks add up as partitions go to each of them.
+    fan = math.isqrt(rows.rdd.getNumPartitions()) + 1
+    got = rows.select("x", "positive").mapInArrow(run, "sums binary").repartition(fan).mapInArrow(total, "sums binary").collect()
     flat = sum((np.frombuffer(r[0]) for r in got), np.zeros(sum(_SIZES.values())))
     return dict(zip(_SIZES, np.split(flat, np.cumsum(list(_SIZES.values()))[:-1]), strict=True))
 

@@ -188,7 +188,8 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
     is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links.  Links whose shingle sketches are too far apart go; the rest
-    are verified on the shingle sets.  Equal word sequences are one node.
+    are verified on the shingle sets.  Equal word sequences are one node.  Null texts have no words, like empty ones; rows with a null id take no part; rows with
+    equal ids are one document, whose least text is compared; other columns take no part.
     """
     small_batches(df.sparkSession)
 
@@ -234,7 +235,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     ends = written(ends)
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
-    one = written(rows.join(ends, "id", "left_semi").dropDuplicates(["id"]))
+    one = written(rows.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
 
     def sure(some: DataFrame) -> DataFrame:
         linked = some.join(one.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")

@@ -29,13 +29,13 @@ def test_cross_parse_equals_brute_force():
     texts = ["".join(rng.choice("abcdz ") for _ in range(n)) for n in (1, 5, 255, 256, 257, 900)]
     got, scores = model.score(texts)
     for text, lang, score in zip(texts, got, scores, strict=True):
-        sym = model.alphabet.symbols(text)
+        sym = model.alphabet.symbols(text)[0]
         keep = sym != L.SPACE
         keep[1:] |= sym[:-1] != L.SPACE
         sym = sym[keep].tolist()
         cost = []
         for k, name in enumerate(model.langs):
-            sample = L.squeezed(model.alphabet.symbols(samples[name][0])).tolist()
+            sample = L.squeezed(model.alphabet.symbols(samples[name][0])[0]).tolist()
             cost.append(brute_phrases(sample, sym) * model.bits[k])
         if any(c.isalpha() for c in text):
             assert lang == model.langs[int(np.argmin(cost))]
@@ -70,3 +70,13 @@ def test_keeps_all_columns(docs, rows):
     out = L.identify(docs.drop("score"), L.fit(docs), keep=tuple(c for c in docs.columns if c != "score"))
     assert out.columns == [*[c for c in docs.columns if c != "score"], "lang_pred", "score"]
     assert out.count() == len(rows)
+
+
+def test_letters_of_wide_scripts_count(spark):
+    """Four languages of a few thousand letters each, most of them shared and rare; one has letters beyond 16 bits."""
+    rng = random.Random(2)
+    pools = {f"l{k}": ["".join(chr(base + rng.randint(0, 4000)) for _ in range(2)) for _ in range(300)] for k, base in enumerate((0x4E00, 0x4E00, 0xAC00, 0x20000))}
+    rows = [(i, " ".join(rng.choices(pools[f"l{i % 4}"], k=40)), f"l{i % 4}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = L.identify(docs, L.fit(docs.where("doc_id < 300"))).where("doc_id >= 300").collect()
+    assert sum(r.lang_pred == f"l{r.doc_id % 4}" for r in got) >= 98

@@ -28,6 +28,7 @@ def run(spark, rows):
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(nearest, "BLOCK", 64)
     monkeypatch.setattr(nearest, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(nearest, "CHUNK_BYTES", 5000)
     rng = np.random.default_rng(1)
     base = rng.normal(size=(300, 8)).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(base)]
@@ -51,3 +52,12 @@ def test_quantisation_error_is_bounded():
     about = (a.astype("f4") @ b.astype("f4").T).astype("f8") * sa[:, None] * sb
     true = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ (y / np.linalg.norm(y, axis=1, keepdims=True)).T
     assert (np.abs(about - true) <= na[:, None] * eb + ea[:, None] * (nb + eb) + nearest.SLACK).all()
+
+
+def test_extreme_vectors(spark):
+    rows = [(50, [1e-200, 0.0]), (1, [1.0, 0.0]), (2, [1e200, 1e200]), (3, [0.0, 5e-324]), (100, [1e300, -1e300])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, round(r.score, 6)) for r in nearest.search(df, F.col("vec_id") % 50 == 0).collect()}
+    half = round(math.sqrt(0.5), 6)
+    assert [got[50, k] for k in (1, 2, 3, 4)] == [(1, 1.0), (2, half), (100, half), (3, 0.0)]
+    assert got[100, 1] == (1, half) and got[100, 2] == (50, half)
