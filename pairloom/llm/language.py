@@ -24,9 +24,8 @@ from .common import sent, small_batches
 SAMPLE_ROWS = 300
 SAMPLE_SYMBOLS = 40_000
 BLOCK = 256
-#: Symbols: a space (everything that isn't a letter), the most common letters, the digits, a filler.
-SPACE, SINGLES, DIGITS = 0, 120, 128
-WIDTH = 1 + SINGLES + DIGITS + 1
+#: Symbols: a space (everything that isn't a letter), digits that no sample has, the most common letters, the samples' digits, a filler.
+SPACE, OTHER, SINGLES = 0, 1, 120
 _WIDE = 255
 #: The sample is taken in so many parts of each language first.
 _PARTS = 64
@@ -40,16 +39,22 @@ def _letters() -> np.ndarray:
 class Alphabet:
     """Numbers the letters of lower-cased texts."""
 
-    def __init__(self, letters: list[str]) -> None:
+    def __init__(self, letters: list[str], others: str = "") -> None:
+        """letters: those with symbols of their own; others: a text whose other letters the digits are for."""
         self.letters = letters
         self.table: np.ndarray | None = None
+        far = {ord(c) for c in set(others) - set(letters) if c.isalpha()}
+        used = sorted({c >> (14 - 7 * k) & 127 for c in far for k in range(3)})
+        self.digits = np.full(128, OTHER, dtype=np.uint8)
+        self.digits[used] = np.arange(len(used)) + 2 + len(letters)
+        self.width = len(letters) + len(used) + 3
 
     def symbols(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of a text or of several texts end to end, as uint8, and how many each character has."""
         if self.table is None:
             self.table = np.where(_letters(), _WIDE, SPACE).astype(np.uint8)
             for k, c in enumerate(self.letters):
-                self.table[ord(c)] = k + 1
+                self.table[ord(c)] = k + 2
         code = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
         far = code > 0xFFFF
         sym = self.table[np.where(far, 0, code)]
@@ -61,7 +66,7 @@ class Alphabet:
             at = (np.cumsum(many) - many)[wide]
             sym = np.repeat(sym, many)
             for k in range(3):
-                sym[at + k] = 1 + SINGLES + (code[wide] >> (14 - 7 * k) & 127)
+                sym[at + k] = self.digits[code[wide] >> (14 - 7 * k) & 127]
         return sym, many
 
 
@@ -128,11 +133,12 @@ class Model:
                 for c in set(t):
                     count[c] = count.get(c, 0) + 1
         known = sorted(sorted(known, key=lambda c: (-count[c], c))[:SINGLES])
-        self.alphabet = Alphabet(known)
+        self.alphabet = Alphabet(known, "".join(count))
+        self.width = self.alphabet.width
         self.tables, self.bits = [], []
         for lang in self.langs:
             sym = squeezed(self.alphabet.symbols(" ".join(lower[lang]))[0])[:sample_symbols]
-            self.tables.append(automaton(sym.tolist(), WIDTH))
+            self.tables.append(automaton(sym.tolist(), self.width))
             self.bits.append(float(np.log2(max(2, len(sym)))))
         self.alphabet.table = None
 
@@ -150,13 +156,13 @@ class Model:
         blocks = -(-size // BLOCK)
         first = np.concatenate(([0], np.cumsum(blocks)))
         inside = np.arange(len(sym)) - np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
-        grid = np.full((BLOCK, int(first[-1])), WIDTH - 1, dtype=np.uint8)
+        grid = np.full((BLOCK, int(first[-1])), self.width - 1, dtype=np.uint8)
         grid[inside % BLOCK, first[:-1][owner] + inside // BLOCK] = sym
         cost = np.zeros((len(self.langs), len(lower)))
         of_block = np.repeat(np.arange(len(lower)), blocks)
         for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
             phrases = np.zeros(grid.shape[1], dtype=np.int32)
-            state = np.full(grid.shape[1], len(table) - WIDTH, dtype=np.int32)
+            state = np.full(grid.shape[1], len(table) - self.width, dtype=np.int32)
             for row in grid:
                 state += row
                 state = table[state]
