@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import pickle
 import tempfile
 import uuid
 from collections.abc import Callable
 from typing import Any
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +35,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def sent(spark: SparkSession, thing: Any) -> Callable[[], Any]:
-    """A function that gives the broadcast thing in a task; classes of this package travel by value, so executors need no copy of it."""
-    held = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
-    return lambda: pickle.loads(held.value)
+    """A function that gives a task the same thing, whose attributes (plain data) are broadcast; its class travels by value, so executors need no copy of this package."""
+    kind, held = type(thing), spark.sparkContext.broadcast(vars(thing))
+
+    def get() -> Any:
+        out = kind.__new__(kind)
+        vars(out).update(held.value)
+        return out
+
+    return get
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -36,40 +36,6 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x10000)), dtype=bool, count=0x10000)
 
 
-class Alphabet:
-    """Numbers the letters of lower-cased texts."""
-
-    def __init__(self, letters: list[str], others: str = "") -> None:
-        """letters: those with symbols of their own; others: a text whose other letters the digits are for."""
-        self.letters = letters
-        self.table: np.ndarray | None = None
-        far = {ord(c) for c in set(others) - set(letters) if c.isalpha()}
-        used = sorted({c >> (14 - 7 * k) & 127 for c in far for k in range(3)})
-        self.digits = np.full(128, OTHER, dtype=np.uint8)
-        self.digits[used] = np.arange(len(used)) + 2 + len(letters)
-        self.width = len(letters) + len(used) + 3
-
-    def symbols(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of a text or of several texts end to end, as uint8, and how many each character has."""
-        if self.table is None:
-            self.table = np.where(_letters(), _WIDE, SPACE).astype(np.uint8)
-            for k, c in enumerate(self.letters):
-                self.table[ord(c)] = k + 2
-        code = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
-        far = code > 0xFFFF
-        sym = self.table[np.where(far, 0, code)]
-        if far.any():
-            sym[far] = [_WIDE if chr(c).isalpha() else SPACE for c in code[far].tolist()]
-        wide = sym == _WIDE
-        many = np.where(wide, 3, 1)
-        if wide.any():
-            at = (np.cumsum(many) - many)[wide]
-            sym = np.repeat(sym, many)
-            for k in range(3):
-                sym[at + k] = self.digits[code[wide] >> (14 - 7 * k) & 127]
-        return sym, many
-
-
 def squeezed(sym: np.ndarray) -> np.ndarray:
     """Without spaces that follow a space or begin the text."""
     keep = sym != SPACE
@@ -126,28 +92,50 @@ class Model:
     def __init__(self, samples: dict[str, list[str]], sample_symbols: int = SAMPLE_SYMBOLS) -> None:
         self.langs = sorted(samples)
         lower = {k: [t.lower() for t in v] for k, v in samples.items()}
-        known = sorted({c for v in lower.values() for t in v for c in set(t) if c.isalpha() and ord(c) < 0x10000})
         count: dict[str, int] = {}
         for v in lower.values():
             for t in v:
-                for c in set(t):
+                for c in filter(str.isalpha, set(t)):
                     count[c] = count.get(c, 0) + 1
-        known = sorted(sorted(known, key=lambda c: (-count[c], c))[:SINGLES])
-        self.alphabet = Alphabet(known, "".join(count))
-        self.width = self.alphabet.width
+        letters = sorted(sorted((c for c in count if ord(c) < 0x10000), key=lambda c: (-count[c], c))[:SINGLES])
+        used = sorted({ord(c) >> (14 - 7 * k) & 127 for c in set(count) - set(letters) for k in range(3)})
+        self.table = np.where(_letters(), _WIDE, SPACE).astype(np.uint8)
+        self.table[[ord(c) for c in letters]] = np.arange(len(letters)) + 2
+        self.digits = np.full(128, OTHER, dtype=np.uint8)
+        self.digits[used] = np.arange(len(used)) + 2 + len(letters)
+        self.width = len(letters) + len(used) + 3
         self.tables, self.bits = [], []
         for lang in self.langs:
-            sym = squeezed(self.alphabet.symbols(" ".join(lower[lang]))[0])[:sample_symbols]
+            sym = squeezed(self.symbols(" ".join(lower[lang]))[0])[:sample_symbols]
             self.tables.append(automaton(sym.tolist(), self.width))
             self.bits.append(float(np.log2(max(2, len(sym)))))
-        self.alphabet.table = None
+
+    def symbols(self, text: str) -> tuple[np.ndarray, np.ndarray | None]:
+        """Symbols of a text or of several texts end to end, as uint8, and how many each character has; none if all have one."""
+        code = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
+        if len(code) and code.max() > 0xFFFF:
+            far = code > 0xFFFF
+            sym = self.table[np.where(far, 0, code)]
+            sym[far] = [_WIDE if chr(c).isalpha() else SPACE for c in code[far].tolist()]
+        else:
+            sym = self.table[code]
+        wide = sym == _WIDE
+        if not wide.any():
+            return sym, None
+        many = np.where(wide, 3, 1)
+        at = (np.cumsum(many) - many)[wide]
+        sym = np.repeat(sym, many)
+        for k in range(3):
+            sym[at + k] = self.digits[code[wide] >> (14 - 7 * k) & 127]
+        return sym, many
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language (und: null or without a letter) and score of each text: how much less the winner costs than the next, from 0 to 1."""
         lower = [(t or "").lower() for t in texts]
-        sym, many = self.alphabet.symbols("".join(lower))
-        size = np.fromiter(map(len, lower), dtype=np.int64, count=len(lower))
-        owner = np.repeat(np.repeat(np.arange(len(lower)), size), many)
+        sym, many = self.symbols("".join(lower))
+        owner = np.repeat(np.arange(len(lower), dtype=np.int32), np.fromiter(map(len, lower), dtype=np.int64, count=len(lower)))
+        if many is not None:
+            owner = np.repeat(owner, many)
         keep = sym != SPACE
         keep[1:] |= (sym[:-1] != SPACE) & (owner[1:] == owner[:-1])
         has_letter = np.bincount(owner, weights=sym != SPACE, minlength=len(lower)) > 0

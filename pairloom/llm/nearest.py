@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sent, small_batches, written
+from .common import small_batches, written
 
 BLOCK = 4096
 QUERY_BLOCK = 1024
@@ -115,11 +115,11 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
     blocks = written(packed(classes.select("ids", "v"), BLOCK, "cb"))
 
     def nearest_of(chunk: list[int]) -> DataFrame:
-        held = sent(df.sparkSession, [(r["dims"], r["ids"], bytes(r["data"])) for r in asks.where(F.col("qb").isin(chunk)).collect()])
+        held = df.sparkSession.sparkContext.broadcast([(r["dims"], r["ids"], bytes(r["data"])) for r in asks.where(F.col("qb").isin(chunk)).collect()])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best: dict = {}
-            queries = [(dims, ids, np.frombuffer(data, "<f8").reshape(-1, dims)) for dims, ids, data in held()]
+            queries = [(dims, ids, np.frombuffer(data, "<f8").reshape(-1, dims)) for dims, ids, data in held.value]
             for b in batches:
                 for ids, dims, data in zip(*(b.column(i) for i in range(3)), strict=True):
                     x, ids = np.frombuffer(data.as_buffer(), "<f8").reshape(-1, dims.as_py()), ids.as_py()

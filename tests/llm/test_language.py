@@ -29,13 +29,13 @@ def test_cross_parse_equals_brute_force():
     texts = ["".join(rng.choice("abcdz ") for _ in range(n)) for n in (1, 5, 255, 256, 257, 900)]
     got, scores = model.score(texts)
     for text, lang, score in zip(texts, got, scores, strict=True):
-        sym = model.alphabet.symbols(text)[0]
+        sym = model.symbols(text)[0]
         keep = sym != L.SPACE
         keep[1:] |= sym[:-1] != L.SPACE
         sym = sym[keep].tolist()
         cost = []
         for k, name in enumerate(model.langs):
-            sample = L.squeezed(model.alphabet.symbols(samples[name][0])[0]).tolist()
+            sample = L.squeezed(model.symbols(samples[name][0])[0]).tolist()
             cost.append(brute_phrases(sample, sym) * model.bits[k])
         if any(c.isalpha() for c in text):
             assert lang == model.langs[int(np.argmin(cost))]
