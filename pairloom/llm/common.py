@@ -54,6 +54,30 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one step, deleted together once what was made of them is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path, self.count = spark, f"{shared_dir(spark)}/pairloom/{uuid.uuid4().hex}", 0
+
+    def written(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.path}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        freed(self.spark)
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of what is written by now."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(id_col: str, n: int):
     """crc32 of the id as decimal text, modulo n; null ids count as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n
@@ -65,7 +89,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds.  The number of rounds grows with the logarithm of
     the longest chain; each round is one written table, so a lost executor costs one round at most.
     """
-    e = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    last = Scratch(edges.sparkSession)
+    e = last.written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -73,7 +98,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        e = written(small.where("u <> v").distinct())
+        here = Scratch(edges.sparkSession)
+        e = here.written(small.where("u <> v").distinct())
+        last.drop()
+        last = here
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first()
         if now == state or now[0] == 0:
             break

@@ -15,7 +15,7 @@ and linear in the bucket's size.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, small_batches, written
+from .common import Scratch, connected_components, freed, small_batches, written
 
 TAU = 2
 SEGMENTS = 9
@@ -109,7 +109,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fps array<long>")
 
 
-def links(nodes: DataFrame) -> DataFrame:
+def links(nodes: DataFrame, written: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """Edges (a, b) between roots whose fingerprints differ in 1 to TAU bits; all pairs are connected, not all emitted.
 
     nodes: (fp, root), each fp once (or once in a family, column fam, if there is one).
@@ -144,7 +144,7 @@ def signature(hashes: set[int]) -> list[int]:
     return [int(remixed(h, 100 + k).min() >> np.uint64(33)) for k in range(BANDS * ROWS)]
 
 
-def band_links(texts: DataFrame) -> DataFrame:
+def band_links(texts: DataFrame, written: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """Candidate edges (a, b), a > b, between roots whose signatures share a band; texts: (root, sig).
 
     All of a bucket of at most BUCKET texts are paired.  A larger one links to its smallest root and, as such a link may prove
@@ -182,12 +182,12 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return fps.join(of, "fp").select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, verify_words: int = 5, families: int = 6) -> DataFrame:
-    """(doc_id, component_id) for near-duplicate texts at a word-shingle Jaccard similarity.
+def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, verify_words: int = 5, families: int = 2) -> DataFrame:
+    """(doc_id, component_id), a row for each id, for near-duplicate texts at a word-shingle Jaccard similarity.
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links.  Links whose shingle sketches are too far apart go; the rest
+    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links, so more families add time but no links that matter.  Links whose shingle sketches are too far apart go; the rest
     are verified on the shingle sets.  Equal word sequences are one node.  Null texts have no words, like empty ones; rows with a null id take no part; rows with
     equal ids are one document, whose least text is compared; other columns take no part.
     """
@@ -196,28 +196,36 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got, same, least, sig = [], [], [], []
-            for t in b.column(1).to_pylist():
+            for t in b.column(2).to_pylist():
                 words = words_of(t)
                 hashes = {xxhash.xxh32_intdigest(x) >> 1 for x in shingles(words, verify_words)}
                 least.append(heapq.nsmallest(SKETCH, hashes))
                 sig.append(signature(hashes))
                 got.append(fingerprint(t, 1, families))
-                same.append(xxhash.xxh3_128_hexdigest(b" ".join(words)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int64())), pa.array(same), pa.array(least, pa.list_(pa.int32())), pa.array(sig, pa.list_(pa.int32()))], ["id", "fps", "same", "least", "sig"])
-
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    fps = written(rows.mapInArrow(run, "id long, fps array<long>, same string, least array<int>, sig array<int>").where("id is not null"))
-    texts = written(fps.groupBy("same").agg(F.min("id").alias("root"), F.first("fps").alias("fps"), F.first("least").alias("least"), F.first("sig").alias("sig")))
+                same.append(xxhash.xxh3_128_digest(b" ".join(words)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.list_(pa.int64())), pa.array(same, pa.binary()), pa.array(least, pa.list_(pa.int32())), pa.array(sig, pa.list_(pa.int32()))], ["id", "h", "fps", "same", "least", "sig"])
+
+    spark = df.sparkSession
+    rows = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    early, late = Scratch(spark), Scratch(spark)
+    fps = early.written(rows.mapInArrow(run, "id long, h long, fps array<long>, same binary, least array<int>, sig array<int>"))
+    ids = written(fps.select("id", "h", "same").distinct())
+    texts = early.written(fps.groupBy("same").agg(F.min("id").alias("root"), F.first("fps").alias("fps"), F.first("least").alias("least"), F.first("sig").alias("sig")))
+    freed(spark)
     each = texts.select("root", F.posexplode("fps").alias("fam", "fp"))
-    nodes = written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
+    nodes = early.written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
     equal = each.join(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b")), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
-    edges = links(nodes.drop("n")).union(equal).union(band_links(texts)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = early.written(links(nodes.drop("n"), early.written).union(equal))
+    freed(spark)
+    edges = early.written(edges.union(band_links(texts, early.written)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    freed(spark)
     side = lambda x: texts.select(F.col("root").alias(x), F.col("least").alias(f"least_{x}"))
     edges = edges.join(side("a"), "a").join(side("b"), "b")
     # The smallest hashes of both shingle sets together are a sample of their union: a first estimate of the similarity.
     union = F.slice(F.array_sort(F.array_union("least_a", "least_b")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect(union, "least_a"), "least_b"))
-    edges = written(edges.where(shared >= (similarity - SLACK) * F.size(union)).select("a", "b"))
+    edges = late.written(edges.where(shared >= (similarity - SLACK) * F.size(union)).select("a", "b").distinct())
+    early.drop()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, have = None, frozenset()
@@ -231,24 +239,33 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                 keep.append(both >= similarity * (len(own) + len(have) - both))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ends = written(ends)
+    ends = late.written(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
-    one = written(rows.join(ends, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    # Of several texts under one id the one with the smallest hash is compared.
+    several = ids.groupBy("id").agg(F.min("h").alias("h"), F.count("*").alias("n")).where("n > 1").select("id", F.col("h").alias("least_h"))
+    one = rows.join(ends, "id", "left_semi")
+    if not (several := late.written(several)).isEmpty():
+        one = one.join(several, "id", "left").where(F.coalesce(F.col("h") == F.col("least_h"), F.lit(True))).groupBy("id").agg(F.min("text").alias("text"))
 
     def sure(some: DataFrame) -> DataFrame:
         linked = some.join(one.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
         linked = linked.join(one.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
-        return written(linked.mapInArrow(verify, "a long, b long"))
+        out = late.written(linked.mapInArrow(verify, "a long, b long").distinct())
+        freed(spark)
+        return out
 
     # Texts travel with few links: one of each document first, then only those between what isn't connected yet.
-    first = written(edges.groupBy("a").agg(F.min("b").alias("b")))
+    first = late.written(edges.groupBy("a").agg(F.min("b").alias("b")))
     good = sure(first)
-    comp = written(connected_components(good))
+    comp = late.written(connected_components(good))
     part = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
     rest = edges.join(first, ["a", "b"], "left_anti").join(part("a"), "a", "left").join(part("b"), "b", "left")
     rest = rest.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
-    comp = connected_components(good.union(sure(rest)))
-    of = texts.join(comp, texts["root"] == comp["node"], "left").select("same", F.coalesce("component", "root").alias("component_id"))
-    return fps.join(of, "same").select(F.col("id").alias("doc_id"), "component_id")
+    comp = written(connected_components(good.union(sure(rest))))
+    late.drop()
+    roots = ids.groupBy("same").agg(F.min("id").alias("root"))
+    of = roots.join(comp, roots["root"] == comp["node"], "left").select("same", F.coalesce("component", "root").alias("component_id"))
+    # An id with several texts is in the components of all of them: the smallest counts.
+    found = ids.join(of, "same").groupBy("id").agg(F.min("component_id").alias("component_id"))
+    return found.select(F.col("id").alias("doc_id"), "component_id")
