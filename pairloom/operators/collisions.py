@@ -51,7 +51,7 @@ def pair_block() -> Column:
 def national_conflict() -> Column:
     """Over the same columns, for same-brand pairs: the first explicit contradiction of an exact product, or null."""
     c = F.col
-    a, short, full, title = c("g_a"), c("g_short"), c("g_short"), c("g_title")
+    a, short, full, title = c("g_a"), c("g_short"), c("g_full"), c("g_title")
     missing = lambda phrases, z=short: guards.any_of(a, phrases) & ~guards.any_of(z, phrases)
     colors = "white yellow pink red blue green black brown purple orange gold silver gray grey beige".split()
     present = lambda z, names: F.array_compact(F.array(*[F.when(guards.has(z, n), n) for n in names]))
@@ -68,26 +68,26 @@ def national_conflict() -> Column:
     stages = ("puppy", "kitten")
     return F.when(
         c("brand_policy").isin("SAME", "SAME_INFERRED"),
-        F.when(shared & ~fits, "NATIONAL_MODEL_PART")
-        .when(missing(("zero sugar", "sugar free", "sugarfree", "no sugar")), "NATIONAL_SUGAR_STATUS_UNRESOLVED")
-        .when(missing(("unscented", "fragrance free", "fragrancefree")), "NATIONAL_SCENT_STATUS_UNRESOLVED")
-        .when(missing(("organic",), full), "NATIONAL_ORGANIC_STATUS_UNRESOLVED")
-        .when(guards.has(a, "foundation") & ~guards.any_of(short, ("foundation", "tint")), "NATIONAL_FOUNDATION_VARIANT_UNRESOLVED")
-        .when(differ(colors), "NATIONAL_COLOR_VARIANT")
-        .when(differ(("boy", "boys", "girl", "girls")) | differ(("men", "women")), "NATIONAL_AUDIENCE_VARIANT")
-        .when(guards.has(a, "roast") & guards.has(title, "roast") & differ(("light", "medium", "dark")), "NATIONAL_ROAST_VARIANT")
-        .when(differ(("clinical", "advanced", "maximum", "regular"), short), "NATIONAL_TIER_VARIANT")
-        .when(differ(("balsamic", "ranch", "italian", "caesar")), "NATIONAL_DRESSING_VARIANT")
-        .when(differ(("retinol", "hyaluronic", "salicylic", "benzoyl"), short), "NATIONAL_ACTIVE_VARIANT")
-        .when(differ(("express", "overnight")), "NATIONAL_TIMING_VARIANT")
-        .when(guards.named_variant_conflict(a, title), "NATIONAL_NAMED_VARIANT")
-        .when(missing(("low sodium", "reduced sodium")), "NATIONAL_SODIUM_STATUS_UNRESOLVED")
-        .when(guards.any_of(a, ("nighttime", "daytime")) & ((guards.has(a, "nighttime") & ~guards.has(short, "nighttime")) | (guards.has(a, "daytime") & ~guards.has(short, "daytime"))), "NATIONAL_TIME_FORMULA_UNRESOLVED")
-        .when(missing(stages[:1]) | missing(stages[1:]), "NATIONAL_LIFE_STAGE_UNRESOLVED")
-        .when(F.coalesce(total, F.lit(False)), "NATIONAL_TOTAL_COUNT")
-        .when(lead.isNotNull() & ~F.coalesce(confirmed, F.lit(False)), "NATIONAL_MULTIPACK_UNCONFIRMED")
-        .when(missing(("bonus",)), "NATIONAL_BONUS_CONFIG")
-        .when(guards.any_of(a, ("broom", "faucet", "starter kit", "bundle")) & ~guards.any_of(short, ("broom", "faucet", "starter kit", "bundle")), "NATIONAL_ROLE_BUNDLE"),
+        F.when(shared & ~fits, "V17_NATIONAL_MODEL_PART")
+        .when(missing(("zero sugar", "sugar free", "sugarfree", "no sugar")), "V17_NATIONAL_SUGAR_STATUS_UNRESOLVED")
+        .when(missing(("unscented", "fragrance free", "fragrancefree")), "V17_NATIONAL_SCENT_STATUS_UNRESOLVED")
+        .when(missing(("organic",), full), "V17_NATIONAL_ORGANIC_STATUS_UNRESOLVED")
+        .when(guards.has(a, "foundation") & ~guards.any_of(short, ("foundation", "tint")), "V17_NATIONAL_FOUNDATION_VARIANT_UNRESOLVED")
+        .when(differ(colors), "V17_NATIONAL_COLOR_VARIANT")
+        .when(differ(("boy", "boys", "girl", "girls")) | differ(("men", "women")), "V17_NATIONAL_AUDIENCE_VARIANT")
+        .when(guards.has(a, "roast") & guards.has(title, "roast") & differ(("light", "medium", "dark")), "V17_NATIONAL_ROAST_VARIANT")
+        .when(differ(("clinical", "advanced", "maximum", "regular"), short), "V17_NATIONAL_TIER_VARIANT")
+        .when(differ(("balsamic", "ranch", "italian", "caesar")), "V17_NATIONAL_DRESSING_VARIANT")
+        .when(differ(("retinol", "hyaluronic", "salicylic", "benzoyl"), short), "V17_NATIONAL_ACTIVE_VARIANT")
+        .when(differ(("express", "overnight")), "V17_NATIONAL_TIMING_VARIANT")
+        .when(guards.named_variant_conflict(a, title), "V17_NATIONAL_NAMED_VARIANT")
+        .when(missing(("low sodium", "reduced sodium")), "V17_NATIONAL_SODIUM_STATUS_UNRESOLVED")
+        .when(guards.any_of(a, ("nighttime", "daytime")) & ((guards.has(a, "nighttime") & ~guards.has(short, "nighttime")) | (guards.has(a, "daytime") & ~guards.has(short, "daytime"))), "V17_NATIONAL_TIME_FORMULA_UNRESOLVED")
+        .when(missing(stages[:1]) | missing(stages[1:]), "V17_NATIONAL_LIFE_STAGE_UNRESOLVED")
+        .when(F.coalesce(total, F.lit(False)), "V17_NATIONAL_TOTAL_COUNT")
+        .when(lead.isNotNull() & ~F.coalesce(confirmed, F.lit(False)), "V17_NATIONAL_MULTIPACK_UNCONFIRMED")
+        .when(missing(("bonus",)), "V17_NATIONAL_BONUS_CONFIG")
+        .when(guards.any_of(a, ("broom", "faucet", "starter kit", "bundle")) & ~guards.any_of(short, ("broom", "faucet", "starter kit", "bundle")), "V17_NATIONAL_ROLE_BUNDLE"),
     )
 
 
@@ -148,12 +148,14 @@ def identity_conflicts(rows: DataFrame) -> DataFrame:
 def demotions(matches: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(row_key, reason): the first reason, in the order of the checks, to send a provisional match to review.
 
-    matches: row_key, target, name_A, name_B, brand_B, description_B, size_B, brand_policy.  keep: may store a step's rows, which later steps read several times.
+    matches: row_key, target, name_A, name_B, brand_B, description_B, info_B (may be missing), size_B, brand_policy.  keep: may store a step's rows, which later steps read several times.
     """
     m = matches.withColumn("amounts_A", Q.amounts(F.col("name_A"))).withColumn("amounts_size", Q.amounts(F.col("size_B")))
     title, text = F.col("name_A"), F.concat_ws(" ", "name_B", F.substring("description_B", 1, 1200))
     m = m.withColumn("g_a", guards.padded(title)).withColumn("g_b", guards.padded(text)).withColumn("g_title", guards.padded(F.col("name_B")))
-    m = m.withColumn("g_short", guards.padded(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 260)))).withColumn("g_ca", Q.count_values(title)).withColumn("g_cb", Q.count_values(F.col("size_B")))
+    m = m if "info_B" in m.columns else m.withColumn("info_B", F.lit(""))
+    short = F.concat_ws(" ", "name_B", F.substring("description_B", 1, 220))
+    m = m.withColumn("g_short", guards.padded(short)).withColumn("g_full", guards.padded(F.concat_ws(" ", short, F.substring("info_B", 1, 260)))).withColumn("g_ca", Q.count_values(title)).withColumn("g_cb", Q.count_values(F.col("size_B")))
     m = m.withColumn("block", pair_block()).withColumn("conflict", national_conflict()).withColumn("reason", F.coalesce("block", "conflict"))
     m = keep(m)
     alive = keep(size_preference(size_errors(m.where("reason is null"))))

@@ -26,9 +26,9 @@ def scored_pairs(a: DataFrame, b: DataFrame, lexicon: list | None = None, unicod
 
 def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
     """Provisional matches with the target's metadata; of targets with one item id the last."""
-    meta = b.groupBy(F.col("item_id").alias("target")).agg(F.max_by(F.struct("brand_raw", "description", "sizing_comp"), "b_index").alias("m"))
+    meta = b.groupBy(F.col("item_id").alias("target")).agg(F.max_by(F.struct("brand_raw", "description", "sizing_comp", "item_info"), "b_index").alias("m"))
     rows = verdicts.where("final_verdict = 'MATCH'").select("row_key", F.col("selected_item_id_B").alias("target"), "name_A", "name_B", "brand_policy")
-    return rows.join(meta, "target").select("row_key", "target", "name_A", "name_B", "brand_policy", F.col("m.brand_raw").alias("brand_B"), F.substring("m.description", 1, 2000).alias("description_B"), T.friendly_size(T.jsonish(F.col("m.sizing_comp"))).alias("size_B"))
+    return rows.join(meta, "target").select("row_key", "target", "name_A", "name_B", "brand_policy", F.col("m.brand_raw").alias("brand_B"), F.substring("m.description", 1, 2000).alias("description_B"), F.substring("m.item_info", 1, 400).alias("info_B"), T.friendly_size(T.jsonish(F.col("m.sizing_comp"))).alias("size_B"))
 
 
 def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True) -> DataFrame:

@@ -58,7 +58,58 @@ def test_near_clusters_follow_row_order(spark):
 
 def test_net_contents():
     assert certify.net_of("6 pack cola 12 fl oz")[1] == pytest.approx(6 * 12 * 29.5735295625)
-    assert certify.net_of("bar 20g protein 2 oz")[3] == "package" and certify.net_of("soap") == (None, None, None, None)
+    assert certify.net_of("bar 20g protein 2 oz")[3] == "package" and certify.net_of("soap") == (None,) * 5
+
+
+REASONS = [
+    ("Clear pregnancy test 2 tests", "Pregnancy test 3 count", "", "", "SAME", "POLISH_PREGNANCY_COUNT_2_VS_3"),
+    ("Bars 6 count", "Bars", "", "12 ct", "OTHER", "POLISH_COUNT_MISMATCH_6_VS_12"),
+    ("Drink 20 fl oz", "Drink", "", "8 x 20 fl oz", "SAME", "POLISH_B_MULTIPACK_VS_A_SINGLE"),
+    ("6 x 12 fl oz cola", "Cola", "", "12 fl oz", "SAME", "POLISH_OUTER_PACK_NET_MISMATCH"),
+    ("Milk boxes 8 fl oz, 12 count", "Milk", "", "8 fl oz", "SAME", "POLISH_OUTER_COUNT_VS_SINGLE"),
+    ("Milk boxes 8 fl oz, 12 count", "Milk", "a 12 pack", "8 fl oz", "SAME", None),
+    ("Bar 2 oz, 4 ct", "Bar", "", "2 oz", "SAME", "POLISH_OUTER_COUNT_VS_SINGLE"),
+    ("Roast 10 k-cup pods", "Roast 12 count", "", "", "SAME", "POLISH_KCUP_COUNT_10_VS_12"),
+    ("Unsweetened tea", "Tea", "", "", "SAME", "POLISH_NATIONAL_UNSWEET_VARIANT"),
+    ("Hot & Spicy chips", "Chips", "", "", "SAME", "POLISH_NATIONAL_HOT_SPICY_VARIANT"),
+    ("Hot spicy chips", "Chips hot flavor", "", "", "SAME", None),
+    ("Maple sausage", "Sausage", "", "", "SAME_INFERRED", "POLISH_NATIONAL_MAPLE_VARIANT"),
+    ("Mushroom sauce", "Sauce", "x" * 251 + " mushroom", "", "SAME", "POLISH_NATIONAL_MUSHROOM_VARIANT"),
+    ("Green tea", "Lemon ginger", "", "", "SAME", "POLISH_NATIONAL_TEA_TYPE"),
+    ("Dentastix fresh", "Dentastix original", "", "", "SAME", "POLISH_NATIONAL_DENTASTIX_FLAVOR"),
+    ("Stitch cup", "Moana cup", "", "", "SAME", "POLISH_NATIONAL_CHARACTER_VARIANT"),
+    ("Pine wonderland candle", "Candle", "", "", "SAME", "POLISH_NATIONAL_SCENT_VARIANT"),
+    ("Single serve packet mayo", "Mayo jar", "", "", "SAME", "POLISH_NATIONAL_CONTAINER_FORMAT"),
+    ("Whitening protection low sodium", "Paste", "", "", "SAME", "POLISH_NATIONAL_WHITENING_VARIANT"),
+    ("Low sodium soup", "Soup", "", "", "SAME", "POLISH_NATIONAL_SODIUM_VARIANT"),
+    ("Buttermilk ranch", "Classic ranch", "", "", "SAME", "POLISH_NATIONAL_RANCH_VARIANT"),
+    ("Buttermilk ranch", "Ranch", "classic ranch", "", "SAME", None),
+    ("Deep conditioner", "Conditioner", "deep conditioner", "", "SAME", "POLISH_NATIONAL_DEEP_CONDITIONER_ROLE"),
+    ("Cool mint gum", "Gum spearmint", "", "", "SAME", "POLISH_NATIONAL_EXPLICIT_MINT_VARIANT"),
+    ("Nasal strips tan", "Nasal strips clear", "", "", "SAME", "POLISH_NATIONAL_COLOR_VARIANT"),
+    ("Nasal strips clear", "Strips tan", "", "", "SAME", "POLISH_NATIONAL_COLOR_VARIANT"),
+    ("Pear halves", "Pears sliced", "", "", "PRIVATE", "POLISH_PRIVATE_CUT_FORM"),
+    ("Fat free milk", "Milk", "", "", "PRIVATE", "POLISH_PRIVATE_FAT_STATUS"),
+    ("Reduced sodium soup", "Soup", "", "", "PRIVATE", "POLISH_PRIVATE_SODIUM_STATUS"),
+    ("Reduced sodium soup", "Soup", "", "", "COMMODITY", None),
+]
+
+
+def test_each_reason_of_the_last_check(spark):
+    rows = [(i, f"t{i}", *r[:2], r[2], "", *r[3:5]) for i, r in enumerate(REASONS)]
+    df = spark.createDataFrame(rows, "row_key long, target string, name_A string, name_B string, description_B string, info_B string, size_B string, brand_policy string")
+    got = {r.row_key: r.reason for r in certify.judged(df).collect()}
+    assert [got[i] for i in range(len(rows))] == [r[5] for r in REASONS]
+    codes = {r.code for r in (*certify.NATIONAL, *certify.PRIVATE, *certify.COLOR)}
+    assert codes <= set(got.values())
+
+
+def test_organic_only_in_metadata_is_no_conflict(spark):
+    from pairloom.operators import collisions
+
+    rows = [(1, "t1", "Acme organic oats", "Acme oats", "acme", "", info, "", "SAME") for info in ("organic: yes",)] + [(2, "t2", "Acme organic oats", "Acme oats", "acme", "", "", "", "SAME")]
+    df = spark.createDataFrame(rows, "row_key long, target string, name_A string, name_B string, brand_B string, description_B string, info_B string, size_B string, brand_policy string")
+    assert {r.row_key: r.reason for r in collisions.demotions(df).collect()} == {2: "V17_NATIONAL_ORGANIC_STATUS_UNRESOLVED"}
 
 
 def test_failed_requests_are_halved(spark):
