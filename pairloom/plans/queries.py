@@ -5,7 +5,7 @@ The part table plays both catalogs (even keys against odd keys), see sources.cat
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import quantity as Q
@@ -13,6 +13,7 @@ from ..functions import similarity as M
 from ..functions import text as T
 from ..operators import blocking, report
 from ..sources.catalog import part_catalogs
+from . import verdict_queries
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,13 +83,6 @@ def quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return size.select("row_key", F.round(Q.first_of(Q.quantities(F.col("nt")), "mass_g"), 6).alias("mass_g"))
 
 
-def best_and_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Argmax with runner-up margin: the dearest order of each customer, ties to the smaller key."""
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    rows = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice", F.row_number().over(w).alias("n"), F.lead("o_totalprice").over(w).alias("second"))
-    return rows.where("n = 1").select("o_custkey", "o_orderkey", F.round(F.when(F.col("second").isNull(), F.lit(0.0)).otherwise(F.col("o_totalprice") - F.col("second")), 4).alias("margin"))
-
-
 def calibrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _table(spark, sf_dir, "lineitem").select("l_discount").distinct()
     return raw.select("l_discount", F.round(M.calibrated(F.col("l_discount") * 10, 6.564689133174299, -5.141619688855791), 9).alias("match"), F.round(M.calibrated(F.col("l_discount") * 10, 8.309152766631854, -3.6557118086781757), 9).alias("nonmatch"))
@@ -161,14 +155,6 @@ def coverage_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("n"))
 
 
-def priority_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best 40 orders of each status, then the best 100 of all, ties by key text descending."""
-    order = lambda k: (F.desc("o_totalprice"), F.col(k).cast("string").desc())
-    n = F.row_number().over(Window.partitionBy("o_orderstatus").orderBy(*order("o_orderkey")))
-    rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", n.alias("n")).where("n <= 40")
-    return rows.orderBy(*order("o_orderkey")).limit(100).select("o_orderkey", "o_orderstatus")
-
-
 def dimension_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("", F.col("p_size").cast("string"), F.lit(" x "), (F.col("p_size") + 2).cast("string"), F.lit(" in")).alias("s"))
     return part.select("p_partkey", F.array_join(F.transform(Q.dimensions(F.col("s")), lambda x: F.round(x, 1).cast("string")), "/").alias("mm"))
@@ -196,13 +182,6 @@ def link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(a, b, unicode=False).select("row_key", "item_id_A", "selected_item_id_B", "final_verdict", "decision_reason")
 
 
-def net_size_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators import certify
-
-    part = _table(spark, sf_dir, "part").select(F.concat_ws("|", "p_name", "p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.col("p_size").alias("value"))
-    return certify.near_clusters(part)
-
-
 def fake_adjudication(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers of a stand-in client to a packet for each nation."""
     from ..operators import adjudicate
@@ -214,14 +193,14 @@ def fake_adjudication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adjudicate.ask(rows.select("row_key", F.to_json(F.struct("row_key")).alias("payload")), client)
 
 
-#: Queries that SQL can't express: order-dependent clusters, an outside client, and rules over match places.
-ROWS_ONLY = ("fact_counts", "link_verdicts", "net_size_clusters", "fake_adjudication")
+#: Queries that SQL can't express: an outside client, and rules over match places.
+ROWS_ONLY = ("fact_counts", "link_verdicts", "fake_adjudication")
 QUERIES = {
     f.__name__: f
     for f in (
         candidate_topk, norm_title, core_tokens, numeric_tokens, doc_freq, exact_title_join, rare_token_top4, number_blocking, pair_token_similarity, numeric_similarity, quantities,
-        best_and_margin, calibrate, profile_blanks, pair_diff, override_merge, reason_histogram, common_tokens, size_preference, json_values,
-        deep_shortlist, retrieval_floor_stub, html_strip, coverage_anti_join, priority_queue, dimension_signature, pack_counts, fact_counts, link_verdicts, net_size_clusters, fake_adjudication,
+        calibrate, profile_blanks, pair_diff, override_merge, reason_histogram, common_tokens, size_preference, json_values,
+        deep_shortlist, retrieval_floor_stub, html_strip, coverage_anti_join, dimension_signature, pack_counts, fact_counts, link_verdicts, fake_adjudication,
     )
 }
 
@@ -285,8 +264,6 @@ ORACLES = {
     "numeric_similarity": """WITH r AS (SELECT abs(x - y) / greatest(abs(x), abs(y), 1e-9) AS r FROM (SELECT l_quantity / 25 AS x, l_extendedprice / l_quantity / 1000 AS y FROM lineitem))
     SELECT CASE WHEN r <= 0.005 THEN 1.0 WHEN r <= 0.03 THEN 0.90 WHEN r <= 0.10 THEN 0.45 ELSE 0.0 END::DOUBLE AS sim, count(*) AS n FROM r GROUP BY 1""",
     "quantities": "SELECT p_partkey // 2 AS row_key, round(p_size * 28.349523125::DOUBLE, 6) AS mass_g FROM part WHERE p_partkey % 2 = 0",
-    "best_and_margin": """SELECT o_custkey, o_orderkey, round(CASE WHEN second IS NULL THEN 0 ELSE o_totalprice - second END, 4) AS margin FROM (
-        SELECT *, row_number() OVER w AS n, lead(o_totalprice) OVER w AS second FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)) WHERE n = 1""",
     "calibrate": "SELECT DISTINCT l_discount, round(1 / (1 + exp(-(l_discount * 10 * 6.564689133174299 - 5.141619688855791))), 9) AS match, round(1 / (1 + exp(-(l_discount * 10 * 8.309152766631854 - 3.6557118086781757))), 9) AS nonmatch FROM lineitem",
     "profile_blanks": """WITH d AS (SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
     s AS (SELECT count(*) AS rows, count(DISTINCT doc_id) AS ids, count(*) FILTER (lang IS NULL OR trim(lang) = '') AS l, count(*) FILTER (quality IS NULL) AS q, count(*) FILTER (toxic IS NULL) AS t FROM d)
@@ -312,8 +289,9 @@ ORACLES |= {
     WHERE p_partkey % 2 = 0 AND p_partkey // 2 NOT IN (SELECT row_key FROM ({_TOP}) WHERE retrieval_rank = 1 AND retrieval_score >= 4.5)""",
     "html_strip": "SELECT page_id, md5(t) AS digest, length(t) AS n_chars FROM (SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM pages)",
     "coverage_anti_join": "SELECT source, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1",
-    "priority_queue": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, CAST(o_orderkey AS VARCHAR) DESC) AS n FROM orders)
-    SELECT o_orderkey, o_orderstatus FROM r WHERE n <= 40 ORDER BY o_totalprice DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 100""",
     "dimension_signature": "SELECT p_partkey, CAST(round(p_size * 25.4::DOUBLE, 1) AS VARCHAR) || '/' || CAST(round((p_size + 2) * 25.4::DOUBLE, 1) AS VARCHAR) AS mm FROM part",
     "pack_counts": """SELECT p_partkey, array_to_string(list_sort(list_distinct([p_size % 4 + 2, p_size + 10] || CASE WHEN p_size % 4 + 2 <> p_size + 10 THEN [(p_size % 4 + 2) * (p_size + 10)] ELSE [] END)), ',') AS counts FROM part""",
 }
+
+QUERIES |= verdict_queries.QUERIES
+ORACLES |= verdict_queries.ORACLES

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """df written under spark.checkpoint.dir and read again; a temporary folder only where that is unset (local runs)."""
+    """df written under spark.checkpoint.dir and read again; a temporary folder only where that is unset in local mode."""
     spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='pairloom-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/pairloom-stages/{uuid.uuid4().hex}"

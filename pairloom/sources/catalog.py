@@ -34,11 +34,13 @@ def catalog(df: DataFrame) -> DataFrame:
 def keyed(df: DataFrame, key: str, *order: str) -> DataFrame:
     """df with a dense number from 0 in the given order.
 
-    Ranges are sorted and counted apart, so no task sees all rows: partition sizes are summed on the driver, one number for each partition.
+    Ranges are sorted and written apart, so no task sees all rows and a lost executor changes no number: partition sizes are summed on the driver, one for each partition.
     """
+    from ..plans.stages import staged
+
     spark = df.sparkSession
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
-    ranged = ranged.persist()
+    ranged = staged(ranged)
     sizes = sorted(ranged.groupBy("__part").agg(F.count("*").alias("n"), F.min("__at").alias("low")).collect())
     starts, total = [], 0
     for r in sizes:
