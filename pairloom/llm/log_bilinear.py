@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, written
 
-WORDS = 8192
-BUCKETS = 2048
+WORDS = 4096
+BUCKETS = 1024
 #: Last bytes of a rarer token that choose its bucket.
 TAIL = 3
 DIM = 16
@@ -47,7 +47,7 @@ SHARDS = 4096
 WARM = 1_000_000
 CHUNK = 500_000
 #: Places scored at once.
-PLACES = 8192
+PLACES = 32_768
 #: Passes over a corpus smaller than WARM bring it to so many tokens, but they are no more than PASSES.
 SMALL, PASSES = 4_000_000, 8
 #: Shards that one task averages; floats in a slice of the parameters.
