@@ -1,7 +1,7 @@
 """Phrase dictionaries: which words of a title state which attribute.
 
 A lexicon is a parameter: a list of (attribute, phrase).  DEFAULT holds the attributes that decide matches most often; callers
-pass a longer one for theirs.  Phrases match on word boundaries, punctuation aside: 2% is the word 2.
+pass a longer one for theirs, from a file of their own with sources.config.read_lexicon.  Phrases match on word boundaries, punctuation aside: 2% is the word 2.
 """
 
 from __future__ import annotations
@@ -35,13 +35,34 @@ DEFAULT = {
     "produce_species": "strawberry, strawberries, apple, apples, banana, bananas, orange, oranges, tomato, tomatoes, potato, potatoes, onion, onions, carrot, carrots, corn, lettuce",
     "product_line": "simply, sport, kids, baby, professional, zero sugar, diet, ultra, complete, original",
     "packaging_form": "bottle, jar, can, box, bag, pouch, tube, carton, tray, tub, cup, packet",
+    "meat_cut": "breast, breasts, thigh, thighs, wing, wings, drumstick, drumsticks, tenderloin, tenderloins, sirloin, ribeye, rib eye, chuck, round, loin, shoulder, brisket, ribs, steak, steaks",
+    "egg_size_grade": "peewee, small, medium, large, extra large, jumbo, grade aa, grade a",
+}
+#: Attributes read from the whole text of a product.
+WHOLE_TEXT = {
     "light_bulb_base": "e26, e12, gu10, gu24, g9, g4, mr16",
+    "light_bulb_shape": "a19, a15, br30, br40, par20, par30, par38, g25, st19, t8, t12",
+    "connector_type": "usb-c, usb-a, lightning, hdmi, displayport, micro usb, 3.5mm",
+    "battery_spec": "aa, aaa, c battery, d battery, 9v, cr2032, cr2025, lithium, alkaline, rechargeable",
+    "occasion_or_holiday": "christmas, halloween, valentine, valentine's day, easter, thanksgiving, birthday, graduation, wedding, hanukkah",
+    "target_audience": "men, women, boys, girls, kids, children, adult, unisex",
+    "durable_material": "cotton, polyester, stainless steel, steel, aluminum, plastic, glass, wood, silicone, ceramic, leather, rubber",
+    "formula_base": "milk based, soy based, goat milk, hypoallergenic, gentle, sensitive",
+    "wine_varietal": "cabernet sauvignon, sauvignon blanc, pinot noir, pinot grigio, pinot gris, chardonnay, merlot, riesling, malbec, syrah, shiraz, zinfandel, moscato, prosecco",
 }
+#: Qualities of attributes whose phrases aren't worth 0.94 (0.90 for a status).
+QUALITY = {
+    "packaging_form": 0.82, "product_line": 0.86, "egg_size_grade": 0.92, "light_bulb_base": 0.98, "light_bulb_shape": 0.98, "connector_type": 0.95, "battery_spec": 0.90, "occasion_or_holiday": 0.92,
+    "target_audience": 0.78, "durable_material": 0.80, "formula_base": 0.90, "wine_varietal": 0.95,
+}
+#: Attributes with one value: the first of the phrases found, by spelling.
+SINGLE = {"packaging_form", "wine_varietal"}
 #: Attributes read from title and tags; all others from the title.
 STATUS = {"organic_status", "gluten_status", "sugar_status", "sodium_status", "fat_level", "caffeine_status", "carbonation_status"}
 CANON = {
     "strawberries": "strawberry", "blueberries": "blueberry", "raspberries": "raspberry", "cherries": "cherry", "barbecue": "bbq", "apples": "apple", "bananas": "banana",
-    "oranges": "orange", "tomatoes": "tomato", "potatoes": "potato", "onions": "onion", "carrots": "carrot",
+    "oranges": "orange", "tomatoes": "tomato", "potatoes": "potato", "onions": "onion", "carrots": "carrot", "breasts": "breast", "thighs": "thigh", "wings": "wing", "drumsticks": "drumstick", "tenderloins": "tenderloin",
+    "steaks": "steak",
 }
 FAMILIES = {
     "medicine": "medicine, medication, pain relief, cold cough, allergy, pharmacy, ibuprofen, acetaminophen, aspirin",

@@ -67,3 +67,8 @@ def numeric_value(dim: Column, other: Column, a: Column, b: Column) -> Column:
 def queue_priority(support: Column, raw: Column, functional: Column, nonmatch: Column, verdict: Column, policy: Column) -> Column:
     bonus = F.when(verdict == "REVIEW", 0.08).otherwise(0.0) + F.when(policy == "PRIVATE", 0.06).otherwise(0.0)
     return support + 0.35 * raw + 0.22 * functional - 0.25 * nonmatch + bonus
+
+
+def quantity_relation(similarity: Column) -> Column:
+    """COMPATIBLE from 0.72 on, else CONFLICT; UNKNOWN for null, negative and exact zero, which stands for no value."""
+    return F.when(F.coalesce(similarity, F.lit(-1.0)) <= 0, "UNKNOWN").when(similarity >= 0.72, "COMPATIBLE").otherwise("CONFLICT")

@@ -12,48 +12,65 @@ from ..functions import text as T
 QUANTITY_ATTRS = "net_weight net_volume declared_count pack_structure active_strength spf alcohol_strength_abv juice_percentage electrical_voltage wattage storage_capacity paper_ply rated_use_count light_output_lumens light_color_temperature".split()
 HIGH_THRESHOLD = [a for a in QUANTITY_ATTRS if a != "juice_percentage"] + ["normalized_total_quantity", "dimension_signature"]
 MATCH_CLUSTERS = {
-    "net_quantity": "net_weight net_volume normalized_total_quantity", "pack_count": "declared_count pack_structure", "broad_product_family": "product_family canonical_category",
-    "functional_identity": "functional_name canonical_subcategory", "brand_identity": "brand product_line", "state_form": "storage_state physical_state",
-    "flavor_variant": "flavor", "medicine_identity": "active_strength dosage_form", "bulb_identity": "light_bulb_base light_output_lumens light_color_temperature",
+    "net_quantity": "net_weight net_volume normalized_total_quantity", "pack_count": "declared_count pack_structure component_piece_count", "broad_product_family": "product_family canonical_category",
+    "functional_identity": "functional_name canonical_subcategory", "brand_identity": "brand sub_brand product_line", "state_form": "storage_state physical_state preparation_state",
+    "flavor_variant": "flavor variant_name", "scent_variant": "scent", "medicine_identity": "active_ingredient active_strength dosage_form route_of_administration release_type",
+    "bulb_identity": "light_bulb_base light_bulb_shape light_output_lumens light_color_temperature light_watt_equivalent",
 }
-CONFLICT_CLUSTERS = {k: v for k, v in MATCH_CLUSTERS.items() if k not in ("pack_count", "brand_identity", "bulb_identity")}
+CONFLICT_CLUSTERS = {k: v for k, v in MATCH_CLUSTERS.items() if k not in ("pack_count", "brand_identity", "scent_variant", "bulb_identity")}
 IDENTITY = "brand functional_name product_family model_or_part_identifier canonical_category canonical_subcategory".split()
-DIET = "organic_status gluten_status sugar_status sodium_status fat_level".split()
+DIET = "organic_status gluten_status sugar_status sodium_status fat_level lactose_status vegan_vegetarian_status non_gmo_status".split()
 NEVER_VETO = "canonical_category product_family functional_name canonical_subcategory model_or_part_identifier".split()
 VETO = {
-    "brand": "V002", "normalized_total_quantity": "V008", "declared_count": "V008", "pack_structure": "V009", "refill_vs_starter_kit": "V010", "storage_state": "V011",
-    "physical_state": "V012", "flavor": "V013", "scent": "V013", "produce_species": "V015", "meat_species": "V017", "grind_type": "V018", "bone_state": "V018", "skin_state": "V018",
-    "ground_meat_lean_fat_ratio": "V019", "seafood_species": "V020", "carbonation_status": "V025", "caffeine_status": "V026", "juice_percentage": "V027", "fat_level": "V028",
-    "alcohol_strength_abv": "V032", "vintage": "V033", "active_strength": "V035", "dosage_form": "V036", "coffee_format": "V067", "spf": "V039", "baby_stage": "V045",
-    "diaper_size": "V047", "pet_species": "V048", "paper_ply": "V052", "rated_use_count": "V053", "dimension_signature": "V054", "electrical_voltage": "V055",
-    "light_bulb_base": "V056", "light_output_lumens": "V058", "light_color_temperature": "V058", "storage_capacity": "V061",
+    "canonical_category": "V001", "brand": "V002", "functional_name": "V004", "product_family": "V005", "model_or_part_identifier": "V006", "variant_name": "V007", "normalized_total_quantity": "V008",
+    "declared_count": "V008", "pack_structure": "V009", "refill_vs_starter_kit": "V010", "storage_state": "V011", "physical_state": "V012", "flavor": "V013", "scent": "V013", "protein_source": "V066",
+    "produce_species": "V015", "produce_form": "V016", "meat_species": "V017", "meat_cut": "V017", "grind_type": "V018", "bone_state": "V018", "skin_state": "V018", "ground_meat_lean_fat_ratio": "V019",
+    "seafood_species": "V020", "egg_size_grade": "V021", "egg_production_method": "V022", "beverage_type": "V023", "water_source_treatment_type": "V024", "carbonation_status": "V025",
+    "caffeine_status": "V026", "juice_percentage": "V027", "milk_type": "V028", "fat_level": "V028", "cheese_type": "V029", "alcohol_class": "V030", "wine_varietal": "V031",
+    "alcohol_strength_abv": "V032", "vintage": "V033", "origin_region_appellation": "V033", "active_ingredient": "V034", "active_strength": "V035", "dosage_form": "V036", "coffee_format": "V067",
+    "route_of_administration": "V037", "release_type": "V038", "spf": "V039", "shade": "V040", "finish": "V041", "hair_type": "V042", "skin_type": "V042", "absorbency": "V043", "bristle_firmness": "V044",
+    "baby_stage": "V045", "formula_base": "V046", "diaper_size": "V047", "pet_species": "V048", "pet_life_stage": "V049", "pet_litter_clumping_status": "V050", "footwear_size_compatibility": "V051",
+    "paper_ply": "V052", "rated_use_count": "V053", "dimension_signature": "V054", "electrical_voltage": "V055", "light_bulb_base": "V056", "light_bulb_shape": "V057", "light_output_lumens": "V058",
+    "light_color_temperature": "V058", "light_watt_equivalent": "V058", "connector_type": "V059", "battery_spec": "V060", "storage_capacity": "V061", "theme_or_franchise": "V062",
+    "occasion_or_holiday": "V063",
 }
-ASYMMETRIC = "flavor scent waterproof_status washable_longwear_status meat_species produce_species sugar_status caffeine_status coffee_format dosage_form spf pet_species diaper_size refill_vs_starter_kit product_line light_bulb_base model_or_part_identifier bundle_flag assortment_flag".split()
+ASYMMETRIC = "flavor scent shade waterproof_status washable_longwear_status meat_species meat_cut produce_species protein_source sugar_status caffeine_status coffee_format dosage_form release_type spf pet_species pet_life_stage formula_base diaper_size absorbency refill_vs_starter_kit product_line light_bulb_base light_bulb_shape model_or_part_identifier bundle_flag assortment_flag".split()
 GROUPS = {
-    "identity": "brand brand_type product_line functional_name product_family model_or_part_identifier",
-    "quantity_packaging": "net_weight net_volume declared_count pack_structure normalized_total_quantity piece_weight variable_weight_flag billed_by_weight ordered_by_weight bundle_flag assortment_flag packaging_form refill_vs_starter_kit rated_use_count dimension_signature",
-    "form_variant": "flavor scent storage_state physical_state",
-    "food_composition": "meat_species grind_type bone_state skin_state seafood_species produce_species organic_status gluten_status sugar_status sodium_status fat_level caffeine_status carbonation_status juice_percentage coffee_format alcohol_strength_abv vintage ground_meat_lean_fat_ratio",
-    "health_personal_care": "active_strength dosage_form spf waterproof_status washable_longwear_status",
-    "baby_pet": "baby_stage diaper_size pet_species",
-    "durable_apparel": "electrical_voltage wattage storage_capacity",
-    "household_tech": "light_bulb_base light_output_lumens light_color_temperature paper_ply",
+    "identity": "brand brand_type sub_brand product_line functional_name product_family model_or_part_identifier variant_name usage_function target_surface_or_body_area compatibility",
+    "quantity_packaging": "net_weight net_volume declared_count pack_structure normalized_total_quantity piece_weight variable_weight_flag billed_by_weight ordered_by_weight bundle_flag assortment_flag packaging_form refill_vs_starter_kit capacity rated_use_count dimension_signature closure_style",
+    "form_variant": "flavor scent color shade texture style_or_cut shape physical_state storage_state preparation_state concentrate_status spice_heat_level coating_breading filled_stuffed_status smoked_cured_status",
+    "food_composition": "base_ingredient protein_source meat_species meat_cut grind_type bone_state skin_state seafood_species produce_species produce_variety produce_form ripeness_or_maturity organic_status gluten_status sugar_status sodium_status fat_level lactose_status vegan_vegetarian_status kosher_halal_status ingredient_signature allergen_signature sweetener_type fortification caffeine_status carbonation_status juice_percentage milk_type cheese_type cheese_aging beverage_type coffee_roast coffee_format tea_type alcohol_class alcohol_style alcohol_strength_abv vintage origin_region_appellation non_gmo_status",
+    "health_personal_care": "active_ingredient active_strength dosage_form route_of_administration release_type symptom_or_indication medicated_status spf absorbency device_type finish coverage_level hold_level hair_type skin_type care_concern applicator_type waterproof_status washable_longwear_status disposable_reusable_status",
+    "baby_pet": "baby_stage diaper_size feeding_stage nipple_flow formula_base pet_species pet_life_stage pet_size_or_breed pet_food_texture pet_diet_function",
+    "durable_apparel": "footwear_size_compatibility target_age_range target_audience durable_material electrical_voltage wattage connector_type battery_spec storage_capacity theme_or_franchise component_piece_count",
     "routing": "canonical_category canonical_subcategory",
+    "variant": "occasion_or_holiday",
+    "alcohol": "wine_varietal",
+    "food": "ground_meat_lean_fat_ratio egg_size_grade egg_production_method",
+    "household": "paper_ply",
+    "household_tech": "light_bulb_base light_bulb_shape light_output_lumens light_color_temperature light_watt_equivalent",
+    "personal_care": "bristle_firmness",
+    "pet": "pet_litter_clumping_status",
+    "beverage": "water_source_treatment_type",
 }
 #: Families that a group of attributes applies to; groups that aren't named here always apply.
+_EDIBLE, _CARE, _HOME = ("food", "beverage", "alcohol"), ("medicine", "beauty_personal"), ("household_tech", "household")
 APPLIES = {
-    "food_composition": ("food", "beverage", "alcohol"), "health_personal_care": ("medicine", "beauty_personal"), "baby_pet": ("baby", "pet"),
-    "durable_apparel": ("household_tech", "household", "apparel"), "household_tech": ("household_tech", "household"),
+    **dict.fromkeys(("food_composition", "food", "alcohol", "beverage"), _EDIBLE), **dict.fromkeys(("health_personal_care", "personal_care"), _CARE), **dict.fromkeys(("baby_pet", "pet"), ("baby", "pet")),
+    "durable_apparel": (*_HOME, "apparel"), **dict.fromkeys(("household", "household_tech"), _HOME),
 }
 
 
 def criteria() -> list[tuple[str, str, float]]:
-    """(attribute, group, weight): 7 for an attribute that can veto, 3.5 for other identity and quantity ones, 1.5 for routing and flags, else 2."""
+    """(attribute, group, weight): 7 for an attribute that can veto, 3.5 for other identity and quantity ones, 1.5 for routing and flags, else 2.
+
+    score_pairs takes others, such as those of sources.config.read_criteria.
+    """
     out = []
     for group, names in GROUPS.items():
         for n in names.split():
             flag = group == "routing" or n in ("brand_type", "billed_by_weight", "ordered_by_weight", "variable_weight_flag")
-            out.append((n, group, 1.5 if flag else 7.0 if n in VETO else 3.5 if group in ("identity", "quantity_packaging") else 2.0))
+            out.append((n, group, 1.5 if flag else 7.0 if n in VETO and n not in NEVER_VETO else 3.5 if group in ("identity", "quantity_packaging") else 2.0))
     return out
 
 
@@ -112,10 +129,10 @@ def _grouped(facts: DataFrame, key: str, name: str) -> DataFrame:
     return facts.select(key, "attr", F.struct(*fields).alias(name))
 
 
-def score_pairs(pairs: DataFrame, facts_a: DataFrame, facts_b: DataFrame) -> DataFrame:
-    """pairs (row_key, b_index, ...) with the scores, counts, veto rules and asymmetries of each."""
+def score_pairs(pairs: DataFrame, facts_a: DataFrame, facts_b: DataFrame, weights: list[tuple[str, str, float]] | None = None) -> DataFrame:
+    """pairs (row_key, b_index, ...) with the scores, counts, veto rules and asymmetries of each.  weights: as of criteria(), the default."""
     spark = pairs.sparkSession
-    dims = F.broadcast(spark.createDataFrame(criteria(), "attr string, grp string, weight double"))  # a fixed table
+    dims = F.broadcast(spark.createDataFrame(weights or criteria(), "attr string, grp string, weight double"))  # a fixed table
     key = ["row_key", "b_index"]
     own = pairs.select(*key)
     left = own.join(_grouped(facts_a, "row_key", "a"), "row_key")
