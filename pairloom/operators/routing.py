@@ -105,3 +105,10 @@ def settled(routed: DataFrame) -> DataFrame:
     p = p.withColumn("decision_reason", F.when(blocked, F.concat(F.lit("FINAL_SAFETY_"), c("final_verdict"))).otherwise(c("decision_reason")))
     matched = c("final_verdict") == "MATCH"
     return guards.unprepared(p).withColumn("selected_item_id_B", F.when(matched, c("item_id_B")).otherwise("")).withColumn("manual_review_required", c("final_verdict") == "REVIEW")
+
+
+def with_context(routed: DataFrame) -> DataFrame:
+    """Rows that a second look may change: those under review, and plausible others without a veto, near the top and hardly contradicted."""
+    c = F.col
+    plausible = ~c("hard_veto") & c("brand_policy").isin("SAME", "SAME_INFERRED", "PRIVATE", "COMMODITY") & (c("nonmatch_confidence") < 0.35) & (c("pair_support_score") >= 0.055) & (c("retrieval_rank") <= 3)
+    return routed.where((c("final_verdict") == "REVIEW") | plausible)

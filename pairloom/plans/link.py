@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import adjudicate, blocking, certify, collisions, facts, routing, scoring
-from .stages import staged
+from .stages import cached, staged
+
+
+@dataclass(frozen=True)
+class Settings:
+    """What a caller may change: phrases, criteria and thresholds (see sources.config), and a folder that keeps facts of b for later runs."""
+
+    lexicon: list | None = None
+    criteria: list | None = None
+    thresholds: routing.Thresholds = field(default_factory=routing.Thresholds)
+    facts_path: str | None = None
+    unicode: bool = True
 
 
-def scored_pairs(a: DataFrame, b: DataFrame, lexicon: list | None = None, unicode: bool = True) -> tuple[DataFrame, DataFrame]:
+def scored_pairs(a: DataFrame, b: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
     """(all candidates, scored deep pairs): cheap retrieval first; facts of both sides only for what survives it."""
     named = staged(blocking.infer_brands(a, b))
-    candidates = staged(blocking.retrieve(named, b, unicode))
+    candidates = staged(blocking.retrieve(named, b, s.unicode))
     strong = candidates.where((F.col("retrieval_rank") == 1) & (F.col("retrieval_score") >= blocking.FLOOR)).select("row_key")
     deep = blocking.deep_shortlist(candidates.join(strong, "row_key", "left_semi"))
     names_a = named.select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     names_b = b.select("b_index", F.col("name").alias("name_B"))
     pairs = staged(deep.join(names_a, "row_key").join(names_b, "b_index"))
-    facts_a = staged(facts.extract(named.join(pairs.select("row_key").distinct(), "row_key", "left_semi"), "row_key", lexicon, unicode))
-    facts_b = staged(facts.extract(b.join(pairs.select("b_index").distinct(), "b_index", "left_semi"), "b_index", lexicon, unicode))
-    return candidates, staged(scoring.score_pairs(pairs, facts_a, facts_b))
+    facts_a = staged(facts.extract(named.join(pairs.select("row_key").distinct(), "row_key", "left_semi"), "row_key", s.lexicon, s.unicode))
+    asked = b.join(pairs.select("b_index").distinct(), "b_index", "left_semi")
+    of_b = lambda p: facts.extract(p, "b_index", s.lexicon, s.unicode)
+    facts_b = cached(asked, "b_index", of_b, s.facts_path) if s.facts_path else staged(of_b(asked))
+    return candidates, staged(scoring.score_pairs(pairs, facts_a, facts_b, s.criteria))
 
 
 def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
@@ -31,14 +46,16 @@ def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
     return rows.join(meta, "target").select("row_key", "target", "name_A", "name_B", "brand_policy", F.col("m.brand_raw").alias("brand_B"), F.substring("m.description", 1, 2000).alias("description_B"), F.substring("m.item_info", 1, 400).alias("info_B"), T.friendly_size(T.jsonish(F.col("m.sizing_comp"))).alias("size_B"))
 
 
-def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True) -> DataFrame:
+def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True, settings: Settings | None = None) -> DataFrame:
     """One verdict for each row of a.
 
     a: row_key and the catalog columns; b: b_index and the catalog columns.  Rows without a deep candidate are NON_MATCH.
+    settings go before lexicon and unicode.
     """
-    _, pairs = scored_pairs(a, b, lexicon, unicode)
-    pairs = routing.supported(pairs, routing.Thresholds())
-    verdicts = staged(routing.settled(routing.route(pairs)))
+    s = settings or Settings(lexicon=lexicon, unicode=unicode)
+    _, pairs = scored_pairs(a, b, s)
+    pairs = routing.supported(pairs, s.thresholds)
+    verdicts = staged(routing.settled(routing.route(pairs, s.thresholds)))
     if client is not None:
         under = pairs.join(verdicts.where("final_verdict = 'REVIEW'").select("row_key"), "row_key", "left_semi")
         verdicts = staged(adjudicate.accepted(verdicts, adjudicate.ask(adjudicate.packets(under), client)))

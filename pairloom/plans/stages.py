@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -20,3 +21,20 @@ def staged(df: DataFrame) -> DataFrame:
     path = f"{folder.rstrip('/')}/pairloom-stages/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cached(products: DataFrame, key: str, make: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """make(products), with its rows kept under path for later runs: only products whose key has none there are made, and added.
+
+    make gives rows that carry the key.  A path belongs to one version of the catalog: a changed product keeps its old rows.
+    """
+    from ..sources.config import exists
+
+    spark = products.sparkSession
+    if exists(spark, f"{path}/_SUCCESS"):
+        old = spark.read.parquet(path)
+        fresh = make(products.join(old.select(key).distinct(), key, "left_anti"))
+    else:
+        fresh = make(products)
+    fresh.write.mode("append").parquet(path)
+    return spark.read.schema(fresh.schema).parquet(path).join(products.select(key), key, "left_semi")

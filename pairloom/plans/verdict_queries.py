@@ -48,6 +48,10 @@ def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.route(scored(spark, sf_dir)).select("row_key", "item_id_B", "final_verdict", "decision_reason", "educated_guess")
 
 
+def rows_with_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return routing.with_context(routing.route(scored(spark, sf_dir))).select("row_key", "final_verdict")
+
+
 def route_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.histogram(routing.route(scored(spark, sf_dir)), "final_verdict")
 
@@ -216,7 +220,7 @@ _TITLED = f"WITH t AS ({_TITLES.format(text='VARCHAR', part='part')})"
 QUERIES = {
     f.__name__: f
     for f in (
-        best_and_margin, calibrated_support, routed, route_histogram, run_summary, review_queue, demoted_matches, demotion_audit, single_lookup, net_size_clusters, pack_relations, amount_relations, last_check_reasons,
+        best_and_margin, calibrated_support, routed, rows_with_context, route_histogram, run_summary, review_queue, demoted_matches, demotion_audit, single_lookup, net_size_clusters, pack_relations, amount_relations, last_check_reasons,
     )
 }
 ORACLES = {
@@ -225,6 +229,7 @@ ORACLES = {
     + """SELECT match_evidence_score, nonmatch_evidence_score, hard_veto, count(*) AS n, round(max(match_confidence), 9) AS match_confidence, round(max(nonmatch_confidence), 9) AS nonmatch_confidence,
         round(max(pair_support_score), 9) AS pair_support_score, round(max(automatic_support_score), 9) AS automatic_support_score FROM supported GROUP BY 1, 2, 3""",
     "routed": _ROUTED + 'SELECT row_key, item_id_B AS "item_id_B", final_verdict, decision_reason, educated_guess FROM routed',
+    "rows_with_context": _ROUTED + "SELECT row_key, final_verdict FROM routed WHERE final_verdict = 'REVIEW' OR (NOT hard_veto AND brand_ok AND nm < 0.35 AND ps >= 0.055 AND retrieval_rank <= 3)",
     "route_histogram": _ROUTED + "SELECT final_verdict, count(*) AS n FROM routed GROUP BY 1",
     "run_summary": _ROUTED
     + """SELECT count(*) AS rows, count(*) FILTER (final_verdict = 'MATCH') AS matches, count(*) FILTER (final_verdict = 'REVIEW') AS reviews, count(*) FILTER (final_verdict = 'NON_MATCH') AS non_matches,

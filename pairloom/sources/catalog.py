@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 COMMON = (
     "item_id name brand_raw name_clean description category department url item_info tags subcategory sizing_comp size_raw "
@@ -66,7 +66,9 @@ def part_catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def write_verdicts(verdicts: DataFrame, path: str) -> None:
-    """Three CSV outputs: all verdicts, matched pairs, rows for review.  The verdicts are written once and read for the other two."""
+    """Three CSV outputs: all verdicts, matched pairs, rows for review.  The verdicts are written once and read for the other two; lists are JSON texts."""
+    plain = [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in verdicts.schema]
+    verdicts = verdicts.select(*plain)
     verdicts.write.mode("overwrite").csv(f"{path}/all_verdicts", header=True)
     done = verdicts.sparkSession.read.csv(f"{path}/all_verdicts", header=True, schema=verdicts.schema)
     matches = done.where("final_verdict = 'MATCH'").select("item_id_A", F.col("selected_item_id_B").alias("item_id_B"))
