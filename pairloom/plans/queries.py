@@ -13,7 +13,7 @@ from ..functions import similarity as M
 from ..functions import text as T
 from ..operators import blocking, report
 from ..sources.catalog import part_catalogs
-from . import fact_queries, verdict_queries
+from . import fact_queries, score_queries, verdict_queries
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -293,6 +293,6 @@ ORACLES |= {
     "pack_counts": """SELECT p_partkey, array_to_string(list_sort(list_distinct([p_size % 4 + 2, p_size + 10] || CASE WHEN p_size % 4 + 2 <> p_size + 10 THEN [(p_size % 4 + 2) * (p_size + 10)] ELSE [] END)), ',') AS counts FROM part""",
 }
 
-for _more in (verdict_queries, fact_queries):
+for _more in (verdict_queries, fact_queries, score_queries):
     QUERIES |= _more.QUERIES
     ORACLES |= _more.ORACLES
