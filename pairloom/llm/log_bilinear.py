@@ -1,7 +1,7 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation.
 
-Entries of the model: the end mark, up to ``WORDS`` most frequent tokens, and ``BUCKETS`` buckets, each for all rarer tokens with
-the same last bytes.  Entries, frequent first, are cut into classes of about the square root of their number.  With vectors R for context
+Entries of the model: the end mark, the most frequent tokens, and ``BUCKETS`` buckets, each for all rarer tokens with
+the same last bytes.  The tokens are as many as ``words_for`` says: they grow with the fourth root of the corpus, so the cost of a token grows with its eighth.  Entries, frequent first, are cut into classes of about the square root of their number.  With vectors R for context
 entries, Q for predicted entries, K for classes and C for the ``CONTEXT`` places before a token, a context's vector is
 h = sum of C[i] * R[entry i places back]; the probability of an entry is that of its class, a softmax over b[k] + h . K[k], times
 that within the class, a softmax over b[w] + h . Q[w].  Both normalisers are matrix products over a batch of contexts.  A rarer token's probability is its
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, written
 
-WORDS = 4096
+#: Frequent tokens for each fourth root of the training tokens.
+WORDS = 43
 BUCKETS = 1024
 #: Last bytes of a rarer token that choose its bucket.
 TAIL = 3
@@ -65,6 +66,11 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "replace").lower().split(), END_TOKEN]
 
 
+def words_for(total: int) -> int:
+    """How many tokens have vectors of their own in a model of so many training tokens."""
+    return round(WORDS * total**0.25)
+
+
 def bucket_of(token: bytes, buckets: int = BUCKETS) -> int:
     return zlib.crc32(token[-TAIL:]) % buckets
 
@@ -381,10 +387,10 @@ def fit(rows: DataFrame, counts: DataFrame, total: int, distinct: int, words: in
     }
 
 
-def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, buckets: int = BUCKETS, frequent: int = FREQUENT) -> DataFrame:
+def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str = "text", words: int | None = None, buckets: int = BUCKETS, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of df: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
-    train_when: which rows teach.  Null texts are empty: they hold only the end mark.  Null ids and repeated rows stay, other columns
+    train_when: which rows teach; words: frequent tokens of the model, as of words_for where it is None.  Null texts are empty: they hold only the end mark.  Null ids and repeated rows stay, other columns
     take no part.  With nothing to learn from, N and V are 0 and the model is nearly uniform over its entries.  Results don't depend on the
     number of partitions, but for the last digits of sums.
     """
@@ -392,7 +398,8 @@ def score_texts(df: DataFrame, train_when, id_col: str = "doc_id", text_col: str
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), train_when.alias("teaches"))
     counts = written(token_counts(rows.where("teaches"), "text"))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    model = fit(rows.where("teaches").select(F.xxhash64("id", "text").alias("h"), "text"), counts, total, distinct, words, buckets, frequent)
+    words = words_for(total) if words is None else words
+    model = fit(rows.where("teaches").select(F.xxhash64("id", "text").alias("h"), "text"), counts, total, distinct, words, buckets, max(frequent, words))
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

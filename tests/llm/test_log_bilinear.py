@@ -117,3 +117,8 @@ def test_nothing_to_learn_from_and_empty(docs, rows, no_docs):
     got = B.score_texts(docs, F.lit(False)).collect()
     assert len(got) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 and r.base_score == 0 for r in got)
     assert B.score_texts(no_docs, F.lit(True)).collect() == []
+
+
+def test_model_grows_with_the_corpus():
+    sizes = [B.words_for(n) for n in (0, 10**3, 10**6, 10**9, 10**12)]
+    assert sizes[0] == 0 and all(y > x for x, y in zip(sizes, sizes[1:], strict=False)) and sizes[-1] > 40_000
