@@ -83,4 +83,33 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM doc LEFT JOIN agg USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_secret_scan": SECRETS, "op7_decontaminate": DECONTAMINATE, "op10_line_dedup": LINE_DEDUP}
+RANKED = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM doc WHERE len(w) > 0),
+tf AS (SELECT doc_id, t, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM doc) GROUP BY 1, 2),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY 1), total),
+item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_all)))) AS BIGINT) AS score
+    FROM item JOIN w USING (t) JOIN tf USING (t), total GROUP BY 1, 2
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+_SOUND = "label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+HARD_NEGATIVES = f"""
+WITH row AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    FROM embeddings WHERE vec_id IS NOT NULL AND {_SOUND}
+),
+pair AS (
+    SELECT a.id AS a, a.label = b.label AS same, b.id AS b, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS s
+    FROM row a JOIN row b ON a.id <> b.id AND len(a.q) = len(b.q) WHERE a.id % 100 = 0
+),
+positive AS (SELECT a, b AS p, s AS ps FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY s DESC, b) AS n FROM pair WHERE same) WHERE n <= 5),
+hard AS (SELECT a, p, ps, b, s, row_number() OVER (PARTITION BY a, p ORDER BY s DESC, b) AS n FROM positive JOIN pair USING (a) WHERE NOT same AND 30 * ps <= 100 * s AND 100 * s <= 90 * ps)
+SELECT a AS anchor_id, p AS positive_id, CAST(n AS INT) AS rank, b AS negative_id, ps AS positive_score, s AS negative_score FROM hard WHERE n <= 10
+"""
+
+ORACLES: dict[str, str] = {"op12_ranked_search": RANKED, "op13_hard_negatives": HARD_NEGATIVES, "op3_secret_scan": SECRETS, "op7_decontaminate": DECONTAMINATE, "op10_line_dedup": LINE_DEDUP}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, log_bilinear, nearest, passages, quality, secrets, sentencepieces, simhash
+from . import decontaminate, fingerprints, language, line_dedup, log_bilinear, nearest, negatives, passages, quality, ranked, secrets, sentencepieces, simhash
 from .common import crc_mod, table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -69,4 +69,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5"), "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op2_quality, op3_secret_scan, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup)}
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup, op2_quality, op3_secret_scan, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_decontaminate, op8_nearest_neighbours, op9_log_bilinear, op10_line_dedup,
+        op11_fingerprints, op12_ranked_search, op13_hard_negatives,
+    )
+}
