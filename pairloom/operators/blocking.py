@@ -60,7 +60,8 @@ def channels(a: DataFrame, b: DataFrame) -> DataFrame:
     count = b.where("brand <> ''").groupBy("brand").agg(F.count("*").alias("n"))
     sized = a.where("brand <> ''").join(count, "brand")
     small = sized.where(F.col("n") <= LARGE_BRAND).select("row_key", "brand", "core", "nums", "tokens").join(b.select("b_index", "brand", F.col("core").alias("core_b"), F.col("nums").alias("nums_b")), "brand")
-    shared = F.aggregate(F.filter("tokens", lambda t: F.array_contains("core_b", t["token"])), F.lit(0.0), lambda s, t: s + t["idf"])
+    tokens = F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType))
+    shared = F.aggregate(F.filter(tokens, lambda t: F.array_contains("core_b", t["token"])), F.lit(0.0), lambda s, t: s + t["idf"])
     small = small.where(F.arrays_overlap("core", "core_b") | F.arrays_overlap("nums", "nums_b"))
     from_small = small.select("row_key", "b_index", F.lit("brand").alias("kind"), micro(W_BRAND + W_BRAND_TOKEN * shared).alias("w"))
     large = rare.where("brand = brand_b and brand <> ''").join(count.where(F.col("n") > LARGE_BRAND).select("brand"), "brand", "left_semi")
@@ -71,46 +72,66 @@ def channels(a: DataFrame, b: DataFrame) -> DataFrame:
     return from_rare.union(from_nums).union(exact).union(from_small).union(from_large).union(from_private)
 
 
-def pooled(scored: DataFrame) -> DataFrame:
-    """(row_key, b_index, acc, protected, same_rescue, private_rescue) of the POOL best of each row by accumulated weight, ties to the smaller b_index."""
-    kind = F.col("kind")
-    pair = scored.groupBy("row_key", "b_index").agg(
-        F.sum("w").alias("acc"), F.coalesce(F.sum(F.when(kind.isin("base", "exact"), F.col("w"))), F.lit(0)).alias("base"),
-        F.max(kind == "exact").alias("protected"), F.max(kind == "brand").alias("by_brand"), F.max(kind == "private").alias("by_private"),
-    )
-    first = Window.partitionBy("row_key").orderBy(F.desc("base"), "b_index")
-    best = Window.partitionBy("row_key").orderBy(F.desc("acc"), "b_index")
-    pair = pair.withColumn("early", (F.row_number().over(first) <= POOL) & (F.col("base") > 0)).withColumn("n", F.row_number().over(best)).where(F.col("n") <= POOL)
-    return pair.select("row_key", "b_index", "acc", "protected", (F.col("by_brand") & ~F.col("early")).alias("same_rescue"), (F.col("by_private") & ~F.col("early")).alias("private_rescue"))
+def channel_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Every pair (row_key, b_index) that some channel joins."""
+    return channels(a, b).select("row_key", "b_index").distinct()
 
 
 def _mass(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0.0), lambda s, t: s + t["idf"])
 
 
-def rescored(pool: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Ranked candidates: 3.2 weighted Jaccard + 1.8 containment + brand + 0.6 numbers + 4 exact title, + 1 for a private-label pair."""
-    left = a.select("row_key", F.col("title").alias("ta"), F.col("brand").alias("ba"), F.col("core").alias("ca"), F.col("nums").alias("na"), F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)).alias("wa"), "inferred")
-    right = b.select("b_index", F.col("item_id").alias("item_id_B"), F.col("title").alias("tb"), F.col("brand").alias("bb"), F.col("core").alias("cb"), F.col("nums").alias("nb"), F.coalesce("tokens", F.array().cast(b.schema["tokens"].dataType)).alias("wb"))
-    pair = pool.join(left, "row_key").join(right, "b_index")
-    wi = _mass(F.filter("wa", lambda t: F.array_contains("cb", t["token"])))
-    pair = pair.select("*", wi.alias("wi"), _mass(F.col("wa")).alias("aw"), _mass(F.col("wb")).alias("bw"))
+def _micros(tokens: Column, weight: float) -> Column:
+    return F.aggregate(tokens, F.lit(0).cast("bigint"), lambda s, t: s + micro(t["idf"] * weight))
+
+
+def scored(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs with what all channels add to them (acc, base, protected, by_brand, by_private) and their retrieval scores, one row for each, from the features of both.
+
+    Score: 3.2 weighted Jaccard + 1.8 containment + brand + 0.6 numbers + 4 exact title, + 1 for a private-label pair.  a has n_brand beside its features.
+    """
+    none = lambda df: F.coalesce("tokens", F.array().cast(df.schema["tokens"].dataType))
+    left = a.select("row_key", F.col("title").alias("ta"), F.col("brand").alias("ba"), F.col("core").alias("ca"), F.col("nums").alias("na"), none(a).alias("wa"), "inferred", "n_brand")
+    right = b.select("b_index", F.col("item_id").alias("item_id_B"), F.col("title").alias("tb"), F.col("brand").alias("bb"), F.col("core").alias("cb"), F.col("nums").alias("nb"), none(b).alias("wb"))
+    pair = pairs.join(left, "row_key").join(right, "b_index")
+    shared = lambda tokens: F.filter(tokens, lambda t: F.array_contains("cb", t["token"]))
+    pair = pair.select("*", _mass(shared(F.col("wa"))).alias("wi"), _mass(F.col("wa")).alias("aw"), _mass(F.col("wb")).alias("bw"), shared(rare_tokens(F.col("wa"), RARE)).alias("rare"))
     one = lambda c: F.when(c == 0, 1.0).otherwise(c)
+    flag = lambda c: c.cast("double")
+    zero = F.lit(0).cast("bigint")
+    exact = F.col("ta") == F.col("tb")
+    same = (F.col("ba") != "") & (F.col("ba") == F.col("bb"))
+    small = same & (F.col("n_brand") <= LARGE_BRAND) & (F.arrays_overlap("ca", "cb") | F.arrays_overlap("na", "nb"))
+    large = same & (F.col("n_brand") > LARGE_BRAND) & (F.size("rare") > 0)
+    label = F.col("ba").isin(*T.LABELS_A) & ~F.col("ba").isin(*T.LABELS_B) & F.col("bb").isin(*T.LABELS_B)
+    by_private = label & (F.size(shared(rare_tokens(F.col("wa"), RARE_PRIVATE))) > 0)
+    base = _micros(F.col("rare"), W_RARE) + F.size(F.array_intersect("na", "nb")) * F.lit(int(W_NUMBER * MICRO)) + F.when(exact, int(W_EXACT * MICRO)).otherwise(0)
+    brand = F.when(small, micro(W_BRAND + W_BRAND_TOKEN * F.col("wi"))).when(large, F.size("rare") * F.lit(int(W_BRAND * MICRO))).otherwise(zero)
+    private = F.when(by_private, _micros(shared(rare_tokens(F.col("wa"), RARE_PRIVATE)), W_PRIVATE)).otherwise(zero)
     similar = F.col("wi") / one(F.col("aw") + F.col("bw") - F.col("wi"))
     contain = F.col("wi") / F.least(one(F.col("aw")), one(F.col("bw")))
-    same = (F.col("ba") != "") & (F.col("ba") == F.col("bb"))
-    private = F.col("ba").isin(*T.LABELS_A) & F.col("bb").isin(*T.LABELS_B)
+    both = F.col("ba").isin(*T.LABELS_A) & F.col("bb").isin(*T.LABELS_B)
     numbers = F.when((F.size("na") > 0) & (F.col("na") == F.col("nb")), 1.0).when(F.arrays_overlap("na", "nb"), 0.5).otherwise(0.0)
-    flag = lambda c: c.cast("double")
-    base = 3.2 * similar + 1.8 * contain + flag(same) + 0.6 * numbers + 4.0 * flag(F.col("ta") == F.col("tb"))
-    pair = pair.withColumn("base_score", base).withColumn("score", base + flag(private))
+    score = 3.2 * similar + 1.8 * contain + flag(same) + 0.6 * numbers + 4.0 * flag(exact)
+    return pair.select(
+        "row_key", "b_index", "item_id_B", "inferred", base.cast("bigint").alias("base"), (base + brand + private).cast("bigint").alias("acc"), exact.alias("protected"), (small | large).alias("by_brand"), by_private.alias("by_private"),
+        same.alias("same"), both.alias("private"), score.alias("base_score"), (score + flag(both)).alias("score"),
+    ).where("acc > 0")
+
+
+def ranked(pairs: DataFrame) -> DataFrame:
+    """Ranked candidates of each row: the POOL best of scored pairs by acc, ties to the smaller b_index, ranked by score."""
+    first = Window.partitionBy("row_key").orderBy(F.desc("base"), "b_index")
+    best = Window.partitionBy("row_key").orderBy(F.desc("acc"), "b_index")
+    early = (F.row_number().over(first) <= POOL) & (F.col("base") > 0)
+    pool = pairs.withColumn("early", early).withColumn("n", F.row_number().over(best)).where(F.col("n") <= POOL)
     rescue = (
-        F.when(private & (F.col("private_rescue") | (F.col("inferred") == "PRIVATE_LABEL")), "PRIVATE_LABEL")
-        .when(same & (F.col("same_rescue") | (F.col("inferred") == "PACK_PREFIX_BRAND")), "SAME_BRAND")
+        F.when(F.col("private") & ((F.col("by_private") & ~F.col("early")) | (F.col("inferred") == "PRIVATE_LABEL")), "PRIVATE_LABEL")
+        .when(F.col("same") & ((F.col("by_brand") & ~F.col("early")) | (F.col("inferred") == "PACK_PREFIX_BRAND")), "SAME_BRAND")
         .otherwise("")
     )
     rank = F.row_number().over(Window.partitionBy("row_key").orderBy(F.desc(F.round("score", 9)), "b_index"))
-    return pair.select(
+    return pool.select(
         "row_key", "item_id_B", "b_index", rank.alias("retrieval_rank"), F.round("score", 6).alias("retrieval_score"), F.round("base_score", 6).alias("base_retrieval_score"),
         rescue.alias("retrieval_rescue_type"), "protected",
     ).where(F.col("retrieval_rank") <= TOP)
@@ -126,9 +147,19 @@ def prepared(a: DataFrame, b: DataFrame, unicode: bool = True) -> tuple[DataFram
 
 
 def retrieve(a: DataFrame, b: DataFrame, unicode: bool = True) -> DataFrame:
-    """Up to TOP ranked candidates of b for each row of a."""
+    """Up to TOP ranked candidates of b for each row of a, from proposals that hold every pair which can be among them (see topk)."""
+    from ..plans.stages import Folder
+    from . import topk
+
+    folder = Folder(a.sparkSession)
     fa, fb = prepared(a, b, unicode)
-    return rescored(pooled(channels(fa, fb)), fa, fb)
+    count = fb.where("brand <> ''").groupBy("brand").agg(F.count("*").alias("n_brand"))
+    fa, fb = folder.staged(fa.join(count, "brand", "left")), folder.staged(fb)
+    # The rows are few bytes but much work: they stay in as many tasks as the session asks for.
+    pairs = topk.proposals(fa, fb, folder).repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row_key")
+    out = folder.result(ranked(scored(pairs, fa, fb)))
+    folder.drop()
+    return out
 
 
 def deep_shortlist(candidates: DataFrame) -> DataFrame:

@@ -6,21 +6,51 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df written under spark.checkpoint.dir and read again; a temporary folder only where that is unset in local mode."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new path under spark.checkpoint.dir; a temporary folder only where that is unset in local mode."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='pairloom-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/pairloom-stages/{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/pairloom-stages/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df written to a folder of its own and read again."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Folder:
+    """Tables of one operator, deleted together once its result is written elsewhere."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.path, self.count = spark, shared_folder(spark), 0
+
+    def staged(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.path}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """df staged apart, so that it outlives the folder."""
+        return staged(df)
+
+    def drop(self) -> None:
+        deleted(self.spark, self.path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Deletes what is under the path, wherever it is stored."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def cached(products: DataFrame, key: str, make: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
