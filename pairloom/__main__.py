@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
     elif o.mode == "profile":
         report.profile(catalog.read_csv(spark, o.a), "item_id").show(200, truncate=False)
     elif o.mode == "compare":
-        report.pair_diff(catalog.read_csv(spark, o.left), catalog.read_csv(spark, o.right)).show(truncate=False)
+        report.pair_diff(catalog.read_pairs(spark, o.left), catalog.read_pairs(spark, o.right)).show(truncate=False)
     else:
         report.lookup(catalog.read_csv(spark, o.a), o.query).show(truncate=80)
 

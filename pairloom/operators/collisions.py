@@ -1,21 +1,24 @@
 """Checks over all rows matched to one target: several source rows must not claim incompatible versions of it.
 
-All steps demote to review and never promote.  Groups are combined by aggregates and windows over the target id,
-so a target with many rows is pre-aggregated, not collected.
+All steps demote to review and never promote.  A target's rows are aggregated to one row, map side first, which is joined back to them: a
+target with very many rows is a skewed join key, which Spark splits, and no task collects it.  Only groups of two are put side by side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quantity as Q
 from ..functions import similarity as M
 from ..functions import text as T
-from . import guards
+from ..plans.stages import staged
+from . import guards, nets
 
+#: Brand policies under which ounces of weight and of volume are compared as they are shown.
+COMPARABLE = ("SAME", "SAME_INFERRED", "PRIVATE")
 #: Share of a group's rows that makes a token common.
 COMMON = 0.80
 STRONG = (
@@ -30,20 +33,23 @@ def pair_block() -> Column:
     a, b, ca, cb = c("g_a"), c("g_b"), c("g_ca"), c("g_cb")
     heel, sole = ("heel cushion", "heel cushions", "heel cup", "heel cups"), ("insole", "insoles")
     pods = ("k cup", "k cups", "coffee pod", "coffee pods", "capsule", "capsules")
-    ground = guards.has(a, "canister") | guards.has(a, "ground")
-    single = F.filter(ca, lambda n: n.between(2, 200))
+    ground = guards.has(a, "canister") | guards.has(a, "ground") | (F.size(c("amounts_A")["mass"]) > 0)
+    title = c("g_title")
+    holder = (guards.has(a, "bowl") & guards.has(title, "bag")) | (guards.has(a, "bag") & guards.has(title, "bowl"))
 
-    def apart(dim: str) -> Column:
-        x = F.when(F.size(single) == 1, F.concat(c("amounts_A")[dim], F.transform(c("amounts_A")[dim], lambda v: v * single[0]))).otherwise(c("amounts_A")[dim])
-        y = c("amounts_size")[dim]
+    def far(x: Column, y: Column) -> Column:
+        x = nets.with_counted(x, ca)
         return (F.size(x) > 0) & (F.size(y) > 0) & ~M.near_any(x, y, 0.05)
 
+    apart = lambda dim: far(c("amounts_A")[dim], c("amounts_size")[dim])
+
     return (
         F.when(guards.disjoint(ca, cb), "B_METADATA_COUNT")
         .when(apart("mass") | apart("volume"), "B_METADATA_SIZE")
+        .when(c("brand_policy").isin(*COMPARABLE) & far(c("ounces_A"), c("ounces_size")), "B_METADATA_OZ_SIZE")
         .when(F.coalesce(guards.strength(a) != guards.strength(b), F.lit(False)), "B_METADATA_STRENGTH")
         .when(guards.named_variant_conflict(a, c("g_title")), "B_METADATA_VARIANT")
-        .when((guards.any_of(a, heel) & guards.any_of(b, sole)) | (guards.any_of(b, heel) & guards.any_of(a, sole)), "B_METADATA_ROLE")
+        .when((guards.any_of(a, heel) & guards.any_of(b, sole)) | (guards.any_of(b, heel) & guards.any_of(a, sole)) | holder, "B_METADATA_ROLE")
         .when(guards.any_of(b, pods) & ~guards.any_of(a, pods) & ground, "B_METADATA_FORM")
     )
 
@@ -92,36 +98,48 @@ def national_conflict() -> Column:
 
 
 def size_errors(rows: DataFrame) -> DataFrame:
-    """rows (row_key, target, amounts_A, amounts_size, name_A, size_B) with err: the least relative size error to the target's size; null if incomparable."""
+    """rows with err: the least relative size error to the target's size; null if incomparable.
+
+    rows: row_key, target, brand_policy, amounts_A, amounts_size, ounces_A, ounces_size, and counts g_ca and g_cb.
+    """
     c = F.col
-    errors = [_errors(d) for d in ("mass", "volume")]
     ca, cb = c("g_ca"), c("g_cb")
-    counts = F.when((F.size(ca) > 0) & (F.size(cb) > 0), F.array(F.when(F.arrays_overlap(ca, cb), 0.0).otherwise(1.0))).otherwise(F.array().cast("array<double>"))
-    return rows.withColumn("err", F.array_min(F.concat(*errors, counts)))
 
+    def errors(x: Column, y: Column) -> Column:
+        x, y = nets.with_counted(x, ca), nets.with_counted(y, cb)
+        return F.flatten(F.transform(x, lambda v: F.transform(y, lambda w: M.relative(v, w))))
 
-def _errors(dim: str) -> Column:
-    a, b = F.col("amounts_A")[dim], F.col("amounts_size")[dim]
-    return F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: M.relative(x, y))))
+    none = F.array().cast("array<double>")
+    shown = F.when(c("brand_policy").isin(*COMPARABLE), errors(c("ounces_A"), c("ounces_size"))).otherwise(none)
+    counts = F.when((F.size(ca) > 0) & (F.size(cb) > 0), F.array(F.when(F.arrays_overlap(ca, cb), 0.0).otherwise(1.0))).otherwise(none)
+    each = [errors(c("amounts_A")[d], c("amounts_size")[d]) for d in ("mass", "volume")]
+    return rows.withColumn("err", F.array_min(F.concat(*each, shown, counts)))
 
 
 def size_preference(rows: DataFrame) -> DataFrame:
     """rows (target, err, ...) with worse: among comparable rows of a target some fit its size clearly better."""
-    best = F.min(F.when(F.col("err") < 0.20, F.col("err"))).over(Window.partitionBy("target"))
-    n = F.count("*").over(Window.partitionBy("target"))
-    return rows.withColumn("worse", F.coalesce((n >= 2) & (F.col("err") > F.greatest(F.lit(0.025), best + 0.012)), F.lit(False)))
+    of = rows.groupBy("target").agg(F.count("*").alias("__n"), F.min(F.when(F.col("err") < 0.20, F.col("err"))).alias("__best"))
+    worse = (F.col("__n") >= 2) & (F.col("err") > F.greatest(F.lit(0.025), F.col("__best") + 0.012))
+    return rows.join(of, "target").withColumn("worse", F.coalesce(worse & F.col("__best").isNotNull(), F.lit(False))).drop("__n", "__best")
 
 
-def package_conflicts(rows: DataFrame, own: str = "sig", target: str = "sig_b") -> DataFrame:
-    """rows (target, sig, sig_b) with package: TOTAL_COUNT, ROLL_COUNT, ROLL_TIER or SHEETS_PER_ROLL where a target's rows disagree with each other or with it."""
-    w = Window.partitionBy("target")
+def package_conflicts(rows: DataFrame, own: str = "sig", target: str = "sig_b", counts: str = "", target_counts: str = "") -> DataFrame:
+    """rows (target, sig, sig_b) with package: why a row of a target with two and more disagrees with the others or with it, or null.
+
+    GENERAL_COUNT (where columns of counts are named), then TOTAL_COUNT, ROLL_COUNT, ROLL_TIER and SHEETS_PER_ROLL.
+    """
+    fields = (("sheets", "SHEETS_PER_ROLL"), ("tier", "ROLL_TIER"), ("rolls", "ROLL_COUNT"), ("total", "TOTAL_COUNT"))
+    ends = [f(F.col(own)[x]).alias(f"__{name}_{x}") for x, _ in fields for name, f in (("low", F.min), ("high", F.max))]
+    rows = rows.join(rows.groupBy("target").agg(F.count("*").alias("__n"), *ends), "target")
     reason = F.lit(None).cast("string")
-    for field, label in (("sheets", "SHEETS_PER_ROLL"), ("tier", "ROLL_TIER"), ("rolls", "ROLL_COUNT"), ("total", "TOTAL_COUNT")):
+    for field, label in fields:
         x, y = F.col(own)[field], F.col(target)[field]
-        mixed = F.min(x).over(w) != F.max(x).over(w)
+        mixed = F.col(f"__low_{field}") != F.col(f"__high_{field}")
         bad = x.isNotNull() & F.when(mixed, y.isNull() | (x != y)).otherwise(y.isNotNull() & (x != y))
         reason = F.when(F.coalesce(bad, F.lit(False)), label).otherwise(reason)
-    return rows.withColumn("package", reason)
+    if counts:
+        reason = F.when(guards.disjoint(F.col(counts), F.col(target_counts)), "GENERAL_COUNT").otherwise(reason)
+    return rows.withColumn("package", F.when(F.col("__n") >= 2, reason)).drop(*[c for c in rows.columns if c.startswith("__")])
 
 
 def common_tokens(rows: DataFrame, share: float = COMMON) -> DataFrame:
@@ -131,27 +149,45 @@ def common_tokens(rows: DataFrame, share: float = COMMON) -> DataFrame:
     return each.join(n, "target").where(F.col("k") / F.col("n") >= share).select("target", "token")
 
 
+def _strong(words: Column) -> Column:
+    return F.array_intersect(words, F.array(*[F.lit(x) for x in STRONG]))
+
+
+def unsupported_variants(rows: DataFrame) -> DataFrame:
+    """(row_key) of the one of two rows of a target that names a variant the target doesn't, while the other fits it clearly better; rows: (target, row_key, words, evidence)."""
+    two = rows.groupBy("target").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "words")).alias("x"), F.max(F.struct("row_key", "words")).alias("y"), F.first("evidence").alias("evidence")).where("n = 2")
+    cover = lambda w: F.size(F.array_intersect(w, "evidence")) / F.greatest(F.size(w), F.lit(1))
+    sides = two.select("evidence", "x", "y", cover(F.col("x.words")).alias("cx"), cover(F.col("y.words")).alias("cy"))
+    first = F.col("cx") >= F.col("cy")
+    sides = sides.select("evidence", *[F.when(first, F.col(p)).otherwise(F.col(q)).alias(n) for p, q, n in (("x", "y", "best"), ("y", "x", "other"), ("cx", "cy", "high"), ("cy", "cx", "low"))])
+    own = lambda a, b: F.array_except(_strong(F.array_except(F.col(a)["words"], F.col(b)["words"])), "evidence")
+    alike = F.size(F.array_intersect("best.words", "other.words")) / F.greatest(F.size(F.array_union("best.words", "other.words")), F.lit(1))
+    bad = (F.size(own("other", "best")) > 0) & (F.size(own("best", "other")) == 0) & (F.col("high") >= 0.72) & (F.col("high") - F.col("low") >= 0.10) & (alike < 0.72)
+    return sides.where(bad).select(F.col("other.row_key").alias("row_key"))
+
+
 def identity_conflicts(rows: DataFrame) -> DataFrame:
     """(row_key) of rows in groups of three or more whose own words the target doesn't support; rows: (target, row_key, words, evidence)."""
     n = rows.groupBy("target").agg(F.count("*").alias("n")).where("n >= 3")
     common = common_tokens(rows).groupBy("target").agg(F.collect_list("token").alias("common"))
-    p = rows.join(n, "target").join(common, "target", "left").withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
+    p = rows.join(n.join(common, "target", "left"), "target").withColumn("common", F.coalesce("common", F.array().cast("array<string>")))
     words = F.array_distinct("words")
-    p = p.withColumn("own", F.array_except(words, "common")).withColumn("cover", F.size(F.array_intersect(words, "evidence")) / F.greatest(F.size(words), F.lit(1)))
+    p = p.withColumn("own", F.array_sort(F.array_except(words, "common"))).withColumn("cover", F.size(F.array_intersect(words, "evidence")) / F.greatest(F.size(words), F.lit(1)))
     p = p.withColumn("support", F.size(F.array_intersect("own", "evidence")) / F.greatest(F.size("own"), F.lit(1)))
-    strong = F.size(F.array_except(F.array_intersect("own", F.array(*[F.lit(x) for x in STRONG])), "evidence")) > 0
+    strong = F.size(F.array_except(_strong(F.col("own")), "evidence")) > 0
     low = F.when(F.col("n") >= 6, (F.col("cover") < 0.90) & (F.col("support") < 0.50)).otherwise((F.col("cover") < 0.65) & (F.col("support") < 0.20))
-    kinds = F.size(F.collect_set(F.array_join(F.array_sort("own"), " ")).over(Window.partitionBy("target")))
-    return p.withColumn("kinds", kinds).where((F.col("kinds") > 1) & (F.size("own") > 0) & (strong | low)).select("row_key")
+    several = p.groupBy("target").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("target")
+    return p.join(several, "target", "left_semi").where((F.size("own") > 0) & (strong | low)).select("row_key")
 
 
-def demotions(matches: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+def demotions(matches: DataFrame, keep: Callable[[DataFrame], DataFrame] = staged) -> DataFrame:
     """(row_key, reason): the first reason, in the order of the checks, to send a provisional match to review.
 
-    matches: row_key, target, name_A, name_B, brand_B, description_B, info_B (may be missing), size_B, brand_policy.  keep: may store a step's rows, which later steps read several times.
+    matches: row_key, target, name_A, name_B, brand_B, description_B, info_B (may be missing), size_B, brand_policy.  keep: stores a step's rows, which later steps read several times.
     """
     m = matches.withColumn("amounts_A", Q.amounts(F.col("name_A"))).withColumn("amounts_size", Q.amounts(F.col("size_B")))
     title, text = F.col("name_A"), F.concat_ws(" ", "name_B", F.substring("description_B", 1, 1200))
+    m = m.withColumn("ounces_A", nets.shown_ounces(title)).withColumn("ounces_size", nets.shown_ounces(F.col("size_B")))
     m = m.withColumn("g_a", guards.padded(title)).withColumn("g_b", guards.padded(text)).withColumn("g_title", guards.padded(F.col("name_B")))
     m = m if "info_B" in m.columns else m.withColumn("info_B", F.lit(""))
     short = F.concat_ws(" ", "name_B", F.substring("description_B", 1, 220))
@@ -161,12 +197,15 @@ def demotions(matches: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambd
     alive = keep(size_preference(size_errors(m.where("reason is null"))))
     text_b = F.concat_ws(" ", "name_B", F.substring("description_B", 1, 160), "size_B")
     kept = alive.where("not worse").withColumn("sig", Q.package_signature(F.col("name_A"), T.bare_colon(F.col("name_A")))).withColumn("sig_b", Q.package_signature(text_b, T.bare_colon(text_b)))
-    kept = keep(package_conflicts(kept))
+    about = F.concat_ws(" ", "name_B", F.substring("description_B", 1, 220), "size_B")
+    kept = keep(package_conflicts(kept.withColumn("about", Q.count_values(about)), counts="g_ca", target_counts="about"))
     brand = F.split(T.bare(F.col("brand_B")), " ")
     words = F.array_except(guards.title_words(F.col("name_A")), brand)
-    evidence = F.array_except(guards.title_words(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 500))), brand)
+    evidence = F.array_except(guards.title_words(F.concat_ws(" ", "name_B", F.substring("description_B", 1, 500), F.substring("info_B", 1, 250))), brand)
     active = kept.where(F.col("package").isNull() & F.col("brand_policy").isin("SAME", "SAME_INFERRED")).select("target", "row_key", words.alias("words"), evidence.alias("evidence"))
     out = m.where("reason is not null").select("row_key", "reason")
-    out = out.union(alive.where("worse").select("row_key", F.lit("COLLISION_BEST_STRUCTURED_SIZE")))
-    out = out.union(kept.where("package is not null").select("row_key", F.concat(F.lit("COLLISION_"), "package")))
-    return out.union(identity_conflicts(active).select("row_key", F.lit("COLLISION_NATIONAL_SKU_IDENTITY")))
+    out = out.union(alive.where("worse").select("row_key", F.lit("B_COLLISION_BEST_STRUCTURED_SIZE")))
+    out = out.union(kept.where("package is not null").select("row_key", F.concat(F.lit("V17_COLLISION_"), "package")))
+    active = keep(active)
+    out = out.union(unsupported_variants(active).select("row_key", F.lit("V17_COLLISION_UNSUPPORTED_VARIANT")))
+    return out.union(identity_conflicts(active).select("row_key", F.lit("V17_COLLISION_NATIONAL_SKU_IDENTITY")))

@@ -29,10 +29,16 @@ def compare_columns(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
     return {"common": sorted(x & y), "only_a": sorted(x - y), "only_b": sorted(y - x)}
 
 
-def pair_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+def last_pairs(df: DataFrame, order: str = "position") -> DataFrame:
+    """(item_id_A, item_id_B): the last pair of each A by the order column (see sources.catalog.read_pairs), pairs with a blank id left out.  Of rows without that column, or at one place, the largest B."""
+    rows = df.where(~blank(F.col("item_id_A")) & ~blank(F.col("item_id_B"))).select(F.trim(F.col("item_id_A").cast("string")).alias("item_id_A"), F.trim(F.col("item_id_B").cast("string")).alias("item_id_B"), *([order] if order in df.columns else []))
+    place = F.struct(order, "item_id_B") if order in df.columns else F.col("item_id_B")
+    return rows.groupBy("item_id_A").agg(F.max_by("item_id_B", place).alias("item_id_B"))
+
+
+def pair_diff(left: DataFrame, right: DataFrame, order: str = "position") -> DataFrame:
     """One row of counts over two sets of (item_id_A, item_id_B), the last of each A: same, changed, added, removed, and the pairs' Jaccard (1 if both are empty)."""
-    one = lambda df, name: df.where(~blank(F.col("item_id_A")) & ~blank(F.col("item_id_B"))).groupBy("item_id_A").agg(F.max("item_id_B").alias(name))
-    both = one(left, "l").join(one(right, "r"), "item_id_A", "full_outer")
+    both = last_pairs(left, order).withColumnRenamed("item_id_B", "l").join(last_pairs(right, order).withColumnRenamed("item_id_B", "r"), "item_id_A", "full_outer")
     same, l, r = F.col("l") == F.col("r"), F.col("l"), F.col("r")
     n = both.agg(
         F.count_if(same).alias("same"), F.count_if(l != r).alias("changed"), F.count_if(l.isNull()).alias("added"), F.count_if(r.isNull()).alias("removed"), F.count("l").alias("left"), F.count("r").alias("right"),

@@ -144,7 +144,7 @@ def score_pairs(pairs: DataFrame, facts_a: DataFrame, facts_b: DataFrame, weight
         *[seen(s, n)[f].alias(f"{s}_{n}_{f}") for s in "ab" for n, f in _needed(wanted)],
         F.array_sort(F.collect_set(F.when((F.col("a").isNull() != F.col("b").isNull()) & F.col("attr").isin(*ASYMMETRIC), F.col("attr")))).alias("asymmetries"),
     )
-    joined = both.where("a is not null and b is not null").join(dims, "attr").join(wide.select(*key, "a_product_family_txt", "b_product_family_txt", "a_brand_type_txt", "b_brand_type_txt", "a_normalized_total_quantity_num", "b_normalized_total_quantity_num"), key)
+    joined = both.where("a is not null and b is not null").join(dims, "attr").join(wide.select(*key, "a_functional_name_toks", "b_functional_name_toks", "a_product_family_txt", "b_product_family_txt", "a_brand_type_txt", "b_brand_type_txt", "a_normalized_total_quantity_num", "b_normalized_total_quantity_num"), key)
     fits = F.lit(True)
     for group, families in APPLIES.items():
         fits = F.when(F.col("grp") == group, F.coalesce(F.col("a_product_family_txt").isin(*families), F.lit(False)) | F.coalesce(F.col("b_product_family_txt").isin(*families), F.lit(False))).otherwise(fits)
@@ -163,7 +163,9 @@ def score_pairs(pairs: DataFrame, facts_a: DataFrame, facts_b: DataFrame, weight
     national = F.coalesce((F.col("a_brand_type_txt") == "national_or_manufacturer") & (F.col("b_brand_type_txt") == "national_or_manufacturer"), F.lit(False))
     totals = F.col("a_normalized_total_quantity_num").isNotNull() & F.col("b_normalized_total_quantity_num").isNotNull()
     titled = (F.col("a")["source"] == "title_family_rules") & (F.col("b")["source"] == "title_family_rules")
-    skip = (attr == "canonical_subcategory") | (attr.isin("net_weight", "net_volume") & totals) | (attr.isin("product_family", "canonical_category") & ~titled) | ((attr == "brand") & private)
+    # Families that differ say nothing about products whose functional names agree.
+    same_use = F.coalesce(M.token_sim(F.col("a_functional_name_toks"), F.col("b_functional_name_toks")) >= 0.45, F.lit(False))
+    skip = (attr == "canonical_subcategory") | (attr.isin("net_weight", "net_volume") & totals) | (attr.isin("product_family", "canonical_category") & (~titled | same_use)) | ((attr == "brand") & private)
     bad = joined.where(~skip).withColumn("severity", conflict_severity(attr, F.col("sim"))).where((F.col("severity").isNotNull()) & (F.col("q") >= 0.72))
     veto_map = F.create_map(*[F.lit(x) for kv in VETO.items() for x in kv])
     vetoes = (F.col("q") >= 0.84) & (F.col("severity") >= 0.55) & ~attr.isin(*NEVER_VETO, *DIET) & ((attr != "brand") | national)

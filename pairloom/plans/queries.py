@@ -94,10 +94,10 @@ def profile_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs' pairs: customers' first and last order, of which some are the same."""
-    orders = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
-    ids = lambda c: orders.where(f"{c} % 7 <> 0").select(F.col("o_custkey").cast("string").alias("item_id_A"), F.col(c).cast("string").alias("item_id_B"))
-    return report.pair_diff(ids("low"), ids("high"))
+    """Two runs' pairs, each customer with many orders, of which the last by date and number counts."""
+    orders = _table(spark, sf_dir, "orders")
+    pairs = orders.select(F.col("o_custkey").cast("string").alias("item_id_A"), F.col("o_orderpriority").alias("item_id_B"), F.struct("o_orderdate", "o_orderkey").alias("position"), "o_orderkey")
+    return report.pair_diff(pairs.where("o_orderkey % 7 <> 0"), pairs.where("o_orderkey % 3 <> 0"))
 
 
 def override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +112,7 @@ def reason_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def common_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that at least half of a brand's parts hold."""
+    """Words that 15 % of a brand's parts hold at least."""
     from ..operators import collisions
 
     rows = _table(spark, sf_dir, "part").select(F.col("p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.split(F.concat_ws(" ", "p_name", F.lower("p_type")), " ").alias("words"))
@@ -269,8 +269,10 @@ ORACLES = {
     s AS (SELECT count(*) AS rows, count(DISTINCT doc_id) AS ids, count(*) FILTER (lang IS NULL OR trim(lang) = '') AS l, count(*) FILTER (quality IS NULL) AS q, count(*) FILTER (toxic IS NULL) AS t FROM d)
     SELECT c.column, rows, ids AS unique_ids, rows - ids AS duplicate_ids, c.blank, round(c.blank / rows, 6) AS blank_share
     FROM (SELECT rows, ids, unnest([{'column': 'doc_id', 'blank': 0}, {'column': 'lang', 'blank': l}, {'column': 'quality', 'blank': q}, {'column': 'toxic', 'blank': t}]) AS c FROM s)""",
-    "pair_diff": """WITH o AS (SELECT o_custkey, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY 1),
-    j AS (SELECT x.low AS l, y.high AS r FROM (SELECT * FROM o WHERE low % 7 <> 0) x FULL JOIN (SELECT * FROM o WHERE high % 7 <> 0) y ON x.o_custkey = y.o_custkey)
+    "pair_diff": """WITH j AS (
+        SELECT x.p AS l, y.p AS r FROM (SELECT o_custkey, arg_max(o_orderpriority, struct_pack(d := o_orderdate, k := o_orderkey)) AS p FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1) x
+        FULL JOIN (SELECT o_custkey, arg_max(o_orderpriority, struct_pack(d := o_orderdate, k := o_orderkey)) AS p FROM orders WHERE o_orderkey % 3 <> 0 GROUP BY 1) y USING (o_custkey)
+    )
     SELECT count(*) FILTER (l = r) AS same, count(*) FILTER (l <> r) AS changed, count(*) FILTER (l IS NULL) AS added, count(*) FILTER (r IS NULL) AS removed,
         round(count(*) FILTER (l = r) / (count(l) + count(r) - count(*) FILTER (l = r)), 6) AS jaccard FROM j""",
     "override_merge": "SELECT p_partkey AS row_key, CASE WHEN p_partkey % 5 = 0 THEN 'OVERRIDE' ELSE p_brand END AS p_brand, CASE WHEN p_partkey % 5 = 0 THEN p_size * 2 ELSE p_size END AS p_size FROM part",

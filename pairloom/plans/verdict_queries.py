@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import quantity as Q
 from ..functions import similarity as M
-from ..operators import certify, report, routing
+from ..operators import certify, collisions, nets, report, routing
 
 #: Columns of the pairs, in a form that both engines read.
 _PAIRS = """
@@ -93,7 +93,7 @@ def single_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def net_size_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy clusters of sizes within 8 %, in row order."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.col("p_size").alias("value")).where("row_key % 4 = 0")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.col("p_size").alias("value"))
     return certify.near_clusters(part)
 
 
@@ -131,6 +131,36 @@ def amount_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", M.numeric_sim(x, y).alias("sim"), M.numeric_value(F.col("p_partkey") % 2, F.lit(0), x, y).alias("value_sim"), near.alias("near"), M.related_brands(F.array_append(w, "co"), other).alias("related"))
 
 
+#: Titles of six forms, from a part's key and size.
+_NET_TITLES = """
+SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN concat('(', n, ' pack) cola ', m, ' fl oz') WHEN 1 THEN concat('Photo paper ', n, ' x ', m, ' sheet ', n, ' oz') WHEN 2 THEN concat('Soda ', m, ' fl oz, ', n, ' bottles')
+    WHEN 3 THEN concat(n, ' x ', m, ' g soap') WHEN 4 THEN concat('Bar ', m, 'g protein ', n, ' oz') ELSE concat(p_name, ' ', n, ' count') END AS t
+FROM (SELECT p_partkey, p_name, CAST(p_size % 7 + 2 AS STRING) AS n, CAST(p_size + 9 AS STRING) AS m FROM {part})"""
+
+
+def package_nets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net contents of made-up titles: outer packs, counted containers, and numbers that multiply nothing."""
+    rows = spark.sql(_NET_TITLES, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    found = nets.with_net(rows, "net", F.col("t"), certify.package_count(F.col("t")))
+    return found.select("p_partkey", "net.dim", F.round("net.total", 6).alias("total"), F.round("net.shown", 6).alias("shown"), "net.mode")
+
+
+#: Matches of five kinds, two parts to a target: alone with a count the target lacks, the same beside a fitting one, a size twice the target's, a bowl for a bag, a size four percent off beside a fitting one.
+_MERGES = """
+SELECT row_key, CAST(pair AS STRING) AS target, 'acme' AS brand_B, '' AS description_B, '' AS info_B, CASE kind WHEN 4 THEN 'COMMODITY' ELSE 'PRIVATE' END AS brand_policy,
+    CASE kind WHEN 0 THEN '6 packs of 20 wipes' WHEN 1 THEN CASE WHEN odd THEN '6 packs of 40 wipes' ELSE '6 packs of 20 wipes' END WHEN 2 THEN concat('Lotion ', s, ' oz') WHEN 3 THEN 'Salad bowl'
+        ELSE CASE WHEN odd THEN concat('Tea ', s, '00 g') ELSE concat('Tea ', s, '04 g') END END AS name_A,
+    CASE kind WHEN 0 THEN '6 packs of 40 wipes' WHEN 1 THEN '6 packs of 40 wipes' WHEN 2 THEN 'Lotion' WHEN 3 THEN 'Salad bag' ELSE 'Tea' END AS name_B,
+    CASE kind WHEN 2 THEN concat(CAST(s * 2 AS STRING), ' oz') WHEN 4 THEN concat(s, '00 g') ELSE '' END AS size_B
+FROM (SELECT p_partkey AS row_key, p_partkey DIV 2 AS pair, p_partkey DIV 2 % 5 AS kind, p_partkey % 2 = 1 AS odd, 1 AS s FROM {part}) WHERE kind <> 0 OR NOT odd"""
+
+
+def merge_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why made-up matches of a target can't all be right, by the merge checks."""
+    rows = spark.sql(_MERGES, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    return collisions.demotions(rows).select("row_key", "reason")
+
+
 def last_check_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reasons of the last check against made-up matches of every phrase with every other."""
     return certify.judged(spark.sql(_CASES)).select("row_key", "reason")
@@ -221,6 +251,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         best_and_margin, calibrated_support, routed, rows_with_context, route_histogram, run_summary, review_queue, demoted_matches, demotion_audit, single_lookup, net_size_clusters, pack_relations, amount_relations, last_check_reasons,
+        package_nets, merge_reasons,
     )
 }
 ORACLES = {
@@ -250,7 +281,7 @@ ORACLES = {
     FROM routed WHERE final_verdict = 'MATCH' AND row_key % 3 = 0""",
     "single_lookup": """SELECT item_id, name FROM (SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_name || ' ' || p_size AS name FROM part) WHERE item_id = '17' OR contains(lower(name), '17')
     ORDER BY (item_id = '17') DESC, item_id LIMIT 10""",
-    "net_size_clusters": """WITH RECURSIVE r AS (SELECT p_brand AS target, p_partkey AS row_key, CAST(p_size AS DOUBLE) AS value, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part WHERE p_partkey % 4 = 0),
+    "net_size_clusters": """WITH RECURSIVE r AS (SELECT p_brand AS target, p_partkey AS row_key, CAST(p_size AS DOUBLE) AS value, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part),
     walk AS (
         SELECT target, row_key, n, [value] AS firsts, 0 AS cluster FROM r WHERE n = 1
         UNION ALL
@@ -261,6 +292,14 @@ ORACLES = {
         )
     )
     SELECT target, row_key, cluster FROM walk""",
+    "package_nets": """WITH f AS (SELECT p_partkey, p_partkey % 6 AS form, p_size % 7 + 2 AS n, p_size + 9 AS m FROM part)
+    SELECT p_partkey, CASE WHEN form IN (0, 2) THEN 'vol' WHEN form IN (1, 3, 4) THEN 'mass' END AS dim,
+        round(CASE form WHEN 0 THEN n * m * 29.5735295625::DOUBLE WHEN 1 THEN n * 28.349523125::DOUBLE WHEN 2 THEN n * m * 29.5735295625::DOUBLE WHEN 3 THEN n * m WHEN 4 THEN n * 28.349523125::DOUBLE END, 6) AS total,
+        round(CASE form WHEN 0 THEN m * 29.5735295625::DOUBLE WHEN 1 THEN n * 28.349523125::DOUBLE WHEN 2 THEN m * 29.5735295625::DOUBLE WHEN 3 THEN m WHEN 4 THEN n * 28.349523125::DOUBLE END, 6) AS shown,
+        CASE form WHEN 0 THEN 'mult' WHEN 1 THEN 'package' WHEN 2 THEN 'perunit' WHEN 3 THEN 'mult' WHEN 4 THEN 'package' END AS mode FROM f""",
+    "merge_reasons": """WITH f AS (SELECT p_partkey AS row_key, p_partkey // 2 % 5 AS kind, p_partkey % 2 = 1 AS odd FROM part)
+    SELECT row_key, CASE kind WHEN 1 THEN 'V17_COLLISION_GENERAL_COUNT' WHEN 2 THEN 'B_METADATA_SIZE' WHEN 3 THEN 'B_METADATA_ROLE' ELSE 'B_COLLISION_BEST_STRUCTURED_SIZE' END AS reason
+    FROM f WHERE kind IN (2, 3) OR (kind IN (1, 4) AND NOT odd)""",
     "pack_relations": _TITLED
     + """, c AS (
         SELECT *, CASE form WHEN 0 THEN list_sort(list_distinct([n, m, n * m])) WHEN 1 THEN [n] WHEN 2 THEN [n] ELSE [m] END AS ca, CASE form WHEN 0 THEN [m] WHEN 1 THEN [n] WHEN 2 THEN [m] ELSE [] END AS cb FROM t

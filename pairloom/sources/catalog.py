@@ -26,6 +26,22 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.lstrip("﻿") for c in df.columns])
 
 
+def positioned(df: DataFrame) -> DataFrame:
+    """A table just read from files, with position: file, start of the block and place in it, which order its rows as they stand there (files by name)."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", place.alias("position"))
+
+
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """(item_id_A, item_id_B, position) of a CSV with pairs: the columns of these names, else the first and the second."""
+    df = positioned(spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False))
+    names = {c.lstrip("\ufeff"): c for c in df.columns[:-1]}
+    if len(names) < 2:
+        raise ValueError(f"{path} has no two columns")
+    pick = [names.get(n, df.columns[k]) for k, n in enumerate(("item_id_A", "item_id_B"))]
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(pick, ("item_id_A", "item_id_B"), strict=True)], "position")
+
+
 def catalog(df: DataFrame) -> DataFrame:
     """The used columns of a catalog as text; a missing one is empty."""
     return df.select(*[(F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in USED])

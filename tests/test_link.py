@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.operators import adjudicate, certify, report, routing
+from pairloom.operators import adjudicate, certify, collisions, nets, report, routing, scoring
 from pairloom.plans import link
 from pairloom.sources import catalog
 
@@ -56,9 +56,83 @@ def test_near_clusters_follow_row_order(spark):
     assert [c for _, c in got] == [0, 0, 1, 2, 0]
 
 
-def test_net_contents():
-    assert certify.net_of("6 pack cola 12 fl oz")[1] == pytest.approx(6 * 12 * 29.5735295625)
-    assert certify.net_of("bar 20g protein 2 oz")[3] == "package" and certify.net_of("soap") == (None,) * 5
+NETS = [
+    ("6 pack cola 12 fl oz", "mult", 6 * 12 * 29.5735295625),
+    ("bar 20g protein 2 oz", "package", 2 * 28.349523125),
+    ("soap", None, None),
+    ("Photo paper 4 x 6 sheet 12 oz", "package", 12 * 28.349523125),
+    ("2 x 80 count soap 3 oz", "package", 3 * 28.349523125),
+    ("2 x 80 g soap", "mult", 160.0),
+    ("Water 12 ct pack, 20 oz bottles", "perunit", 12 * 20 * 28.349523125),
+    ("Soda 13.7 fl oz, 12 bottles", "perunit", 12 * 13.7 * 29.5735295625),
+    ("Soda 16 fl oz, 12 count bottle", "perunit", 12 * 16 * 29.5735295625),
+    ("Mints tins 1.5 oz, 2 count", "perunit", 2 * 1.5 * 28.349523125),
+    ("Mints tins 1.5 oz box, 2 count", "package", 1.5 * 28.349523125),
+    (None, None, None),
+]
+
+
+def test_net_contents(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(NETS)], "k int, t string")
+    got = nets.with_net(df, "n", F.col("t"), certify.package_count(F.col("t"))).orderBy("k").collect()
+    for r, (text, mode, total) in zip(got, NETS, strict=True):
+        assert r.n.mode == mode and (r.n.total == pytest.approx(total) if total else r.n.total is None), text
+
+
+def test_net_from_the_description(spark):
+    df = spark.createDataFrame([("", "This box contains 20 individually portioned, 1-ounce packs."), ("", "10 wrapped bars, a pack"), ("8 oz", "contains 20 2-ounce packs"), (None, None)], "s string, d string")
+    got = [r.n for r in nets.with_net(df, "n", F.col("s"), certify.package_count(F.col("s")), F.col("d")).collect()]
+    assert (got[0].mode, got[0].total) == ("text", pytest.approx(20 * 28.349523125)) and got[1].mode is None and got[2].mode == "package" and got[3].dim is None
+
+
+MATCH = "row_key long, target string, name_A string, name_B string, brand_B string, description_B string, info_B string, size_B string, brand_policy string"
+
+
+def reasons(spark, rows):
+    return {r.row_key: r.reason for r in collisions.demotions(spark.createDataFrame(rows, MATCH)).collect()}
+
+
+def test_one_match_of_a_target_has_no_one_to_collide_with(spark):
+    a, b = "6 packs of 20 wipes", "6 packs of 40 wipes"
+    alone = [(1, "t", a, b, "acme", "", "", "", "PRIVATE")]
+    assert reasons(spark, alone) == {}
+    got = reasons(spark, [*alone, (2, "t", b, b, "acme", "", "", "", "PRIVATE")])
+    assert set(got) == {1} and got[1] in ("V17_COLLISION_TOTAL_COUNT", "V17_COLLISION_GENERAL_COUNT")
+
+
+def test_metadata_and_group_checks(spark):
+    same = "SAME"
+    rows = [
+        (1, "a", "Lotion 8 oz", "Lotion", "acme", "", "", "16 fl oz", same),
+        (2, "b", "Salad bowl kit", "Salad bag kit", "acme", "", "", "", same),
+        (3, "c", "Coffee 12 oz", "Coffee", "acme", "in k cups", "", "", same),
+        (4, "d", "Acme soap lemon zest bar wash", "Acme soap", "acme", "gentle bar wash", "", "", same),
+        (5, "d", "Acme soap gentle bar wash", "Acme soap", "acme", "gentle bar wash", "", "", same),
+        (6, "e", "Tea 4 oz", "Tea", "acme", "", "", "4 oz", same),
+        (7, "e", "Tea 4.7 oz", "Tea", "acme", "", "", "4.5 oz", "COMMODITY"),
+    ]
+    got = reasons(spark, rows)
+    assert got[1] == "B_METADATA_OZ_SIZE" and got[2] == "B_METADATA_ROLE" and got[3] == "B_METADATA_FORM" and got[4] == "V17_COLLISION_UNSUPPORTED_VARIANT" and 5 not in got
+
+
+def test_equal_functional_names_silence_a_family_conflict(spark):
+    kind = "key long, attr string, kind string, num double, txt string, flag boolean, toks array<string>, nums array<double>, dim string, quality double, source string"
+    fact = lambda i, attr, txt=None, toks=None: (i, attr, "text", None, txt, None, toks, None, None, 0.9, "title_family_rules")
+    pairs = spark.createDataFrame([(1, 1, "1", "1", "x", "x"), (2, 2, "2", "2", "x", "y")], "row_key long, b_index long, item_id_A string, item_id_B string, name_A string, name_B string")
+    sides = []
+    for family, names in (("baby", (["wipes", "soft"], ["wipes", "soft"])), ("household", (["wipes", "soft"], ["bleach", "strong"]))):
+        rows = [fact(i, "product_family", family) for i in (1, 2)] + [fact(i, "functional_name", None, toks) for i, toks in zip((1, 2), names, strict=True)]
+        sides.append(spark.createDataFrame(rows, kind))
+    a, b = sides[0].withColumnRenamed("key", "row_key"), sides[1].withColumnRenamed("key", "b_index")
+    got = {r.row_key: r.atomic_conflict_count for r in scoring.score_pairs(pairs, a, b).collect()}
+    assert got[1] == 0 and got[2] > 0
+
+
+def test_the_last_pair_of_a_file_wins(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("\ufeffitem_id_A,item_id_B\na,b9\na,b1\nc, \n d ,e\n")
+    (tmp_path / "y.csv").write_text("left,right\na,b1\nd,e\n")
+    x, y = (catalog.read_pairs(spark, str(tmp_path / f)) for f in ("x.csv", "y.csv"))
+    assert tuple(report.pair_diff(x, y).first()) == (2, 0, 0, 0, 1.0)
 
 
 REASONS = [
