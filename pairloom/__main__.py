@@ -17,7 +17,7 @@ def main(argv: list[str] | None = None) -> None:
     p = modes.add_parser("link", help="one verdict for each row of the first catalog")
     for name in ("a", "b", "out"):
         p.add_argument(f"--{name}", required=True, type=config.clean_path)
-    for name in ("config", "criteria", "lexicon", "facts"):
+    for name in ("config", "criteria", "lexicon", "facts", "run"):
         p.add_argument(f"--{name}", type=config.clean_path)
     p.add_argument("--rows", type=int, help="link the first so many rows only")
     p = modes.add_parser("profile", help="blank and filled values of a catalog's columns")
@@ -35,7 +35,7 @@ def main(argv: list[str] | None = None) -> None:
         a, b = catalog.keyed(a, "row_key", "item_id"), catalog.keyed(b, "b_index", "item_id")
         if o.rows:
             a = config.first_rows(a, o.rows, "row_key")
-        given = {"facts_path": o.facts}
+        given = {"facts_path": o.facts, "run_path": o.run}
         given |= {"thresholds": config.read_thresholds(spark, o.config)} if o.config else {}
         given |= {"criteria": config.read_criteria(spark, o.criteria)} if o.criteria else {}
         given |= {"lexicon": config.read_lexicon(spark, o.lexicon)} if o.lexicon else {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -9,34 +10,43 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import adjudicate, blocking, certify, collisions, facts, routing, scoring
-from .stages import cached, staged
+from .stages import Run, cached, staged
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a caller may change: phrases, criteria and thresholds (see sources.config), and a folder that keeps facts of b for later runs."""
+    """What a caller may change: phrases, criteria and thresholds (see sources.config), a folder that keeps facts of b for later runs, and one for the
+    stages of this run, from which a run that was stopped goes on (see stages.Run)."""
 
     lexicon: list | None = None
     criteria: list | None = None
     thresholds: routing.Thresholds = field(default_factory=routing.Thresholds)
     facts_path: str | None = None
+    run_path: str | None = None
     unicode: bool = True
 
 
-def scored_pairs(a: DataFrame, b: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+Keep = Callable[[str, Callable[[], DataFrame]], DataFrame]
+
+
+def _keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    return staged(make())
+
+
+def scored_pairs(a: DataFrame, b: DataFrame, s: Settings, keep: Keep = _keep) -> tuple[DataFrame, DataFrame]:
     """(all candidates, scored deep pairs): cheap retrieval first; facts of both sides only for what survives it."""
-    named = staged(blocking.infer_brands(a, b))
-    candidates = staged(blocking.retrieve(named, b, s.unicode))
+    named = keep("named", lambda: blocking.infer_brands(a, b))
+    candidates = keep("candidates", lambda: blocking.retrieve(named, b, s.unicode))
     strong = candidates.where((F.col("retrieval_rank") == 1) & (F.col("retrieval_score") >= blocking.FLOOR)).select("row_key")
     deep = blocking.deep_shortlist(candidates.join(strong, "row_key", "left_semi"))
     names_a = named.select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     names_b = b.select("b_index", F.col("name").alias("name_B"))
-    pairs = staged(deep.join(names_a, "row_key").join(names_b, "b_index"))
-    facts_a = staged(facts.extract(named.join(pairs.select("row_key").distinct(), "row_key", "left_semi"), "row_key", s.lexicon, s.unicode))
+    pairs = keep("pairs", lambda: deep.join(names_a, "row_key").join(names_b, "b_index"))
+    facts_a = keep("facts_a", lambda: facts.extract(named.join(pairs.select("row_key").distinct(), "row_key", "left_semi"), "row_key", s.lexicon, s.unicode))
     asked = b.join(pairs.select("b_index").distinct(), "b_index", "left_semi")
     of_b = lambda p: facts.extract(p, "b_index", s.lexicon, s.unicode)
-    facts_b = cached(asked, "b_index", of_b, s.facts_path) if s.facts_path else staged(of_b(asked))
-    return candidates, staged(scoring.score_pairs(pairs, facts_a, facts_b, s.criteria))
+    facts_b = keep("facts_b", lambda: cached(asked, "b_index", of_b, s.facts_path, repr((s.lexicon, s.unicode))) if s.facts_path else of_b(asked))
+    return candidates, keep("scored", lambda: scoring.score_pairs(pairs, facts_a, facts_b, s.criteria))
 
 
 def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
@@ -53,15 +63,18 @@ def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudi
     settings go before lexicon and unicode.
     """
     s = settings or Settings(lexicon=lexicon, unicode=unicode)
-    _, pairs = scored_pairs(a, b, s)
+    keep: Keep = Run(a.sparkSession, s.run_path, {"a": a, "b": b}, (s.lexicon, s.criteria, s.thresholds, s.unicode, client is not None)).stage if s.run_path else _keep
+    _, pairs = scored_pairs(a, b, s, keep)
     pairs = routing.supported(pairs, s.thresholds)
-    verdicts = staged(routing.settled(routing.route(pairs, s.thresholds)))
+    verdicts = routed = keep("routed", lambda: routing.settled(routing.route(pairs, s.thresholds)))
     if client is not None:
         under = pairs.join(verdicts.where("final_verdict = 'REVIEW'").select("row_key"), "row_key", "left_semi")
-        verdicts = staged(adjudicate.accepted(verdicts, adjudicate.ask(adjudicate.packets(under), client)))
-    first = collisions.demotions(staged(matched(verdicts, b)), staged)
-    verdicts = staged(certify.demoted(verdicts, first))
-    verdicts = certify.demoted(verdicts, certify.certify(staged(matched(verdicts, b)), staged))
+        verdicts = keep("adjudicated", lambda: adjudicate.accepted(routed, adjudicate.ask(adjudicate.packets(under), client)))
+    provisional = keep("matched", lambda: matched(verdicts, b))
+    first = keep("collisions", lambda: collisions.demotions(provisional, staged))
+    merged = keep("merged", lambda: certify.demoted(verdicts, first))
+    last = keep("last_check", lambda: certify.certify(staged(matched(merged, b)), staged))
+    verdicts = certify.demoted(merged, last)
     rest = a.join(verdicts.select("row_key"), "row_key", "left_anti").select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     stub = rest.withColumn("final_verdict", F.lit("NON_MATCH")).withColumn("decision_reason", F.lit("WEAK_RETRIEVAL_NONMATCH"))
     return verdicts.unionByName(stub, allowMissingColumns=True)
