@@ -5,11 +5,16 @@ Weights are whole micro-units, so sums don't depend on their order.  Every ranki
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
+if TYPE_CHECKING:
+    from . import index
+
 # Fixed values.
 RARE, RARE_PRIVATE = 4, 6
 POOL = TOP = 20
@@ -146,18 +151,28 @@ def prepared(a: DataFrame, b: DataFrame, unicode: bool = True) -> tuple[DataFram
     return fa.join(weighed(fa, "row_key", weights), "row_key", "left"), fb.join(weighed(fb, "b_index", weights), "b_index", "left")
 
 
-def retrieve(a: DataFrame, b: DataFrame, unicode: bool = True) -> DataFrame:
-    """Up to TOP ranked candidates of b for each row of a, from proposals that hold every pair which can be among them (see topk)."""
+def prepared_rows(a: DataFrame, target: index.Target, unicode: bool = True) -> DataFrame:
+    """Features of the source catalog with weighed tokens and n_brand, the number of the target's rows of its brand."""
+    fa = features(a, "row_key", unicode)
+    if "inferred" not in fa.columns:
+        fa = fa.withColumn("inferred", F.lit(""))
+    return fa.join(weighed(fa, "row_key", target.weights), "row_key", "left").join(target.brands, "brand", "left")
+
+
+def retrieve(a: DataFrame, b: DataFrame | None, unicode: bool = True, stored: index.Target | None = None) -> DataFrame:
+    """Up to TOP ranked candidates of b for each row of a, from proposals that hold every pair which can be among them (see topk).
+
+    stored: the tables of b where they were stored before (see index); b isn't read then.
+    """
     from ..plans.stages import Folder
-    from . import topk
+    from . import index, topk
 
     folder = Folder(a.sparkSession)
-    fa, fb = prepared(a, b, unicode)
-    count = fb.where("brand <> ''").groupBy("brand").agg(F.count("*").alias("n_brand"))
-    fa, fb = folder.staged(fa.join(count, "brand", "left")), folder.staged(fb)
+    target = stored or index.of(b, unicode, lambda _, df: folder.staged(df))
+    fa = folder.staged(prepared_rows(a, target, unicode))
     # The rows are few bytes but much work: they stay in as many tasks as the session asks for.
-    pairs = topk.proposals(fa, fb, folder).repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row_key")
-    out = folder.result(ranked(scored(pairs, fa, fb)))
+    pairs = topk.proposals(fa, target, folder).repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row_key")
+    out = folder.result(ranked(scored(folder.staged(pairs) if stored else pairs, fa, target.features)))
     folder.drop()
     return out
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import blocking as B
+from .index import Target, number_key, token_key
 
 #: Sets are made of at most so many keys; rows with more (five numbers and up) take every pair that a channel joins.
 MOST_KEYS = 8
@@ -24,23 +25,13 @@ _SEP = "\x01"
 _KEY = "struct<n:bigint,key:string,w:bigint>"
 
 
-def _token_key(token: Column) -> Column:
-    return F.concat(F.lit("t:"), token)
-
-
-def _number_key(z: Column) -> Column:
-    return F.concat(F.lit("n:"), z)
-
-
-def keyed_rows(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(row_key, keys, class) of a: keys rarest first, those that b lacks left out; (b_index, brand, keys) of b."""
-    right = b.select("b_index", "brand", F.array_sort(F.concat(F.transform("core", _token_key), F.transform("nums", _number_key))).alias("keys"))
-    count = right.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    rare = F.transform(B.rare_tokens(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), B.RARE), lambda t: F.struct(_token_key(t["token"]).alias("key"), B.micro(t["idf"] * B.W_RARE).alias("w")))
-    nums = F.transform("nums", lambda z: F.struct(_number_key(z).alias("key"), F.lit(int(B.W_NUMBER * B.MICRO)).cast("bigint").alias("w")))
-    each = a.select("row_key", F.explode(F.concat(rare, nums)).alias("k")).select("row_key", "k.key", "k.w").join(count, "key")
-    left = each.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("n", "key", "w"))).alias("keys"))
-    return left.withColumn("class", F.array_join(F.transform("keys", lambda k: k["key"]), _SEP)), right
+def keyed_rows(a: DataFrame, counts: DataFrame) -> DataFrame:
+    """(row_key, keys, class): keys of a's rows rarest first, those that the target lacks left out."""
+    rare = F.transform(B.rare_tokens(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), B.RARE), lambda t: F.struct(token_key(t["token"]).alias("key"), B.micro(t["idf"] * B.W_RARE).alias("w")))
+    nums = F.transform("nums", lambda z: F.struct(number_key(z).alias("key"), F.lit(int(B.W_NUMBER * B.MICRO)).cast("bigint").alias("w")))
+    each = a.select("row_key", F.explode(F.concat(rare, nums)).alias("k")).select("row_key", "k.key", "k.w").join(counts, "key")
+    rows = each.groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("n", "key", "w"))).alias("keys"))
+    return rows.withColumn("class", F.array_join(F.transform("keys", lambda k: k["key"]), _SEP))
 
 
 def subsets(classes: DataFrame) -> DataFrame:
@@ -57,23 +48,19 @@ def _first(rows: DataFrame) -> DataFrame:
     return rows.select("key", "b_index").withColumn("n", place).where(F.col("n") <= B.POOL).drop("n")
 
 
-def pair_postings(right: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, b_index, brand, keys): candidates of the wanted sets of two keys."""
-    twos = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
-    each = right.where(F.size("keys") > 1).select("b_index", "brand", "keys", F.explode(twos).alias("p"))
-    # Sets come in their class's order, candidates' keys in theirs: both ways round are tried.
+def pair_postings(twos: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, b_index, brand, keys): candidates of the wanted sets of two keys, which come in their class's order."""
     asked = wanted.select("key", F.element_at("ks", 1).alias("k1"), F.element_at("ks", 2).alias("k2")).select("key", F.least("k1", "k2").alias("x"), F.greatest("k1", "k2").alias("y"))
-    return each.select("b_index", "brand", "keys", "p.x", "p.y").join(asked, ["x", "y"]).select("key", "b_index", "brand", "keys")
+    return twos.join(asked, ["x", "y"]).select("key", "b_index", "brand", "keys")
 
 
-def best_of_classes(classes: DataFrame, right: DataFrame, folder) -> tuple[DataFrame, DataFrame]:
+def best_of_classes(classes: DataFrame, target: Target, folder) -> tuple[DataFrame, DataFrame]:
     """((class, b_index, base) of the POOL best of each class, postings of sets of two keys)."""
     sets = folder.staged(subsets(classes))
     distinct = sets.select("key", "ks", "size").distinct()
-    twos = folder.staged(pair_postings(right, distinct.where("size = 2")))
+    twos = folder.staged(pair_postings(target.twos, distinct.where("size = 2")))
     asked = sets.where("size = 1").select("key").distinct()
-    single = right.select("b_index", F.explode("keys").alias("key")).join(asked, "key", "left_semi")
-    firsts = folder.staged(_first(single).union(_first(twos)))
+    firsts = folder.staged(_first(target.postings.join(asked, "key", "left_semi")).union(_first(twos)))
     full = firsts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= B.POOL).select("key")
     bound = sets.join(full, "key", "left_semi").groupBy("class").agg(F.max("w").alias("bound"))
     useful = folder.staged(sets.join(bound, "class", "left").where("w >= coalesce(bound, 0)").drop("bound"))
@@ -105,26 +92,26 @@ def needed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("two", two).withColumn("any", F.when((F.col("least") > 0) & F.col("two").isNull(), some)).drop("must")
 
 
-def by_brand(a: DataFrame, left: DataFrame, right: DataFrame, twos: DataFrame, bounds: DataFrame) -> DataFrame:
+def by_brand(a: DataFrame, left: DataFrame, target: Target, twos: DataFrame, bounds: DataFrame) -> DataFrame:
     """(row_key, b_index) of candidates of the row's brand that may reach its class's bound."""
     idf = F.aggregate(F.filter(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), lambda t: t["df"] < 2**62), F.lit(0.0), lambda s, t: s + t["idf"])
     most = F.when(F.col("n_brand") > B.LARGE_BRAND, F.lit(int(B.RARE * B.W_BRAND * B.MICRO))).otherwise(B.micro(B.W_BRAND + B.W_BRAND_TOKEN * idf) + 1)
-    every = F.concat(F.transform("core", _token_key), F.transform("nums", _number_key))
+    every = F.concat(F.transform("core", token_key), F.transform("nums", number_key))
     rows = a.where("brand <> '' and n_brand is not null").select("row_key", "brand", most.alias("most"), every.alias("every"))
     rows = rows.join(left, "row_key", "left").join(bounds, "class", "left")
     rows = needed(rows.withColumn("keys", F.coalesce("keys", F.array().cast(f"array<{_KEY}>"))).withColumn("least", F.coalesce("bound", F.lit(0)) - F.col("most")))
     pairs = rows.where("two is not null").select("row_key", "brand", F.col("two").alias("key")).join(twos.select("key", "brand", "b_index"), ["key", "brand"])
     single = rows.where("two is null").select("row_key", "brand", F.explode(F.coalesce("any", "every")).alias("key"))
-    single = single.join(right.where("brand <> ''").select("b_index", "brand", F.explode("keys").alias("key")), ["key", "brand"])
+    single = single.join(target.branded, ["key", "brand"])
     return pairs.select("row_key", "b_index").union(single.select("row_key", "b_index"))
 
 
-def by_label(a: DataFrame, left: DataFrame, right: DataFrame, bounds: DataFrame) -> DataFrame:
+def by_label(a: DataFrame, left: DataFrame, target: Target, bounds: DataFrame) -> DataFrame:
     """(row_key, b_index) of private-label candidates that may reach the bound of a private-label row's class."""
     rows = a.where(F.col("brand").isin(*T.LABELS_A) & ~F.col("brand").isin(*T.LABELS_B))
     tokens = B.rare_tokens(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), B.RARE_PRIVATE)
     weigh = lambda t, i: B.micro(t["idf"] * B.W_PRIVATE) + F.when(i < B.RARE, B.micro(t["idf"] * B.W_RARE)).otherwise(0)
-    keys = F.transform(tokens, lambda t, i: F.struct(t["df"].cast("bigint").alias("n"), _token_key(t["token"]).alias("key"), weigh(t, i).alias("w")))
+    keys = F.transform(tokens, lambda t, i: F.struct(t["df"].cast("bigint").alias("n"), token_key(t["token"]).alias("key"), weigh(t, i).alias("w")))
     # Numbers count too, but a candidate without one of the tokens gets nothing for its label.
     spare = F.size("nums") * F.lit(int(B.W_NUMBER * B.MICRO))
     rows = rows.select("row_key", keys.alias("own"), spare.alias("spare")).join(left.select("row_key", "class"), "row_key", "left").join(bounds, "class", "left")
@@ -132,23 +119,33 @@ def by_label(a: DataFrame, left: DataFrame, right: DataFrame, bounds: DataFrame)
     own = F.transform("keys", lambda k: k["key"])
     any_of = F.when(F.col("two").isNotNull(), F.slice(F.split("two", _SEP), 1, 1)).otherwise(F.coalesce("any", own))
     each = rows.select("row_key", F.explode(any_of).alias("key"))
-    return each.join(right.where(F.col("brand").isin(*T.LABELS_B)).select("b_index", F.explode("keys").alias("key")), "key").select("row_key", "b_index")
+    return each.join(target.postings.where(F.col("brand").isin(*T.LABELS_B)), "key").select("row_key", "b_index")
+
+
+def every_pair(a: DataFrame, target: Target) -> DataFrame:
+    """(row_key, b_index) of all candidates that share a rare token or a number with a row of a, or any key and the brand."""
+    name = lambda tokens: F.transform(tokens, lambda t: token_key(t["token"]))
+    rare = B.rare_tokens(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), B.RARE_PRIVATE)
+    nums = F.transform("nums", number_key)
+    some = a.select("row_key", F.explode(F.concat(name(rare), nums)).alias("key")).join(target.postings, "key")
+    same = a.where("brand <> ''").select("row_key", "brand", F.explode(F.concat(F.transform("core", token_key), nums)).alias("key")).join(target.branded, ["key", "brand"])
+    return some.select("row_key", "b_index").union(same.select("row_key", "b_index"))
 
 
-def proposals(a: DataFrame, b: DataFrame, folder) -> DataFrame:
-    """(row_key, b_index), each once: for every row of a all candidates of b that can be among its POOL best by what channels add or by its base part.
+def proposals(a: DataFrame, target: Target, folder) -> DataFrame:
+    """(row_key, b_index), each once: for every row of a all candidates of the target that can be among its POOL best by what channels add or by its base part.
 
-    a and b: features with tokens, see blocking.prepared; a has n_brand, the number of rows of b with its brand.  folder keeps the tables between the steps.
+    a: features with tokens (blocking.weighed) and n_brand, the number of candidates of its brand.  folder keeps the tables between the steps.
     """
-    left, right = (folder.staged(x) for x in keyed_rows(a, b))
+    left = folder.staged(keyed_rows(a, target.counts))
     wide = left.where(F.size("keys") > MOST_KEYS).select("row_key")
     left = left.where(F.size("keys") <= MOST_KEYS)
     classes = folder.staged(left.groupBy("class").agg(F.first("keys").alias("keys")))
-    best, twos = best_of_classes(classes, right, folder)
+    best, twos = best_of_classes(classes, target, folder)
     bounds = folder.staged(best.groupBy("class").agg(F.count("*").alias("n"), F.min("base").alias("bound")).where(F.col("n") >= B.POOL).drop("n"))
     narrow = a.join(wide, "row_key", "left_anti")
     pairs = left.select("row_key", "class").join(best.select("class", "b_index"), "class").select("row_key", "b_index")
-    pairs = pairs.union(by_brand(narrow, left, right, twos, bounds)).union(by_label(narrow, left, right, bounds))
-    pairs = pairs.union(a.select("row_key", "title").join(b.select("b_index", "title"), "title").select("row_key", "b_index"))
-    pairs = pairs.union(B.channel_pairs(a.join(wide, "row_key", "left_semi"), b))
+    pairs = pairs.union(by_brand(narrow, left, target, twos, bounds)).union(by_label(narrow, left, target, bounds))
+    pairs = pairs.union(a.select("row_key", "title").join(target.titles, "title").select("row_key", "b_index"))
+    pairs = pairs.union(every_pair(a.join(wide, "row_key", "left_semi"), target))
     return pairs.distinct()

@@ -9,20 +9,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import adjudicate, blocking, certify, collisions, facts, routing, scoring
+from ..operators import adjudicate, blocking, certify, collisions, facts, index, routing, scoring
 from .stages import Run, cached, staged
 
 
 @dataclass(frozen=True)
 class Settings:
     """What a caller may change: phrases, criteria and thresholds (see sources.config), a folder that keeps facts of b for later runs, and one for the
-    stages of this run, from which a run that was stopped goes on (see stages.Run)."""
+    stages of this run, from which a run that was stopped goes on (see stages.Run), and the name under which b's tables are stored (see operators.index.build)."""
 
     lexicon: list | None = None
     criteria: list | None = None
     thresholds: routing.Thresholds = field(default_factory=routing.Thresholds)
     facts_path: str | None = None
     run_path: str | None = None
+    index: str | None = None
     unicode: bool = True
 
 
@@ -36,7 +37,7 @@ def _keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
 def scored_pairs(a: DataFrame, b: DataFrame, s: Settings, keep: Keep = _keep) -> tuple[DataFrame, DataFrame]:
     """(all candidates, scored deep pairs): cheap retrieval first; facts of both sides only for what survives it."""
     named = keep("named", lambda: blocking.infer_brands(a, b))
-    candidates = keep("candidates", lambda: blocking.retrieve(named, b, s.unicode))
+    candidates = keep("candidates", lambda: blocking.retrieve(named, b, s.unicode, index.opened(a.sparkSession, s.index) if s.index else None))
     strong = candidates.where((F.col("retrieval_rank") == 1) & (F.col("retrieval_score") >= blocking.FLOOR)).select("row_key")
     deep = blocking.deep_shortlist(candidates.join(strong, "row_key", "left_semi"))
     names_a = named.select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import quantity as Q
 from ..functions import similarity as M
 from ..functions import text as T
-from ..operators import blocking, report
+from ..operators import blocking, index, report
 from ..sources.catalog import part_catalogs
 from . import fact_queries, score_queries, verdict_queries
+from .stages import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,28 @@ def candidate_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.retrieve(a, b, unicode=False).select("row_key", "b_index", "item_id_B", "retrieval_rank", "retrieval_score", "protected")
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> index.Target:
+    """The second catalog's tables, stored under a name and a folder of their own."""
+    _, b = part_catalogs(spark, sf_dir)
+    path = shared_folder(spark)
+    return index.build(b, f"parts_{path.rsplit('/', 1)[1]}", path, int(spark.conf.get("spark.sql.shuffle.partitions")), unicode=False)
+
+
+def index_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the stored tables, with their postings counted in three ways."""
+    target = _stored(spark, sf_dir)
+    held = target.postings.groupBy("key").agg(F.count("*").alias("held"), F.min("b_index").alias("first"))
+    branded = target.branded.groupBy("key").agg(F.count("*").alias("branded"))
+    return target.counts.join(held, "key").join(branded, "key", "left").select("key", "n", "held", "first", F.coalesce("branded", F.lit(0)).alias("branded"))
+
+
+def candidates_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """candidate_topk, from stored tables of the second catalog."""
+    a, _ = part_catalogs(spark, sf_dir)
+    found = blocking.retrieve(a, None, unicode=False, stored=_stored(spark, sf_dir))
+    return found.select("row_key", "b_index", "item_id_B", "retrieval_rank", "retrieval_score", "protected")
+
+
 def norm_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir)[0].select("row_key", "title", "brand")
 
@@ -198,7 +221,7 @@ ROWS_ONLY = ("fact_counts", "link_verdicts", "fake_adjudication")
 QUERIES = {
     f.__name__: f
     for f in (
-        candidate_topk, norm_title, core_tokens, numeric_tokens, doc_freq, exact_title_join, rare_token_top4, number_blocking, pair_token_similarity, numeric_similarity, quantities,
+        candidate_topk, index_postings, candidates_from_index, norm_title, core_tokens, numeric_tokens, doc_freq, exact_title_join, rare_token_top4, number_blocking, pair_token_similarity, numeric_similarity, quantities,
         calibrate, profile_blanks, pair_diff, override_merge, reason_histogram, common_tokens, size_preference, json_values,
         deep_shortlist, retrieval_floor_stub, html_strip, coverage_anti_join, dimension_signature, pack_counts, fact_counts, link_verdicts, fake_adjudication,
     )
@@ -286,6 +309,10 @@ ORACLES = {
 }
 _TOP = ORACLES["candidate_topk"]
 ORACLES |= {
+    "candidates_from_index": _TOP,
+    "index_postings": _PART
+    + """, keyed AS (SELECT k, brand, 't:' || unnest(core) AS key FROM b UNION ALL SELECT k, brand, 'n:' || unnest(nums) FROM b)
+    SELECT key, count(*) AS n, count(*) AS held, min(k) AS first, count(*) FILTER (brand <> '') AS branded FROM keyed GROUP BY 1""",
     "deep_shortlist": f"""SELECT row_key, b_index, retrieval_rank FROM (SELECT *, row_number() OVER (PARTITION BY row_key ORDER BY retrieval_rank) AS p FROM ({_TOP}) WHERE retrieval_rank <= 3 OR protected) WHERE p <= 5""",
     "retrieval_floor_stub": f"""SELECT p_partkey // 2 AS row_key, CAST(p_partkey AS VARCHAR) AS item_id, 'WEAK_RETRIEVAL_NONMATCH' AS decision_reason FROM part
     WHERE p_partkey % 2 = 0 AND p_partkey // 2 NOT IN (SELECT row_key FROM ({_TOP}) WHERE retrieval_rank = 1 AND retrieval_score >= 4.5)""",

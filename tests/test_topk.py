@@ -1,14 +1,15 @@
 """Bounded retrieval against all pairs that the channels join."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from pairloom.functions import text as T
 from pairloom.operators import blocking as B
-from pairloom.operators import topk
-from pairloom.plans.stages import Folder
+from pairloom.operators import index, topk
+from pairloom.plans.stages import Folder, staged
 
 COLUMNS = "item_id string, name string, brand_raw string, description string, item_info string, sizing_comp string, tags string"
 
@@ -60,10 +61,44 @@ def test_a_common_key_gives_few_proposals(spark):
     fa, fb = counted(make("row_key"), make("b_index"))
     folder = Folder(spark)
     assert B.channel_pairs(fa, fb).count() == 640_000
-    assert topk.proposals(fa, fb, folder).count() <= 800 * 3 * B.POOL
+    assert topk.proposals(fa, index.of(make("b_index"), False), folder).count() <= 800 * 3 * B.POOL
     folder.drop()
 
 
 def test_empty_catalogs(spark):
     a, b = catalogs(spark, 1)
     assert B.retrieve(a.limit(0), b, False).collect() == [] and B.retrieve(a, b.limit(0), False).collect() == []
+
+
+def moved(df, name):
+    """Scans of stored tables of that name that lie below an exchange before they meet a join, window or aggregate of another kind."""
+    path, found = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*|"))
+        path = [x for x in path if x[0] < depth] + [(depth, line.strip(" :+-*|"))]
+        if f"{name}_" in line and "Scan parquet" in line:
+            above = next((x for _, x in reversed(path[:-1]) if re.match(r"(\(\d+\) )?(SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin|Exchange|BroadcastExchange)", x)), "")
+            found.append((line, above))
+    assert found
+    return [scan for scan, above in found if "Exchange" in above]
+
+
+def test_stored_tables_stay_where_they_are(spark, tmp_path, monkeypatch):
+    a, b = catalogs(spark, 5)
+    index.build(b, "kept", f"file://{tmp_path}/index", 4, False)
+    want = sorted(map(tuple, B.retrieve(a, b, False).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans = []
+    try:
+        real = Folder.staged
+        monkeypatch.setattr(Folder, "staged", lambda self, df: plans.append(df) or real(self, df))
+        monkeypatch.setattr(Folder, "result", lambda self, df: plans.append(df) or staged(df))
+        assert sorted(map(tuple, B.retrieve(a, None, False, index.opened(spark, "kept")).collect())) == want
+        used = [df for df in plans if "kept_" in df._jdf.queryExecution().executedPlan().toString()]
+        scans = "".join(df._jdf.queryExecution().executedPlan().toString() for df in used)
+        assert all(f"kept_{t}" in scans for t in index.TABLES)
+        assert [moved(df, "kept") for df in used] == [[] for _ in used]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for t in index.TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS kept_{t}")
