@@ -22,9 +22,11 @@ COMPARABLE = ("SAME", "SAME_INFERRED", "PRIVATE")
 #: Share of a group's rows that makes a token common.
 COMMON = 0.80
 STRONG = (
-    "mini reduced lean decaf unscented baby infant kids kid boys boy girls girl men women puppy kitten senior clinical advanced sensitive gentle mega triple double jumbo holiday "
-    "white yellow pink red blue green black brown purple orange gold silver gray vanilla chocolate strawberry lemon lime apple cherry mint coconut caramel chicken beef"
-).split()
+    "mini", "reduced", "lean", "decaf", "unscented", "baby", "infant", "kids", "kid", "boys", "boy", "girls", "girl", "men", "women", "puppy", "kitten",
+    "senior", "clinical", "advanced", "sensitive", "gentle", "mega", "triple", "double", "jumbo", "holiday", "white", "yellow", "pink", "red", "blue",
+    "green", "black", "brown", "purple", "orange", "gold", "silver", "gray", "vanilla", "chocolate", "strawberry", "lemon", "lime", "apple", "cherry",
+    "mint", "coconut", "caramel", "chicken", "beef",
+)
 
 
 def pair_block() -> Column:

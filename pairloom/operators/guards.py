@@ -13,23 +13,52 @@ from ..functions import text as T
 # Fixed values.
 HARD = ("HARD_VETO", "BRAND", "ROLE", "FORM", "FLAVOR_SCENT_SHADE", "QUANTITY", "ORGANIC_STATUS")
 ROLES = (
-    "shampoo; conditioner; body wash; bar soap; deodorant; antiperspirant; lotion; serum; cleanser; toothpaste; mouthwash; toothbrush; floss; detergent; "
-    "fabric softener; dish soap; trash bags; coffee; tea; juice; soda; water; yogurt; milk; cheese; cereal; granola; crackers; chips; cookies; pasta; rice; "
-    "ketchup; mustard; mayonnaise; salsa; hummus"
-).split("; ")
-STATUSES = "organic; lactose free; sugar free; zero sugar; decaf; caffeine free; low sodium; reduced sodium; fat free; low fat; whole milk; skim milk; waterproof; washable; unscented; fragrance free; sensitive skin".split("; ")
+    "shampoo", "conditioner", "body wash", "bar soap", "deodorant", "antiperspirant", "lotion", "serum", "cleanser", "toothpaste", "mouthwash",
+    "toothbrush", "floss", "detergent", "fabric softener", "dish soap", "trash bags", "coffee", "tea", "juice", "soda", "water", "yogurt", "milk",
+    "cheese", "cereal", "granola", "crackers", "chips", "cookies", "pasta", "rice", "ketchup", "mustard", "mayonnaise", "salsa", "hummus",
+)
+STATUSES = (
+    "organic", "lactose free", "sugar free", "zero sugar", "decaf", "caffeine free", "low sodium", "reduced sodium", "fat free", "low fat", "whole milk",
+    "skim milk", "waterproof", "washable", "unscented", "fragrance free", "sensitive skin",
+)
 FORMATS = (
-    "ground coffee; whole bean; coffee pods; coffee pod; capsules; capsule; instant coffee".split("; "),
-    "liquid detergent; detergent pods; detergent pacs; laundry pods; laundry pacs; laundry sheets; powder detergent".split("; "),
+    (
+        "ground coffee", "whole bean", "coffee pods", "coffee pod", "capsules", "capsule", "instant coffee",
+    ),
+    (
+        "liquid detergent", "detergent pods", "detergent pacs", "laundry pods", "laundry pacs", "laundry sheets", "powder detergent",
+    ),
+)
+FORMS = (
+    "gummy", "gummies", "tablet", "tablets", "capsule", "capsules", "softgel", "softgels", "lozenge", "lozenges", "powder", "liquid",
+)
+FLAVORS = (
+    "vanilla", "chocolate", "strawberry", "blueberry", "raspberry", "lemon", "lime", "orange", "apple", "cherry", "peach", "mango", "honey", "cinnamon",
+    "garlic", "basil", "ranch", "bbq", "barbecue", "cheddar", "mozzarella", "mint", "peppermint", "coconut", "pineapple", "banana", "caramel",
+    "hazelnut", "pumpkin", "grape", "watermelon", "cucumber", "berry", "mocha", "latte", "teriyaki", "barbacoa", "verde", "original",
+)
+TITLE_STOP = (
+    "the", "a", "an", "and", "or", "with", "for", "of", "in", "on", "by", "from", "to", "at", "new", "premium", "classic", "original", "style",
+    "assorted", "each", "per", "size", "pack", "count", "ct", "pk", "oz", "ounce", "ounces", "lb", "lbs", "pound", "pounds", "g", "kg", "mg", "mcg",
+    "ml", "l", "fl", "fluid", "bottle", "bottles", "bag", "bags", "box", "boxes", "can", "cans", "carton", "cartons", "tub", "tubs", "jar", "jars",
+    "pouch", "pouches", "package", "packages", "value", "family", "fresh", "made", "plus", "food", "foods", "brand", "recipe", "delicious", "natural",
+    "naturally", "real", "great", "best", "quality", "extra", "super", "ultimate", "select", "signature", "traditional", "authentic",
+)
+SAFE = (
+    "daily", "refreshing", "nourishing", "moisturizing", "natural", "naturally", "classic", "traditional", "premium", "signature", "adult", "men",
+    "mens", "women", "womens", "kids", "kid", "baby", "family", "frozen", "refrigerated", "snack", "snacks", "flavored", "flavor", "style", "instant",
+    "ready", "eat", "baked", "creamy", "rich", "pure", "gentle", "original", "broad", "spectrum", "with", "real", "made", "whole", "grain", "gluten",
+    "free", "no", "added", "quick", "dry",
 )
-FORMS = "gummy gummies tablet tablets capsule capsules softgel softgels lozenge lozenges powder liquid".split()
-FLAVORS = "vanilla chocolate strawberry blueberry raspberry lemon lime orange apple cherry peach mango honey cinnamon garlic basil ranch bbq barbecue cheddar mozzarella mint peppermint coconut pineapple banana caramel hazelnut pumpkin grape watermelon cucumber berry mocha latte teriyaki barbacoa verde original".split()
-TITLE_STOP = "the a an and or with for of in on by from to at new premium classic original style assorted each per size pack count ct pk oz ounce ounces lb lbs pound pounds g kg mg mcg ml l fl fluid bottle bottles bag bags box boxes can cans carton cartons tub tubs jar jars pouch pouches package packages value family fresh made plus food foods brand recipe delicious natural naturally real great best quality extra super ultimate select signature traditional authentic".split()
-SAFE = "daily refreshing nourishing moisturizing natural naturally classic traditional premium signature adult men mens women womens kids kid baby family frozen refrigerated snack snacks flavored flavor style instant ready eat baked creamy rich pure gentle original broad spectrum with real made whole grain gluten free no added quick dry".split()
 VARIANTS = (
     ("mild mint", "arctic mint", "cool mint", "fresh mint", "spearmint", "peppermint"), ("buttermilk ranch", "classic ranch", "light ranch", "fat free ranch"), ("extra moisturizing", "night"),
 )
-RISKY = "model_or_part_identifier refill_vs_starter_kit coffee_format pet_species pet_life_stage meat_species meat_cut diaper_size formula_base absorbency spf shade waterproof_status washable_longwear_status release_type protein_source produce_species bundle_flag assortment_flag flavor_partial organic_status_private explicit_multipack flavor scent product_line color occasion_or_holiday".split()
+RISKY = (
+    "model_or_part_identifier", "refill_vs_starter_kit", "coffee_format", "pet_species", "pet_life_stage", "meat_species", "meat_cut", "diaper_size",
+    "formula_base", "absorbency", "spf", "shade", "waterproof_status", "washable_longwear_status", "release_type", "protein_source", "produce_species",
+    "bundle_flag", "assortment_flag", "flavor_partial", "organic_status_private", "explicit_multipack", "flavor", "scent", "product_line", "color",
+    "occasion_or_holiday",
+)
 
 
 def _lits(values) -> Column:

@@ -9,7 +9,10 @@ from ..functions import similarity as M
 from ..functions import text as T
 
 # Fixed values.
-QUANTITY_ATTRS = "net_weight net_volume declared_count pack_structure active_strength spf alcohol_strength_abv juice_percentage electrical_voltage wattage storage_capacity paper_ply rated_use_count light_output_lumens light_color_temperature".split()
+QUANTITY_ATTRS = (
+    "net_weight", "net_volume", "declared_count", "pack_structure", "active_strength", "spf", "alcohol_strength_abv", "juice_percentage",
+    "electrical_voltage", "wattage", "storage_capacity", "paper_ply", "rated_use_count", "light_output_lumens", "light_color_temperature",
+)
 HIGH_THRESHOLD = [a for a in QUANTITY_ATTRS if a != "juice_percentage"] + ["normalized_total_quantity", "dimension_signature"]
 MATCH_CLUSTERS = {
     "net_quantity": "net_weight net_volume normalized_total_quantity", "pack_count": "declared_count pack_structure component_piece_count", "broad_product_family": "product_family canonical_category",
@@ -18,9 +21,15 @@ MATCH_CLUSTERS = {
     "bulb_identity": "light_bulb_base light_bulb_shape light_output_lumens light_color_temperature light_watt_equivalent",
 }
 CONFLICT_CLUSTERS = {k: v for k, v in MATCH_CLUSTERS.items() if k not in ("pack_count", "brand_identity", "scent_variant", "bulb_identity")}
-IDENTITY = "brand functional_name product_family model_or_part_identifier canonical_category canonical_subcategory".split()
-DIET = "organic_status gluten_status sugar_status sodium_status fat_level lactose_status vegan_vegetarian_status non_gmo_status".split()
-NEVER_VETO = "canonical_category product_family functional_name canonical_subcategory model_or_part_identifier".split()
+IDENTITY = (
+    "brand", "functional_name", "product_family", "model_or_part_identifier", "canonical_category", "canonical_subcategory",
+)
+DIET = (
+    "organic_status", "gluten_status", "sugar_status", "sodium_status", "fat_level", "lactose_status", "vegan_vegetarian_status", "non_gmo_status",
+)
+NEVER_VETO = (
+    "canonical_category", "product_family", "functional_name", "canonical_subcategory", "model_or_part_identifier",
+)
 VETO = {
     "canonical_category": "V001", "brand": "V002", "functional_name": "V004", "product_family": "V005", "model_or_part_identifier": "V006", "variant_name": "V007", "normalized_total_quantity": "V008",
     "declared_count": "V008", "pack_structure": "V009", "refill_vs_starter_kit": "V010", "storage_state": "V011", "physical_state": "V012", "flavor": "V013", "scent": "V013", "protein_source": "V066",
@@ -34,7 +43,12 @@ VETO = {
     "light_color_temperature": "V058", "light_watt_equivalent": "V058", "connector_type": "V059", "battery_spec": "V060", "storage_capacity": "V061", "theme_or_franchise": "V062",
     "occasion_or_holiday": "V063",
 }
-ASYMMETRIC = "flavor scent shade waterproof_status washable_longwear_status meat_species meat_cut produce_species protein_source sugar_status caffeine_status coffee_format dosage_form release_type spf pet_species pet_life_stage formula_base diaper_size absorbency refill_vs_starter_kit product_line light_bulb_base light_bulb_shape model_or_part_identifier bundle_flag assortment_flag".split()
+ASYMMETRIC = (
+    "flavor", "scent", "shade", "waterproof_status", "washable_longwear_status", "meat_species", "meat_cut", "produce_species", "protein_source",
+    "sugar_status", "caffeine_status", "coffee_format", "dosage_form", "release_type", "spf", "pet_species", "pet_life_stage", "formula_base",
+    "diaper_size", "absorbency", "refill_vs_starter_kit", "product_line", "light_bulb_base", "light_bulb_shape", "model_or_part_identifier",
+    "bundle_flag", "assortment_flag",
+)
 GROUPS = {
     "identity": "brand brand_type sub_brand product_line functional_name product_family model_or_part_identifier variant_name usage_function target_surface_or_body_area compatibility",
     "quantity_packaging": "net_weight net_volume declared_count pack_structure normalized_total_quantity piece_weight variable_weight_flag billed_by_weight ordered_by_weight bundle_flag assortment_flag packaging_form refill_vs_starter_kit capacity rated_use_count dimension_signature closure_style",
