@@ -57,25 +57,34 @@ def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
     return rows.join(meta, "target").select("row_key", "target", "name_A", "name_B", "brand_policy", F.col("m.brand_raw").alias("brand_B"), F.substring("m.description", 1, 2000).alias("description_B"), F.substring("m.item_info", 1, 400).alias("info_B"), T.friendly_size(T.jsonish(F.col("m.sizing_comp"))).alias("size_B"))
 
 
-def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True, settings: Settings | None = None) -> DataFrame:
-    """One verdict for each row of a.
-
-    a: row_key and the catalog columns; b: b_index and the catalog columns.  Rows without a deep candidate are NON_MATCH.
-    settings go before lexicon and unicode.
-    """
-    s = settings or Settings(lexicon=lexicon, unicode=unicode)
-    keep: Keep = Run(a.sparkSession, s.run_path, {"a": a, "b": b}, (s.lexicon, s.criteria, s.thresholds, s.unicode, client is not None)).stage if s.run_path else _keep
+def provisional(a: DataFrame, b: DataFrame, s: Settings, client: adjudicate.Client | None = None, keep: Keep = _keep) -> DataFrame:
+    """Verdicts of the rows of a, each by itself: no check yet compares the matches of one target.  Rows without a deep candidate are NON_MATCH."""
     _, pairs = scored_pairs(a, b, s, keep)
     pairs = routing.supported(pairs, s.thresholds)
     verdicts = routed = keep("routed", lambda: routing.settled(routing.route(pairs, s.thresholds)))
     if client is not None:
         under = pairs.join(verdicts.where("final_verdict = 'REVIEW'").select("row_key"), "row_key", "left_semi")
         verdicts = keep("adjudicated", lambda: adjudicate.accepted(routed, adjudicate.ask(adjudicate.packets(under), client)))
-    provisional = keep("matched", lambda: matched(verdicts, b))
-    first = keep("collisions", lambda: collisions.demotions(provisional, staged))
-    merged = keep("merged", lambda: certify.demoted(verdicts, first))
-    last = keep("last_check", lambda: certify.certify(staged(matched(merged, b)), staged))
-    verdicts = certify.demoted(merged, last)
     rest = a.join(verdicts.select("row_key"), "row_key", "left_anti").select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     stub = rest.withColumn("final_verdict", F.lit("NON_MATCH")).withColumn("decision_reason", F.lit("WEAK_RETRIEVAL_NONMATCH"))
     return verdicts.unionByName(stub, allowMissingColumns=True)
+
+
+def checked(verdicts: DataFrame, b: DataFrame, keep: Keep = _keep) -> DataFrame:
+    """Provisional verdicts after the merge checks and the last check, which see all matches of a target together."""
+    found = keep("matched", lambda: matched(verdicts, b))
+    first = keep("collisions", lambda: collisions.demotions(found, staged))
+    merged = keep("merged", lambda: certify.demoted(verdicts, first))
+    last = keep("last_check", lambda: certify.certify(staged(matched(merged, b)), staged))
+    return certify.demoted(merged, last)
+
+
+def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True, settings: Settings | None = None) -> DataFrame:
+    """One verdict for each row of a.
+
+    a: row_key and the catalog columns; b: b_index and the catalog columns.  Rows without a deep candidate are NON_MATCH.
+    settings go before lexicon and unicode.
+    """
+    s = settings or Settings(lexicon=lexicon, unicode=unicode)
+    keep: Keep = Run(a.sparkSession, s.run_path, {"a": a, "b": b}, (s.lexicon, s.criteria, s.thresholds, s.unicode, client is not None)).stage if s.run_path else _keep
+    return checked(provisional(a, b, s, client, keep), b, keep)

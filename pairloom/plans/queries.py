@@ -54,6 +54,19 @@ def candidates_from_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row_key", "b_index", "item_id_B", "retrieval_rank", "retrieval_score", "protected")
 
 
+def streamed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """candidate_topk, with the first catalog arriving in three batches and the second one stored."""
+    from ..streaming import arrivals
+
+    a, _ = part_catalogs(spark, sf_dir)
+    path = shared_folder(spark)
+    a.repartition(3, "row_key").write.parquet(f"{path}/source")
+    target = _stored(spark, sf_dir)
+    stream = spark.readStream.schema(a.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/source")
+    arrivals.arrive(stream, lambda rows: blocking.retrieve(rows, None, unicode=False, stored=target), f"{path}/arrivals").awaitTermination()
+    return arrivals.arrived(spark, f"{path}/arrivals").select("row_key", "b_index", "item_id_B", "retrieval_rank", "retrieval_score", "protected")
+
+
 def norm_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir)[0].select("row_key", "title", "brand")
 
@@ -221,7 +234,7 @@ ROWS_ONLY = ("fact_counts", "link_verdicts", "fake_adjudication")
 QUERIES = {
     f.__name__: f
     for f in (
-        candidate_topk, index_postings, candidates_from_index, norm_title, core_tokens, numeric_tokens, doc_freq, exact_title_join, rare_token_top4, number_blocking, pair_token_similarity, numeric_similarity, quantities,
+        candidate_topk, index_postings, candidates_from_index, streamed_candidates, norm_title, core_tokens, numeric_tokens, doc_freq, exact_title_join, rare_token_top4, number_blocking, pair_token_similarity, numeric_similarity, quantities,
         calibrate, profile_blanks, pair_diff, override_merge, reason_histogram, common_tokens, size_preference, json_values,
         deep_shortlist, retrieval_floor_stub, html_strip, coverage_anti_join, dimension_signature, pack_counts, fact_counts, link_verdicts, fake_adjudication,
     )
@@ -310,6 +323,7 @@ ORACLES = {
 _TOP = ORACLES["candidate_topk"]
 ORACLES |= {
     "candidates_from_index": _TOP,
+    "streamed_candidates": _TOP,
     "index_postings": _PART
     + """, keyed AS (SELECT k, brand, 't:' || unnest(core) AS key FROM b UNION ALL SELECT k, brand, 'n:' || unnest(nums) FROM b)
     SELECT key, count(*) AS n, count(*) AS held, min(k) AS first, count(*) FILTER (brand <> '') AS branded FROM keyed GROUP BY 1""",
