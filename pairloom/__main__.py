@@ -39,8 +39,8 @@ def main(argv: list[str] | None = None) -> None:
         given |= {"thresholds": config.read_thresholds(spark, o.config)} if o.config else {}
         given |= {"criteria": config.read_criteria(spark, o.criteria)} if o.criteria else {}
         given |= {"lexicon": config.read_lexicon(spark, o.lexicon)} if o.lexicon else {}
-        catalog.write_verdicts(link.link(a, b, settings=link.Settings(**given)), o.out)
-        done = spark.read.csv(f"{o.out}/all_verdicts", header=True)
+        folder = catalog.write_verdicts(link.link(a, b, settings=link.Settings(**given)), o.out)
+        done = spark.read.csv(f"{folder}/all_verdicts", header=True)
         config.write_json(report.summary(done), f"{o.out}/run_summary.json")
     elif o.mode == "profile":
         report.profile(catalog.read_csv(spark, o.a), "item_id").show(200, truncate=False)

@@ -317,7 +317,7 @@ ORACLES = {
     SELECT target, token FROM (SELECT target, token, count(*) AS k FROM r GROUP BY 1, 2) JOIN n USING (target) WHERE k / n >= 0.15""",
     "size_preference": """WITH r AS (SELECT p_name AS target, p_partkey AS row_key, abs(p_size - 25.0::DOUBLE) / greatest(p_size, 25) AS err FROM part),
     w AS (SELECT *, count(*) OVER (PARTITION BY target) AS n, min(CASE WHEN err < 0.2 THEN err END) OVER (PARTITION BY target) AS best FROM r)
-    SELECT target, row_key FROM w WHERE n >= 2 AND err > greatest(0.025, best + 0.012)""",
+    SELECT target, row_key FROM w WHERE n >= 2 AND best IS NOT NULL AND err > greatest(0.025, best + 0.012)""",
     "json_values": "SELECT CAST(props->>'$.k' AS DOUBLE) AS k, count(*) AS n FROM events GROUP BY 1",
 }
 _TOP = ORACLES["candidate_topk"]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -81,12 +85,34 @@ def part_catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return a, b
 
 
-def write_verdicts(verdicts: DataFrame, path: str) -> None:
-    """Three CSV outputs: all verdicts, matched pairs, rows for review.  The verdicts are written once and read for the other two; lists are JSON texts."""
+def write_version(tables: dict[str, Callable[[str], DataFrame]], spark: SparkSession, path: str) -> str:
+    """Writes CSV tables under a new folder of path and then points to it in one step, so a reader finds either all of them or those before; the folder.
+
+    tables: by name, each made from the folder, in order, so a later one can read an earlier one.  A run that fails leaves the pointer as it was.
+    """
+    from .config import write_text
+
+    folder = f"{path.rstrip('/')}/versions/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    for name, make in tables.items():
+        make(folder).write.csv(f"{folder}/{name}", header=True)
+    write_text(spark, f"{path.rstrip('/')}/CURRENT", folder.rsplit("/", 1)[1])
+    return folder
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder of the tables that were written last."""
+    return f"{path.rstrip('/')}/versions/{spark.read.text(f'{path.rstrip("/")}/CURRENT').first()[0]}"
+
+
+def write_verdicts(verdicts: DataFrame, path: str) -> str:
+    """Three CSV outputs, as one version: all verdicts, matched pairs, rows for review.  The verdicts are written once and read for the other two; lists are JSON texts."""
+    spark = verdicts.sparkSession
     plain = [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in verdicts.schema]
     verdicts = verdicts.select(*plain)
-    verdicts.write.mode("overwrite").csv(f"{path}/all_verdicts", header=True)
-    done = verdicts.sparkSession.read.csv(f"{path}/all_verdicts", header=True, schema=verdicts.schema)
-    matches = done.where("final_verdict = 'MATCH'").select("item_id_A", F.col("selected_item_id_B").alias("item_id_B"))
-    matches.write.mode("overwrite").csv(f"{path}/submission_matches", header=True)
-    done.where("final_verdict = 'REVIEW'").write.mode("overwrite").csv(f"{path}/manual_review", header=True)
+    done = lambda folder: spark.read.csv(f"{folder}/all_verdicts", header=True, schema=verdicts.schema)
+    tables = {
+        "all_verdicts": lambda folder: verdicts,
+        "submission_matches": lambda folder: done(folder).where("final_verdict = 'MATCH'").select("item_id_A", F.col("selected_item_id_B").alias("item_id_B")),
+        "manual_review": lambda folder: done(folder).where("final_verdict = 'REVIEW'"),
+    }
+    return write_version(tables, spark, path)

@@ -70,18 +70,25 @@ def _files(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """The one row of df as a JSON object in one file, which appears whole or not at all."""
-    row = df.select(F.to_json(F.struct("*")).alias("j")).first()
-    spark = df.sparkSession
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A text as one file, which appears whole or not at all."""
     files, target = _files(spark, path)
     fresh = target.suffix(".new")
     out = files.create(fresh, True)
-    out.write(bytearray((row["j"] if row else "{}").encode()))
+    out.write(bytearray(text.encode()))
     out.close()
-    files.delete(target, False)
-    if not files.rename(fresh, target):
-        raise OSError(f"cannot write {path}")
+    # One step: readers find the old file or the new one.
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(fresh), files.makeQualified(target), how)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """The one row of df as a JSON object in one file, which appears whole or not at all."""
+    row = df.select(F.to_json(F.struct("*")).alias("j")).first()
+    write_text(df.sparkSession, path, row["j"] if row else "{}")
 
 
 def only_match(spark: SparkSession, pattern: str) -> str:

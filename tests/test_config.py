@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom import __main__ as cli
 from pairloom.operators import facts, routing
 from pairloom.plans import stages
-from pairloom.sources import config
+from pairloom.sources import catalog, config
 
 
 def put(path, value):
@@ -72,10 +72,28 @@ def test_command_line(spark, tmp_path, capsys):
         (tmp_path / f"{name}.csv").write_text(f"item_id,name,brand_raw\n{name}1,{title},Zesty\n{name}2,Plain Rope,Other{name}\n")
     cli.main(["link", "--a", f"'{tmp_path}/a.csv'", "--b", f"{tmp_path}/b.csv", "--out", f"{tmp_path}/out", "--facts", f"{tmp_path}/facts"])
     assert config.read_json(spark, f"{tmp_path}/out/run_summary.json")["rows"] == 2
-    pairs = spark.read.csv(f"{tmp_path}/out/submission_matches", header=True)
+    found = f"{catalog.current(spark, f'{tmp_path}/out')}/submission_matches"
+    pairs = spark.read.csv(found, header=True)
     assert ("a1", "b1") in [tuple(r) for r in pairs.collect()]
-    cli.main(["compare", "--left", f"{tmp_path}/out/submission_matches", "--right", f"{tmp_path}/out/submission_matches"])
+    cli.main(["compare", "--left", found, "--right", found])
     cli.main(["lookup", "--a", f"{tmp_path}/a.csv", "--query", "rope"])
     cli.main(["profile", "--a", f"{tmp_path}/a.csv"])
     out = capsys.readouterr().out
     assert "jaccard" in out and "Plain Rope" in out and "blank_share" in out
+
+
+def test_a_failed_write_leaves_the_last_version(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    table = lambda v: (lambda folder: spark.range(2).select("id", F.lit(v).alias("v")))
+    copy = lambda folder: spark.read.csv(f"{folder}/x", header=True)
+
+    def fails(folder):
+        raise RuntimeError("lost")
+
+    first = catalog.write_version({"x": table("old"), "y": copy}, spark, path)
+    with pytest.raises(RuntimeError, match="lost"):
+        catalog.write_version({"x": table("new"), "y": fails}, spark, path)
+    assert catalog.current(spark, path) == first
+    assert [{r.v for r in spark.read.csv(f"{first}/{n}", header=True).collect()} for n in "xy"] == [{"old"}, {"old"}]
+    second = catalog.write_version({"x": table("new"), "y": copy}, spark, path)
+    assert catalog.current(spark, path) == second != first and {r.v for r in spark.read.csv(f"{second}/y", header=True).collect()} == {"new"}
