@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pairloom.llm import decontaminate, language, line_dedup, log_bilinear, nearest, passages, quality, secrets, sentencepieces, simhash
+from pairloom.llm import decontaminate, fingerprints, language, line_dedup, log_bilinear, nearest, negatives, passages, quality, ranked, secrets, sentencepieces, simhash
 from pairloom.llm.queries import tokenizer_model
 
 from .conftest import words
@@ -45,6 +45,9 @@ OPERATORS = {
     "op8": lambda s, d: nearest.search(d.withColumn("embedding", F.when(F.col("doc_id") != 3, F.array(F.lit(1.0), F.col("doc_id").cast("double")))).withColumnRenamed("doc_id", "vec_id"), F.col("vec_id") % 4 == 0),
     "op9": lambda s, d: log_bilinear.score_texts(d, F.lit(True)),
     "op10": lambda s, d: line_dedup.drop_boilerplate(d),
+    "op11": lambda s, d: fingerprints.document_fingerprints(d),
+    "op12": lambda s, d: ranked.ranked_search(d, items(s)),
+    "op13": lambda s, d: negatives.hard_negatives(d.withColumn("embedding", F.when(F.col("doc_id") != 3, F.array(F.lit(1.0), F.col("doc_id") / 8))).withColumnRenamed("doc_id", "vec_id"), F.col("vec_id") == 8, F.col("vec_id") % 2),
 }
 
 
@@ -52,13 +55,28 @@ OPERATORS = {
 def test_odd_rows(spark, name):
     docs = table(spark, False)
     got = OPERATORS[name](spark, docs).collect()
-    if name not in ("op8", "near_copies"):
+    if name not in ("op8", "op12", "op13", "near_copies"):
         assert len(got) == docs.count()
     assert OPERATORS[name](spark, table(spark, True)).collect() == []
     if name == "op6":
         assert {r.lang_pred for r in got} <= {"en", "und"} and all(r.h1 == "h1" and 0 <= r.score <= 1 for r in got)
     if name == "op5":
         assert {r.class_id for r in got if r.doc_id is not None} == set(range(10))
+    if name == "op11":
+        texts = {r.doc_id: [] for r in docs.collect()}
+        for r in docs.collect():
+            texts[r.doc_id].append(r.text or "")
+        assert all(r.n_chars in map(len, texts[r.doc_id]) and len(r.fingerprint) == len(r.edited_fingerprint) == 512 for r in got)
+        assert {r.class_id for r in got if r.doc_id in (0, 1, 2)} == {0} and {r.class_id for r in got if r.doc_id in (4, 5)} == {4}
+        assert {r.fingerprint for r in got if r.doc_id in (0, 1, 2)} == {"".join(r.fingerprint for r in got if r.doc_id == 0)}
+        assert all(r.class_id is None for r in got if r.doc_id is None)
+    if name == "op12":
+        # The title of item 1 is a text of document 8; the item without a text and the one without an id have no rows.
+        assert {r.item_id for r in got} == {1} and (got[0].rank, got[0].doc_id) == (1, 8) and [r.rank for r in got] == list(range(1, len(got) + 1))
+        assert all(x.score > y.score or x.score == y.score and x.doc_id <= y.doc_id for x, y in zip(got, got[1:], strict=False))
+    if name == "op13":
+        assert got and {r.anchor_id for r in got} == {8}
+        assert all(30 * r.positive_score <= 100 * r.negative_score <= 90 * r.positive_score for r in got)
     if name == "near_copies":
         assert {(r.doc_id, r.component_id) for r in got if r.doc_id in (4, 5)} == {(4, 4), (5, 4)}
     if name == "op10":
