@@ -2,8 +2,8 @@
 
 Equal vectors form one class, which keeps only its k + 1 smallest ids: no search needs more of them.  Classes are packed
 into blocks of at most ``BLOCK`` unit vectors, quantised to int8 with each vector's scale and quantisation error.
-Blocks of queries are broadcast in chunks of bounded size to where the candidates are.  A tile is a block of queries times a block of candidates: one matrix product of the int8 values (exact in float32 up to
-1,040 components), and bounds on the cosine from the errors.  Only pairs whose upper bound reaches the k-th best lower bound are recomputed, in
+Blocks of queries are broadcast in chunks of bounded size to where the candidates are.  A tile is a block of queries times a block of candidates: one matrix product of the int8 values (exact for any number of
+components), and bounds on the cosine from the errors.  Only pairs whose upper bound reaches the k-th best lower bound are recomputed, in
 double precision from the original vectors.  Heaps merge the tiles of a task, and a last ranking merges the tasks.
 
 The result is exact: what the bounds drop can't be among the k nearest.
@@ -29,7 +29,9 @@ K = 5
 CHUNK_BYTES = 64_000_000
 #: Vectors whose largest component lies outside are scaled first, as their squares could vanish or overflow.
 SMALL, LARGE = 1e-100, 1e100
-#: Above the rounding errors of the float32 sums and scalings.
+#: Components whose int8 products are summed in float32, which is exact up to 1,040 of them; sums of slabs are added in doubles.
+SLAB = 1024
+#: Above the rounding errors of the scalings.
 SLACK = 1e-5
 
 
@@ -73,7 +75,10 @@ def _tile(query_ids: list, q: np.ndarray, ids: list, x: np.ndarray, best: dict,
     """Adds the nearest candidates of one block to best: heaps by query class, worst first."""
     qq, qs, qn, qe = quantised(q)
     xq, xs, xn, xe = quantised(x)
-    about = (qq.astype("f4") @ xq.astype("f4").T).astype("f8") * qs[:, None] * xs
+    sums = np.zeros((len(q), len(x)))
+    for at in range(0, q.shape[1], SLAB):
+        sums += qq[:, at : at + SLAB].astype("f4") @ xq[:, at : at + SLAB].astype("f4").T
+    about = sums * qs[:, None] * xs
     error = qn[:, None] * xe + qe[:, None] * (xn + xe) + SLACK
     low = about - error
     # A class may be the query itself, so one more class than k must be kept; its other ids come along.

@@ -61,3 +61,16 @@ def test_extreme_vectors(spark):
     half = round(math.sqrt(0.5), 6)
     assert [got[50, k] for k in (1, 2, 3, 4)] == [(1, 1.0), (2, half), (100, half), (3, 0.0)]
     assert got[100, 1] == (1, half) and got[100, 2] == (50, half)
+
+
+def test_sums_of_many_components_are_exact():
+    """All products have their largest size, so a float32 sum over all components would be rounded."""
+    rng = np.random.default_rng(5)
+    x = rng.choice([-1.0, 1.0], (40, 5000)) * rng.choice([1.0, 126 / 127], (40, 5000))
+    x[:, 0] = 1.0
+    best: dict = {}
+    nearest._tile([[i] for i in range(40)], x, [[i] for i in range(40)], x, best, 3)
+    whole = nearest.exact(np.repeat(x, 40, axis=0), np.tile(x, (40, 1))).reshape(40, 40)
+    for i in range(40):
+        want = sorted(((s, -j) for j, s in enumerate(whole[i].tolist())), reverse=True)[:4]
+        assert sorted(best[i], reverse=True) == want
