@@ -5,11 +5,14 @@ that occur in that sample: a phrase ends where the automaton has no further step
 phrases times log2 of its sample's length (the bits that point at a phrase), over the text's symbols; the least cost wins.
 
 The ``SINGLES`` most common letters of the samples are symbols of their own; any other letter is written as three, digits of its code point, so
-letters of wide scripts count as well.  A parse starts anew each ``BLOCK`` symbols, so many blocks step through the automata together in numpy.  Whole texts are parsed.
+letters of wide scripts count as well.  Whole texts are parsed, each from its first symbol to its last.  So that numpy steps through many places of a text at once, it is cut into blocks
+of ``BLOCK`` symbols that are first parsed as if each began a text; then blocks whose predecessor ends in another state are parsed again from that state, until they meet
+the states of the earlier parse, from where on both are the same.  Parses that began apart meet after a few phrases.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +27,8 @@ from .common import sent, small_batches
 SAMPLE_ROWS = 300
 SAMPLE_SYMBOLS = 40_000
 BLOCK = 256
+#: Rounds in which all blocks are parsed again whose entry has changed.
+ROUNDS = 4
 #: Symbols: a space (everything that isn't a letter), digits that no sample has, the most common letters, the samples' digits, a filler.
 SPACE, OTHER, SINGLES = 0, 1, 120
 _WIDE = 255
@@ -86,6 +91,45 @@ def automaton(sym: list[int], width: int) -> np.ndarray:
     return table.ravel()
 
 
+def phrases(grid: np.ndarray, owner: np.ndarray, table: np.ndarray, width: int) -> np.ndarray:
+    """Phrases that begin in each column of grid, a block of BLOCK symbols; a text's blocks follow each other, and owner numbers the text of each.
+
+    After ROUNDS rounds over all blocks that are entered otherwise, only a text's first such block is parsed, as its entry is final: so no text
+    takes more steps than its length, though periodic ones may never meet an earlier parse.
+    """
+    follows = np.flatnonzero(owner[1:] == owner[:-1]) + 1
+    start = len(table) - width
+    count = np.zeros(grid.shape[1], dtype=np.int32)
+    reached = np.empty(grid.shape, dtype=np.int32)
+    state = np.full(grid.shape[1], start, dtype=np.int32)
+    for row, new in zip(grid, reached, strict=True):
+        state += row
+        new[:] = table[state]
+        count += new >> 30
+        np.bitwise_and(new, _BREAK - 1, out=state)
+    entered = np.full(grid.shape[1], start, dtype=np.int32)
+    for done in itertools.count():
+        state = reached[-1, follows - 1] & (_BREAK - 1)
+        apart = entered[follows] != state
+        at, state = follows[apart], state[apart]
+        if not len(at):
+            break
+        if done >= ROUNDS:
+            first = np.unique(owner[at], return_index=True)[1]
+            at, state = at[first], state[first]
+        entered[at] = state
+        for row, old in zip(grid, reached, strict=True):
+            new = table[state + row[at]]
+            count[at] += (new >> 30) - (old[at] >> 30)
+            state = new & (_BREAK - 1)
+            going = state != old[at] & (_BREAK - 1)
+            old[at] = new
+            at, state = at[going], state[going]
+            if not len(at):
+                break
+    return count
+
+
 class Model:
     """Automata of all languages over one alphabet."""
 
@@ -129,8 +173,8 @@ class Model:
             sym[at + k] = self.digits[code[wide] >> (14 - 7 * k) & 127]
         return sym, many
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language (und: null or without a letter) and score of each text: how much less the winner costs than the next, from 0 to 1."""
+    def parsed(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each text has a letter, and its phrases in each language (a row for each language)."""
         lower = [(t or "").lower() for t in texts]
         sym, many = self.symbols("".join(lower))
         owner = np.repeat(np.arange(len(lower), dtype=np.int32), np.fromiter(map(len, lower), dtype=np.int64, count=len(lower)))
@@ -146,18 +190,15 @@ class Model:
         inside = np.arange(len(sym)) - np.repeat(np.concatenate(([0], np.cumsum(size)[:-1])), size)
         grid = np.full((BLOCK, int(first[-1])), self.width - 1, dtype=np.uint8)
         grid[inside % BLOCK, first[:-1][owner] + inside // BLOCK] = sym
-        cost = np.zeros((len(self.langs), len(lower)))
         of_block = np.repeat(np.arange(len(lower)), blocks)
-        for k, (table, bits) in enumerate(zip(self.tables, self.bits, strict=True)):
-            phrases = np.zeros(grid.shape[1], dtype=np.int32)
-            state = np.full(grid.shape[1], len(table) - self.width, dtype=np.int32)
-            for row in grid:
-                state += row
-                state = table[state]
-                phrases += state >> 30
-                state &= _BREAK - 1
-            cost[k] = np.bincount(of_block, weights=phrases, minlength=len(lower)) * bits
-        best = cost.argmin(axis=0) if self.langs else np.zeros(len(lower), dtype=int)
+        found = [np.bincount(of_block, weights=phrases(grid, of_block, table, self.width), minlength=len(lower)) for table in self.tables]
+        return has_letter, np.array(found).reshape(len(self.langs), len(lower))
+
+    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language (und: null or without a letter) and score of each text: how much less the winner costs than the next, from 0 to 1."""
+        has_letter, found = self.parsed(texts)
+        cost = found * np.array(self.bits).reshape(-1, 1)
+        best = cost.argmin(axis=0) if self.langs else np.zeros(len(texts), dtype=int)
         ranked = np.sort(cost, axis=0)
         langs, scores = [], []
         for i, ok in enumerate(has_letter.tolist()):

@@ -9,16 +9,14 @@ from .conftest import DOCS
 
 def brute_phrases(sample: list[int], text: list[int]) -> int:
     """Greedy phrases of text that occur in sample; an unknown symbol is a phrase of its own."""
-    joined = "".join(map(chr, sample))
-    count = 0
-    for at in range(0, len(text), L.BLOCK):
-        block, i = "".join(map(chr, text[at : at + L.BLOCK])), 0
-        while i < len(block):
-            n = 1
-            while i + n < len(block) and block[i : i + n + 1] in joined:
-                n += 1
-            i += n
-            count += 1
+    joined, whole = "".join(map(chr, sample)), "".join(map(chr, text))
+    count, i = 0, 0
+    while i < len(whole):
+        n = 1
+        while i + n < len(whole) and whole[i : i + n + 1] in joined:
+            n += 1
+        i += n
+        count += 1
     return count
 
 
@@ -26,7 +24,8 @@ def test_cross_parse_equals_brute_force():
     rng = random.Random(4)
     samples = {"x": ["".join(rng.choice("abc ") for _ in range(600))], "y": ["".join(rng.choice("bcd ") for _ in range(600))]}
     model = L.Model(samples)
-    texts = ["".join(rng.choice("abcdz ") for _ in range(n)) for n in (1, 5, 255, 256, 257, 900)]
+    texts = ["".join(rng.choice("abcdz ") for _ in range(n)) for n in (1, 5, 255, 256, 257, 900, 5000)]
+    texts += [samples["x"][0], samples["x"][0][7:590] * 5, "ab" * 2000, "z" * 1000, ""]
     got, scores = model.score(texts)
     for text, lang, score in zip(texts, got, scores, strict=True):
         sym = model.symbols(text)[0]
@@ -37,6 +36,7 @@ def test_cross_parse_equals_brute_force():
         for k, name in enumerate(model.langs):
             sample = L.squeezed(model.symbols(samples[name][0])[0]).tolist()
             cost.append(brute_phrases(sample, sym) * model.bits[k])
+        assert [n * b for n, b in zip(model.parsed([text, "bc"])[1][:, 0], model.bits, strict=True)] == cost
         if any(c.isalpha() for c in text):
             assert lang == model.langs[int(np.argmin(cost))]
             assert abs(score - (1 - min(cost) / max(cost))) < 1e-12
