@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import adjudicate, blocking, certify, collisions, facts, index, routing, scoring
-from .stages import Run, cached, staged
+from .stages import Run, cached, shared_folder, staged
 
 
 @dataclass(frozen=True)
 class Settings:
     """What a caller may change: phrases, criteria and thresholds (see sources.config), a folder that keeps facts of b for later runs, and one for the
-    stages of this run, from which a run that was stopped goes on (see stages.Run), and the name under which b's tables are stored (see operators.index.build)."""
+    stages of this run, from which a run that was stopped goes on (see stages.Run), the name under which b's tables are stored (see operators.index.build), and a folder that keeps the answers of one pair of clients
+    (see operators.adjudicate.ask)."""
 
     lexicon: list | None = None
     criteria: list | None = None
@@ -24,6 +25,7 @@ class Settings:
     facts_path: str | None = None
     run_path: str | None = None
     index: str | None = None
+    answers_path: str | None = None
     unicode: bool = True
 
 
@@ -57,34 +59,36 @@ def matched(verdicts: DataFrame, b: DataFrame) -> DataFrame:
     return rows.join(meta, "target").select("row_key", "target", "name_A", "name_B", "brand_policy", F.col("m.brand_raw").alias("brand_B"), F.substring("m.description", 1, 2000).alias("description_B"), F.substring("m.item_info", 1, 400).alias("info_B"), T.friendly_size(T.jsonish(F.col("m.sizing_comp"))).alias("size_B"))
 
 
-def provisional(a: DataFrame, b: DataFrame, s: Settings, client: adjudicate.Client | None = None, keep: Keep = _keep) -> DataFrame:
+def provisional(a: DataFrame, b: DataFrame, s: Settings, client: adjudicate.Client | None = None, keep: Keep = _keep, second: adjudicate.Client | None = None) -> DataFrame:
     """Verdicts of the rows of a, each by itself: no check yet compares the matches of one target.  Rows without a deep candidate are NON_MATCH."""
     _, pairs = scored_pairs(a, b, s, keep)
     pairs = routing.supported(pairs, s.thresholds)
     verdicts = routed = keep("routed", lambda: routing.settled(routing.route(pairs, s.thresholds)))
     if client is not None:
-        under = pairs.join(verdicts.where("final_verdict = 'REVIEW'").select("row_key"), "row_key", "left_semi")
-        verdicts = keep("adjudicated", lambda: adjudicate.accepted(routed, adjudicate.ask(adjudicate.packets(under), client)))
+        shown = keep("shown", lambda: adjudicate.shown(pairs.join(verdicts.where("final_verdict = 'REVIEW'").select("row_key"), "row_key", "left_semi")))
+        path = s.answers_path or shared_folder(a.sparkSession)
+        verdicts = keep("adjudicated", lambda: adjudicate.accepted(routed, shown, adjudicate.adjudicated(adjudicate.packets(shown), client, path, second)))
     rest = a.join(verdicts.select("row_key"), "row_key", "left_anti").select("row_key", F.col("item_id").alias("item_id_A"), F.col("name").alias("name_A"))
     stub = rest.withColumn("final_verdict", F.lit("NON_MATCH")).withColumn("decision_reason", F.lit("WEAK_RETRIEVAL_NONMATCH"))
     return verdicts.unionByName(stub, allowMissingColumns=True)
 
 
 def checked(verdicts: DataFrame, b: DataFrame, keep: Keep = _keep) -> DataFrame:
-    """Provisional verdicts after the merge checks and the last check, which see all matches of a target together."""
+    """Provisional verdicts after recovery, the merge checks and the last check; the checks see all matches of a target together, recovered ones as well."""
+    verdicts = keep("promoted", lambda: adjudicate.promoted(verdicts)) if "reviewer_decision" in verdicts.columns else adjudicate.promoted(verdicts)
     found = keep("matched", lambda: matched(verdicts, b))
     first = keep("collisions", lambda: collisions.demotions(found, staged))
     merged = keep("merged", lambda: certify.demoted(verdicts, first))
     last = keep("last_check", lambda: certify.certify(staged(matched(merged, b)), staged))
-    return certify.demoted(merged, last)
+    return adjudicate.committed(certify.demoted(merged, last))
 
 
-def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True, settings: Settings | None = None) -> DataFrame:
+def link(a: DataFrame, b: DataFrame, lexicon: list | None = None, client: adjudicate.Client | None = None, unicode: bool = True, settings: Settings | None = None, second: adjudicate.Client | None = None) -> DataFrame:
     """One verdict for each row of a.
 
     a: row_key and the catalog columns; b: b_index and the catalog columns.  Rows without a deep candidate are NON_MATCH.
-    settings go before lexicon and unicode.
+    settings go before lexicon and unicode.  client answers for rows under review, second for those that it leaves open.
     """
     s = settings or Settings(lexicon=lexicon, unicode=unicode)
-    keep: Keep = Run(a.sparkSession, s.run_path, {"a": a, "b": b}, (s.lexicon, s.criteria, s.thresholds, s.unicode, client is not None)).stage if s.run_path else _keep
-    return checked(provisional(a, b, s, client, keep), b, keep)
+    keep: Keep = Run(a.sparkSession, s.run_path, {"a": a, "b": b}, (s.lexicon, s.criteria, s.thresholds, s.unicode, client is not None, second is not None)).stage if s.run_path else _keep
+    return checked(provisional(a, b, s, client, keep, second), b, keep)

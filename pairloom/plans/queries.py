@@ -13,7 +13,7 @@ from ..functions import similarity as M
 from ..functions import text as T
 from ..operators import blocking, index, report
 from ..sources.catalog import part_catalogs
-from . import fact_queries, score_queries, verdict_queries
+from . import fact_queries, review_queries, score_queries, verdict_queries
 from .stages import shared_folder
 
 
@@ -219,18 +219,18 @@ def link_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fake_adjudication(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of a stand-in client to a packet for each nation."""
+    """Answers of a stand-in client to a packet for each nation, kept in a folder."""
     from ..operators import adjudicate
 
     def client(packets: list[dict]) -> list[dict]:
         return [{"row_key": p["row_key"], "choice": 1, "decision": "MATCH", "match_type": "SAME_BRAND_PRODUCT", "blocker": "NONE", "evidence": "CLEAR"} for p in packets]
 
     rows = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("row_key"))
-    return adjudicate.ask(rows.select("row_key", F.to_json(F.struct("row_key")).alias("payload")), client)
+    return adjudicate.ask(rows.select("row_key", F.to_json(F.struct("row_key")).alias("payload")), client, shared_folder(spark))
 
 
-#: Queries that SQL can't express: an outside client, and rules over match places.
-ROWS_ONLY = ("fact_counts", "link_verdicts", "fake_adjudication")
+#: Queries that SQL can't express: rules over match places.
+ROWS_ONLY = ("fact_counts", "link_verdicts")
 QUERIES = {
     f.__name__: f
     for f in (
@@ -318,6 +318,7 @@ ORACLES = {
     "size_preference": """WITH r AS (SELECT p_name AS target, p_partkey AS row_key, abs(p_size - 25.0::DOUBLE) / greatest(p_size, 25) AS err FROM part),
     w AS (SELECT *, count(*) OVER (PARTITION BY target) AS n, min(CASE WHEN err < 0.2 THEN err END) OVER (PARTITION BY target) AS best FROM r)
     SELECT target, row_key FROM w WHERE n >= 2 AND best IS NOT NULL AND err > greatest(0.025, best + 0.012)""",
+    "fake_adjudication": """SELECT CAST(n_nationkey AS BIGINT) AS row_key, 1 AS choice, 'MATCH' AS decision, 'SAME_BRAND_PRODUCT' AS match_type, 'NONE' AS blocker, 'CLEAR' AS evidence FROM nation""",
     "json_values": "SELECT CAST(props->>'$.k' AS DOUBLE) AS k, count(*) AS n FROM events GROUP BY 1",
 }
 _TOP = ORACLES["candidate_topk"]
@@ -336,6 +337,6 @@ ORACLES |= {
     "pack_counts": """SELECT p_partkey, array_to_string(list_sort(list_distinct([p_size % 4 + 2, p_size + 10] || CASE WHEN p_size % 4 + 2 <> p_size + 10 THEN [(p_size % 4 + 2) * (p_size + 10)] ELSE [] END)), ',') AS counts FROM part""",
 }
 
-for _more in (verdict_queries, fact_queries, score_queries):
+for _more in (verdict_queries, fact_queries, score_queries, review_queries):
     QUERIES |= _more.QUERIES
     ORACLES |= _more.ORACLES

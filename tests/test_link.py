@@ -186,14 +186,14 @@ def test_organic_only_in_metadata_is_no_conflict(spark):
     assert {r.row_key: r.reason for r in collisions.demotions(df).collect()} == {2: "V17_NATIONAL_ORGANIC_STATUS_UNRESOLVED"}
 
 
-def test_failed_requests_are_halved(spark):
+def test_failed_requests_are_halved(spark, tmp_path):
     def client(packets):
         if len(packets) > 1 or packets[0]["row_key"] == 3:
             raise RuntimeError
         return [{"row_key": packets[0]["row_key"], "choice": 1, "decision": "MATCH", "match_type": "SAME_BRAND_PRODUCT", "blocker": "NONE", "evidence": "CLEAR"}]
 
     rows = spark.createDataFrame([(i, f'{{"row_key": {i}}}') for i in range(6)], "row_key long, payload string")
-    assert sorted(r.row_key for r in adjudicate.ask(rows, client, group=4, concurrency=1).collect()) == [0, 1, 2, 4, 5]
+    assert sorted(r.row_key for r in adjudicate.ask(rows, client, f"file://{tmp_path}/answers", group=4, concurrency=1).collect()) == [0, 1, 2, 4, 5]
 
 
 def test_keys_are_dense_and_ordered(spark):
@@ -207,3 +207,63 @@ def test_empty_diff_and_summary(spark):
     assert report.pair_diff(none, none).first().jaccard == 1.0
     v = spark.createDataFrame([("MATCH",), ("REVIEW",), ("NON_MATCH",)], "final_verdict string")
     assert tuple(report.summary(v, 1).first()) == (3, 1, 1, 1, True)
+
+
+def test_answers_are_asked_once_across_failures(spark, tmp_path):
+    log, broken = tmp_path / "log", tmp_path / "broken"
+    log.mkdir()
+
+    def client(packets):
+        if any(p["row_key"] == 17 for p in packets) and not broken.exists():
+            broken.write_text("")
+            raise ValueError("the task is lost")
+        for p in packets:
+            with (log / str(p["row_key"])).open("a") as f:
+                f.write("x")
+        return [{"row_key": p["row_key"], "choice": 1, "decision": "REVIEW" if p["row_key"] % 2 else "MATCH", "match_type": "NONE", "blocker": "NONE", "evidence": "CLEAR"} for p in packets if p["row_key"] != 4]
+
+    rows = spark.createDataFrame([(i, f'{{"row_key": {i}}}') for i in range(30)] + [(5, '{"row_key": 5}'), (99, None)], "row_key long, payload string")
+    path = f"file://{tmp_path}/answers"
+    with pytest.raises(Exception, match="the task is lost"):
+        adjudicate.ask(rows, client, path, group=3, concurrency=2).collect()
+    before = {p.name for p in log.iterdir()}
+    assert before and "17" not in before
+    for _ in range(2):
+        got = adjudicate.ask(rows, client, path, group=3, concurrency=2).collect()
+        assert sorted(r.row_key for r in got) == [i for i in range(30) if i != 4]
+        assert {p.name: p.read_text() for p in log.iterdir()} == {str(i): "x" for i in range(30)}
+    changed = rows.where("row_key = 8").selectExpr("row_key", "'{\"row_key\": 8, \"name\": \"new\"}' as payload")
+    assert adjudicate.ask(changed, client, path).count() == 1 and (log / "8").read_text() == "xx"
+
+
+def test_second_pass_sees_open_cases_only(spark, tmp_path):
+    def first(packets):
+        kinds = {0: ("MATCH", "CLEAR"), 1: ("UNCERTAIN", "CLEAR"), 2: ("MATCH", "INSUFFICIENT"), 3: ("NON_MATCH", "PROBABLE"), 4: ("nonsense", "CLEAR")}
+        return [{"row_key": p["row_key"], "choice": 1, "decision": kinds[p["row_key"]][0], "match_type": "NONE", "blocker": "NONE", "evidence": kinds[p["row_key"]][1]} for p in packets]
+
+    def second(packets):
+        if any(p["row_key"] not in (1, 2, 4) for p in packets):
+            raise ValueError("a closed case was asked again")
+        return [{"row_key": p["row_key"], "choice": 2, "decision": "MATCH", "match_type": "NONE", "blocker": "NONE", "evidence": "CLEAR"} for p in packets if p["row_key"] != 1]
+
+    rows = spark.createDataFrame([(i, f'{{"row_key": {i}}}') for i in range(5)], "row_key long, payload string")
+    got = {r.row_key: (r.choice, r.decision) for r in adjudicate.adjudicated(rows, first, f"file://{tmp_path}/a", second).collect()}
+    assert got == {0: (1, "MATCH"), 1: (1, "UNCERTAIN"), 2: (2, "MATCH"), 3: (1, "NON_MATCH"), 4: (2, "MATCH")}
+    few = {r.row_key: r.choice for r in adjudicate.adjudicated(rows, first, f"file://{tmp_path}/b", second, most=2).collect()}
+    assert few == {0: 1, 1: 1, 2: 2, 3: 1}
+    none = rows.where("false")
+    assert adjudicate.adjudicated(none, first, f"file://{tmp_path}/c", second).collect() == []
+
+
+def test_answers_of_a_whole_linkage(spark, verdicts):
+    """A client that agrees with every first candidate: what the firewall refuses stays out, other rows keep their verdicts."""
+    kinds = {"SAME": "SAME_BRAND_PRODUCT", "SAME_INFERRED": "SAME_BRAND_PRODUCT", "PRIVATE": "PRIVATE_LABEL_EQUIVALENT", "COMMODITY": "COMMODITY_EQUIVALENT"}
+
+    def client(packets):
+        return [{"row_key": p["row_key"], "choice": 1, "decision": "MATCH", "match_type": kinds.get(p["candidates"][0]["brand_policy"], "NONE"), "blocker": "NONE", "evidence": "CLEAR"} for p in packets]
+
+    got = {r.row_key: r for r in link.link(made(spark, A, "row_key"), made(spark, B, "b_index"), client=client).collect()}
+    assert set(got) == set(verdicts)
+    asked = {k for k, r in verdicts.items() if r.final_verdict == "REVIEW"}
+    assert asked == {2} and got[2].reviewed and got[2].reviewer_decision == "MATCH"
+    assert all(got[k].final_verdict == verdicts[k].final_verdict and not got[k].recovered for k in got if k not in asked)

@@ -32,6 +32,6 @@ def test_equals_sql(spark, db, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["fake_adjudication", "fact_counts", "link_verdicts"])
+@pytest.mark.parametrize("name", ["fact_counts", "link_verdicts"])
 def test_rows_only(spark, name):
     assert QUERIES[name](spark, str(DATA)).count() > 0
