@@ -13,7 +13,7 @@ from ..functions import similarity as M
 from ..functions import text as T
 from ..operators import blocking, index, report
 from ..sources.catalog import part_catalogs
-from . import fact_queries, review_queries, score_queries, verdict_queries
+from . import fact_queries, fusion_queries, review_queries, score_queries, verdict_queries
 from .stages import shared_folder
 
 
@@ -340,3 +340,5 @@ ORACLES |= {
 for _more in (verdict_queries, fact_queries, score_queries, review_queries):
     QUERIES |= _more.QUERIES
     ORACLES |= _more.ORACLES
+QUERIES |= fusion_queries.QUERIES
+ORACLES |= fusion_queries.oracles(_PART)
