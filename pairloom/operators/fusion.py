@@ -7,12 +7,15 @@ So texts are joined on prefixes, which hold rare n-grams, and only pairs that me
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.stages import Folder
+from ..sources.catalog import keyed
 
 # Weights of the channels, the constant of ranks, candidates kept by rank and with protected ones, targets of a channel, the least document frequency.
 WEIGHTS = {"exact": 2.5, "words": 1.2, "characters": 1.1, "core": 1.4}
@@ -46,15 +49,33 @@ def _counted(texts: DataFrame, grams: Grams) -> DataFrame:
 
 
 def _weighed(counted: DataFrame, idf: DataFrame) -> DataFrame:
-    """(title, gram, df, w): sublinear frequencies times idf, each title's of norm 1."""
+    """(title, id, df, w): sublinear frequencies times idf, each title's of norm 1."""
     raw = counted.join(idf, "gram").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
     norms = raw.groupBy("title").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norms, "title").select("title", "gram", "df", (F.col("w") / F.col("norm")).alias("w"))
+    return raw.join(norms, "title").select("title", "id", "df", (F.col("w") / F.col("norm")).alias("w"))
 
 
 def _prefix(weighed: DataFrame, least: float) -> DataFrame:
-    rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("title").orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, 0))
-    return weighed.withColumn("rest", rest).where(F.col("rest") >= (least - _SLACK) ** 2).select("title", "gram")
+    rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("title").orderBy(F.desc("df"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0))
+    return weighed.withColumn("rest", rest).where(F.col("rest") >= (least - _SLACK) ** 2).select("title", "id")
+
+
+def _vectors(weighed: DataFrame) -> DataFrame:
+    """(title, ids, ws) with ascending ids."""
+    held = weighed.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("id", "w"))).alias("v"))
+    return held.select("title", F.transform("v", lambda x: x["id"]).alias("ids"), F.transform("v", lambda x: x["w"]).alias("ws"))
+
+
+def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Inner products of two sparse vectors a row; ids are below 2^40, rows of a batch below 2^23."""
+    for b in batches:
+        ids, ws, ids_b, ws_b = (b.column(i) for i in range(2, 6))
+        keys, keys_b = ((np.repeat(np.arange(len(x), dtype=np.int64) << 40, np.diff(x.offsets.to_numpy())) | x.flatten().to_numpy()) for x in (ids, ids_b))
+        values, values_b = ws.flatten().to_numpy(), ws_b.flatten().to_numpy()
+        at = np.minimum(np.searchsorted(keys_b, keys), max(len(keys_b) - 1, 0))
+        same = keys_b[at] == keys if len(keys_b) else np.zeros(len(keys), dtype=bool)
+        dots = np.bincount(keys[same] >> 40, weights=values[same] * values_b[at[same]], minlength=b.num_rows)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(dots, pa.float64())], ["title", "title_B", "cosine"])
 
 
 def cosine_channel(a: DataFrame, b: DataFrame, grams: Grams, top: int, least: float = LEAST, folder: Folder | None = None) -> DataFrame:
@@ -69,13 +90,13 @@ def cosine_channel(a: DataFrame, b: DataFrame, grams: Grams, top: int, least: fl
     grams_b = folder.staged(_counted(many, grams))
     total = b.agg(F.count("*").alias("total"))
     df = grams_b.join(many, "title").groupBy("gram").agg(F.sum("rows").alias("df")).where(F.col("df") >= MIN_DF)
-    idf = df.crossJoin(F.broadcast(total)).select("gram", "df", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    df = keyed(folder.staged(df), "id", "gram")
+    idf = folder.staged(df.crossJoin(F.broadcast(total)).select("gram", "id", "df", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
     wa, wb = (folder.staged(_weighed(x, idf)) for x in (_counted(a.select("title").distinct(), grams), grams_b))
-    met = _prefix(wa, least).join(_prefix(wb, least).withColumnRenamed("title", "title_B"), "gram").select("title", "title_B").distinct()
-    held = lambda w: w.groupBy("title").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gram", "w")))).alias("v"))
-    pairs = met.join(held(wa), "title").join(held(wb).select(F.col("title").alias("title_B"), F.col("v").alias("u")), "title_B")
-    dot = F.aggregate(F.map_entries("v"), F.lit(0.0), lambda s, x: s + x["value"] * F.coalesce(F.try_element_at("u", x["key"]), F.lit(0.0)))
-    near = pairs.select("title", "title_B", F.round(dot, 9).alias("cosine")).where(F.col("cosine") >= least)
+    met = _prefix(wa, least).join(_prefix(wb, least).withColumnRenamed("title", "title_B"), "id").select("title", "title_B").distinct()
+    pairs = met.join(_vectors(wa), "title").join(_vectors(wb).select(F.col("title").alias("title_B"), F.col("ids").alias("ids_B"), F.col("ws").alias("ws_B")), "title_B")
+    near = pairs.select("title", "title_B", "ids", "ws", "ids_B", "ws_B").mapInArrow(_products, "title string, title_B string, cosine double")
+    near = near.withColumn("cosine", F.round("cosine", 9)).where(F.col("cosine") >= least)
     first = b.withColumn("n", F.row_number().over(Window.partitionBy("title").orderBy("b_index"))).where(F.col("n") <= top).select(F.col("title").alias("title_B"), "b_index")
     place = F.row_number().over(Window.partitionBy("title").orderBy(F.desc("cosine"), "b_index"))
     best = near.join(first, "title_B").withColumn("rank", place).where(F.col("rank") <= top)
