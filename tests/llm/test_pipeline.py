@@ -61,5 +61,5 @@ def test_empty_documents(spark, made, tmp_path):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5 and len(tokenizer_model()) > 100_000
