@@ -151,28 +151,39 @@ def prepared(a: DataFrame, b: DataFrame, unicode: bool = True) -> tuple[DataFram
     return fa.join(weighed(fa, "row_key", weights), "row_key", "left"), fb.join(weighed(fb, "b_index", weights), "b_index", "left")
 
 
-def prepared_rows(a: DataFrame, target: index.Target, unicode: bool = True) -> DataFrame:
+def prepared_rows(fa: DataFrame, target: index.Target) -> DataFrame:
     """Features of the source catalog with weighed tokens and n_brand, the number of the target's rows of its brand."""
-    fa = features(a, "row_key", unicode)
-    if "inferred" not in fa.columns:
-        fa = fa.withColumn("inferred", F.lit(""))
     return fa.join(weighed(fa, "row_key", target.weights), "row_key", "left").join(target.brands, "brand", "left")
 
 
+def alike(fa: DataFrame) -> DataFrame:
+    """(row_key, like): for each row the smallest row_key of those with equal features, which have the same candidates."""
+    by = [c for c in fa.columns if c not in ("row_key", "item_id")]
+    least = fa.groupBy(*by).agg(F.min("row_key").alias("like"))
+    same = F.lit(True)
+    for c in by:
+        same &= fa[c].eqNullSafe(least[c])
+    return fa.join(least, same).select("row_key", "like")
+
+
 def retrieve(a: DataFrame, b: DataFrame | None, unicode: bool = True, stored: index.Target | None = None) -> DataFrame:
     """Up to TOP ranked candidates of b for each row of a, from proposals that hold every pair which can be among them (see topk).
 
-    stored: the tables of b where they were stored before (see index); b isn't read then.
+    Rows with equal features are searched once.  stored: the tables of b where they were stored before (see index); b isn't read then.
     """
     from ..plans.stages import Folder
     from . import index, topk
 
     folder = Folder(a.sparkSession)
     target = stored or index.of(b, unicode, lambda _, df: folder.staged(df))
-    fa = folder.staged(prepared_rows(a, target, unicode))
+    every = features(a, "row_key", unicode)
+    every = folder.staged(every if "inferred" in every.columns else every.withColumn("inferred", F.lit("")))
+    like = folder.staged(alike(every))
+    fa = folder.staged(prepared_rows(every.join(like.where("row_key = like").select("row_key"), "row_key", "left_semi"), target))
     # The rows are few bytes but much work: they stay in as many tasks as the session asks for.
     pairs = topk.proposals(fa, target, folder).repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row_key")
-    out = folder.result(ranked(scored(folder.staged(pairs) if stored else pairs, fa, target.features)))
+    found = folder.staged(ranked(scored(folder.staged(pairs), fa, target.features)))
+    out = folder.result(like.join(found.withColumnRenamed("row_key", "like"), "like").drop("like").select(*found.columns))
     folder.drop()
     return out
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import blocking as B
@@ -35,18 +35,24 @@ TABLES = {"features": ("b_index",), "weights": ("token",), "counts": ("key",), "
 def of(b: DataFrame, unicode: bool = True, stored=lambda name, df: df) -> Target:
     """The tables of a catalog.  stored: keeps a table that others are made from.
 
-    features: see blocking.features, with weighed tokens.  weights: (token, df, idf).  postings: (key, b_index, brand), keys as in token_key and number_key, with counts (key, n);
-    branded: those with a brand.  twos: (x, y, b_index, brand, keys) for every two keys of a row, x < y.  brands: (brand, n_brand).  titles: (title, b_index).
+    features: see blocking.features, with weighed tokens.  weights: (token, df, idf).  postings: (key, b_index, brand, place, own), keys as in token_key and number_key, with counts (key, n);
+    branded: those with a brand.  place and own number the rows with equal keys, and with equal keys and brand, by b_index.  brands: (brand, n_brand).
+    twos: (x, y, brand, keys, held) for every two keys, x < y, once for all rows with equal keys and brand; held: b_index and early (place is POOL at most) of the POOL smallest.
+    titles: (title, b_index, brand, place, own), the last two counted within the title.
     """
     plain = stored("plain", B.features(b, "b_index", unicode))
     weights = stored("weights", B.token_weights(plain))
     features = stored("features", plain.join(B.weighed(plain, "b_index", weights), "b_index", "left"))
-    keyed = features.select("b_index", "brand", F.array_sort(F.concat(F.transform("core", token_key), F.transform("nums", number_key))).alias("keys"))
-    postings = keyed.select(F.explode("keys").alias("key"), "b_index", "brand")
+    keyed = features.select("b_index", "brand", "title", F.array_sort(F.concat(F.transform("core", token_key), F.transform("nums", number_key))).alias("keys"))
+    number = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("b_index"))
+    placed = stored("placed", keyed.withColumns({"place": number("keys"), "own": number("keys", "brand")}))
+    postings = placed.select(F.explode("keys").alias("key"), "b_index", "brand", "place", "own")
     pairs = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
-    twos = keyed.where(F.size("keys") > 1).select(F.explode(pairs).alias("p"), "b_index", "brand", "keys").select("p.x", "p.y", "b_index", "brand", "keys")
+    kinds = placed.where((F.size("keys") > 1) & (F.col("own") <= B.POOL)).groupBy("keys", "brand").agg(F.array_sort(F.collect_list(F.struct("b_index", (F.col("place") <= B.POOL).alias("early")))).alias("held"))
+    twos = kinds.select(F.explode(pairs).alias("p"), "brand", "keys", "held").select("p.x", "p.y", "brand", "keys", "held")
+    titles = keyed.select("title", "b_index", "brand", number("title", "keys").alias("place"), number("title", "keys", "brand").alias("own"))
     brands = features.where("brand <> ''").groupBy("brand").agg(F.count("*").alias("n_brand"))
-    return Target(features, weights, postings.groupBy("key").agg(F.count("*").alias("n")), brands, postings, postings.where("brand <> ''"), twos, features.select("title", "b_index"))
+    return Target(features, weights, postings.groupBy("key").agg(F.count("*").alias("n")), brands, postings, postings.where("brand <> ''"), twos, titles)
 
 
 def token_key(token):
@@ -59,17 +65,21 @@ def number_key(z):
 
 def build(b: DataFrame, name: str, path: str, buckets: int = 64, unicode: bool = True) -> Target:
     """Stores the tables of a catalog as name_features and so on, under a path that all executors share; a table of that name is replaced."""
+    from ..plans.stages import Folder
+
     spark = b.sparkSession
+    folder = Folder(spark)
 
     def store(table: str, df: DataFrame) -> DataFrame:
         by = TABLES[table]
         df.write.mode("overwrite").option("path", f"{path}/{table}").bucketBy(buckets, *by).sortBy(*by).saveAsTable(f"{name}_{table}")
         return spark.table(f"{name}_{table}")
 
-    made = of(b, unicode, lambda table, df: store(table, df) if table in TABLES else df)
+    made = of(b, unicode, lambda table, df: store(table, df) if table in TABLES else folder.staged(df))
     for table in TABLES:
         if table not in ("features", "weights"):
             store(table, getattr(made, table))
+    folder.drop()
     return opened(spark, name)
 
 

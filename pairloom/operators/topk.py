@@ -5,9 +5,10 @@ Rows with the same keys are one class, searched once.  For a set S of keys let f
 candidate with just the keys X of a class can be among the POOL best by base only if it is in first(X): otherwise POOL candidates with at least X come before it.
 So the lists first(S) of a class's sets S give its best candidates; sets that weigh less than one known to hold POOL candidates are left out.
 Long lists are never paired with rows: single keys give their first rows only, two keys are joined as one, and larger sets look through the list of their two rarest keys.
+Candidates with equal keys (and an equal brand, where it counts) add the same to any row, an equal title aside, so lists hold the POOL first of them only.
 
 The POOL-th best base of a class is a bound for its rows.  A candidate of the same brand, or another private label, needs it too: as what that can add is bounded, some keys
-can't be missing, and candidates are joined on brand and such keys.
+can't be missing, and candidates are joined on brand and such keys.  A large brand adds to each shared token alike: its candidates are searched as all are, each class within each brand.
 """
 
 from __future__ import annotations
@@ -35,42 +36,48 @@ def keyed_rows(a: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def subsets(classes: DataFrame) -> DataFrame:
-    """(class, key, ks, size, w): all sets of one key and more of each class, keys in the class's order."""
+    """(class, key, ks, size, w), and brand if classes have it: all sets of one key and more of each class, keys in the class's order."""
     none = F.array(F.struct(F.array().cast("array<string>").alias("ks"), F.lit(0).cast("bigint").alias("w")))
     more = F.aggregate("keys", none, lambda sets, k: F.concat(sets, F.transform(sets, lambda s: F.struct(F.concat(s["ks"], F.array(k["key"])).alias("ks"), (s["w"] + k["w"]).alias("w")))))
-    each = classes.select("class", F.explode(more).alias("s")).select("class", "s.ks", "s.w", F.size("s.ks").alias("size")).where("size > 0")
+    own = [c for c in classes.columns if c != "keys"]
+    each = classes.select(*own, F.explode(more).alias("s")).select(*own, "s.ks", "s.w", F.size("s.ks").alias("size")).where("size > 0")
     return each.withColumn("key", F.array_join("ks", _SEP))
 
 
-def _first(rows: DataFrame) -> DataFrame:
-    """(key, b_index) of the POOL smallest b_index of each key."""
-    place = F.row_number().over(Window.partitionBy("key").orderBy("b_index"))
-    return rows.select("key", "b_index").withColumn("n", place).where(F.col("n") <= B.POOL).drop("n")
+def _first(rows: DataFrame, by: list[str]) -> DataFrame:
+    """(key, b_index), and brand if by names it, of the POOL smallest b_index of each key."""
+    place = F.row_number().over(Window.partitionBy("key", *by).orderBy("b_index"))
+    return rows.select("key", *by, "b_index").withColumn("n", place).where(F.col("n") <= B.POOL).drop("n")
 
 
-def pair_postings(twos: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, b_index, brand, keys): candidates of the wanted sets of two keys, which come in their class's order."""
-    asked = wanted.select("key", F.element_at("ks", 1).alias("k1"), F.element_at("ks", 2).alias("k2")).select("key", F.least("k1", "k2").alias("x"), F.greatest("k1", "k2").alias("y"))
-    return twos.join(asked, ["x", "y"]).select("key", "b_index", "brand", "keys")
+def pair_postings(twos: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, brand, keys, held): candidates of every two keys of the classes, which come in their class's order."""
+    pairs = F.flatten(F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.struct(x["key"].alias("k1"), y["key"].alias("k2")))))
+    wanted = classes.select(F.explode(pairs).alias("p")).select("p.k1", "p.k2").distinct()
+    asked = wanted.select(F.concat_ws(_SEP, "k1", "k2").alias("key"), F.least("k1", "k2").alias("x"), F.greatest("k1", "k2").alias("y"))
+    return twos.join(asked, ["x", "y"]).select("key", "brand", "keys", "held")
 
 
-def best_of_classes(classes: DataFrame, target: Target, folder) -> tuple[DataFrame, DataFrame]:
-    """((class, b_index, base) of the POOL best of each class, postings of sets of two keys)."""
+def best_of_classes(classes: DataFrame, postings: DataFrame, twos: DataFrame, folder) -> DataFrame:
+    """(class, b_index, base) of the POOL best of each class, and brand if classes have it: then each class is searched within its brand.
+
+    postings: (key, b_index), twos: (key, keys, bs), both with brand if classes have it.
+    """
+    by = [c for c in ("brand",) if c in classes.columns]
+    key = ["key", *by]
     sets = folder.staged(subsets(classes))
-    distinct = sets.select("key", "ks", "size").distinct()
-    twos = folder.staged(pair_postings(target.twos, distinct.where("size = 2")))
-    asked = sets.where("size = 1").select("key").distinct()
-    firsts = folder.staged(_first(target.postings.join(asked, "key", "left_semi")).union(_first(twos)))
-    full = firsts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= B.POOL).select("key")
-    bound = sets.join(full, "key", "left_semi").groupBy("class").agg(F.max("w").alias("bound"))
-    useful = folder.staged(sets.join(bound, "class", "left").where("w >= coalesce(bound, 0)").drop("bound"))
-    large = useful.where("size > 2").select("key", "ks").distinct()
-    large = large.select(F.col("key").alias("whole"), F.concat_ws(_SEP, F.slice("ks", 1, 2)).alias("key"), F.slice("ks", 3, MOST_KEYS).alias("rest"))
-    found = large.join(twos.select("key", "b_index", "keys"), "key").where(F.forall("rest", lambda k: F.array_contains("keys", k)))
-    firsts = firsts.union(_first(found.select(F.col("whole").alias("key"), "b_index")))
-    best = useful.select("class", "key", "w").join(firsts, "key").groupBy("class", "b_index").agg(F.max("w").alias("base"))
-    place = F.row_number().over(Window.partitionBy("class").orderBy(F.desc("base"), "b_index"))
-    return folder.staged(best.withColumn("n", place).where(F.col("n") <= B.POOL).drop("n")), twos
+    asked = sets.where("size = 1").select(*key).distinct()
+    firsts = folder.staged(_first(postings.join(asked, key, "left_semi"), by).union(_first(twos.select(*key, F.explode("bs").alias("b_index")), by)))
+    full = firsts.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= B.POOL).select(*key)
+    bound = sets.join(full, key, "left_semi").groupBy("class", *by).agg(F.max("w").alias("bound"))
+    useful = folder.staged(sets.join(bound, ["class", *by], "left").where("w >= coalesce(bound, 0)").drop("bound"))
+    large = useful.where("size > 2").select(*key, "ks").distinct()
+    large = large.select(F.col("key").alias("whole"), *by, F.concat_ws(_SEP, F.slice("ks", 1, 2)).alias("key"), F.slice("ks", 3, MOST_KEYS).alias("rest"))
+    found = large.join(twos, key).where(F.forall("rest", lambda k: F.array_contains("keys", k)))
+    firsts = firsts.union(_first(found.select(F.col("whole").alias("key"), *by, F.explode("bs").alias("b_index")), by))
+    best = useful.select("class", *key, "w").join(firsts, key).groupBy("class", *by, "b_index").agg(F.max("w").alias("base"))
+    place = F.row_number().over(Window.partitionBy("class", *by).orderBy(F.desc("base"), "b_index"))
+    return folder.staged(best.withColumn("n", place).where(F.col("n") <= B.POOL).drop("n"))
 
 
 def needed(rows: DataFrame) -> DataFrame:
@@ -93,17 +100,30 @@ def needed(rows: DataFrame) -> DataFrame:
 
 
 def by_brand(a: DataFrame, left: DataFrame, target: Target, twos: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(row_key, b_index) of candidates of the row's brand that may reach its class's bound."""
+    """(row_key, b_index) of candidates of the row's brand, one of LARGE_BRAND rows at most, that may reach its class's bound."""
     idf = F.aggregate(F.filter(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), lambda t: t["df"] < 2**62), F.lit(0.0), lambda s, t: s + t["idf"])
-    most = F.when(F.col("n_brand") > B.LARGE_BRAND, F.lit(int(B.RARE * B.W_BRAND * B.MICRO))).otherwise(B.micro(B.W_BRAND + B.W_BRAND_TOKEN * idf) + 1)
+    most = B.micro(B.W_BRAND + B.W_BRAND_TOKEN * idf) + 1
     every = F.concat(F.transform("core", token_key), F.transform("nums", number_key))
-    rows = a.where("brand <> '' and n_brand is not null").select("row_key", "brand", most.alias("most"), every.alias("every"))
+    rows = a.where((F.col("brand") != "") & (F.col("n_brand") <= B.LARGE_BRAND)).select("row_key", "brand", most.alias("most"), every.alias("every"))
     rows = rows.join(left, "row_key", "left").join(bounds, "class", "left")
     rows = needed(rows.withColumn("keys", F.coalesce("keys", F.array().cast(f"array<{_KEY}>"))).withColumn("least", F.coalesce("bound", F.lit(0)) - F.col("most")))
-    pairs = rows.where("two is not null").select("row_key", "brand", F.col("two").alias("key")).join(twos.select("key", "brand", "b_index"), ["key", "brand"])
+    pairs = rows.where("two is not null").select("row_key", "brand", F.col("two").alias("key")).join(twos.select("key", "brand", "held"), ["key", "brand"])
     single = rows.where("two is null").select("row_key", "brand", F.explode(F.coalesce("any", "every")).alias("key"))
-    single = single.join(target.branded, ["key", "brand"])
-    return pairs.select("row_key", "b_index").union(single.select("row_key", "b_index"))
+    single = single.join(_few(target.branded), ["key", "brand"])
+    return pairs.select("row_key", F.explode("held.b_index").alias("b_index")).union(single.select("row_key", "b_index"))
+
+
+def of_large_brands(a: DataFrame, left: DataFrame, classes: DataFrame, target: Target, twos: DataFrame, folder) -> DataFrame:
+    """(row_key, b_index) of the POOL best candidates of the row's brand, one of more than LARGE_BRAND rows, by what their keys add within the brand."""
+    rows = folder.staged(left.join(a.where((F.col("brand") != "") & (F.col("n_brand") > B.LARGE_BRAND)).select("row_key", "brand"), "row_key").select("row_key", "class", "brand"))
+    more = F.transform("keys", lambda k: F.struct(k["n"].alias("n"), k["key"].alias("key"), (k["w"] + F.when(k["key"].startswith(token_key(F.lit(""))), int(B.W_BRAND * B.MICRO)).otherwise(0)).alias("w")))
+    within = rows.select("class", "brand").distinct().join(classes, "class").select("class", "brand", more.alias("keys"))
+    best = best_of_classes(within, _few(target.branded), twos.select("key", "brand", "keys", F.col("held.b_index").alias("bs")), folder)
+    return rows.join(best, ["class", "brand"]).select("row_key", "b_index")
+
+
+def _few(postings: DataFrame) -> DataFrame:
+    return postings.where(F.col("own") <= B.POOL)
 
 
 def by_label(a: DataFrame, left: DataFrame, target: Target, bounds: DataFrame) -> DataFrame:
@@ -119,7 +139,7 @@ def by_label(a: DataFrame, left: DataFrame, target: Target, bounds: DataFrame) -
     own = F.transform("keys", lambda k: k["key"])
     any_of = F.when(F.col("two").isNotNull(), F.slice(F.split("two", _SEP), 1, 1)).otherwise(F.coalesce("any", own))
     each = rows.select("row_key", F.explode(any_of).alias("key"))
-    return each.join(target.postings.where(F.col("brand").isin(*T.LABELS_B)), "key").select("row_key", "b_index")
+    return each.join(_few(target.postings).where(F.col("brand").isin(*T.LABELS_B)), "key").select("row_key", "b_index")
 
 
 def every_pair(a: DataFrame, target: Target) -> DataFrame:
@@ -127,11 +147,18 @@ def every_pair(a: DataFrame, target: Target) -> DataFrame:
     name = lambda tokens: F.transform(tokens, lambda t: token_key(t["token"]))
     rare = B.rare_tokens(F.coalesce("tokens", F.array().cast(a.schema["tokens"].dataType)), B.RARE_PRIVATE)
     nums = F.transform("nums", number_key)
-    some = a.select("row_key", F.explode(F.concat(name(rare), nums)).alias("key")).join(target.postings, "key")
-    same = a.where("brand <> ''").select("row_key", "brand", F.explode(F.concat(F.transform("core", token_key), nums)).alias("key")).join(target.branded, ["key", "brand"])
+    some = a.select("row_key", F.explode(F.concat(name(rare), nums)).alias("key")).join(_few(target.postings), "key")
+    same = a.where("brand <> ''").select("row_key", "brand", F.explode(F.concat(F.transform("core", token_key), nums)).alias("key")).join(_few(target.branded), ["key", "brand"])
     return some.select("row_key", "b_index").union(same.select("row_key", "b_index"))
 
 
+def of_titles(a: DataFrame, target: Target) -> DataFrame:
+    """(row_key, b_index) of candidates with the row's title: the POOL first of those with equal keys, and of its brand, or of each private label if the row has one."""
+    there = target.titles.where(F.col("own") <= B.POOL).withColumnRenamed("brand", "theirs")
+    label = F.col("brand").isin(*T.LABELS_A) & F.col("theirs").isin(*T.LABELS_B)
+    return a.select("row_key", "title", "brand").join(there, "title").where((F.col("place") <= B.POOL) | (F.col("brand") == F.col("theirs")) | label).select("row_key", "b_index")
+
+
 def proposals(a: DataFrame, target: Target, folder) -> DataFrame:
     """(row_key, b_index), each once: for every row of a all candidates of the target that can be among its POOL best by what channels add or by its base part.
 
@@ -141,11 +168,14 @@ def proposals(a: DataFrame, target: Target, folder) -> DataFrame:
     wide = left.where(F.size("keys") > MOST_KEYS).select("row_key")
     left = left.where(F.size("keys") <= MOST_KEYS)
     classes = folder.staged(left.groupBy("class").agg(F.first("keys").alias("keys")))
-    best, twos = best_of_classes(classes, target, folder)
+    twos = folder.staged(pair_postings(target.twos, classes))
+    early = twos.select("key", "keys", F.transform(F.filter("held", lambda x: x["early"]), lambda x: x["b_index"]).alias("bs")).where(F.size("bs") > 0)
+    early = folder.staged(early.groupBy("key", "keys").agg(F.flatten(F.collect_list("bs")).alias("bs")))
+    best = best_of_classes(classes, target.postings.where(F.col("place") <= B.POOL), early, folder)
     bounds = folder.staged(best.groupBy("class").agg(F.count("*").alias("n"), F.min("base").alias("bound")).where(F.col("n") >= B.POOL).drop("n"))
     narrow = a.join(wide, "row_key", "left_anti")
     pairs = left.select("row_key", "class").join(best.select("class", "b_index"), "class").select("row_key", "b_index")
-    pairs = pairs.union(by_brand(narrow, left, target, twos, bounds)).union(by_label(narrow, left, target, bounds))
-    pairs = pairs.union(a.select("row_key", "title").join(target.titles, "title").select("row_key", "b_index"))
+    pairs = pairs.union(by_brand(narrow, left, target, twos, bounds)).union(of_large_brands(narrow, left, classes, target, twos, folder)).union(by_label(narrow, left, target, bounds))
+    pairs = pairs.union(of_titles(a, target))
     pairs = pairs.union(every_pair(a.join(wide, "row_key", "left_semi"), target))
     return pairs.distinct()

@@ -65,6 +65,17 @@ def test_a_common_key_gives_few_proposals(spark):
     folder.drop()
 
 
+def test_many_rows_of_one_title_give_few_proposals(spark):
+    """Equal rows on both sides, of a large brand: not all of them are paired."""
+    make = lambda c: spark.range(700).withColumnRenamed("id", c).selectExpr(f"cast({c} as string) item_id", "'plain soap 12 oz' name", "'acme' brand_raw", "'' description", "'' item_info", "'' sizing_comp", "'' tags", c)
+    fa, _ = counted(make("row_key"), make("b_index"))
+    folder = Folder(spark)
+    assert topk.proposals(fa, index.of(make("b_index"), False, lambda _, df: folder.staged(df)), folder).count() == 700 * B.POOL
+    folder.drop()
+    got = B.retrieve(make("row_key"), make("b_index"), False).groupBy("row_key").agg(F.count("*").alias("n"), F.max("b_index").alias("last")).collect()
+    assert len(got) == 700 and {(r.n, r.last) for r in got} == {(B.POOL, B.POOL - 1)}
+
+
 def test_empty_catalogs(spark):
     a, b = catalogs(spark, 1)
     assert B.retrieve(a.limit(0), b, False).collect() == [] and B.retrieve(a, b.limit(0), False).collect() == []
