@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, connected_components, freed, small_batches, written
@@ -36,6 +36,8 @@ SKETCH, SLACK = 32, 0.3
 BANDS, ROWS = 10, 3
 #: Values, counted on from the band's first around the signature, by which texts of a dense bucket are told apart, step by step.
 DEPTHS = (ROWS, 4, 5, 6, 8, 10, 13, 16, 20, 25, 30)
+#: Texts of a dense bucket that meet as many in one block.
+BLOCK = 1024
 #: So many document numbers are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -144,29 +146,62 @@ def signature(hashes: set[int]) -> list[int]:
     return [int(remixed(h, 100 + k).min() >> np.uint64(33)) for k in range(BANDS * ROWS)]
 
 
+def _in_bands(texts: DataFrame) -> DataFrame:
+    """(root, band, key): the bands of each signature; texts: (root, sig)."""
+    key = F.xxhash64("band", F.slice(F.col("sig"), F.col("band") * ROWS + 1, ROWS))
+    return texts.where(F.size("sig") > 0).select("root", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")).select("root", "band", key.alias("key"))
+
+
+def _paired(rows: DataFrame) -> DataFrame:
+    """Edges (a, b), a > b, between all roots of a key; rows: (key, root)."""
+    return rows.select("key", F.col("root").alias("a")).join(rows.select("key", F.col("root").alias("b")), "key").where("a > b").select("a", "b")
+
+
 def band_links(texts: DataFrame, written: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """Candidate edges (a, b), a > b, between roots whose signatures share a band; texts: (root, sig).
 
     All of a bucket of at most BUCKET texts are paired.  A larger one links to its smallest root and, as such a link may prove
     false, its texts are grouped again by longer and longer parts of the signature, with a smallest root of their own in each group.
+    What such links leave apart is for dense_pairs.
     """
-    sig = texts.where(F.size("sig") > 0).select("root", F.concat("sig", "sig").alias("sig"))
-    rows = sig.select("root", "sig", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-    out = None
-    for depth in DEPTHS:
-        key = F.xxhash64("band", F.slice(F.col("sig"), F.col("band") * ROWS + 1, depth))
-        rows = rows.select("root", "band", key.alias("key"))
-        full = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")).where("n > 1")
-        found = written(rows.join(full, "key"))
-        cold = found.where(F.col("n") <= BUCKET)
-        pairs = cold.select("key", F.col("root").alias("a")).join(cold.select("key", F.col("root").alias("b")), "key").where("a > b").select("a", "b")
-        hot = found.where(F.col("n") > BUCKET)
-        edges = pairs.union(hot.where("root <> least").select(F.col("root").alias("a"), F.col("least").alias("b")))
-        out = edges if out is None else out.union(edges)
-        if hot.isEmpty():
-            break
-        rows = hot.select("root", "band").join(sig, "root")
-    return out.distinct()
+    rows = _in_bands(texts)
+    full = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")).where("n > 1")
+    found = written(rows.join(full, "key"))
+    stars = lambda groups: groups.where((F.col("n") > BUCKET) & (F.col("root") != F.col("least"))).select(F.col("root").alias("a"), F.col("least").alias("b"))
+    out = _paired(found.where(F.col("n") <= BUCKET)).union(stars(found))
+    hot = found.where(F.col("n") > BUCKET).select("root", "band")
+    if hot.isEmpty():
+        return out.distinct()
+    around = texts.select("root", F.concat("sig", "sig").alias("sig"))
+    keys = F.array(*[F.xxhash64(F.lit(depth), "band", F.slice(F.col("sig"), F.col("band") * ROWS + 1, depth)) for depth in DEPTHS[1:]])
+    deep = written(hot.join(around, "root").select("root", "band", F.posexplode(keys).alias("depth", "key")))
+    deep = written(deep.join(deep.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")), "key"))
+    # All of a group have the same groups before it, so they come to a small one at the same depth.
+    small = deep.where(F.col("n") <= BUCKET).groupBy("root", "band").agg(F.min("depth").alias("depth"))
+    return out.union(stars(deep)).union(_paired(deep.where("n > 1").join(small, ["root", "band", "depth"]))).distinct()
+
+
+def dense_buckets(texts: DataFrame) -> DataFrame:
+    """(key, n, root): the texts of buckets of more than BUCKET; texts: (root, sig)."""
+    rows = _in_bands(texts).select("key", "root")
+    return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET), "key")
+
+
+def dense_pairs(rows: DataFrame, comp: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
+    """(a, b), a > b, each once: all pairs of a bucket that comp (node, component) leaves apart and for whose held columns near holds.
+
+    rows: see dense_buckets, with held.  A bucket that is one component already has none.  Others are quadratic in what is apart: they are dealt over tasks in blocks of BLOCK by BLOCK texts.
+    """
+    part = rows.select("root").distinct().join(comp, F.col("root") == F.col("node"), "left").select("root", F.coalesce("component", "root").alias("part"))
+    rows = rows.join(part, "root")
+    apart = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    rows = written(rows.join(apart, "key").select("key", "root", "part", "held", blocks.alias("blocks"), F.pmod(F.xxhash64("root"), blocks).alias("own")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    a = rows.select("key", F.col("root").alias("a"), F.col("part").alias("part_a"), F.col("held").alias("held_a"), F.col("own").alias("i"), every.alias("j"))
+    b = rows.select("key", F.col("root").alias("b"), F.col("part").alias("part_b"), F.col("held").alias("held_b"), F.col("own").alias("j"), every.alias("i"))
+    met = a.join(b, ["key", "i", "j"]).where((F.col("a") > F.col("b")) & (F.col("part_a") != F.col("part_b")))
+    return met.where(near(F.col("held_a"), F.col("held_b"))).select("a", "b").distinct()
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
@@ -187,7 +222,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links, so more families add time but no links that matter.  Links whose shingle sketches are too far apart go; the rest
+    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links and dense_pairs, so more families add time but no links that matter.  Links whose shingle sketches are too far apart go; the rest
     are verified on the shingle sets.  Equal word sequences are one node.  Null texts have no words, like empty ones; rows with a null id take no part; rows with
     equal ids are one document, whose least text is compared; other columns take no part.
     """
@@ -221,10 +256,15 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     freed(spark)
     side = lambda x: texts.select(F.col("root").alias(x), F.col("least").alias(f"least_{x}"))
     edges = edges.join(side("a"), "a").join(side("b"), "b")
-    # The smallest hashes of both shingle sets together are a sample of their union: a first estimate of the similarity.
-    union = F.slice(F.array_sort(F.array_union("least_a", "least_b")), 1, SKETCH)
-    shared = F.size(F.array_intersect(F.array_intersect(union, "least_a"), "least_b"))
-    edges = late.written(edges.where(shared >= (similarity - SLACK) * F.size(union)).select("a", "b").distinct())
+
+    def near(x: Column, y: Column) -> Column:
+        # The smallest hashes of both shingle sets together are a sample of their union: a first estimate of the similarity.
+        union = F.slice(F.array_sort(F.array_union(x, y)), 1, SKETCH)
+        return F.size(F.array_intersect(F.array_intersect(union, x), y)) >= (similarity - SLACK) * F.size(union)
+
+    edges = late.written(edges.where(near(F.col("least_a"), F.col("least_b"))).select("a", "b").distinct())
+    dense = late.written(dense_buckets(texts))
+    held = late.written(texts.select("root", F.col("least").alias("held")).join(dense.select("root").distinct(), "root", "left_semi"))
     early.drop()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +279,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                 keep.append(both >= similarity * (len(own) + len(have) - both))
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = late.written(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    ends = late.written(edges.select(F.explode(F.array("a", "b")).alias("id")).union(dense.select("root")).distinct())
     if ends.count() <= BROADCAST_IDS:
         ends = F.broadcast(ends)
     # Of several texts under one id the one with the smallest hash is compared.
@@ -262,7 +302,11 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     part = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
     rest = edges.join(first, ["a", "b"], "left_anti").join(part("a"), "a", "left").join(part("b"), "b", "left")
     rest = rest.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
-    comp = written(connected_components(good.union(sure(rest))))
+    good = good.union(sure(rest))
+    comp = late.written(connected_components(good))
+    # Pairs of dense buckets that no link has met.
+    left = late.written(dense_pairs(dense.join(held, "root"), comp, near))
+    comp = written(comp if left.isEmpty() else connected_components(good.union(sure(left))))
     late.drop()
     roots = ids.groupBy("same").agg(F.min("id").alias("root"))
     of = roots.join(comp, roots["root"] == comp["node"], "left").select("same", F.coalesce("component", "root").alias("component_id"))

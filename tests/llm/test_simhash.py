@@ -123,3 +123,18 @@ def test_copies_with_a_block_added_are_found(spark):
         rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + [f"w{x}" for x in rng.integers(0, 5000, 64)]))]
     got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(got[2 * k + 1] == 2 * k for k in range(30)) >= 29
+
+
+def test_pairs_of_dense_buckets_meet(spark, monkeypatch):
+    """Forty texts share one band and no longer part: links go to the first of them, all other pairs of what is apart have their own way."""
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    rng = np.random.default_rng(8)
+    texts = spark.createDataFrame([(i, [1, 2, 3, *rng.integers(10, 2**31, 27).tolist()], [i // 2]) for i in range(40)], "root long, sig array<int>, held array<int>")
+    links = {(r.a, r.b) for r in simhash.band_links(texts.select("root", "sig")).collect()}
+    assert links == {(i, 0) for i in range(1, 40)}
+    rows = simhash.dense_buckets(texts).join(texts.select("root", "held"), "root")
+    comp = lambda n: spark.createDataFrame([(i, 0) for i in range(n)], "node long, component long")
+    got = lambda n, near: sorted((r.a, r.b) for r in simhash.dense_pairs(rows, comp(n), near).collect())
+    assert got(0, lambda x, y: x == y) == [(2 * i + 1, 2 * i) for i in range(20)]
+    assert got(37, lambda x, y: F.size(x) == F.size(y)) == sorted((a, b) for a in range(40) for b in range(a) if a >= 37)
+    assert got(40, lambda x, y: x == y) == []
