@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, connected_components, freed, small_batches, written
-from .simhash import BANDS, BROADCAST_IDS, ROWS, band_links, dense_buckets, dense_pairs, remixed, shingles, words_of
+from .simhash import BANDS, BROADCAST_IDS, ROWS, band_links, dense_buckets, dense_links, remixed, shingles, words_of
 
 SHINGLE = 5
 HASHES = 128
@@ -170,22 +170,21 @@ def near_pairs(pairs: DataFrame, side_a: DataFrame, side_b: DataFrame, test, col
 
 
 def banded(nodes: DataFrame) -> DataFrame:
-    """(root, sig, all) of nodes (node, fp) with words: all places of their fingerprints and the first BANDS * ROWS."""
+    """(root, sig) of nodes (node, fp) with words: the first BANDS * ROWS places of their fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            every = [np.frombuffer(fp, "<u2").tolist() for fp in b.column(1).to_pylist()]
-            sig = [x[: BANDS * ROWS] for x in every]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.list_(pa.int32())) for x in (sig, every))], ["root", "sig", "all"])
+            sig = [np.frombuffer(fp, "<u2")[: BANDS * ROWS].tolist() for fp in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sig, pa.list_(pa.int32()))], ["root", "sig"])
 
-    return nodes.mapInArrow(run, "root long, sig array<int>, all array<int>")
+    return nodes.mapInArrow(run, "root long, sig array<int>")
 
 
 def near_classes(found: DataFrame, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(id, class_id), a row for each id: the smallest id reachable over pairs of texts with a shingle-set similarity of that much.
 
     found: fingerprints(df).  Texts with the same words are one node; rows with equal ids join the classes of all their texts; null ids take no part.
-    A pair at 0.8 shares a band with probability 0.9992; see simhash.band_links and dense_pairs for what large buckets do.
+    A pair at 0.8 shares a band with probability 0.9992; see simhash.band_links and dense_links for what large buckets do.
     """
     spark = df.sparkSession
     scratch = Scratch(spark)
@@ -194,7 +193,7 @@ def near_classes(found: DataFrame, df: DataFrame, id_col: str = "doc_id", text_c
     roots = ids.groupBy("node").agg(F.min(F.struct("id", "h")).alias("r"), F.first("fp").alias("fp"), F.first("same").alias("same"))
     nodes = scratch.written(roots.select("node", F.col("r.id").alias("id"), F.col("r.h").alias("h"), "fp", "same"))
     freed(spark)
-    bands = scratch.written(banded(nodes.where("same is not null").select("node", "fp")).select("root", "sig"))
+    bands = scratch.written(banded(nodes.where("same is not null").select("node", "fp")))
     edges = band_links(bands, scratch.written)
     edges = scratch.written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     freed(spark)
@@ -225,9 +224,7 @@ def near_classes(found: DataFrame, df: DataFrame, id_col: str = "doc_id", text_c
     good = good.union(more)
     comp = scratch.written(connected_components(good))
     # Pairs of dense buckets that no link has met.
-    agree = lambda x, y: F.size(F.filter(F.zip_with(x, y, lambda i, j: i == j), lambda same: same)) >= (similarity - SLACK) * F.size(x)
-    held = banded(nodes.join(dense.select(F.col("root").alias("node")).distinct(), "node", "left_semi").select("node", "fp")).select("root", F.col("all").alias("held"))
-    left = scratch.written(dense_pairs(dense.join(held, "root"), comp, agree))
+    left = scratch.written(dense_links(dense, texts.select(F.col("id").alias("root"), "text"), comp, similarity, SHINGLE))
     if not left.isEmpty():
         more = scratch.written(near_pairs(left, texts, texts, alike, "text"))
         comp = scratch.written(connected_components(good.union(more)))

@@ -15,6 +15,7 @@ and linear in the bucket's size.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ DEPTHS = (ROWS, 4, 5, 6, 8, 10, 13, 16, 20, 25, 30)
 BLOCK = 1024
 #: So many document numbers are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: One of so many texts is looked at for common shingles; so many of these are broadcast.  They only decide the order of shingles, and any order is right.
+SAMPLE, COMMON = 16, 1_000_000
 
 
 def _chain(start: int, length: int) -> int:
@@ -162,7 +165,7 @@ def band_links(texts: DataFrame, written: Callable[[DataFrame], DataFrame] = wri
 
     All of a bucket of at most BUCKET texts are paired.  A larger one links to its smallest root and, as such a link may prove
     false, its texts are grouped again by longer and longer parts of the signature, with a smallest root of their own in each group.
-    What such links leave apart is for dense_pairs.
+    What such links leave apart is for dense_links.
     """
     rows = _in_bands(texts)
     full = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")).where("n > 1")
@@ -190,18 +193,79 @@ def dense_buckets(texts: DataFrame) -> DataFrame:
 def dense_pairs(rows: DataFrame, comp: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
     """(a, b), a > b, each once: all pairs of a bucket that comp (node, component) leaves apart and for whose held columns near holds.
 
-    rows: see dense_buckets, with held.  A bucket that is one component already has none.  Others are quadratic in what is apart: they are dealt over tasks in blocks of BLOCK by BLOCK texts.
+    rows: see dense_buckets, with held; if they have lead, only pairs of which one leads.  A bucket that is one component already has none.  Others are quadratic in what is apart: they are dealt over tasks in blocks of BLOCK by BLOCK texts.
     """
+    lead = F.col("lead") if "lead" in rows.columns else F.lit(True)
     part = rows.select("root").distinct().join(comp, F.col("root") == F.col("node"), "left").select("root", F.coalesce("component", "root").alias("part"))
-    rows = rows.join(part, "root")
+    rows = rows.withColumn("lead", lead).join(part, "root")
     apart = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     blocks = F.ceil(F.col("n") / BLOCK)
-    rows = written(rows.join(apart, "key").select("key", "root", "part", "held", blocks.alias("blocks"), F.pmod(F.xxhash64("root"), blocks).alias("own")))
+    rows = written(rows.join(apart, "key").select("key", "root", "part", "held", "lead", blocks.alias("blocks"), F.pmod(F.xxhash64("root"), blocks).alias("own")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    a = rows.select("key", F.col("root").alias("a"), F.col("part").alias("part_a"), F.col("held").alias("held_a"), F.col("own").alias("i"), every.alias("j"))
-    b = rows.select("key", F.col("root").alias("b"), F.col("part").alias("part_b"), F.col("held").alias("held_b"), F.col("own").alias("j"), every.alias("i"))
-    met = a.join(b, ["key", "i", "j"]).where((F.col("a") > F.col("b")) & (F.col("part_a") != F.col("part_b")))
-    return met.where(near(F.col("held_a"), F.col("held_b"))).select("a", "b").distinct()
+    a = rows.where("lead").select("key", F.col("root").alias("a"), F.col("part").alias("part_a"), F.col("held").alias("held_a"), F.col("own").alias("i"), every.alias("j"))
+    b = rows.select("key", F.col("root").alias("b"), F.col("part").alias("part_b"), F.col("held").alias("held_b"), F.col("lead").alias("lead_b"), F.col("own").alias("j"), every.alias("i"))
+    met = a.join(b, ["key", "i", "j"]).where((~F.col("lead_b") | (F.col("a") > F.col("b"))) & (F.col("part_a") != F.col("part_b")) & near(F.col("held_a"), F.col("held_b")))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def shingle_set(text: str, n: int) -> np.ndarray:
+    """Hashes of the text's different shingles, as signed longs."""
+    got = set(shingles(words_of(text), n))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, got), dtype=np.uint64, count=len(got)).view(np.int64))
+
+
+def prefixes(size: int, similarity: float) -> tuple[int, int]:
+    """How many first shingles of a set can hold the first one that it shares with a set of that similarity: of a set that isn't larger, of any."""
+    return size - math.ceil(2 * similarity / (1 + similarity) * size - 1e-9) + 1, size - math.ceil(similarity * size - 1e-9) + 1
+
+
+def dense_links(dense: DataFrame, texts: DataFrame, comp: DataFrame, similarity: float, n: int) -> DataFrame:
+    """(a, b), a > b: all pairs of dense buckets that comp leaves apart and that may have that similarity of their sets of n-word shingles.
+
+    dense: see dense_buckets; texts: (root, text).  Exact, by prefixes: shingles have one order for all texts, the common ones last.  Let the first that two sets share be at some place of
+    both: then they share at most what follows there.  So only texts meet that have a shingle at such a place in common, and texts that each hold enough of their own never do.
+    """
+    spark = dense.sparkSession
+    part = dense.join(comp, F.col("root") == F.col("node"), "left").select("key", "root", F.coalesce("component", "root").alias("part"))
+    apart = part.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    roots = written(dense.join(apart, "key", "left_semi").select("root").distinct())
+    some = texts.join(F.broadcast(roots) if roots.count() <= BROADCAST_IDS else roots, "root", "left_semi").select("root", "text")
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [shingle_set(text, n) for text in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *own]))], ["key"])
+
+    sample = some.where(F.pmod(F.xxhash64("root"), F.lit(SAMPLE)) == 0).mapInArrow(every, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    got = sample.orderBy(F.desc("n"), "key").limit(COMMON).orderBy("key").toArrow()
+    sent = spark.sparkContext.broadcast((got["key"].to_numpy(), got["n"].to_numpy()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = sent.value
+        for b in batches:
+            out = []
+            for root, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                own = shingle_set(text, n)
+                common = np.zeros(len(own), dtype=np.int64)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                    common = np.where(keys[at] == own, counts[at], 0)
+                lead, most = prefixes(len(own), similarity)
+                key = own[np.lexsort((own, common))][:most]
+                place = np.arange(len(key), dtype=np.int32)
+                out.append((key, np.full(len(key), root), np.full(len(key), len(own), dtype=np.int32), place, place < lead))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["key", "root", "size", "place", "lead"])
+
+    rows = written(some.mapInArrow(run, "key long, root long, size int, place int, lead boolean"))
+    full = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("lead").alias("any")).where("n > 1 and any").select("key", "n")
+    held = F.struct("size", F.expr("size - place").alias("rest")).alias("held")
+
+    def near(x: Column, y: Column) -> Column:
+        need = F.lit(similarity / (1 + similarity)) * (x["size"] + y["size"]) - F.lit(1e-9)
+        return (x["rest"] >= need) & (y["rest"] >= need)
+
+    return dense_pairs(rows.join(full, "key").select("key", "n", "root", held, "lead"), comp, near)
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
@@ -222,7 +286,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Texts that share at least ``similarity`` of their ``verify_words``-word shingles differ in a few words, hence in a few bits
     of a SimHash of single words; ``families`` independent fingerprints make it likely that one of them
-    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links and dense_pairs, so more families add time but no links that matter.  Links whose shingle sketches are too far apart go; the rest
+    is within TAU bits.  Min-hash bands of the shingles find what they miss, see band_links and dense_links, so more families add time but no links that matter.  Links whose shingle sketches are too far apart go; the rest
     are verified on the shingle sets.  Equal word sequences are one node.  Null texts have no words, like empty ones; rows with a null id take no part; rows with
     equal ids are one document, whose least text is compared; other columns take no part.
     """
@@ -264,7 +328,6 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     edges = late.written(edges.where(near(F.col("least_a"), F.col("least_b"))).select("a", "b").distinct())
     dense = late.written(dense_buckets(texts))
-    held = late.written(texts.select("root", F.col("least").alias("held")).join(dense.select("root").distinct(), "root", "left_semi"))
     early.drop()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +368,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     good = good.union(sure(rest))
     comp = late.written(connected_components(good))
     # Pairs of dense buckets that no link has met.
-    left = late.written(dense_pairs(dense.join(held, "root"), comp, near))
+    left = late.written(dense_links(dense, one.select(F.col("id").alias("root"), "text"), comp, similarity, verify_words))
     comp = written(comp if left.isEmpty() else connected_components(good.union(sure(left))))
     late.drop()
     roots = ids.groupBy("same").agg(F.min("id").alias("root"))

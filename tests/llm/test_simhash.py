@@ -138,3 +138,25 @@ def test_pairs_of_dense_buckets_meet(spark, monkeypatch):
     assert got(0, lambda x, y: x == y) == [(2 * i + 1, 2 * i) for i in range(20)]
     assert got(37, lambda x, y: F.size(x) == F.size(y)) == sorted((a, b) for a in range(40) for b in range(a) if a >= 37)
     assert got(40, lambda x, y: x == y) == []
+
+
+def test_dense_texts_meet_by_rare_shingles(spark):
+    """Of texts that share most shingles but each hold many of their own only the pairs at 0.8 meet, not all pairs."""
+    rng = np.random.default_rng(9)
+    base, texts = [f"b{x}" for x in range(400)], []
+    for k in range(120):
+        own = [w for i in range(0, 400, 40) for w in [*base[i : i + 40], *(f"o{x}" for x in rng.integers(0, 10**9, 6 if k % 3 else 12))]]
+        texts.append(own)
+        if k % 10 == 0:
+            texts.append([*own[:200], "changed", *own[201:]])
+        if k % 10 == 5:
+            texts.append(own[: int(len(own) * 0.85)])
+    sets = [set(simhash.shingles([w.encode() for w in t], 5)) for t in texts]
+    true = {(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "root long, text string")
+    dense = rows.select(F.lit(1).cast("long").alias("key"), F.lit(len(texts)).cast("long").alias("n"), "root")
+    none = spark.createDataFrame([], "node long, component long")
+    got = {(r.a, r.b) for r in simhash.dense_links(dense, rows, none, 0.8, 5).collect()}
+    assert len(true) >= 24 and true <= got and len(got) <= 4 * len(true)
+    one = rows.select(F.col("root").alias("node"), F.lit(0).cast("long").alias("component"))
+    assert simhash.dense_links(dense, rows, one, 0.8, 5).collect() == []
