@@ -8,7 +8,10 @@ A band is two hash functions.  Where windows of both overlap, the two least hash
 exactly when they share both.  Keys are dealt and sorted once, so that the stretches of one key follow each other; each is paired with the key's first document and with the
 one before, never all with all, and the pairs' stretches are verified on the words themselves.
 
-Such links can miss a pair of documents in the middle of a group, so exact repeats have a way of their own.  Every passage of ``LEAST`` tokens
+Such links can miss a pair of documents in the middle of a group.  So keys of four documents and more (fewer are all paired) are kept, and what links leave apart among their documents meets as well:
+all pairs of a small group; in a larger one only documents that share a token beside the most common ones of the group, as similar passages share more than these.
+
+Exact repeats have a way of their own, by which they are found for certain.  Every passage of ``LEAST`` tokens
 lies in a stretch of the first band; if other documents share its key, the passage itself is a key, under
 which all documents link to the first.  They share the words of that passage, so each such link holds.
 
@@ -20,6 +23,7 @@ first of all.  Documents that very many others link to have their text sent to s
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +46,10 @@ WHOLE = (14, 15)
 SIMILARITY = 0.8
 #: Shingles that may differ between two shared ones within a passage: what two changed words leave.
 GAP = 2 * SHINGLE + 2
+#: Documents of a key that are all paired if links leave them apart.
+BUCKET = 16
+#: A passage without repeated tokens shares more tokens than so many with a similar one.
+COMMON = math.ceil(SIMILARITY * LEAST) - 1
 #: So many document numbers are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: So many stretches are broadcast at most to the texts they lie in.
@@ -140,8 +148,44 @@ def _sampled(doc: str = "doc") -> Column:
     return F.pmod(F.xxhash64(doc), F.lit(SAMPLE)) == 0
 
 
-def _met(found: DataFrame, before: bool) -> DataFrame:
-    """(doc, other, place) over the rows (key, part, doc, place): the group's first document, and the one before if wanted.
+class _Crowds:
+    """Rows of keys that hold at least four documents, or are split, from sorted batches; rows of the open group wait until it holds as many."""
+
+    def __init__(self) -> None:
+        self.state: tuple[int, int] | None = None
+        self.last, self.count = 0, 0
+        self.waiting: list[list[np.ndarray]] = []
+
+    def of(self, key: np.ndarray, part: np.ndarray, doc: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+        """(key, doc, place) of the batch's rows, and of earlier ones that waited; the marks of whole texts are left out."""
+        cols = [key, doc, place]
+        start = np.ones(len(key), dtype=bool)
+        start[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+        group = np.cumsum(start) - 1
+        change = start.copy()
+        change[1:] |= doc[1:] != doc[:-1]
+        count = np.bincount(group[change])
+        goes_on = self.state == (int(key[0]), int(part[0]))
+        if goes_on:
+            count[0] += self.count - (int(doc[0]) == self.last)
+        else:
+            self.waiting = []
+        crowded = (count > 3) | (part[start] > 0)
+        out = [[c[crowded[group]] for c in cols]]
+        if crowded[0]:
+            out, self.waiting = [*self.waiting, *out], []
+        if len(count) > 1:
+            self.waiting = []
+        if not crowded[-1]:
+            self.waiting.append([c[group == group[-1]] for c in cols])
+        self.state, self.last, self.count = (int(key[-1]), int(part[-1])), int(doc[-1]), int(count[-1])
+        got = [np.concatenate(c) for c in zip(*out, strict=True)]
+        near = got[2] & 15 < min(WHOLE)
+        return [c[near] for c in got]
+
+
+def _met(found: DataFrame, before: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc, other, place) over the rows (key, part, doc, place): the group's first document, and the one before if wanted; and the rows (key, doc, place) of keys of four documents and more, if that is wanted.
 
     If the one before is wanted, rows of the first band also have an empty other where the group holds several documents.
     """
@@ -152,6 +196,7 @@ def _met(found: DataFrame, before: bool) -> DataFrame:
         first = last = previous = 0
         has_previous = False
         waiting: list[np.ndarray] = []
+        crowds = _Crowds()
         for b in batches:
             key, part, doc, place = (c.to_numpy() for c in b.columns)
             n = len(key)
@@ -203,16 +248,23 @@ def _met(found: DataFrame, before: bool) -> DataFrame:
             some.append((doc[top], doc[top], place[top], np.zeros(int(top.sum()), dtype=bool), key[top]))
             other = pa.array(np.concatenate([x[1] for x in some]), mask=~np.concatenate([x[3] for x in some]))
             keys = pa.array(np.concatenate([np.zeros(len(x[0]), dtype=np.int64) if x[4] is None else x[4] for x in some]), mask=np.concatenate([np.full(len(x[0]), x[4] is None) for x in some]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[0] for x in some])), other, pa.array(np.concatenate([x[2] for x in some])), keys], ["doc", "other", "place", "key"])
+            names = ["doc", "other", "place", "key", "crowd"]
+            size = len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[0] for x in some])), other, pa.array(np.concatenate([x[2] for x in some])), keys, pa.nulls(size, pa.int64())], names)
+            if before:
+                crowd, docs, places = crowds.of(key, part, doc, place)
+                none = pa.nulls(len(crowd), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(docs), none, pa.array(places), none, pa.array(crowd)], names)
 
     dealt = found.select("key", "part", "doc", "place").repartition("key", "part").sortWithinPartitions("key", "part", "doc")
-    got = written(dealt.mapInArrow(run, "doc long, other long, place long, key long"))
+    every = written(dealt.mapInArrow(run, "doc long, other long, place long, key long, crowd long"))
+    got = every.where("crowd is null")
     freed(found.sparkSession)
     # Firsts of the parts of common keys.
     tops = got.where("key is not null")
     ends = tops.groupBy("key").agg(F.min("doc").alias("first"))
     joined = tops.join(ends, "key").where("doc <> first").select("doc", F.col("first").alias("other"), "place")
-    return got.where("key is null").select("doc", "other", "place").union(joined)
+    return got.where("key is null").select("doc", "other", "place").union(joined), every.where("crowd is not null").select(F.col("crowd").alias("key"), "doc", "place")
 
 
 def _bands(joined: np.ndarray, borders: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -372,9 +424,15 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Every repeated passage of each document is in some link, as doc or as other; a copy has one link, over all its words, to its root, and copies of one passage link to a few documents only.
     Null, empty and short texts have no passages; rows with a null id take no part, and rows with equal ids count as one text (the least).
     """
+    return _linked(df, id_col, text_col)[0]
+
+
+def _linked(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The links of repeated_passages, and (node, component) over them."""
     small_batches(df.sparkSession)
     rows = _one_text(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")))
-    met = _met(_windows_of(rows, _hot_keys(_windows_of(rows.where(_sampled())))), True).withColumn("band", F.col("place").bitwiseAND(15))
+    met, crowds = _met(_windows_of(rows, _hot_keys(_windows_of(rows.where(_sampled())))), True)
+    met = met.withColumn("band", F.col("place").bitwiseAND(15))
     both = met.where((F.col("band") >= min(WHOLE)) & F.col("other").isNotNull()).groupBy("doc", "other").agg(F.collect_set("place").alias("marks")).where(F.size("marks") == len(WHOLE))
     # A copy in a part of a common key has the part's first as other, which may be a copy itself.
     both = written(both.groupBy("doc").agg(F.min("other").alias("other"), F.first(F.shiftright(F.col("marks")[0], 4)).alias("last")))
@@ -391,7 +449,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if (around.agg(F.sum(F.size("met"))).first()[0] or 0) <= BROADCAST_PLACES:
         around = F.broadcast(around)
     marked = rows.join(around, "doc").select("doc", "text", "met")
-    met = _met(_stretches_of(marked, _hot_keys(_stretches_of(marked.where(_sampled())))), False).where("other is not null").withColumnRenamed("place", "at")
+    met = _met(_stretches_of(marked, _hot_keys(_stretches_of(marked.where(_sampled())))), False)[0].where("other is not null").withColumnRenamed("place", "at")
     late = F.col("doc") > F.col("other")
     had = links.select(F.greatest("doc", "other").alias("doc"), F.least("doc", "other").alias("other"), F.when(late, F.col("start")).otherwise(F.col("other_start")).alias("start"), F.when(late, F.col("end")).otherwise(F.col("other_end")).alias("end"))
     known = (met["doc"] == had["doc"]) & (met["other"] == had["other"]) & (had["start"] <= met["at"]) & (met["at"] + WORDS <= had["end"])
@@ -400,7 +458,49 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     freed(df.sparkSession)
     end, none = F.col("last") + SHINGLE, F.lit(0).cast("long")
     whole = copies.select("doc", none.alias("start"), end.alias("end"), F.col("root").alias("other"), none.alias("other_start"), end.alias("other_end"))
-    return links.union(written(_links(rows, more))).union(whole)
+    links = links.union(written(_links(rows, more))).union(whole)
+    comp = written(connected_components(links.select(F.col("doc").alias("a"), F.col("other").alias("b"))))
+    apart = _apart(rows, crowds.join(gone, "doc", "left_anti"), comp).join(pairs.where("other is not null").select("doc", "other"), ["doc", "other"], "left_anti")
+    if (apart := written(apart)).isEmpty() or (late := written(_links(rows, apart))).isEmpty():
+        return links, comp
+    links = links.union(late)
+    return links, connected_components(links.select(F.col("doc").alias("a"), F.col("other").alias("b")))
+
+
+def _apart(rows: DataFrame, crowds: DataFrame, comp: DataFrame) -> DataFrame:
+    """(doc, other, met), doc > other: pairs of documents of a key in crowds (key, doc, place) that comp leaves apart and that may share a similar passage there.
+
+    In a group of more than BUCKET documents they share a token of their stretches beside the group's COMMON most common ones, or both repeat a token in them.
+    """
+    of = crowds.join(comp, F.col("doc") == F.col("node"), "left").select("key", "doc", "place", F.coalesce("component", "doc").alias("part"))
+    keys = of.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    each = written(of.join(keys, "key", "left_semi").groupBy("key", "doc", "part").agg(F.collect_set("place").alias("met")))
+    freed(rows.sparkSession)
+    size = each.groupBy("key").agg(F.count("*").alias("n"))
+    few = each.join(size.where(F.col("n") <= BUCKET), "key").select("key", F.lit(0).cast("long").alias("token"), "doc", "part")
+    many = each.join(size.where(F.col("n") > BUCKET), "key").select("key", "doc", "part", "met")
+    texts = many.join(rows, "doc").select("key", "doc", "part", "met", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for key, doc, part, met, text in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                held = tokens_of(text)
+                held = np.concatenate([held[x:y] for x, y in merged([_unpacked(m) for m in met])])
+                token = np.unique(held).view(np.int64)
+                if len(token) < len(held):
+                    token = np.append(token, 0)
+                cols = [np.full(len(token), key), token, np.full(len(token), doc), np.full(len(token), part)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["key", "token", "doc", "part"])
+
+    tokens = written(texts.mapInArrow(run, "key long, token long, doc long, part long"))
+    shared = tokens.groupBy("key", "token").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("n > 1")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "token"))
+    common = shared.where("token <> 0").select("key", "token", place.alias("k")).where(F.col("k") <= COMMON).select("key", "token")
+    rare = shared.where("low < high").select("key", "token").join(common, ["key", "token"], "left_anti")
+    met = few.union(tokens.join(rare, ["key", "token"], "left_semi"))
+    a, b = (met.select("key", "token", F.col("doc").alias(x), F.col("part").alias(f"part_{x}")) for x in ("doc", "other"))
+    pairs = a.join(b, ["key", "token"]).where((F.col("doc") > F.col("other")) & (F.col("part_doc") != F.col("part_other"))).select("key", "doc", "other").distinct()
+    return pairs.join(each.select("key", "doc", "met"), ["key", "doc"]).groupBy("doc", "other").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
 
 
 def _links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -441,7 +541,8 @@ def passage_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     were linked to (copies of one passage link to a few documents only).  Rows with a null id have a null class; rows with equal ids get the same
     figures.  Other columns take no part.
     """
-    links = written(repeated_passages(df, id_col, text_col))
+    links, comp = _linked(df, id_col, text_col)
+    links = written(links)
     both = links.select("doc", "start", "end", "other").union(links.select("other", "other_start", "other_end", "doc"))
     spans = both.select("doc", "start", "end").distinct()
     partners = both.select("doc", "other").distinct().groupBy("doc").agg(F.count("*").alias("n_links"))
@@ -450,7 +551,6 @@ def passage_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     new = spans.withColumn("new", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1))).withColumn("part", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
     merged = new.groupBy("doc", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     by_doc = merged.groupBy("doc").agg(F.count("*").alias("n_passages"), F.sum(F.col("end") - F.col("start")).alias("n_words"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("all"))
-    comp = connected_components(links.select(F.col("doc").alias("a"), F.col("other").alias("b")))
     text = F.array_join(F.transform("all", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     figures = by_doc.join(partners, "doc").join(comp.withColumnRenamed("node", "doc"), "doc").withColumn("passages", text)
     out = df.select(F.col(id_col).cast("long").alias("doc")).join(figures, "doc", "left")

@@ -169,3 +169,24 @@ def test_an_id_with_several_texts_is_its_least(spark, turned):
     rows = [(1, f"m {x}"), (7, f"z {x}"), (7, f"a0 {y}"), (2, f"n {y}")] if not turned else [(1, f"m {x}"), (7, f"a0 {x}"), (7, f"z {y}"), (2, f"n {y}")]
     got = {r.doc_id: r.class_id for r in P.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == ({1: 1, 2: 2, 7: 2} if not turned else {1: 1, 2: 2, 7: 1})
+
+
+@pytest.mark.parametrize("bucket", [16, 3])
+def test_pairs_in_the_middle_of_a_group(spark, monkeypatch, bucket):
+    """Eight texts share a line, so they have keys in common; only two of them, neither first nor next to each other, share a passage.  In a small group all pairs meet, in a larger one those that share more than the line."""
+    monkeypatch.setattr(P, "BUCKET", bucket)
+    rng = random.Random(0)
+    w = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    line, x, y = w(32), w(12), w(12)
+    rows = []
+    for k in range(8):
+        a, b = (x, y) if k in (2, 5) else (w(12), w(12))
+        if k == 5:
+            a = [*a[:8], "changed", *a[9:]]
+        rows.append((k, " ".join(w(30) + a + line + b + w(30))))
+    tokens = [P.tokens_of(t) for _, t in rows]
+    keys = [{k for key, *_ in P._bands(np.concatenate([[np.uint64(0)], t, [np.uint64(0)]]).astype(np.uint64), np.array([0, len(t) + 1])) for k in key.tolist()} for t in tokens]
+    groups = [[d for d in range(8) if k in keys[d]] for k in keys[2] & keys[5]]
+    assert groups and all(g[0] != 2 and g[g.index(5) - 1] != 2 for g in groups)
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {d: r.class_id for d, r in got.items()} == {2: 2, 5: 2}
