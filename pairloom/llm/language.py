@@ -27,6 +27,8 @@ from .common import sent, small_batches
 SAMPLE_ROWS = 300
 SAMPLE_SYMBOLS = 40_000
 BLOCK = 256
+#: Texts are parsed together while they hold so many characters at most, or one by one, so that a worker's memory doesn't follow the size of a batch.
+TOGETHER = 1 << 19
 #: Rounds in which all blocks are parsed again whose entry has changed.
 ROUNDS = 4
 #: Symbols: a space (everything that isn't a letter), digits that no sample has, the most common letters, the samples' digits, a filler.
@@ -196,6 +198,17 @@ class Model:
 
     def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language (und: null or without a letter) and score of each text: how much less the winner costs than the next, from 0 to 1."""
+        langs, scores, first, size = [], [], 0, 0
+        for i, t in enumerate([*texts, None]):
+            size += len(t or "")
+            if i == len(texts) or (size > TOGETHER and i > first):
+                one, two = self._score(texts[first:i])
+                langs += one
+                scores += two
+                first, size = i, len(t or "")
+        return langs, scores
+
+    def _score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         has_letter, found = self.parsed(texts)
         cost = found * np.array(self.bits).reshape(-1, 1)
         best = cost.argmin(axis=0) if self.langs else np.zeros(len(texts), dtype=int)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -80,3 +81,16 @@ def test_letters_of_wide_scripts_count(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = L.identify(docs, L.fit(docs.where("doc_id < 300"))).where("doc_id >= 300").collect()
     assert sum(r.lang_pred == f"l{r.doc_id % 4}" for r in got) >= 98
+
+
+def test_memory_of_a_batch_follows_its_longest_text():
+    """A batch of many texts is parsed in slices, with the results of each text alone."""
+    rng = random.Random(7)
+    model = L.Model({k: [" ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(400))] for k, letters in (("x", "abcdef"), ("y", "efghij"))})
+    texts = [None, "", *(" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n)) for n in [3000] * 150)]
+    tracemalloc.start()
+    got = model.score(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == tuple(map(list, zip(*((a[0], b[0]) for a, b in (model.score([t]) for t in texts)), strict=True)))
+    assert peak < 60 * L.TOGETHER
