@@ -43,6 +43,8 @@ BLOCK = 1024
 BROADCAST_IDS = 1_000_000
 #: One of so many texts is looked at for common shingles; so many of these are broadcast.  They only decide the order of shingles, and any order is right.
 SAMPLE, COMMON = 16, 1_000_000
+#: Longs of 64 bits that a set is marked in, see marks.
+MARKS = 4
 
 
 def _chain(start: int, length: int) -> int:
@@ -219,11 +221,19 @@ def prefixes(size: int, similarity: float) -> tuple[int, int]:
     return size - math.ceil(2 * similarity / (1 + similarity) * size - 1e-9) + 1, size - math.ceil(similarity * size - 1e-9) + 1
 
 
+def marks(held: np.ndarray) -> np.ndarray:
+    """MARKS longs in which each hash sets a bit: a bit that only one of two sets has stands for a hash at least that the other lacks."""
+    on = np.zeros(64 * MARKS, dtype=np.uint8)
+    on[held & (64 * MARKS - 1)] = 1
+    return np.packbits(on).view(np.int64)
+
+
 def dense_links(dense: DataFrame, texts: DataFrame, comp: DataFrame, similarity: float, n: int) -> DataFrame:
     """(a, b), a > b: all pairs of dense buckets that comp leaves apart and that may have that similarity of their sets of n-word shingles.
 
     dense: see dense_buckets; texts: (root, text).  Exact, by prefixes: shingles have one order for all texts, the common ones last.  Let the first that two sets share be at some place of
     both: then they share at most what follows there.  So only texts meet that have a shingle at such a place in common, and texts that each hold enough of their own never do.
+    Nor do those whose marks differ in more bits than sets of that similarity can have shingles apart.
     """
     spark = dense.sparkSession
     part = dense.join(comp, F.col("root") == F.col("node"), "left").select("key", "root", F.coalesce("component", "root").alias("part"))
@@ -253,17 +263,20 @@ def dense_links(dense: DataFrame, texts: DataFrame, comp: DataFrame, similarity:
                 lead, most = prefixes(len(own), similarity)
                 key = own[np.lexsort((own, common))][:most]
                 place = np.arange(len(key), dtype=np.int32)
-                out.append((key, np.full(len(key), root), np.full(len(key), len(own), dtype=np.int32), place, place < lead))
+                bits = [np.full(len(key), x) for x in marks(own)]
+                out.append((key, np.full(len(key), root), np.full(len(key), len(own), dtype=np.int32), place, place < lead, *bits))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["key", "root", "size", "place", "lead"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["key", "root", "size", "place", "lead", *named])
 
-    rows = written(some.mapInArrow(run, "key long, root long, size int, place int, lead boolean"))
+    named = [f"m{k}" for k in range(MARKS)]
+    rows = written(some.mapInArrow(run, f"key long, root long, size int, place int, lead boolean, {', '.join(f'{m} long' for m in named)}"))
     full = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("lead").alias("any")).where("n > 1 and any").select("key", "n")
-    held = F.struct("size", F.expr("size - place").alias("rest")).alias("held")
+    held = F.struct("size", F.expr("size - place").alias("rest"), *named).alias("held")
 
     def near(x: Column, y: Column) -> Column:
         need = F.lit(similarity / (1 + similarity)) * (x["size"] + y["size"]) - F.lit(1e-9)
-        return (x["rest"] >= need) & (y["rest"] >= need)
+        apart = sum((F.bit_count(x[m].bitwiseXOR(y[m])) for m in named), F.lit(0))
+        return (x["rest"] >= need) & (y["rest"] >= need) & (x["size"] + y["size"] - apart >= 2 * need)
 
     return dense_pairs(rows.join(full, "key").select("key", "n", "root", held, "lead"), comp, near)
 

@@ -160,3 +160,19 @@ def test_dense_texts_meet_by_rare_shingles(spark):
     assert len(true) >= 24 and true <= got and len(got) <= 4 * len(true)
     one = rows.select(F.col("root").alias("node"), F.lit(0).cast("long").alias("component"))
     assert simhash.dense_links(dense, rows, one, 0.8, 5).collect() == []
+
+
+def test_dense_short_texts_below_the_similarity_stay_apart(spark):
+    """Texts of 24 words, each with one of a few words in two places, share shingles at every place but most pairs are below 0.8: their marks tell."""
+    texts = []
+    for k in range(144):
+        words = [f"b{x}" for x in range(24)]
+        words[8], words[15] = f"x{k % 12}", f"y{k // 12}"
+        texts.append([*words, "end"] if k % 12 == 0 else words)
+    texts += [[*t, "more"] for t in texts[:20]]
+    sets = [set(simhash.shingles([w.encode() for w in t], 5)) for t in texts]
+    true = {(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "root long, text string")
+    dense = rows.select(F.lit(1).cast("long").alias("key"), F.lit(len(texts)).cast("long").alias("n"), "root")
+    got = {(r.a, r.b) for r in simhash.dense_links(dense, rows, spark.createDataFrame([], "node long, component long"), 0.8, 5).collect()}
+    assert true and true <= got and len(got) <= 3 * len(true)
