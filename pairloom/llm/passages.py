@@ -8,8 +8,8 @@ A band is two hash functions.  Where windows of both overlap, the two least hash
 exactly when they share both.  Keys are dealt and sorted once, so that the stretches of one key follow each other; each is paired with the key's first document and with the
 one before, never all with all, and the pairs' stretches are verified on the words themselves.
 
-Such links can miss a pair of documents in the middle of a group.  So keys of four documents and more (fewer are all paired) are kept, and what links leave apart among their documents meets as well:
-all pairs of a small group; in a larger one only documents that share a token beside the most common ones of the group, as similar passages share more than these.
+Such links can miss a pair of documents in the middle of a group.  So keys of four documents and more (fewer are all paired) are kept, and what links leave apart among their documents meets as well,
+if their stretches there may hold as many tokens in common as similar passages do.
 
 Exact repeats have a way of their own, by which they are found for certain.  Every passage of ``LEAST`` tokens
 lies in a stretch of the first band; if other documents share its key, the passage itself is a key, under
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, freed, small_batches, written
-from .simhash import remixed, words_of
+from .simhash import COMMON, MARKS, marks, remixed, words_of
 
 SHINGLE = 5
 #: A passage has at least so many words, hence LEAST shingles.
@@ -46,10 +46,8 @@ WHOLE = (14, 15)
 SIMILARITY = 0.8
 #: Shingles that may differ between two shared ones within a passage: what two changed words leave.
 GAP = 2 * SHINGLE + 2
-#: Documents of a key that are all paired if links leave them apart.
-BUCKET = 16
-#: A passage without repeated tokens shares more tokens than so many with a similar one.
-COMMON = math.ceil(SIMILARITY * LEAST) - 1
+#: Documents of a key that meet without a token in common if links leave them apart; their marks alone tell.
+BUCKET = 4
 #: So many document numbers are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: So many stretches are broadcast at most to the texts they lie in.
@@ -467,39 +465,85 @@ def _linked(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataF
     return links, connected_components(links.select(F.col("doc").alias("a"), F.col("other").alias("b")))
 
 
+def _distinct(tokens: np.ndarray) -> int:
+    """The least number of different tokens in a stretch of LEAST, or of all if they are fewer."""
+    order = np.lexsort((np.arange(len(tokens)), tokens))
+    before = np.full(len(tokens), -1)
+    before[order[1:]] = np.where(tokens[order[1:]] == tokens[order[:-1]], order[:-1], -1)
+    if len(tokens) <= LEAST:
+        return int((before < 0).sum())
+    # A token that comes again d places on is missing in the stretches that hold both.
+    again = np.flatnonzero((before >= 0) & (np.arange(len(tokens)) - before < LEAST))
+    lost = np.zeros(len(tokens) + 1, dtype=np.int64)
+    np.add.at(lost, np.maximum(again - LEAST + 1, 0), 1)
+    np.add.at(lost, before[again] + 1, -1)
+    return LEAST - int(np.cumsum(lost)[: len(tokens) - LEAST + 1].max())
+
+
+def _prefix(tokens: np.ndarray, rank: np.ndarray, met: list[tuple[int, int]]) -> tuple[np.ndarray, int, int, np.ndarray]:
+    """(places, number of different tokens, how many a similar passage shares at least, marks) of the stretches met; places: of their first tokens by rank, one of which is shared by any document with a similar passage there."""
+    held = [tokens[x:y] for x, y in met]
+    need = math.ceil(SIMILARITY * min(map(_distinct, held)) - 1e-9)
+    at = np.concatenate([np.arange(x, min(y, len(tokens))) for x, y in met])
+    _, first = np.unique(rank[at], return_index=True)
+    return at[first[: len(first) - need + 1]], len(first), need, marks(tokens[at].view(np.int64))
+
+
 def _apart(rows: DataFrame, crowds: DataFrame, comp: DataFrame) -> DataFrame:
     """(doc, other, met), doc > other: pairs of documents of a key in crowds (key, doc, place) that comp leaves apart and that may share a similar passage there.
 
-    In a group of more than BUCKET documents they share a token of their stretches beside the group's COMMON most common ones, or both repeat a token in them.
+    Similar passages share most tokens.  Let the tokens of all documents have one order, the common ones last, and let a document need so many shared ones: then the first that it shares comes
+    before the last so many of its stretches' tokens.  So only documents meet that have a token at such a place in common, and only if what follows, and what their marks say, is enough for both.
     """
     of = crowds.join(comp, F.col("doc") == F.col("node"), "left").select("key", "doc", "place", F.coalesce("component", "doc").alias("part"))
     keys = of.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     each = written(of.join(keys, "key", "left_semi").groupBy("key", "doc", "part").agg(F.collect_set("place").alias("met")))
     freed(rows.sparkSession)
-    size = each.groupBy("key").agg(F.count("*").alias("n"))
-    few = each.join(size.where(F.col("n") <= BUCKET), "key").select("key", F.lit(0).cast("long").alias("token"), "doc", "part")
-    many = each.join(size.where(F.col("n") > BUCKET), "key").select("key", "doc", "part", "met")
-    texts = many.join(rows, "doc").select("key", "doc", "part", "met", "text")
+    # A text is read once for all its keys.
+    few = each.groupBy("key").agg((F.count("*") <= BUCKET).alias("few"))
+    texts = rows.join(each.join(few, "key").groupBy("doc", "part").agg(F.collect_list(F.struct("key", "met", "few")).alias("at")), "doc").select("doc", "part", "at", "text")
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.unique(tokens_of(t)).view(np.int64) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *own]))], ["token"])
+
+    sample = texts.where(_sampled()).select("text").mapInArrow(every, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    got = sample.orderBy(F.desc("n"), "token").limit(COMMON).orderBy("token").toArrow()
+    sent = rows.sparkSession.sparkContext.broadcast((got["token"].to_numpy(), got["n"].to_numpy()))
+    named = [f"m{k}" for k in range(MARKS)]
+    names = ["key", "token", "doc", "part", "rest", "need", "size", *named]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts = sent.value
         for b in batches:
-            for key, doc, part, met, text in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                held = tokens_of(text)
-                held = np.concatenate([held[x:y] for x, y in merged([_unpacked(m) for m in met])])
-                token = np.unique(held).view(np.int64)
-                if len(token) < len(held):
-                    token = np.append(token, 0)
-                cols = [np.full(len(token), key), token, np.full(len(token), doc), np.full(len(token), part)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["key", "token", "doc", "part"])
-
-    tokens = written(texts.mapInArrow(run, "key long, token long, doc long, part long"))
-    shared = tokens.groupBy("key", "token").agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("n > 1")
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "token"))
-    common = shared.where("token <> 0").select("key", "token", place.alias("k")).where(F.col("k") <= COMMON).select("key", "token")
-    rare = shared.where("low < high").select("key", "token").join(common, ["key", "token"], "left_anti")
-    met = few.union(tokens.join(rare, ["key", "token"], "left_semi"))
-    a, b = (met.select("key", "token", F.col("doc").alias(x), F.col("part").alias(f"part_{x}")) for x in ("doc", "other"))
-    pairs = a.join(b, ["key", "token"]).where((F.col("doc") > F.col("other")) & (F.col("part_doc") != F.col("part_other"))).select("key", "doc", "other").distinct()
+            out = []
+            for doc, part, at, text in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                tokens = tokens_of(text)
+                signed = tokens.view(np.int64)
+                common = np.zeros(len(tokens), dtype=np.int64)
+                if len(known):
+                    k = np.minimum(np.searchsorted(known, signed), len(known) - 1)
+                    common = np.where(known[k] == signed, counts[k], 0)
+                order = np.lexsort((signed, common))
+                rank = np.empty(len(tokens), dtype=np.int64)
+                rank[order] = np.cumsum(np.append(True, signed[order[1:]] != signed[order[:-1]]))
+                for x in at:
+                    first, size, need, bits = _prefix(tokens, rank, merged([_unpacked(m) for m in x["met"]]))
+                    n = 1 if x["few"] else len(first)
+                    out.append((np.full(n, x["key"]), np.zeros(1, dtype=np.int64) if x["few"] else signed[first], np.full(n, doc), np.full(n, part), size - np.arange(n, dtype=np.int32), np.full(n, need, dtype=np.int32), np.full(n, size, dtype=np.int32), *(np.full(n, m) for m in bits)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names)
+
+    tokens = written(texts.mapInArrow(run, f"key long, token long, doc long, part long, rest int, need int, size int, {', '.join(f'{m} long' for m in named)}"))
+    shared = tokens.groupBy("key", "token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "token")
+    some = tokens.join(shared, ["key", "token"], "left_semi").select("key", "token", "part", "doc", F.struct("rest", "need", "size", *named).alias("x"))
+    other = some.select("key", "token", F.col("part").alias("part_other"), F.col("doc").alias("other"), F.col("x").alias("y"))
+    x, y = F.col("x"), F.col("y")
+    only = lambda x, y: sum((F.bit_count(x[m].bitwiseAND(F.bitwise_not(y[m]))) for m in named), F.lit(0))
+    least = F.greatest(x["need"], y["need"])
+    enough = (F.least(x["rest"], y["rest"]) >= least) & (x["size"] - only(x, y) >= least) & (y["size"] - only(y, x) >= least)
+    pairs = some.join(other, ["key", "token"]).where((F.col("doc") > F.col("other")) & (F.col("part") != F.col("part_other")) & enough).select("key", "doc", "other").distinct()
     return pairs.join(each.select("key", "doc", "met"), ["key", "doc"]).groupBy("doc", "other").agg(F.array_distinct(F.flatten(F.collect_list("met"))).alias("met"))
 
 

@@ -190,3 +190,27 @@ def test_pairs_in_the_middle_of_a_group(spark, monkeypatch, bucket):
     assert groups and all(g[0] != 2 and g[g.index(5) - 1] != 2 for g in groups)
     got = found(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {d: r.class_id for d, r in got.items()} == {2: 2, 5: 2}
+
+
+def test_pairs_apart_share_as_much_as_a_passage(spark):
+    """Texts of a key that differ in about five of eight places, with words that others have as well: only those meet whose stretches hold enough in common."""
+    rng = random.Random(4)
+    base, texts = [f"b{k}" for k in range(60)], []
+    for _ in range(100):
+        own = list(base)
+        for place in range(3, 60, 7):
+            own[place] = f"x{place}_{rng.randrange(3)}"
+        texts.append(" ".join(own))
+    tokens = [P.tokens_of(t) for t in texts]
+    true = {(a, b) for a in range(100) for b in range(a) if P.verified(tokens[a], tokens[b], [(0, len(tokens[a]))])}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc long, text string")
+    crowds = spark.createDataFrame([(1, d, len(tokens[d]) - 1 << 4) for d in range(100)], "key long, doc long, place long")
+    got = {(r.doc, r.other) for r in P._apart(rows, crowds, spark.createDataFrame([], "node long, component long")).collect()}
+    assert true and true <= got and len(got) <= 100 * 99 // 2 // 2
+
+
+def test_least_number_of_different_tokens():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        t = rng.integers(0, rng.integers(1, 200), rng.integers(1, 150)).astype(np.uint64)
+        assert P._distinct(t) == min(len(set(t[i : i + P.LEAST].tolist())) for i in range(max(1, len(t) - P.LEAST + 1)))
