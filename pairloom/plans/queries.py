@@ -12,7 +12,7 @@ from ..functions import quantity as Q
 from ..functions import similarity as M
 from ..functions import text as T
 from ..operators import blocking, index, report
-from ..sources.catalog import part_catalogs
+from ..sources.catalog import part_catalogs, parts
 from . import fact_queries, fusion_queries, review_queries, score_queries, verdict_queries
 from .stages import shared_folder
 
@@ -192,13 +192,13 @@ def coverage_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimension_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("", F.col("p_size").cast("string"), F.lit(" x "), (F.col("p_size") + 2).cast("string"), F.lit(" in")).alias("s"))
+    part = parts(spark, sf_dir).select("p_partkey", F.concat_ws("", F.col("p_size").cast("string"), F.lit(" x "), (F.col("p_size") + 2).cast("string"), F.lit(" in")).alias("s"))
     return part.select("p_partkey", F.array_join(F.transform(Q.dimensions(F.col("s")), lambda x: F.round(x, 1).cast("string")), "/").alias("mm"))
 
 
 def pack_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plausible counts of made-up multipack titles."""
-    part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("", F.lit("("), (F.col("p_size") % 4 + 2).cast("string"), F.lit(" pack) "), F.col("p_name"), F.lit(" "), (F.col("p_size") + 10).cast("string"), F.lit(" Count")).alias("s"))
+    part = parts(spark, sf_dir).select("p_partkey", F.concat_ws("", F.lit("("), (F.col("p_size") % 4 + 2).cast("string"), F.lit(" pack) "), F.col("p_name"), F.lit(" "), (F.col("p_size") + 10).cast("string"), F.lit(" Count")).alias("s"))
     return part.select("p_partkey", F.array_join(F.transform(Q.count_values(F.col("s")), lambda x: x.cast("string")), ",").alias("counts"))
 
 

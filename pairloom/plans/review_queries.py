@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import adjudicate, routing
+from ..sources.catalog import parts
 from . import verdict_queries as V
 from .stages import shared_folder, staged
 
@@ -70,7 +71,7 @@ def recovered_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that recovery promotes, checked together with the standing matches of their targets."""
     from .link import checked
 
-    rows = staged(spark.sql(_WAITING, part=spark.read.parquet(f"{sf_dir}/part.parquet")))
+    rows = staged(spark.sql(_WAITING, part=parts(spark, sf_dir)))
     sizing = F.to_json(F.struct(F.col("size_B").alias("size_user_friendly")))
     b = rows.groupBy("item_id_B").agg(F.max("size_B").alias("size_B")).select(F.col("item_id_B").cast("long").alias("b_index"), F.col("item_id_B").alias("item_id"), F.lit("acme").alias("brand_raw"), F.lit("").alias("description"), F.lit("").alias("item_info"), sizing.alias("sizing_comp"))
     return checked(rows.drop("size_B"), b).select("row_key", "final_verdict", "selected_item_id_B", "final_safety_blocker", "decision_reason", "recovered")
@@ -89,7 +90,7 @@ FROM (SELECT p_partkey, p_partkey % 13 AS form, CAST(p_size + 2 AS {text}) AS n,
 
 def firewall_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches that the firewall stops, with the rule that did."""
-    rows = spark.sql(_PAIRS.format(text="STRING", part="{part}"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    rows = spark.sql(_PAIRS.format(text="STRING", part="{part}"), part=parts(spark, sf_dir))
     asym = F.when(F.col("form") == 11, F.array(F.lit("scent"), F.lit("color"), F.lit("unheard of"))).otherwise(F.array().cast("array<string>"))
     zero = {x: F.lit(0.0) for x in ("match_evidence_score", "functional_identity_similarity", "pair_support_score", "runner_up_margin", "nonmatch_confidence")}
     found = routing.settled(rows.withColumns({"modifier_asymmetries": asym, **zero, "atomic_positive_evidence_count": F.lit(0), "identity_anchor_count": F.lit(0)}))

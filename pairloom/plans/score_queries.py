@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import facts, scoring
+from ..sources.catalog import parts
 
 QUALITY = {"brand": 0.98, "brand_type": 1.0, "product_family": 0.82, "functional_name": 0.88, "net_weight": 0.94, "declared_count": 0.96, "flavor": 0.94, "product_line": 0.86, "meat_species": 0.94}
 _COLUMNS = "row_key match_evidence_score nonmatch_evidence_score functional_identity_similarity atomic_positive_evidence_count identity_anchor_count strong_support_count atomic_conflict_count hard_veto rules asymmetries brand_policy same_brand exact_title_match".split()
@@ -17,7 +18,7 @@ def _side(spark: SparkSession, sf_dir: str, key: str, values: dict[str, tuple[st
         F.when(v.isNotNull(), F.struct(F.lit(a).alias("attr"), *[(v if kind == n else F.lit(None)).cast(t).alias(n) for n, t in blank.items()], F.lit(QUALITY[a]).alias("quality"), F.lit("title_family_rules").alias("source")).cast(facts.FACT))
         for a, (kind, v) in values.items()
     ]
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("k", F.col("p_partkey"))
+    part = parts(spark, sf_dir).withColumn("k", F.col("p_partkey"))
     return part.select(F.col("k").alias(key), F.explode(F.array_compact(F.array(*one))).alias("f")).select(key, "f.*")
 
 
@@ -35,7 +36,7 @@ def evidence_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         **shared, "brand": ("txt", F.when(k % 3 == 0, "zeta").otherwise("acme")), "functional_name": ("toks", name), "net_weight": ("num", size * F.when(k % 7 < 3, 1.0).when(k % 7 < 5, 1.02).otherwise(1.2)),
         "declared_count": ("num", count + F.when(k % 11 == 0, 3).otherwise(0)), "flavor": ("toks", F.when(k % 6 < 3, words("mint")).when(k % 6 == 3, words("lime"))),
     }
-    pairs = spark.read.parquet(f"{sf_dir}/part.parquet").select(k.alias("row_key"), k.alias("b_index"), F.lit("Plain Thing").alias("name_A"), F.when(k % 7 == 0, "plain  thing").otherwise("other thing").alias("name_B"))
+    pairs = parts(spark, sf_dir).select(k.alias("row_key"), k.alias("b_index"), F.lit("Plain Thing").alias("name_A"), F.when(k % 7 == 0, "plain  thing").otherwise("other thing").alias("name_B"))
     got = scoring.score_pairs(pairs, _side(spark, sf_dir, "row_key", a), _side(spark, sf_dir, "b_index", b))
     return got.withColumn("rules", F.array_join("hard_veto_rules", ",")).withColumn("asymmetries", F.array_join("modifier_asymmetries", ",")).select(*_COLUMNS)
 

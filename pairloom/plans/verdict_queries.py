@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import quantity as Q
 from ..functions import similarity as M
 from ..operators import certify, collisions, nets, report, routing
+from ..sources.catalog import parts
 
 #: Columns of the pairs, in a form that both engines read.
 _PAIRS = """
@@ -87,13 +88,13 @@ def demotion_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def single_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of an id and others whose name contains it."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").cast("string").alias("item_id"), F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("name"))
+    part = parts(spark, sf_dir).select(F.col("p_partkey").cast("string").alias("item_id"), F.concat_ws(" ", "p_name", F.col("p_size").cast("string")).alias("name"))
     return report.lookup(part, "17")
 
 
 def net_size_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy clusters of sizes within 8 %, in row order."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.col("p_size").alias("value"))
+    part = parts(spark, sf_dir).select(F.col("p_brand").alias("target"), F.col("p_partkey").alias("row_key"), F.col("p_size").alias("value"))
     return certify.near_clusters(part)
 
 
@@ -108,7 +109,7 @@ FROM {part}"""
 
 
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_TITLES.format(text="STRING", part="{part}"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    return spark.sql(_TITLES.format(text="STRING", part="{part}"), part=parts(spark, sf_dir))
 
 
 def pack_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +125,7 @@ def pack_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def amount_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity, nearness and related brands of made-up amounts and names."""
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_partkey") % 50 + 1).cast("double").alias("y"), F.split("p_name", " ").alias("w"))
+    part = parts(spark, sf_dir).select("p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_partkey") % 50 + 1).cast("double").alias("y"), F.split("p_name", " ").alias("w"))
     x, y, w = F.col("x"), F.col("y"), F.col("w")
     other = F.array(F.col("w")[0], F.lit("foods"), F.col("w")[1], F.when(F.col("p_partkey") % 2 == 0, F.lit("zzz")).otherwise(F.lit("inc")))
     near = M.near_any(F.array(x, x * 2), F.array(y), 0.05)
@@ -140,7 +141,7 @@ FROM (SELECT p_partkey, p_name, CAST(p_size % 7 + 2 AS STRING) AS n, CAST(p_size
 
 def package_nets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net contents of made-up titles: outer packs, counted containers, and numbers that multiply nothing."""
-    rows = spark.sql(_NET_TITLES, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    rows = spark.sql(_NET_TITLES, part=parts(spark, sf_dir))
     found = nets.with_net(rows, "net", F.col("t"), certify.package_count(F.col("t")))
     return found.select("p_partkey", "net.dim", F.round("net.total", 6).alias("total"), F.round("net.shown", 6).alias("shown"), "net.mode")
 
@@ -157,7 +158,7 @@ FROM (SELECT p_partkey AS row_key, p_partkey DIV 2 AS pair, p_partkey DIV 2 % 5
 
 def merge_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why made-up matches of a target can't all be right, by the merge checks."""
-    rows = spark.sql(_MERGES, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    rows = spark.sql(_MERGES, part=parts(spark, sf_dir))
     return collisions.demotions(rows).select("row_key", "reason")
 
 

@@ -35,3 +35,11 @@ def test_equals_sql(spark, db, name):
 @pytest.mark.parametrize("name", ["fact_counts", "link_verdicts"])
 def test_rows_only(spark, name):
     assert QUERIES[name](spark, str(DATA)).count() > 0
+
+
+def test_small_file_is_dealt(spark):
+    """The part table is one small file, but as many tasks as the session asks for work on it."""
+    from pairloom.sources.catalog import part_catalogs, parts
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert n > 1 and all(df.rdd.getNumPartitions() == n for df in (parts(spark, str(DATA)), *part_catalogs(spark, str(DATA))))
