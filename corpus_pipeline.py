@@ -72,8 +72,8 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null texts have no words and stay, as do null ids and repeated rows.
     """
     rows = _apart(docs)
-    found = decontaminate.find_contamination(rows, table(spark, sf_dir, "benchmark"), keep=tuple(rows.columns))
-    clean = decontaminate.remove_hits(found.where(~decontaminate.contaminated()))
+    found = decontaminate.find_contamination(rows, table(spark, sf_dir, "benchmark"), keep=tuple(rows.columns), left=decontaminate.own_text)
+    clean = found.where(~decontaminate.contaminated())
     return _back(clean.withColumn("n_chars", _length(docs, F.size("hits") > 0)) if "n_chars" in docs.columns else clean, docs)
 
 

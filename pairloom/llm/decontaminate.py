@@ -3,13 +3,13 @@
 The automaton reads a document's words one by one and keeps the longest suffix of what it has read that occurs in an item.
 Where that length reaches an item window (``WINDOW`` words, or a whole shorter item), the window's words are hit.
 The automaton is built on the driver and broadcast.  Its size is that of the items: they are cut
-into blocks of at most ``BLOCK_WORDS`` words, each with an automaton and a pass of its own, so that no broadcast grows.
+into blocks of at most ``BLOCK_WORDS`` words, each with an automaton of its own, so that no broadcast grows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,10 @@ WINDOW = 13
 #: Least share of hit words, as 1 in so many, for a contaminated document.
 SHARE = 20
 BLOCK_WORDS = 500_000
-#: Blocks whose automata are in one task at the same time.
+#: Blocks whose automata are scanned in one pass.
 GROUP = 4
+#: What is kept of a text, from it, its hit spans and its number of words.
+Left = Callable[[str | None, list[tuple[int, int]], int], str | None]
 #: Word bytes stay (A-Z lower-cased); all other ASCII becomes a space.  Bytes from 0x80 on belong to letters beyond ASCII.
 _TABLE = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
@@ -154,22 +156,23 @@ def _blocks(items: list[tuple[str, list[bytes]]], block_words: int) -> list[list
     return out
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
-    return out
+    return [(a, b) for a, b in out]
 
 
-def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), block_words: int = BLOCK_WORDS) -> DataFrame:
+def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), block_words: int = BLOCK_WORDS, left: Left | None = None) -> DataFrame:
     """df's id and the columns in keep, n_words, hits array<struct<start, end>> of word places, items array<string>.
 
     Every row stays; null texts have no words; items that are null or wordless match nothing; null item ids are passed over.
-    Equal items of several ids are all reported.  Columns in keep with the names of the results are replaced.  The items are read to the driver; the
-    automata of their blocks are broadcast one by one, and what GROUP of them found is written before the next are made.
+    Equal items of several ids are all reported.  Columns in keep with the names of the results are replaced.  left makes the kept text from the text, the hit spans and the
+    number of words in the last pass, so that no second worker stands beside each scanning one.  The items are read to the driver; the automata of GROUP of their
+    blocks are broadcast and scanned in one pass, and what they found is written before the next are made.
     """
     small_batches(df.sparkSession)
     spark = df.sparkSession
@@ -180,28 +183,33 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
     rows = df.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), F.array().cast("array<struct<start:int,end:int>>").alias("__hits"), F.array().cast("array<string>").alias("__items"), F.lit(0).cast("long").alias("__n"), *rest)
     spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def scanner(held, texts: bool):
+    def scanner(held: list, texts: bool, left: Left | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            auto = held()
+            automata = [get() for get in held]
             for b in batches:
-                hits, names, count = [], [], []
+                hits, names, count, kept = [], [], [], []
                 for text, old, had in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                     words = words_of(text)
-                    spans, found = auto.scan(words)
-                    spans = _merged([*((x["start"], x["end"]) for x in old), *spans]) if old else spans
+                    spans, found = [(x["start"], x["end"]) for x in old], set(had)
+                    for auto in automata:
+                        more, items = auto.scan(words)
+                        spans = _merged([*spans, *more]) if spans else more
+                        found |= items
                     hits.append([{"start": x, "end": y} for x, y in spans])
-                    names.append(sorted(found.union(had)))
+                    names.append(sorted(found))
                     count.append(len(words))
+                    if left:
+                        kept.append(left(text, spans, len(words)))
                 new = [pa.array(hits, spans_type), pa.array(names, pa.list_(pa.string())), pa.array(count, pa.int64())]
-                text = b.column(1) if texts else pa.nulls(len(b), b.schema.field(1).type)
+                text = pa.nulls(len(b), b.schema.field(1).type) if not texts else pa.array(kept, b.schema.field(1).type) if left else b.column(1)
                 yield pa.RecordBatch.from_arrays([b.column(0), text, *new, *b.columns[5:]], names=b.schema.names)
 
         return run
 
-    for k, block in enumerate(blocks):
-        if k and k % GROUP == 0:
-            rows = written(rows)
-        rows = rows.mapInArrow(scanner(sent(spark, ItemAutomaton(block, window)), text_col in keep or k + 1 < len(blocks)), rows.schema)
+    for k in range(0, len(blocks), GROUP):
+        rows = written(rows) if k else rows
+        last = k + GROUP >= len(blocks)
+        rows = rows.mapInArrow(scanner([sent(spark, ItemAutomaton(x, window)) for x in blocks[k : k + GROUP]], text_col in keep or not last, left if last and text_col in keep else None), rows.schema)
     kept = [F.col("__text").alias(text_col) if c == text_col else F.col(c) for c in keep if c != id_col]
     return rows.select(F.col("__id").alias(id_col), *kept, F.col("__n").alias("n_words"), F.col("__hits").alias("hits"), F.col("__items").alias("items"))
 
@@ -217,6 +225,14 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
+def own_text(text: str | None, spans: list[tuple[int, int]], n_words: int, least_words: int = 1, most_share: float = 0.5) -> str | None:
+    """The text without its hit spans of at least so many words; null if more than most_share of its words are in them."""
+    spans = [(x, y) for x, y in spans if y - x >= least_words]
+    if text is None or sum(y - x for x, y in spans) > most_share * n_words:
+        return None
+    return without_spans(text, spans) if spans else text
+
+
 def remove_hits(found: DataFrame, text_col: str = "text", least_words: int = 1, most_share: float = 0.5) -> DataFrame:
     """What find_contamination gave with the text kept: hit spans of at least so many words are cut from the text.
 
@@ -229,9 +245,7 @@ def remove_hits(found: DataFrame, text_col: str = "text", least_words: int = 1,
         for b in batches:
             texts = []
             for text, hits, n in zip(b.column(text_col).to_pylist(), b.column("hits").to_pylist(), b.column("n_words").to_pylist(), strict=True):
-                spans = [(h["start"], h["end"]) for h in hits if h["end"] - h["start"] >= least_words]
-                hit = sum(y - x for x, y in spans)
-                texts.append(None if text is None or hit > most_share * n else without_spans(text, spans) if spans else text)
+                texts.append(own_text(text, [(h["start"], h["end"]) for h in hits], n, least_words, most_share))
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else b.column(c) for c in names], names)
 
     return found.mapInArrow(run, kind)

@@ -73,3 +73,15 @@ def test_spans_are_cut_from_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in D.remove_hits(D.find_contamination(df, bench, keep=("text",))).collect()}
     assert got == {1: own * 10 + "! end", 2: None, 3: own, 4: None}
+
+
+def test_one_worker_scans_and_cuts(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(15))) for i in range(6)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    own = " ".join(f"own{k}" for k in range(40))
+    rows = [(i, f"{own} {t} {own} {items[0][1]}") for i, t in items] + [(10, items[1][1]), (11, own), (12, None), (13, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    apart = D.remove_hits(D.find_contamination(df, bench, keep=("text",), block_words=30))
+    both = D.find_contamination(df, bench, keep=("text",), block_words=30, left=D.own_text)
+    assert sorted(both.collect(), key=str) == sorted(apart.collect(), key=str)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
