@@ -1,6 +1,6 @@
 """Optional adjudication of rows under review by an outside model, behind an interface.
 
-A client gets groups of packets and answers each.  What it said is kept in a folder, request by request, so no task that is started anew and no later run asks for a packet again.
+A client gets groups of packets and answers each.  What it said is kept in a folder, request by request, so no task that is started anew and no later run asks for a packet again; a run that ends packs its requests into one table.
 A second pass, in smaller groups, asks for what the first left open.  Answers never override an explicit contradiction: the pair they pick passes the firewall first.
 """
 
@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.stages import exists
+from ..plans.stages import deleted, exists
 from . import guards
 
 #: Packets of a request and requests at once, in the first pass and in the second; candidates that a packet shows.
@@ -56,28 +56,26 @@ class Requests:
         self.files, self.path = fs.FileSystem.from_uri(path)
         self.files.create_dir(self.path, recursive=True)
 
-    def settle(self, group: list[tuple[str, dict]]) -> int:
-        """Makes sure that the answers of the group's packets (id, content) are kept; the number of requests made.
+    def settle(self, group: list[tuple[str, dict]]) -> str:
+        """Makes sure that the answers of the group's packets (id, content) are kept; their lines.
 
         A group whose request fails with RuntimeError is kept as an empty file and halved; a single packet that fails has no answer.
         """
         name = hashlib.sha256(" ".join(k for k, _ in group).encode()).hexdigest()
-        found = self.files.get_file_info(f"{self.path}/{name}.json")
-        made = 0
-        if found.is_file:
-            failed = found.size == 0
+        file = f"{self.path}/{name}.json"
+        if self.files.get_file_info(file).is_file:
+            with self.files.open_input_stream(file) as kept:
+                lines = kept.read().decode()
         else:
-            made = 1
             try:
-                lines, failed = self._lines(group, self.client([p for _, p in group])), False
+                lines = self._lines(group, self.client([p for _, p in group]))
             except RuntimeError:
-                failed = len(group) > 1
-                lines = "" if failed else self._lines(group, [])
+                lines = "" if len(group) > 1 else self._lines(group, [])
             self._keep(name, lines)
-        if failed:
-            half = len(group) // 2
-            made += self.settle(group[:half]) + self.settle(group[half:])
-        return made
+        if lines:
+            return lines
+        half = len(group) // 2
+        return self.settle(group[:half]) + self.settle(group[half:])
 
     def _lines(self, group: list[tuple[str, dict]], answers: list[dict]) -> str:
         """A line for each packet, with the first valid answer for its row."""
@@ -97,32 +95,42 @@ class Requests:
 def ask(rows: DataFrame, client: Client, path: str, group: int = GROUP, concurrency: int = CONCURRENCY) -> DataFrame:
     """Answers (row_key, choice, decision, match_type, blocker, evidence) to the packets in rows (row_key, payload), asking only for those that path doesn't hold.
 
-    path is a folder of one client and pass that all executors share.  A packet is known by its payload, so a row whose candidates change is asked again, and
+    path is a folder of one client and pass that all executors share and one run writes at a time.  A packet is known by its payload, so a row whose candidates change is asked again, and
     repeated rows are asked once.  Groups follow from the packets alone and each request is kept before the next is made: a task that is started anew goes on
     after its last kept request, and only a request that was under way is made twice (two attempts at once, as in speculation, may ask twice).
+    Files of single requests serve the run that made them, or the next one if it was cut off: at its end all answers are in the table packed, so that no query lists and opens a file for each request.
     Rows without an answer are left out; that they have none is kept as well.
     """
     spark = rows.sparkSession
     rows = rows.select("row_key", "payload", F.sha2("payload", 256).alias("packet"))
-
-    def kept() -> DataFrame:
-        schema = f"packet string, {ANSWER}"
-        return spark.read.schema(schema).json(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    single, packed, schema = f"{path}/requests", f"{path}/packed", f"packet string, {ANSWER}"
+    none = spark.createDataFrame([], schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        requests, held, made = Requests(client, path), [], 0
+        requests, held, lines = Requests(client, single), [], []
+
+        def answers() -> pd.DataFrame:
+            got = pd.DataFrame([json.loads(x) for x in lines], columns=["packet", *_FIELDS])
+            lines.clear()
+            return got.astype({"row_key": "Int64", "choice": "Int32"})
+
         for b in batches:
             held += zip(b["packet"], map(json.loads, b["payload"]), strict=True)
             while len(held) >= group:
-                made += requests.settle(held[:group])
+                lines += requests.settle(held[:group]).splitlines()
                 held = held[group:]
+            yield answers()
         if held:
-            made += requests.settle(held)
-        yield pd.DataFrame({"requests": [made]})
-
-    todo = rows.select("packet", "payload").where("payload is not null").join(kept().select("packet"), "packet", "left_anti").dropDuplicates(["packet"])
-    todo.repartition(concurrency, "packet").sortWithinPartitions("packet").mapInPandas(run, "requests long").agg(F.sum("requests")).collect()
-    found = kept().where("decision is not null").groupBy("packet").agg(F.min(F.struct(*_FIELDS[1:])).alias("a")).select("packet", "a.*")
+            lines += requests.settle(held).splitlines()
+            yield answers()
+
+    before = spark.read.schema(schema).parquet(packed) if exists(spark, f"{packed}/_SUCCESS") else none
+    left = spark.read.schema(schema).json(single) if exists(spark, single) else none
+    todo = rows.select("packet", "payload").where("payload is not null").join(before.unionByName(left).select("packet"), "packet", "left_anti").dropDuplicates(["packet"])
+    made = todo.repartition(concurrency, "packet").sortWithinPartitions("packet").mapInPandas(run, schema)
+    made.unionByName(left).write.mode("append").parquet(packed)
+    deleted(spark, single)
+    found = spark.read.schema(schema).parquet(packed).where("decision is not null").groupBy("packet").agg(F.min(F.struct(*_FIELDS[1:])).alias("a")).select("packet", "a.*")
     return rows.select("row_key", "packet").distinct().join(found, "packet").select(*_FIELDS)
 
 
