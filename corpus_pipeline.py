@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import decontaminate, language, line_dedup, sentencepieces, simhash
-from pairloom.llm.common import crc_mod, table, written
+from pairloom.llm.common import counted, crc_mod, table, written
 from pairloom.llm.queries import tokenizer_model
 
 #: SQL can express neither the language model nor the tokenizer.
@@ -59,7 +59,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     # Repeated rows are few: only they are compared whole.
     mark = F.xxhash64("text").alias("__text_hash")
-    often = written(rows.where("doc_id is not null").groupBy("doc_id", mark).agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "__text_hash"))
+    often = counted(written(rows.where("doc_id is not null").groupBy("doc_id", mark).agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "__text_hash")))
     rows = rows.join(gone, "doc_id", "left_anti").withColumn("__text_hash", mark)
     same = ["doc_id", "__text_hash"]
     kept = rows.join(often, same, "left_anti").unionByName(rows.join(often, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch: a batch of long documents still fits a worker.
 BATCH_ROWS = 512
+#: Tables of more rows are joined by a shuffle, however small Spark takes them to be.
+BROADCAST_ROWS = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +75,16 @@ class Scratch:
         freed(self.spark)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df, to be joined by a shuffle: Spark sizes a table by its compressed files and takes an explode to add no rows, so it may broadcast far more than the driver holds."""
+    return df.hint("merge")
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """df, a written table: one of more than BROADCAST_ROWS rows is never broadcast."""
+    return df if df.count() <= BROADCAST_ROWS else shuffled(df)
+
+
 def freed(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of what is written by now."""
     spark.sparkContext._jvm.System.gc()
@@ -91,11 +103,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     last = Scratch(edges.sparkSession)
     e = last.written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
+    state, many = None, e.count() > BROADCAST_ROWS
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(shuffled(least) if many else least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         here = Scratch(edges.sparkSession)
@@ -105,7 +117,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003), F.sum(F.xxhash64("v", "u") % 999_983)).first()
         if now == state or now[0] == 0:
             break
-        state = now
+        state, many = now, now[0] > BROADCAST_ROWS
     nodes = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = e.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return nodes.union(roots)

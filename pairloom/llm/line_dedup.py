@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import counted, written
 
 MIN_SITES = 10
 MIN_TEXTS = 20
@@ -54,9 +54,9 @@ def boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     able = written(spread.where(able))
     sure = (F.col("sites") >= high(min_sites)) & (F.col("texts") >= high(min_texts))
     near = able.where(~sure).select("h1", "h2", "first")
-    exact = lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.countDistinct("site").alias("sites"), F.countDistinct("whole").alias("texts"))
+    exact = lines.join(counted(near.select("h1", "h2")), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.countDistinct("site").alias("sites"), F.countDistinct("whole").alias("texts"))
     exact = exact.where((F.col("sites") >= min_sites) & (F.col("texts") >= min_texts))
-    return written(able.where(sure).select("h1", "h2", "first").union(near.join(exact.select("h1", "h2"), ["h1", "h2"])))
+    return counted(written(able.where(sure).select("h1", "h2", "first").union(near.join(exact.select("h1", "h2"), ["h1", "h2"]))))
 
 
 def drop_boilerplate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES, min_texts: int = MIN_TEXTS) -> DataFrame:

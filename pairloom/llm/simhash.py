@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, freed, small_batches, written
+from .common import Scratch, connected_components, counted, freed, shuffled, small_batches, written
 
 TAU = 2
 SEGMENTS = 9
@@ -126,7 +126,7 @@ def links(nodes: DataFrame, written: Callable[[DataFrame], DataFrame] = written)
     rows = nodes.select(fam.cast("int").alias("fam"), "fp", "root", F.posexplode(F.array(*[F.col("fp").bitwiseAND(_chain(i, zero)) for i in range(SEGMENTS)])).alias("i", "key"))
     rows = rows.select(F.xxhash64("fam", "i", "key").alias("key"), "fp", "root", (F.col("fam") * SEGMENTS + F.col("i")).alias("slot"))
     full = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    found = written(rows.join(full, "key"))
+    found = written(rows.join(shuffled(full), "key"))
     cold = found.where(F.col("n") <= BUCKET)
     a, b = (cold.select("slot", "key", F.col("fp").alias(f"fp_{x}"), F.col("root").alias(x)) for x in "ab")
     apart = F.col("fp_a").bitwiseXOR(F.col("fp_b"))
@@ -134,12 +134,12 @@ def links(nodes: DataFrame, written: Callable[[DataFrame], DataFrame] = written)
     for length in range(zero + 1, SEGMENTS):
         mask = F.element_at(F.array(*[F.lit(_chain(i, length)) for i in range(SEGMENTS)]), F.col("slot") % SEGMENTS + 1)
         meets = (F.bit_count(apart.bitwiseAND(mask)) <= length * TAU // SEGMENTS) & meets
-    pairs = a.join(b, ["slot", "key"]).where((F.col("fp_a") < F.col("fp_b")) & meets).select("a", "b")
+    pairs = a.join(shuffled(b), ["slot", "key"]).where((F.col("fp_a") < F.col("fp_b")) & meets).select("a", "b")
     hot = found.where(F.col("n") > BUCKET).select(F.floor(F.col("slot") / SEGMENTS).alias("fam"), "fp", "root").distinct()
     one = [0, *((1 << k) - (1 << 64 if k == 63 else 0) for k in range(64))]
     points = hot.select("fam", "root", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(x)) for x in one])).alias("point"))
     centre = points.groupBy("fam", "point").agg(F.min("root").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = points.join(centre, ["fam", "point"]).where("root <> b").select(F.col("root").alias("a"), "b")
+    stars = points.join(shuffled(centre), ["fam", "point"]).where("root <> b").select(F.col("root").alias("a"), "b")
     return pairs.union(stars).distinct()
 
 
@@ -159,7 +159,7 @@ def _in_bands(texts: DataFrame) -> DataFrame:
 
 def _paired(rows: DataFrame) -> DataFrame:
     """Edges (a, b), a > b, between all roots of a key; rows: (key, root)."""
-    return rows.select("key", F.col("root").alias("a")).join(rows.select("key", F.col("root").alias("b")), "key").where("a > b").select("a", "b")
+    return rows.select("key", F.col("root").alias("a")).join(shuffled(rows.select("key", F.col("root").alias("b"))), "key").where("a > b").select("a", "b")
 
 
 def band_links(texts: DataFrame, written: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
@@ -171,7 +171,7 @@ def band_links(texts: DataFrame, written: Callable[[DataFrame], DataFrame] = wri
     """
     rows = _in_bands(texts)
     full = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")).where("n > 1")
-    found = written(rows.join(full, "key"))
+    found = written(rows.join(shuffled(full), "key"))
     stars = lambda groups: groups.where((F.col("n") > BUCKET) & (F.col("root") != F.col("least"))).select(F.col("root").alias("a"), F.col("least").alias("b"))
     out = _paired(found.where(F.col("n") <= BUCKET)).union(stars(found))
     hot = found.where(F.col("n") > BUCKET).select("root", "band")
@@ -179,17 +179,17 @@ def band_links(texts: DataFrame, written: Callable[[DataFrame], DataFrame] = wri
         return out.distinct()
     around = texts.select("root", F.concat("sig", "sig").alias("sig"))
     keys = F.array(*[F.xxhash64(F.lit(depth), "band", F.slice(F.col("sig"), F.col("band") * ROWS + 1, depth)) for depth in DEPTHS[1:]])
-    deep = written(hot.join(around, "root").select("root", "band", F.posexplode(keys).alias("depth", "key")))
-    deep = written(deep.join(deep.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least")), "key"))
+    deep = written(hot.join(shuffled(around), "root").select("root", "band", F.posexplode(keys).alias("depth", "key")))
+    deep = written(deep.join(shuffled(deep.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("least"))), "key"))
     # All of a group have the same groups before it, so they come to a small one at the same depth.
     small = deep.where(F.col("n") <= BUCKET).groupBy("root", "band").agg(F.min("depth").alias("depth"))
-    return out.union(stars(deep)).union(_paired(deep.where("n > 1").join(small, ["root", "band", "depth"]))).distinct()
+    return out.union(stars(deep)).union(_paired(deep.where("n > 1").join(shuffled(small), ["root", "band", "depth"]))).distinct()
 
 
 def dense_buckets(texts: DataFrame) -> DataFrame:
     """(key, n, root): the texts of buckets of more than BUCKET; texts: (root, sig)."""
     rows = _in_bands(texts).select("key", "root")
-    return rows.join(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET), "key")
+    return rows.join(shuffled(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET)), "key")
 
 
 def dense_pairs(rows: DataFrame, comp: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
@@ -198,15 +198,15 @@ def dense_pairs(rows: DataFrame, comp: DataFrame, near: Callable[[Column, Column
     rows: see dense_buckets, with held; if they have lead, only pairs of which one leads.  A bucket that is one component already has none.  Others are quadratic in what is apart: they are dealt over tasks in blocks of BLOCK by BLOCK texts.
     """
     lead = F.col("lead") if "lead" in rows.columns else F.lit(True)
-    part = rows.select("root").distinct().join(comp, F.col("root") == F.col("node"), "left").select("root", F.coalesce("component", "root").alias("part"))
-    rows = rows.withColumn("lead", lead).join(part, "root")
+    part = rows.select("root").distinct().join(shuffled(comp), F.col("root") == F.col("node"), "left").select("root", F.coalesce("component", "root").alias("part"))
+    rows = rows.withColumn("lead", lead).join(shuffled(part), "root")
     apart = rows.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     blocks = F.ceil(F.col("n") / BLOCK)
-    rows = written(rows.join(apart, "key").select("key", "root", "part", "held", "lead", blocks.alias("blocks"), F.pmod(F.xxhash64("root"), blocks).alias("own")))
+    rows = written(rows.join(shuffled(apart), "key").select("key", "root", "part", "held", "lead", blocks.alias("blocks"), F.pmod(F.xxhash64("root"), blocks).alias("own")))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     a = rows.where("lead").select("key", F.col("root").alias("a"), F.col("part").alias("part_a"), F.col("held").alias("held_a"), F.col("own").alias("i"), every.alias("j"))
     b = rows.select("key", F.col("root").alias("b"), F.col("part").alias("part_b"), F.col("held").alias("held_b"), F.col("lead").alias("lead_b"), F.col("own").alias("j"), every.alias("i"))
-    met = a.join(b, ["key", "i", "j"]).where((~F.col("lead_b") | (F.col("a") > F.col("b"))) & (F.col("part_a") != F.col("part_b")) & near(F.col("held_a"), F.col("held_b")))
+    met = a.join(shuffled(b), ["key", "i", "j"]).where((~F.col("lead_b") | (F.col("a") > F.col("b"))) & (F.col("part_a") != F.col("part_b")) & near(F.col("held_a"), F.col("held_b")))
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -236,7 +236,7 @@ def dense_links(dense: DataFrame, texts: DataFrame, comp: DataFrame, similarity:
     Nor do those whose marks differ in more bits than sets of that similarity can have shingles apart.
     """
     spark = dense.sparkSession
-    part = dense.join(comp, F.col("root") == F.col("node"), "left").select("key", "root", F.coalesce("component", "root").alias("part"))
+    part = dense.join(shuffled(comp), F.col("root") == F.col("node"), "left").select("key", "root", F.coalesce("component", "root").alias("part"))
     apart = part.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     roots = written(dense.join(apart, "key", "left_semi").select("root").distinct())
     some = texts.join(F.broadcast(roots) if roots.count() <= BROADCAST_IDS else roots, "root", "left_semi").select("root", "text")
@@ -278,7 +278,7 @@ def dense_links(dense: DataFrame, texts: DataFrame, comp: DataFrame, similarity:
         apart = sum((F.bit_count(x[m].bitwiseXOR(y[m])) for m in named), F.lit(0))
         return (x["rest"] >= need) & (y["rest"] >= need) & (x["size"] + y["size"] - apart >= 2 * need)
 
-    return dense_pairs(rows.join(full, "key").select("key", "n", "root", held, "lead"), comp, near)
+    return dense_pairs(rows.join(shuffled(full), "key").select("key", "n", "root", held, "lead"), comp, near)
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
@@ -326,13 +326,13 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     freed(spark)
     each = texts.select("root", F.posexplode("fps").alias("fam", "fp"))
     nodes = early.written(each.groupBy("fam", "fp").agg(F.min("root").alias("root"), F.count("*").alias("n")))
-    equal = each.join(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b")), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
+    equal = each.join(shuffled(nodes.where("n > 1").select("fam", "fp", F.col("root").alias("b"))), ["fam", "fp"]).where("root <> b").select(F.col("root").alias("a"), "b")
     edges = early.written(links(nodes.drop("n"), early.written).union(equal))
     freed(spark)
     edges = early.written(edges.union(band_links(texts, early.written)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     freed(spark)
     side = lambda x: texts.select(F.col("root").alias(x), F.col("least").alias(f"least_{x}"))
-    edges = edges.join(side("a"), "a").join(side("b"), "b")
+    edges = edges.join(shuffled(side("a")), "a").join(shuffled(side("b")), "b")
 
     def near(x: Column, y: Column) -> Column:
         # The smallest hashes of both shingle sets together are a sample of their union: a first estimate of the similarity.
@@ -362,7 +362,7 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     several = ids.groupBy("id").agg(F.min("h").alias("h"), F.count("*").alias("n")).where("n > 1").select("id", F.col("h").alias("least_h"))
     one = rows.join(ends, "id", "left_semi")
     if not (several := late.written(several)).isEmpty():
-        one = one.join(several, "id", "left").where(F.coalesce(F.col("h") == F.col("least_h"), F.lit(True))).groupBy("id").agg(F.min("text").alias("text"))
+        one = one.join(counted(several), "id", "left").where(F.coalesce(F.col("h") == F.col("least_h"), F.lit(True))).groupBy("id").agg(F.min("text").alias("text"))
 
     def sure(some: DataFrame) -> DataFrame:
         linked = some.join(one.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -372,17 +372,17 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         return out
 
     # Texts travel with few links: one of each document first, then only those between what isn't connected yet.
-    first = late.written(edges.groupBy("a").agg(F.min("b").alias("b")))
+    first = counted(late.written(edges.groupBy("a").agg(F.min("b").alias("b"))))
     good = sure(first)
-    comp = late.written(connected_components(good))
+    comp = counted(late.written(connected_components(good)))
     part = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"part_{x}"))
     rest = edges.join(first, ["a", "b"], "left_anti").join(part("a"), "a", "left").join(part("b"), "b", "left")
     rest = rest.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
     good = good.union(sure(rest))
     comp = late.written(connected_components(good))
     # Pairs of dense buckets that no link has met.
-    left = late.written(dense_links(dense, one.select(F.col("id").alias("root"), "text"), comp, similarity, verify_words))
-    comp = written(comp if left.isEmpty() else connected_components(good.union(sure(left))))
+    left = counted(late.written(dense_links(dense, one.select(F.col("id").alias("root"), "text"), comp, similarity, verify_words)))
+    comp = counted(written(comp if left.isEmpty() else connected_components(good.union(sure(left)))))
     late.drop()
     roots = ids.groupBy("same").agg(F.min("id").alias("root"))
     of = roots.join(comp, roots["root"] == comp["node"], "left").select("same", F.coalesce("component", "root").alias("component_id"))

@@ -5,8 +5,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from pairloom.llm import simhash
-from pairloom.llm.common import connected_components
+from pairloom.llm import common, simhash
+from pairloom.llm.common import connected_components, counted, written
 
 
 def brute_fingerprint(text, n=3):
@@ -176,3 +176,27 @@ def test_dense_short_texts_below_the_similarity_stay_apart(spark):
     dense = rows.select(F.lit(1).cast("long").alias("key"), F.lit(len(texts)).cast("long").alias("n"), "root")
     got = {(r.a, r.b) for r in simhash.dense_links(dense, rows, spark.createDataFrame([], "node long, component long"), 0.8, 5).collect()}
     assert true and true <= got and len(got) <= 3 * len(true)
+
+
+def test_spark_guesses_no_broadcast(spark):
+    # Files of these tables are a few KB, and Spark takes an explode to add no rows: left to itself it broadcasts all that fits its threshold by that guess.
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df)
+
+    nodes = written(spark.createDataFrame([(0, i ^ (1 << k), 100 * i + k) for i in range(9) for k in range(40)], "fam int, fp long, root long"))
+    texts = written(spark.createDataFrame([(i, [7] * 29 + [i % 3]) for i in range(40)], "root long, sig array<int>"))
+    for df in (simhash.links(nodes, kept), simhash.band_links(texts, kept), simhash.dense_buckets(texts)):
+        kept(df)
+    assert len(plans) >= 7 and all("Join" in p for p in plans)
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_tables_of_many_rows_are_not_broadcast(spark, monkeypatch):
+    rows = written(spark.range(20).withColumnRenamed("id", "u"))
+    plan = lambda: spark.range(99).withColumnRenamed("id", "u").join(counted(rows), "u")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan()
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 19)
+    assert "BroadcastHashJoin" not in plan()
