@@ -6,7 +6,8 @@ import hashlib
 import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,24 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/pairloom-stages/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def unguessed(spark: SparkSession) -> Iterator[None]:
+    """Within it only what a plan names is broadcast.
+
+    Spark sizes a table by its compressed files and the columns it reads of them, and takes an explode to add no rows: keys, pairs and facts of many
+    equal products are a few MB by that, and more than a driver holds once they are rows.
+    """
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    held = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "-1")
+        yield
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """df written to a folder of its own and read again."""
     path = shared_folder(df.sparkSession)

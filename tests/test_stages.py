@@ -76,3 +76,29 @@ def test_facts_follow_the_content(spark, tmp_path):
     # Rows of a batch that was cut off before it was entered aren't read.
     spark.createDataFrame([(1, "LOST", "x", "cut")], "k long, fact string, __content string, __batch string").write.mode("append").parquet(f"{path}/rows")
     assert get(new) == [(1, "A"), (2, "C")]
+
+
+def test_linkage_broadcasts_nothing_by_its_guessed_size(spark):
+    a, b = catalogs(spark)
+    a, b, plans = stages.staged(a), stages.staged(b), {}
+
+    def keep(name, make):
+        df = make()
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        if name == "facts_a":
+            raise InterruptedError
+        return stages.staged(df)
+
+    with pytest.raises(InterruptedError):
+        link.provisional(a, b, link.Settings(unicode=False), keep=keep)
+    # These tables are tiny: left to itself Spark broadcasts them all.
+    assert "Join" in plans["pairs"] and not [name for name in ("pairs", "facts_a") if "Broadcast" in plans[name]]
+    joined = lambda: a.join(b, "name")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in joined()
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "77")
+    try:
+        with stages.unguessed(spark):
+            assert "Broadcast" not in joined()
+        assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "77"
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
